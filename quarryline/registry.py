@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from quarryline.operators import history, nested, references, snapshots
-from quarryline.plans import problem_oracles
+from quarryline.operators import history, nested, references, relational, retrieval, snapshots  # noqa: F401
+from quarryline.plans import catalog, problem_oracles
 
 FLAGSHIP = "p4_found"
 
@@ -16,8 +16,9 @@ def queries() -> dict[str, Callable]:
         "p3_found": history.p3_found, "p3_versions": history.p3_versions, "p3_attribute_log": history.p3_attribute_log,
         "p4_found": references.p4_found, "p4_report": references.p4_report,
         "p5_found": snapshots.p5_found, "p5_report": snapshots.p5_report,
+        **catalog.QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return problem_oracles.oracle_sql()
+    return problem_oracles.oracle_sql() | catalog.ORACLES
