@@ -513,3 +513,11 @@ def required_evidence(spark, sf_dir):
     r = table(spark, sf_dir, "guideline_records", *fields)
     one = r.agg(*[F.struct(F.lit(f).alias("field"), F.max(F.when(F.col(f) != "", 1).otherwise(0)).alias("present"), F.count_if(F.coalesce(f, F.lit("")) == "").alias("blanks")).alias(f) for f in fields])
     return one.select(F.inline(F.array(*fields)))
+
+
+@query("windowed_events", "SELECT epoch_us(time_bucket(INTERVAL '1 hour', ts)) // 1000000 AS start_s, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2")
+def windowed_events(spark, sf_dir):
+    """Beyond the inventory: tumbling windows of an hour; in a session of any time zone, as whole seconds of UTC."""
+    e = table(spark, sf_dir, "events", "ts", "event_type", "value")
+    second = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01', ts)")
+    return e.groupBy((second - F.pmod(second, F.lit(3600))).alias("start_s"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from quarryline.operators import corpus, history, nested, references, relational, retrieval, snapshots  # noqa: F401
+from quarryline.operators import corpus, history, nested, references, relational, resolution, retrieval, snapshots  # noqa: F401
 from quarryline.plans import catalog, problem_oracles
 
 FLAGSHIP = "p4_found"
