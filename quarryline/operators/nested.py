@@ -61,8 +61,7 @@ class Index:
 
 def _per_doc(total: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """A running total made to begin at 0 in each text; total is inclusive."""
-    base = np.where(starts > 0, total[np.maximum(starts - 1, 0)], 0)
-    return total - np.repeat(base, lengths)
+    return total - np.repeat(np.concatenate([[0], total])[starts], lengths)
 
 
 def index_texts(texts: Sequence[bytes]) -> Index:
