@@ -95,7 +95,7 @@ def mix(sized: DataFrame, targets: DataFrame, total: int | None = None, seed: in
     used once more is settled by a seeded hash, ranked in salted parts. Documents without tokens, or of no listed source, aren't selected.
     """
     wanted = {r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.select(source_name("source").alias("source"), "target_share", "max_repeats").where("source IS NOT NULL").collect()}
-    listed = materialize(sized.where(F.col("source").isin(list(wanted)) & (F.col("n_tokens") > 0)))
+    listed = materialize(sized.select("doc_id", "source", "n_tokens").where(F.col("source").isin(list(wanted)) & (F.col("n_tokens") > 0)))
     counts: dict[str, dict[int, int]] = {s: {} for s in wanted}
     for r in listed.groupBy("source", "n_tokens").agg(F.count("*").alias("n")).collect():
         counts[r["source"]][r["n_tokens"]] = r["n"]

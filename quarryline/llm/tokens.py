@@ -27,8 +27,8 @@ def encoder(folder: str = FOLDER, vocabulary: str = VOCABULARY):
 
 
 def token_counts(df: DataFrame, text: str, folder: str = FOLDER, vocabulary: str = VOCABULARY) -> DataFrame:
-    """df's other columns and n_tokens, the length of the whole text in tokens; null and empty texts have 0."""
-    others = [c for c in df.columns if c != text]
+    """df's other columns and n_tokens, the length of the whole text in tokens; null and empty texts have 0. An n_tokens that df has is replaced."""
+    others = [c for c in df.columns if c not in (text, "n_tokens")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(folder, vocabulary).encode_ordinary
