@@ -424,14 +424,14 @@ def nearest_vectors(rows: DataFrame, queries: DataFrame, k: int = WINDOW, block_
     spark = rows.sparkSession
     width = queries.select(F.max(F.size("vector"))).first()[0] or 1
     step = max(1, block_bytes // (8 * width))
-    numbered = queries.where("vector IS NOT NULL").withColumn("_n", F.row_number().over(Window.orderBy("query_id")))
-    total = queries.count()
+    blocks = -(-queries.count() // step)
+    lots = queries.where("vector IS NOT NULL").withColumn("_lot", F.pmod(F.xxhash64("query_id"), F.lit(max(1, blocks))))
     schema = "query_id long, id long, cosine double, low double, high double"
     out = None
-    for first in range(0, max(total, 1), step):
-        block = numbered.where(F.col("_n").between(first + 1, first + step)).select("query_id", "vector").toArrow()
+    for lot in range(blocks):
+        block = lots.where(F.col("_lot") == lot).select("query_id", "vector").toArrow()
         ids = block.column("query_id").to_numpy()
-        matrix = np.array(block.column("vector").to_pylist(), np.float64).reshape(len(ids), -1)
+        matrix = np.array(block.column("vector").to_pylist(), np.float64).reshape(len(ids), width)
         norm = np.linalg.norm(matrix, axis=1, keepdims=True)
         shared = spark.sparkContext.broadcast((ids, np.divide(matrix, norm, out=np.zeros_like(matrix), where=norm > 0)))
 
@@ -454,6 +454,8 @@ def nearest_vectors(rows: DataFrame, queries: DataFrame, k: int = WINDOW, block_
 
         part = rows.where("vector IS NOT NULL").select("id", "vector").mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
+    if out is None:
+        return spark.createDataFrame([], schema)
     bounds = Window.partitionBy("query_id")
     out = out.withColumn("low", F.min("low").over(bounds)).withColumn("high", F.max("high").over(bounds))
     return _ranked(out, F.desc("cosine"), F.asc("id")).where(F.col("rank") <= k).drop("rank")
