@@ -96,50 +96,67 @@ def _ranked(df: DataFrame, *order: Column, out: str = "rank") -> DataFrame:
 
 
 def scored_pairs(queries: DataFrame, units: DataFrame) -> DataFrame:
-    """(query_id, id, bm25, overlap, asked, held, phrase): every unit that BM25 finds, with its shared tokens.
+    """(query_id, id, bm25, overlap, asked, held): every unit that BM25 finds, with its shared tokens and both token counts; written out, as all rankings read it.
 
     Shared tokens are counted by a join on tokens, not by comparing sets pair by pair. A query of stopwords only is searched by all its tokens and has
-    no shared ones.
+    no shared ones. Both sides of the last join are already parted by (query_id, id).
     """
-    q = queries.select("query_id", "query", query_tokens("query").alias("terms"), tokens("query").alias("content"))
-    u = units.select("id", "heading", "text", tokens("text").alias("own"))
-    found = bm25(q, postings(units), units)
-    shared = q.select("query_id", F.explode("content").alias("k")).join(u.select("id", F.explode("own").alias("k")), "k").groupBy("query_id", "id").agg(F.count("*").alias("overlap"))
-    full = found.join(shared, ["query_id", "id"], "left").join(q.select("query_id", F.size("content").alias("asked"), F.lower("query").alias("low")), "query_id").join(u.select("id", F.size("own").alias("held"), F.lower("text").alias("body")), "id")
-    return full.select("query_id", "id", "bm25", F.coalesce("overlap", F.lit(0)).alias("overlap"), "asked", "held", F.contains("body", "low").cast("int").alias("phrase"))
+    q = queries.select("query_id", query_tokens("query").alias("terms"), tokens("query").alias("content"))
+    u = units.select("id", tokens("text").alias("own"))
+    found = bm25(q, materialize(postings(units)), units)
+    shared = q.select("query_id", F.explode("content").alias("k")).join(u.select("id", F.size("own").alias("held"), F.explode("own").alias("k")), "k").groupBy("query_id", "id").agg(F.count("*").alias("overlap"), F.max("held").alias("held"))
+    full = found.join(shared, ["query_id", "id"], "left").join(q.select("query_id", F.size("content").alias("asked")), "query_id")
+    return materialize(full.select("query_id", "id", "bm25", F.coalesce("overlap", F.lit(0)).alias("overlap"), "asked", F.coalesce("held", F.lit(0)).alias("held")))
 
 
-def lexical_rows(pairs: DataFrame) -> DataFrame:
-    """(query_id, id, lexical, bm25, rank): units that share enough tokens, scored and ranked."""
+def lexical_rows(pairs: DataFrame, queries: DataFrame, units: DataFrame) -> DataFrame:
+    """(query_id, id, lexical, bm25, rank): units that share enough tokens, scored and ranked.
+
+    Texts are looked at for the whole query only in the rows that are kept.
+    """
     best = pairs.groupBy("query_id").agg(F.max("overlap").alias("best"))
     need = F.least("best", F.greatest(F.lit(1), F.ceil(F.col("asked") * 0.6)))
-    kept = pairs.join(best, "query_id").where((F.col("asked") == 0) | (F.col("overlap") >= need)).withColumn("_b", -F.col("bm25"))
-    scaled = min_max(min_max(kept, ["query_id"], "_b", "b"), ["query_id"], "overlap", "o")
+    kept = pairs.join(best, "query_id").where((F.col("asked") == 0) | (F.col("overlap") >= need))
+    found = kept.join(queries.select("query_id", F.lower("query").alias("low")), "query_id").join(units.select("id", F.lower("text").alias("body")), "id")
+    kept = found.select("query_id", "id", "bm25", (-F.col("bm25")).alias("b"), "overlap", F.contains("body", "low").cast("int").alias("phrase"))
+    bounds = kept.groupBy("query_id").agg(*[f(c).alias(f"{n}_{c}") for c in ("b", "overlap") for n, f in (("low", F.min), ("high", F.max))])
+    scale = lambda c: F.when(F.col(f"high_{c}") - F.col(f"low_{c}") < 1e-12, 1.0).otherwise((F.col(c) - F.col(f"low_{c}")) / (F.col(f"high_{c}") - F.col(f"low_{c}")))
     a, b, c = LEXICAL_SHARES
-    rows = scaled.select("query_id", "id", F.round(a * F.col("b") + b * F.col("o") + c * F.col("phrase"), 6).alias("lexical"), F.round("bm25", 6).alias("bm25"))
+    rows = kept.join(bounds, "query_id").select("query_id", "id", F.round(a * scale("b") + b * scale("overlap") + c * F.col("phrase"), 6).alias("lexical"), F.round("bm25", 6).alias("bm25"))
     return _ranked(rows, F.desc("lexical"), F.asc("bm25"), F.asc("id"))
 
 
-def semantic_rows(pairs: DataFrame) -> DataFrame:
-    """(query_id, id, semantic, reranker, relevance, rank): similarity of token sets, reranked by coverage inside the pool."""
+def semantic_rows(pairs: DataFrame, keep: DataFrame | None = None) -> DataFrame:
+    """(query_id, id, semantic, reranker, relevance, rank): similarity of token sets, reranked by coverage inside the pool.
+
+    With ``keep``, only the pool and the rows of keep (query_id, id) outside it are given, the latter ranked behind the pool in their order: what lies
+    outside has no reranker score and so never comes before the pool. The pool is then cut in every task before rows are exchanged.
+    """
     near = pairs.where("overlap > 0").select("query_id", "id", (F.col("overlap") / F.greatest(F.col("asked") + F.col("held") - F.col("overlap"), F.lit(1))).alias("j"), (F.col("overlap") / F.greatest("asked", F.lit(1))).alias("c"))
     scaled = min_max(near, ["query_id"], "j", "s").select("query_id", "id", F.round("s", 6).alias("semantic"), "c")
     pool = _ranked(scaled, F.desc("semantic"), F.asc("id"), out="p")
     w = Window.partitionBy("query_id")
-    inside = F.when(F.col("p") <= WINDOW, F.col("c"))
-    low, high = F.min(inside).over(w), F.max(inside).over(w)
-    rows = pool.withColumn("reranker", F.when(F.col("p") <= WINDOW, F.round(F.when(high - low < 1e-12, 1.0).otherwise((F.col("c") - low) / (high - low)), 6)).otherwise(0.0))
-    rows = rows.select("query_id", "id", "semantic", "reranker", F.round(RELEVANCE_SHARES[0] * F.col("semantic") + RELEVANCE_SHARES[1] * F.col("reranker"), 6).alias("relevance"))
-    return _ranked(rows, F.desc("relevance"), F.desc("reranker"), F.asc("id"))
-
-
-def _pairs(spark, sf_dir: str) -> DataFrame:
-    return scored_pairs(title_queries(spark, sf_dir), chunk_units(spark, sf_dir))
-
-
-def _lists(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    pairs = materialize(_pairs(spark, sf_dir))
-    return lexical_rows(pairs), semantic_rows(pairs)
+    inside = F.col("p") <= WINDOW
+    if keep is not None:
+        pool = pool.where(inside)
+    held = F.when(inside, F.col("c"))
+    low, high = F.min(held).over(w), F.max(held).over(w)
+    rows = pool.withColumn("reranker", F.when(inside, F.round(F.when(high - low < 1e-12, 1.0).otherwise((F.col("c") - low) / (high - low)), 6)).otherwise(0.0))
+    relevance = F.round(RELEVANCE_SHARES[0] * F.col("semantic") + RELEVANCE_SHARES[1] * F.col("reranker"), 6).alias("relevance")
+    rows = _ranked(rows.select("query_id", "id", "semantic", "reranker", relevance), F.desc("relevance"), F.desc("reranker"), F.asc("id"))
+    if keep is None:
+        return rows
+    rest = scaled.join(keep.select("query_id", "id"), ["query_id", "id"], "left_semi").join(pool.select("query_id", "id"), ["query_id", "id"], "left_anti").withColumn("reranker", F.lit(0.0))
+    rest = _ranked(rest.select("query_id", "id", "semantic", "reranker", relevance), F.desc("semantic"), F.asc("id"))
+    return rows.unionByName(rest.withColumn("rank", F.col("rank") + WINDOW))
+
+
+def _lists(spark, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The lexical and the semantic list of every query; the latter whole, or with what a ranking's top can need."""
+    queries, units = title_queries(spark, sf_dir), chunk_units(spark, sf_dir)
+    pairs = scored_pairs(queries, units)
+    lexical = materialize(lexical_rows(pairs, queries, units))
+    return lexical, materialize(semantic_rows(pairs, None if whole else lexical))
 
 
 @query("text_tokens", f"SELECT doc_id, list_sort(list_filter(list_distinct(regexp_extract_all(lower(text), '[a-z0-9_]+')), lambda x: x NOT IN {_STOP})) AS tokens FROM documents")
@@ -153,7 +170,7 @@ def lex_bm25(spark, sf_dir):
     """BM25 of every unit for every query, stopword-only queries by all their words."""
     units = chunk_units(spark, sf_dir)
     q = title_queries(spark, sf_dir).select("query_id", query_tokens("query").alias("terms"))
-    return bm25(q, postings(units), units).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
+    return bm25(q, materialize(postings(units)), units).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
 
 
 @query("lex_bm25_scoped", f"WITH {_UNITS_SQL} SELECT query_id, id, round(bm25, 6) AS bm25 FROM scored WHERE id IN (SELECT trim(chunk_uid, {_WS}) FROM core_docs_chunk_metadata WHERE item_kind = 'struct')")
@@ -162,19 +179,22 @@ def lex_bm25_scoped(spark, sf_dir):
     units = chunk_units(spark, sf_dir)
     scope = table(spark, sf_dir, "core_docs_chunk_metadata", "chunk_uid", "item_kind").where("item_kind = 'struct'").select(id_or_null("chunk_uid").alias("id"))
     q = title_queries(spark, sf_dir).select("query_id", query_tokens("query").alias("terms"))
-    return bm25(q, postings(units), units, scope).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
+    return bm25(q, materialize(postings(units)), units, scope).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
 
 
 @query("lex_scored_topk", f"WITH {_PAIRS_SQL} SELECT query_id, id, lexical, bm25, rank FROM lex WHERE rank <= {TOP_K}")
 def lex_scored_topk(spark, sf_dir):
     """The ten best units of each query, lexically."""
-    return lexical_rows(_pairs(spark, sf_dir)).where(F.col("rank") <= TOP_K)
+    queries, units = title_queries(spark, sf_dir), chunk_units(spark, sf_dir)
+    return lexical_rows(scored_pairs(queries, units), queries, units).where(F.col("rank") <= TOP_K)
 
 
 @query("sem_reranked", f"WITH {_PAIRS_SQL} SELECT * FROM sem WHERE rank <= {TOP_K}")
 def sem_reranked(spark, sf_dir):
     """The ten best units of each query by similarity and reranking."""
-    return semantic_rows(_pairs(spark, sf_dir)).where(F.col("rank") <= TOP_K)
+    queries, units = title_queries(spark, sf_dir), chunk_units(spark, sf_dir)
+    pairs = scored_pairs(queries, units)
+    return semantic_rows(pairs, pairs.limit(0)).where(F.col("rank") <= TOP_K)
 
 
 def hybrid(lexical: DataFrame, semantic: DataFrame) -> DataFrame:
@@ -238,7 +258,7 @@ def rrf(spark, sf_dir):
 @query("fuse_rrf_histogram", f"WITH {_RRF_SQL} SELECT lists, count(*) AS n FROM rrf GROUP BY 1")
 def rrf_histogram(spark, sf_dir):
     """How many rows each number of lists contributed to."""
-    return fuse_rrf(hybrid(*_lists(spark, sf_dir))).groupBy("lists").agg(F.count("*").alias("n"))
+    return fuse_rrf(hybrid(*_lists(spark, sf_dir, whole=True))).groupBy("lists").agg(F.count("*").alias("n"))
 
 
 def fuse_modes(modes: dict[str, DataFrame], anchors: DataFrame, k: int = RRF_K, window: int = WINDOW, top_n: int = TOP_K, cap: int = 2) -> DataFrame:
@@ -267,7 +287,7 @@ def fuse_modes(modes: dict[str, DataFrame], anchors: DataFrame, k: int = RRF_K,
 SELECT query_id, id, fused, coverage, row_number() OVER (PARTITION BY query_id ORDER BY fused DESC, coverage DESC, best_rank, id) AS rank FROM c QUALIFY rank <= {TOP_K}""")
 def writer_anchor_cap(spark, sf_dir):
     """Three modes fused for a writer, two rows a section at most."""
-    lex, sem = _lists(spark, sf_dir)
+    lex, sem = _lists(spark, sf_dir, whole=True)
     both = fuse_rrf(hybrid(lex, sem))
     modes = {"lexical": lex.withColumn("score", F.col("lexical")), "semantic": sem.withColumn("score", F.col("relevance")), "hybrid": both.withColumn("score", F.col("rrf"))}
     return fuse_modes(modes, chunk_units(spark, sf_dir).select("id", F.col("heading").alias("anchor")))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.cleaning import epoch_micros, strip, utc_text
 from quarryline.operators import history
+from quarryline.plans.stages import materialize
 
 SCHEMA = "entity string, at string, d timestamp_ntz, a string, b string"
 
@@ -33,8 +34,8 @@ def brute(rows):
 
 
 def versions(df, hot):
-    log = history.attribute_log(history.observed_states(df, "entity", "at", "d", {"a": strip("a"), "b": F.lower(strip("b"))}), ["a", "b"], hot)
-    v = history.combine_logs(log, ["a", "b"], hot)
+    log = history.attribute_log(materialize(history.observed_states(df, "entity", "at", "d", {"a": strip("a"), "b": F.lower(strip("b"))})), ["a", "b"], hot)
+    v = history.combine_logs(materialize(log), ["a", "b"], hot)
     return sorted(tuple(r) for r in v.select("entity", utc_text("valid_from"), F.coalesce(utc_text("valid_to"), F.lit("")), "a", "b").collect())
 
 
