@@ -43,29 +43,56 @@ def title_queries(spark, sf_dir: str) -> DataFrame:
     return r.groupBy("query_id").agg(F.coalesce(F.max("title"), F.lit("")).alias("query"))
 
 
-def postings(units: DataFrame) -> DataFrame:
-    """(id, term, tf, dl): terms of heading and text with their counts and the unit's length; written tables are best bucketed by term."""
+def _entries(units: DataFrame, with_tokens: bool) -> DataFrame:
+    """(id, kind, term, tf, dl, held): what a unit is found by: index terms (kind 0) of heading and text and, if wanted, the distinct tokens (1) of its text.
+
+    Units are parted by id once; everything that is grouped by id later, alone or with the query, needs no further exchange.
+    """
+    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = F.regexp_extract_all(F.lower(F.concat_ws(" ", "heading", "text")), F.lit("[a-z0-9]+"), F.lit(0))
-    rows = units.select("id", words.alias("w")).select("id", F.size("w").alias("dl"), F.explode("w").alias("term"))
-    return rows.groupBy("id", "term").agg(F.count("*").alias("tf"), F.max("dl").alias("dl"))
+    own = tokens("text") if with_tokens else F.array().cast("array<string>")
+    base = units.repartition(parts, "id").select("id", words.alias("w"), own.alias("own"))
+    items = F.concat(F.transform("w", lambda x: F.struct(F.lit(0).alias("kind"), x.alias("term"))), F.transform("own", lambda x: F.struct(F.lit(1).alias("kind"), x.alias("term"))))
+    rows = base.select("id", F.size("w").alias("dl"), F.size("own").alias("held"), F.explode(items).alias("e")).select("id", "dl", "held", "e.kind", "e.term")
+    return rows.groupBy("id", "kind", "term").agg(F.count("*").alias("tf"), F.max("dl").alias("dl"), F.max("held").alias("held"))
+
+
+def postings(units: DataFrame) -> DataFrame:
+    """(id, term, tf, dl): terms of heading and text with their counts and the unit's length."""
+    return _entries(units, False).drop("kind", "held")
+
+
+#: The most bytes of query terms that are sent to every task; more are joined by exchange.
+BROADCAST_BYTES = 64_000_000
+
+
+def _sized(df: DataFrame, row_bytes: int = 100) -> DataFrame:
+    """df, written and counted: sent to every task if that is within bounds, else left to a join by exchange."""
+    df = materialize(df)
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def term_weights(asked: DataFrame, index: DataFrame, units: DataFrame) -> DataFrame:
+    """(query_id, term, idf, mean_dl) of the queries' terms (query_id, term), from the whole index; a term in more than half of the units weighs 1e-6."""
+    stats = units.select(F.size(F.regexp_extract_all(F.lower(F.concat_ws(" ", "heading", "text")), F.lit("[a-z0-9]+"), F.lit(0))).alias("dl")).agg(F.count("*").alias("units"), F.avg("dl").alias("mean_dl"))
+    df = index.groupBy("term").agg(F.count("*").alias("n"))
+    raw = F.log((F.col("units") - F.col("n") + 0.5) / (F.col("n") + 0.5))
+    return asked.join(df, "term").crossJoin(F.broadcast(stats)).select("query_id", "term", F.when(raw > 0, raw).otherwise(1e-6).alias("idf"), "mean_dl")
+
+
+_PART = f"idf * tf * {K1 + 1}D / (tf + {K1}D * ({1 - B}D + {B}D * dl / mean_dl))"  # doubles, not decimals
 
 
 def bm25(queries: DataFrame, index: DataFrame, units: DataFrame, scope: DataFrame | None = None) -> DataFrame:
     """(query_id, id, bm25): the smaller, the better; all units that share a term with the query.
 
     queries: (query_id, terms). Weights of terms always come from the whole index; a scope, a frame of ids, only restricts which units are
-    scored, and an empty one gives no rows. A term in more than half of the units weighs 1e-6. The statistics are one row.
+    scored, and an empty one gives no rows. The statistics are one row. Queries go to the postings, which stay parted by id.
     """
-    stats = units.select(F.size(F.regexp_extract_all(F.lower(F.concat_ws(" ", "heading", "text")), F.lit("[a-z0-9]+"), F.lit(0))).alias("dl")).agg(F.count("*").alias("units"), F.avg("dl").alias("mean_dl"))
-    df = index.groupBy("term").agg(F.count("*").alias("n"))
-    asked = queries.select("query_id", F.explode("terms").alias("term")).distinct()
-    weighed = asked.join(df, "term").crossJoin(F.broadcast(stats))
-    raw = F.log((F.col("units") - F.col("n") + 0.5) / (F.col("n") + 0.5))
-    weighed = weighed.select("query_id", "term", F.when(raw > 0, raw).otherwise(1e-6).alias("idf"), "mean_dl")
+    weighed = _sized(term_weights(queries.select("query_id", F.explode("terms").alias("term")).distinct(), index, units))
     if scope is not None:
         index = index.join(scope.select("id").distinct(), "id", "left_semi")
-    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("mean_dl")))
-    return index.join(weighed, "term").groupBy("query_id", "id").agg((-F.sum(part)).alias("bm25"))
+    return index.join(weighed, "term").groupBy("id", "query_id").agg((-F.sum(F.expr(_PART))).alias("bm25")).select("query_id", "id", "bm25")
 
 
 _UNITS_SQL = f"""units AS (SELECT trim(chunk_uid, {_WS}) AS id, coalesce(max(section_id), '') AS heading, coalesce(max(clean_text), '') AS text FROM chunks WHERE trim(chunk_uid, {_WS}) <> '' GROUP BY 1),
@@ -98,15 +125,19 @@ def _ranked(df: DataFrame, *order: Column, out: str = "rank") -> DataFrame:
 def scored_pairs(queries: DataFrame, units: DataFrame) -> DataFrame:
     """(query_id, id, bm25, overlap, asked, held): every unit that BM25 finds, with its shared tokens and both token counts; written out, as all rankings read it.
 
-    Shared tokens are counted by a join on tokens, not by comparing sets pair by pair. A query of stopwords only is searched by all its tokens and has
-    no shared ones. Both sides of the last join are already parted by (query_id, id).
+    Terms and tokens are met in one join and counted in one aggregation, which needs no exchange as the units are parted by id. A query of stopwords
+    only is searched by all its tokens and has no shared ones.
     """
     q = queries.select("query_id", query_tokens("query").alias("terms"), tokens("query").alias("content"))
-    u = units.select("id", tokens("text").alias("own"))
-    found = bm25(q, materialize(postings(units)), units)
-    shared = q.select("query_id", F.explode("content").alias("k")).join(u.select("id", F.size("own").alias("held"), F.explode("own").alias("k")), "k").groupBy("query_id", "id").agg(F.count("*").alias("overlap"), F.max("held").alias("held"))
-    full = found.join(shared, ["query_id", "id"], "left").join(q.select("query_id", F.size("content").alias("asked")), "query_id")
-    return materialize(full.select("query_id", "id", "bm25", F.coalesce("overlap", F.lit(0)).alias("overlap"), "asked", F.coalesce("held", F.lit(0)).alias("held")))
+    both = _entries(units, True)
+    weighed = term_weights(q.select("query_id", F.explode("terms").alias("term")).distinct(), both.where("kind = 0"), units)
+    asked = q.select("query_id", F.explode("content").alias("term"))
+    sides = weighed.select("query_id", F.lit(0).alias("kind"), "term", "idf", "mean_dl").unionByName(asked.select("query_id", F.lit(1).alias("kind"), "term", F.lit(0.0).alias("idf"), F.lit(1.0).alias("mean_dl")))
+    hits = both.join(_sized(sides), ["kind", "term"]).groupBy("id", "query_id")
+    part = F.when(F.col("kind") == 0, F.expr(_PART))
+    found = hits.agg((-F.sum(part)).alias("bm25"), F.count_if(F.col("kind") == 1).alias("overlap"), F.max("held").alias("held")).where("bm25 IS NOT NULL")
+    sizes = _sized(q.select("query_id", F.size("content").alias("asked")))
+    return materialize(found.join(sizes, "query_id").select("query_id", "id", "bm25", "overlap", "asked", "held"))
 
 
 def lexical_rows(pairs: DataFrame, queries: DataFrame, units: DataFrame) -> DataFrame:
@@ -170,7 +201,7 @@ def lex_bm25(spark, sf_dir):
     """BM25 of every unit for every query, stopword-only queries by all their words."""
     units = chunk_units(spark, sf_dir)
     q = title_queries(spark, sf_dir).select("query_id", query_tokens("query").alias("terms"))
-    return bm25(q, materialize(postings(units)), units).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
+    return bm25(q, postings(units), units).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
 
 
 @query("lex_bm25_scoped", f"WITH {_UNITS_SQL} SELECT query_id, id, round(bm25, 6) AS bm25 FROM scored WHERE id IN (SELECT trim(chunk_uid, {_WS}) FROM core_docs_chunk_metadata WHERE item_kind = 'struct')")
@@ -179,7 +210,7 @@ def lex_bm25_scoped(spark, sf_dir):
     units = chunk_units(spark, sf_dir)
     scope = table(spark, sf_dir, "core_docs_chunk_metadata", "chunk_uid", "item_kind").where("item_kind = 'struct'").select(id_or_null("chunk_uid").alias("id"))
     q = title_queries(spark, sf_dir).select("query_id", query_tokens("query").alias("terms"))
-    return bm25(q, materialize(postings(units)), units, scope).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
+    return bm25(q, postings(units), units, scope).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
 
 
 @query("lex_scored_topk", f"WITH {_PAIRS_SQL} SELECT query_id, id, lexical, bm25, rank FROM lex WHERE rank <= {TOP_K}")
