@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from quarryline.operators.nested import KINDS
+
 WS = r"E' \t\r\n'"
 
 
@@ -112,26 +114,34 @@ def _plain(expr: str) -> str:
     return f"CASE WHEN json_type({expr}) = 'VARCHAR' AND json_valid({text}) AND regexp_matches({text}, '^[ \\t\\r\\n]*[\\[{{]') THEN cast({text} AS JSON) ELSE {expr} END"
 
 
-P1_FOUND = f"""WITH RECURSIVE raw AS (
+_P1_NODES = f"""WITH RECURSIVE raw AS (
     SELECT 'guideline_fls_resolution_candidates' AS source_table, concat_ws('|', {trim('audit_run_id')}, {trim('guideline_id')}, candidate_rank, {trim('paragraph_id')}) AS row_key, evidence_json AS j, false AS listed FROM guideline_fls_resolution_candidates
     UNION ALL SELECT 'guideline_records', {trim('guideline_id')}, metadata_json, false FROM guideline_records
     UNION ALL SELECT 'ws7_mapping_cleanup_tasks', concat_ws('|', {trim('run_id')}, {trim('source_id')}), nearest_candidate_paragraphs_json, true FROM ws7_mapping_cleanup_tasks),
   roots AS (SELECT source_table, row_key, listed, cast(j AS JSON) AS j FROM raw WHERE json_valid(j)),
   node AS (
-    SELECT source_table, row_key, '' AS path, listed, {_plain('j')} AS v, false AS element FROM roots
+    SELECT source_table, row_key, '' AS path, listed, {_plain('j')} AS v, -1 AS position, '' AS owner, '' AS label FROM roots
     UNION ALL
-    SELECT source_table, row_key, path || step, listed, v, element FROM (
+    SELECT source_table, row_key, path || step, listed, v, position, owner, label FROM (
       SELECT n.source_table, n.row_key, n.path,
         CASE WHEN n.wrapped THEN '[0]' WHEN json_type(n.v) = 'ARRAY' THEN '[' || e.key || ']' WHEN n.path = '' THEN e.key ELSE '.' || e.key END AS step,
         CASE WHEN n.wrapped OR json_type(n.v) = 'ARRAY' THEN false ELSE e.key IN {_ARRAY_NAMES} END AS listed,
-        CASE WHEN n.wrapped THEN n.v ELSE {_plain('e.value')} END AS v, n.wrapped OR json_type(n.v) = 'ARRAY' AS element
-      FROM (SELECT *, listed AND json_type(v) = 'OBJECT' AS wrapped FROM node) n, json_each(CASE WHEN n.wrapped THEN '[0]' WHEN json_type(n.v) IN ('OBJECT', 'ARRAY') THEN n.v ELSE '[]' END) e))
-SELECT DISTINCT source_table, row_key, path AS node_path FROM node WHERE element AND json_type(v) = 'OBJECT'"""
+        CASE WHEN n.wrapped THEN n.v ELSE {_plain('e.value')} END AS v, CASE WHEN n.wrapped THEN 0 WHEN json_type(n.v) = 'ARRAY' THEN cast(e.key AS INT) ELSE -1 END AS position,
+        CASE WHEN n.wrapped OR json_type(n.v) = 'ARRAY' THEN n.owner ELSE n.path END AS owner, CASE WHEN n.wrapped OR json_type(n.v) = 'ARRAY' THEN n.label ELSE e.key END AS label
+      FROM (SELECT *, listed AND json_type(v) = 'OBJECT' AS wrapped FROM node) n, json_each(CASE WHEN n.wrapped THEN '[0]' WHEN json_type(n.v) IN ('OBJECT', 'ARRAY') THEN n.v ELSE '[]' END) e))"""
+P1_FOUND = f"{_P1_NODES} SELECT DISTINCT source_table, row_key, path AS node_path FROM node WHERE position >= 0 AND json_type(v) = 'OBJECT'"
+
+
+def p1_table(kind: str, columns: tuple[str, ...]) -> str:
+    """One kind of object as a flat table."""
+    scalars = ", ".join(f"v ->> '$.{c}' AS \"{c}\"" for c in columns)
+    return f"{_P1_NODES} SELECT DISTINCT source_table, row_key, path AS node_path, owner AS parent_path, position, {scalars} FROM node WHERE position >= 0 AND json_type(v) = 'OBJECT' AND label = '{kind}'"
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": P1_FOUND,
+        **{f"p1_table_{kind or 'nearest'}": p1_table(kind, columns) for kind, columns in KINDS.items()},
         "p3_found": f"{_VERSIONS} FROM starts",
         "p3_versions": f"{_VERSIONS}, effective_fls_id, resolution_status FROM starts",
         "p3_attribute_log": P3_LOG,
