@@ -75,6 +75,11 @@ def carry(df: DataFrame, key: list[str], order: str, values: dict[str, str], buc
     return out.drop("_rn", *[f"_e_{new}" for new in values])
 
 
+def salts_for(rows: int, part_rows: int = 100_000) -> int:
+    """How many salts, a power of two and 256 at least, keep the parts of a key of so many rows near ``part_rows``."""
+    return max(256, 1 << max(0, -(-rows // part_rows) - 1).bit_length())
+
+
 def rank_in_key(df: DataFrame, key: list[str], order: list[str], salts: int = 256, out: str = "rank") -> DataFrame:
     """Adds the zero-based rank of a row within its key by a seeded hash of ``order``, which must be unique.
 
