@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.cleaning import strip
 from quarryline.llm.tokens import token_counts
-from quarryline.plans.stages import materialize, rank_in_key, table
+from quarryline.plans.stages import materialize, rank_in_key, salts_for, table
 
 #: The rest of a budget that dynamic programming fits exactly; what is more is first taken in proportion.
 REST = 65_536
@@ -103,7 +103,7 @@ def mix(sized: DataFrame, targets: DataFrame, total: int | None = None, seed: in
     spark = sized.sparkSession
     rows = [(s, length, plans[s].laps, plans[s].extra.get(length, 0)) for s in counts for length in counts[s]]
     plan = spark.createDataFrame(rows, "source string, n_tokens long, laps long, extra long")  # a row a source and length
-    ranked = rank_in_key(listed.withColumn("_seed", F.lit(seed)), ["source", "n_tokens"], ["_seed", "doc_id"])
+    ranked = rank_in_key(listed.withColumn("_seed", F.lit(seed)), ["source", "n_tokens"], ["_seed", "doc_id"], salts_for(max((n for c in counts.values() for n in c.values()), default=0)))
     used = ranked.join(plan, ["source", "n_tokens"]).withColumn("uses", (F.col("laps") + F.when(F.col("rank") < F.col("extra"), 1).otherwise(0)).cast("int"))
     return used.where("uses > 0").select("doc_id", "source", "n_tokens", "uses"), plans, wanted
 

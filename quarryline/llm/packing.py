@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.tokens import token_counts
-from quarryline.plans.stages import materialize, rank_in_key, table
+from quarryline.plans.stages import materialize, rank_in_key, salts_for, table
 
 #: Tokens of a container, the context sizes that documents are routed to, and containers of a training step.
 CAPACITY, TIERS, STEP = 2048, (256, 512, 1024, 2048), 64
@@ -120,7 +120,7 @@ def pack(sized: DataFrame, capacity: int = CAPACITY, tiers: tuple[int, ...] = TI
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "piece_no", "token_start", "n_tokens")], pa.array(s[:, 5].astype(np.int32)), pa.array(container), pa.array(offset.astype(np.int32)), pa.array(group)], names=names)
 
     names = ["doc_id", "piece_no", "token_start", "n_tokens", "tier", "container_id", "container_offset", "step_group"]
-    ranked = rank_in_key(pieces.where("n_tokens > 0"), ["n_tokens"], ["doc_id", "piece_no"]).select("doc_id", "piece_no", "token_start", "n_tokens", F.col("rank").cast("long").alias("rank"))
+    ranked = rank_in_key(pieces.where("n_tokens > 0"), ["n_tokens"], ["doc_id", "piece_no"], salts_for(max(counts.values(), default=0))).select("doc_id", "piece_no", "token_start", "n_tokens", F.col("rank").cast("long").alias("rank"))
     schema = f"doc_id {dict(sized.dtypes)['doc_id']}, piece_no int, token_start long, n_tokens long, tier int, container_id long, container_offset int, step_group long"
     placed = ranked.mapInArrow(place, schema) if len(seg) else sized.sparkSession.createDataFrame([], schema)
     empty = pieces.where("n_tokens = 0").selectExpr("doc_id", "piece_no", "token_start", "n_tokens", "cast(null AS int) AS tier", "cast(null AS long) AS container_id", "cast(null AS int) AS container_offset", "cast(null AS long) AS step_group")
