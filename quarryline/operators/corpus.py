@@ -13,6 +13,7 @@ from quarryline.functions.cleaning import strip
 from quarryline.functions.text import MARKUP, SENTENCE_GAP, STATEMENT_TYPES, clean_markup, jaccard, raw_tokens, sentences, slug, statement_type
 from quarryline.operators.relational import full_outer_delta
 from quarryline.plans.catalog import query
+from quarryline.plans.provenance import identities
 from quarryline.plans.stages import table
 
 _WS = r"E' \t\r\n'"
@@ -405,13 +406,13 @@ _ROLES = "dt|t|ds|s|std|p"
 
 
 @query("role_token_sets", rf"""WITH p AS (SELECT DISTINCT section_id, unnest(regexp_extract_all(raw_text, ':(?:{_ROLES}):`[^`]*`')) AS r FROM paragraphs WHERE retrieval_eligible = 1), x AS (SELECT section_id, regexp_extract(r, '^:([a-z]+):', 1) AS role, regexp_extract(r, '`([^`<]*)', 1) AS t FROM p)
-SELECT section_id, role, list_sort(list_distinct(flatten(list(regexp_extract_all(lower(t), '[a-z0-9_]+'))))) AS tokens FROM x GROUP BY 1, 2""")
+SELECT section_id, role, array_to_string(list_sort(list_distinct(flatten(list(regexp_extract_all(lower(t), '[a-z0-9_]+'))))), ' ') AS tokens FROM x GROUP BY 1, 2""")
 def role_token_sets(spark, sf_dir):
     """The tokens that inline roles name, per section and role, from eligible paragraphs."""
     p = table(spark, sf_dir, "paragraphs", "section_id", "raw_text", "retrieval_eligible").where("retrieval_eligible = 1")
     rows = p.select("section_id", F.explode(F.regexp_extract_all("raw_text", F.lit(f":(?:{_ROLES}):`[^`]*`"), F.lit(0))).alias("r"))
     words = rows.select("section_id", F.regexp_extract("r", "^:([a-z]+):", 1).alias("role"), raw_tokens(F.regexp_extract("r", "`([^`<]*)", 1)).alias("w"))
-    return words.groupBy("section_id", "role").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("w")))).alias("tokens"))
+    return words.groupBy("section_id", "role").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("w")))), " ").alias("tokens"))
 
 
 @query("std_path_lookup", "SELECT list_last(string_split(trim(item_path), '::')) AS short_name, min(trim(item_path)) AS path FROM core_docs_chunk_metadata WHERE item_path IS NOT NULL GROUP BY 1")
@@ -419,3 +420,9 @@ def std_path_lookup(spark, sf_dir):
     """The first path of each short name."""
     path = F.trim("item_path")
     return table(spark, sf_dir, "core_docs_chunk_metadata", "item_path").where("item_path IS NOT NULL").groupBy(F.element_at(F.split(path, "::"), -1).alias("short_name")).agg(F.min(path).alias("path"))
+
+
+@query("corpus_identity", """WITH h AS (SELECT corpus, sha256(coalesce(document_id, '') || '|' || coalesce(content_sha256, '')) AS h FROM source_inventory_documents) SELECT corpus, count(*) AS n, sum(cast('0x' || substr(h, 1, 8) AS BIGINT)) || '-' || sum(cast('0x' || substr(h, 9, 8) AS BIGINT)) AS identity FROM h GROUP BY 1""")
+def corpus_identity(spark, sf_dir):
+    """Count and digest of each corpus's inventory, to be compared before and after another's refresh."""
+    return identities(table(spark, sf_dir, "source_inventory_documents", "corpus", "document_id", "content_sha256"), "corpus", "document_id", "content_sha256")

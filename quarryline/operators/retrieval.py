@@ -190,10 +190,10 @@ def _lists(spark, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFram
     return lexical, materialize(semantic_rows(pairs, None if whole else lexical))
 
 
-@query("text_tokens", f"SELECT doc_id, list_sort(list_filter(list_distinct(regexp_extract_all(lower(text), '[a-z0-9_]+')), lambda x: x NOT IN {_STOP})) AS tokens FROM documents")
+@query("text_tokens", f"SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(lower(text), '[a-z0-9_]+')), lambda x: x NOT IN {_STOP})), ' ') AS tokens FROM documents")
 def text_tokens(spark, sf_dir):
     """the distinct tokens of each document, sorted."""
-    return table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.array_sort(tokens("text")).alias("tokens"))
+    return table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.array_join(F.array_sort(tokens("text")), " ").alias("tokens"))
 
 
 @query("lex_bm25", f"WITH {_UNITS_SQL} SELECT query_id, id, round(bm25, 6) AS bm25 FROM scored")
@@ -598,3 +598,28 @@ def ir_gates(spark, sf_dir):
     means = _cases(spark, sf_dir).groupBy("mode").agg(*[F.avg(c).alias(c) for c in GATES])
     rows = F.array(*[F.struct(F.lit(g).alias("gate"), F.round(F.col(g), 6).alias("value"), F.lit(least).alias("least"), (F.col(g) >= least).alias("passed")) for g, least in GATES.items()])
     return means.select("mode", F.inline(rows))
+
+
+#: Kinds of API items that a query may ask for by name.
+KIND_HINTS = ("struct", "enum", "trait", "function", "module", "macro", "constant")
+
+
+def hinted_order(top: DataFrame, kinds: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, id, boost, place): a list that is already cut, put in order again: units of a kind that the original query names come first, each part in its old order.
+
+    top: (query_id, id, rank); kinds: (id, kind), one row an id; units without a kind keep their places behind.
+    """
+    asked = queries.select("query_id", F.regexp_extract_all(F.lower("query"), F.lit("[a-z0-9_]+"), F.lit(0)).alias("words"))
+    rows = top.join(kinds, "id", "left").join(asked, "query_id")
+    hit = F.coalesce(F.col("kind").isin(*KIND_HINTS) & F.array_contains("words", F.col("kind")), F.lit(False)).cast("int")
+    return _ranked(rows.withColumn("boost", hit), F.desc("boost"), F.asc("rank"), out="place").select("query_id", "id", "boost", "place")
+
+
+@query("hinted_order", f"""WITH {_PAIRS_SQL}, k AS (SELECT trim(chunk_uid, {_WS}) AS id, max(item_kind) AS kind FROM core_docs_chunk_metadata GROUP BY 1), t AS (SELECT l.query_id, l.id, l.rank, coalesce(k.kind IN ('struct', 'enum', 'trait', 'function', 'module', 'macro', 'constant') AND list_contains(regexp_extract_all(lower(q.query), '[a-z0-9_]+'), k.kind), false)::INT AS boost
+  FROM lex l JOIN queries q ON q.query_id = l.query_id LEFT JOIN k ON k.id = l.id WHERE l.rank <= {TOP_K}) SELECT query_id, id, boost, row_number() OVER (PARTITION BY query_id ORDER BY boost DESC, rank) AS place FROM t""")
+def hinted(spark, sf_dir):
+    """The lexical top ten with the kinds that the query names first."""
+    queries, units = title_queries(spark, sf_dir), chunk_units(spark, sf_dir)
+    top = lexical_rows(scored_pairs(queries, units), queries, units).where(F.col("rank") <= TOP_K)
+    kinds = table(spark, sf_dir, "core_docs_chunk_metadata", "chunk_uid", "item_kind").groupBy(id_or_null("chunk_uid").alias("id")).agg(F.max("item_kind").alias("kind"))
+    return hinted_order(top, kinds, queries)
