@@ -246,19 +246,21 @@ def _taxonomy(spark) -> DataFrame:
 def evidence(parts: DataFrame, lines: DataFrame) -> DataFrame:
     """(mechanism_id, section_id, statement_id, excerpt, confidence): per section and mechanism that it speaks of, the first statement that does, else the heading.
 
-    parts: (section_id, heading, body); lines: (section_id, statement_id, position, text, confidence). The nine patterns are tried in one pass as an array of flags.
+    parts: (section_id, heading, body), the body being what isn't among the lines; lines: (section_id, statement_id, position, text, confidence). A section speaks of
+    what its heading, body or any line does, so that no section's text has to be put together. The nine patterns are tried in one pass.
     """
     flags = F.array(*[F.when(F.lower("t").rlike(m[4]), F.lit(m[0])) for m in MECHANISMS])
     spoken = lambda df, *cols: df.select(*cols, F.explode(F.array_compact(flags)).alias("mechanism_id"))
-    said = spoken(parts.withColumn("t", F.concat_ws("\n", "heading", "body")), "section_id", "heading")
+    told = spoken(parts.withColumn("t", F.concat_ws("\n", "heading", "body")), "section_id")
     first = spoken(lines.withColumn("t", F.col("text")), "section_id", "statement_id", "position", "text", "confidence").groupBy("section_id", "mechanism_id").agg(F.min_by(F.struct("statement_id", "text", "confidence"), F.struct("position", "statement_id")).alias("s"))
+    said = told.unionByName(first.select("section_id", "mechanism_id")).distinct().join(parts.select("section_id", "heading"), "section_id")
     return said.join(first, ["section_id", "mechanism_id"], "left").select("mechanism_id", "section_id", F.col("s.statement_id").alias("statement_id"), F.coalesce("s.text", "heading").alias("excerpt"), F.coalesce("s.confidence", F.lit(HEADING_CONFIDENCE)).alias("confidence"))
 
 
 def _paragraph_sections(spark, sf_dir):
     p = table(spark, sf_dir, "paragraphs", "paragraph_id", "section_id", "section", "row_no", "clean_text")
     p = p.groupBy(strip("paragraph_id").alias("statement_id")).agg(F.max("section_id").alias("section_id"), F.max("section").alias("heading"), F.max("row_no").alias("position"), F.coalesce(F.max("clean_text"), F.lit("")).alias("text")).where("section_id IS NOT NULL")
-    parts = p.groupBy("section_id").agg(F.max("heading").alias("heading"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "text"))), lambda x: x["text"]), "\n").alias("body"))
+    parts = p.groupBy("section_id").agg(F.max("heading").alias("heading")).withColumn("body", F.lit(""))
     return parts, p.withColumn("confidence", statement_type("text")[1])
 
 
@@ -411,8 +413,8 @@ def role_token_sets(spark, sf_dir):
     """The tokens that inline roles name, per section and role, from eligible paragraphs."""
     p = table(spark, sf_dir, "paragraphs", "section_id", "raw_text", "retrieval_eligible").where("retrieval_eligible = 1")
     rows = p.select("section_id", F.explode(F.regexp_extract_all("raw_text", F.lit(f":(?:{_ROLES}):`[^`]*`"), F.lit(0))).alias("r"))
-    words = rows.select("section_id", F.regexp_extract("r", "^:([a-z]+):", 1).alias("role"), raw_tokens(F.regexp_extract("r", "`([^`<]*)", 1)).alias("w"))
-    return words.groupBy("section_id", "role").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("w")))), " ").alias("tokens"))
+    words = rows.select("section_id", F.regexp_extract("r", "^:([a-z]+):", 1).alias("role"), F.explode_outer(raw_tokens(F.regexp_extract("r", "`([^`<]*)", 1))).alias("w")).distinct()
+    return words.groupBy("section_id", "role").agg(F.array_join(F.array_sort(F.collect_list("w")), " ").alias("tokens"))  # at most the vocabulary
 
 
 @query("std_path_lookup", "SELECT list_last(string_split(trim(item_path), '::')) AS short_name, min(trim(item_path)) AS path FROM core_docs_chunk_metadata WHERE item_path IS NOT NULL GROUP BY 1")

@@ -59,6 +59,8 @@ def rows_of(df):
 def same_as_sql(spark, small, duck):
     def check(function, sql):
         df = function(spark, small)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan and "LocalCheckpoint" not in plan
         result = duck.execute(sql)
         names = [x[0] for x in result.description]
         assert sorted(names) == sorted(df.columns)
