@@ -442,9 +442,11 @@ def abstain(queries: DataFrame, projection: DataFrame) -> DataFrame:
     return out.select("query_id", "reason", F.when(F.col("reason") == "NONE", F.array_join(F.slice("good.label", 1, 3), ",")).otherwise("").alias("labels"))
 
 
-@query("abstain_decision", f"""WITH {_PROJ_SQL}, g AS (SELECT query_id, max(score) FILTER (WHERE place = 1) AS s1, max(hits) FILTER (WHERE place = 1) AS h1, max(score) FILTER (WHERE place = 2) AS s2, list(label ORDER BY place) FILTER (WHERE hits >= {LEAST_HITS} AND score >= {THRESHOLD}) AS good FROM placed GROUP BY 1),
-  d AS (SELECT q.query_id, CASE WHEN s1 IS NULL THEN 'NO_ROW_SIGNAL' WHEN h1 < {LEAST_HITS} THEN 'INSUFFICIENT_EVIDENCE' WHEN s1 < {THRESHOLD} THEN 'ROW_SCORE_BELOW_THRESHOLD' WHEN s1 - s2 < {LEAST_MARGIN} THEN 'LOW_CONFIDENCE_MARGIN' WHEN good IS NULL THEN 'NO_ROW_ABOVE_THRESHOLD' ELSE 'NONE' END AS reason, good FROM queries q LEFT JOIN g ON g.query_id = q.query_id)
-SELECT query_id, reason, CASE WHEN reason = 'NONE' THEN array_to_string(good[1:3], ',') ELSE '' END AS labels FROM d""")
+_ABSTAIN_SQL = f"""WITH {_PROJ_SQL}, g AS (SELECT query_id, max(score) FILTER (WHERE place = 1) AS s1, max(hits) FILTER (WHERE place = 1) AS h1, max(score) FILTER (WHERE place = 2) AS s2, list(label ORDER BY place) FILTER (WHERE hits >= {LEAST_HITS} AND score >= {THRESHOLD}) AS good FROM placed GROUP BY 1),
+  d AS (SELECT q.query_id, CASE WHEN s1 IS NULL THEN 'NO_ROW_SIGNAL' WHEN h1 < {LEAST_HITS} THEN 'INSUFFICIENT_EVIDENCE' WHEN s1 < {THRESHOLD} THEN 'ROW_SCORE_BELOW_THRESHOLD' WHEN s1 - s2 < {LEAST_MARGIN} THEN 'LOW_CONFIDENCE_MARGIN' WHEN good IS NULL THEN 'NO_ROW_ABOVE_THRESHOLD' ELSE 'NONE' END AS reason, good FROM queries q LEFT JOIN g ON g.query_id = q.query_id)"""
+
+
+@query("abstain_decision", f"{_ABSTAIN_SQL} SELECT query_id, reason, CASE WHEN reason = 'NONE' THEN array_to_string(good[1:3], ',') ELSE '' END AS labels FROM d")
 def abstain_decision(spark, sf_dir):
     """The decision for every query."""
     return abstain(title_queries(spark, sf_dir), _projection(spark, sf_dir))
@@ -623,3 +625,44 @@ def hinted(spark, sf_dir):
     top = lexical_rows(scored_pairs(queries, units), queries, units).where(F.col("rank") <= TOP_K)
     kinds = table(spark, sf_dir, "core_docs_chunk_metadata", "chunk_uid", "item_kind").groupBy(id_or_null("chunk_uid").alias("id")).agg(F.max("item_kind").alias("kind"))
     return hinted_order(top, kinds, queries)
+
+
+def projection_metrics(decisions: DataFrame, expected: DataFrame) -> DataFrame:
+    """(query_id, precision, recall, f1, row_hit) of predicted against expected labels.
+
+    decisions: (query_id, labels joined by commas); expected: (query_id, label), distinct. Nothing expected and nothing predicted is 1, 1, 1; nothing predicted
+    is 0, 0, 0; nothing expected has recall 0 and a hit of 1.
+    """
+    said = decisions.select("query_id", F.filter(F.split("labels", ","), lambda x: x != "").alias("said"))
+    wanted = expected.groupBy("query_id").agg(F.collect_set("label").alias("wanted"))
+    x = said.join(wanted, "query_id", "left").withColumn("wanted", F.coalesce("wanted", F.array().cast("array<string>")))
+    both, n, m = F.size(F.array_intersect("said", "wanted")), F.size("said"), F.size("wanted")
+    none = (n == 0) & (m == 0)
+    p = F.when(none, 1.0).when(n == 0, 0.0).otherwise(both / n)
+    r = F.when(none, 1.0).when((n == 0) | (m == 0), 0.0).otherwise(both / m)
+    rows = x.select("query_id", p.alias("p"), r.alias("r"), F.when(m == 0, 1.0).otherwise((both > 0).cast("double")).alias("row_hit"))
+    return rows.select("query_id", F.round("p", 6).alias("precision"), F.round("r", 6).alias("recall"), F.round(F.when(F.col("p") + F.col("r") > 0, 2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0), 6).alias("f1"), "row_hit")
+
+
+def _expected_labels(spark, sf_dir):
+    """(query_id, label): the chapter of the paragraph that a guideline's source names."""
+    m = table(spark, sf_dir, "guideline_fls_source_mappings", "guideline_id", "raw_fls_id").select(id_or_null("guideline_id").alias("query_id"), id_or_null("raw_fls_id").alias("id"))
+    return m.join(_current_paragraphs(spark, sf_dir), "id").where("chapter IS NOT NULL").select("query_id", F.col("chapter").alias("label")).distinct()
+
+
+_PRF_SQL = f"""{_ABSTAIN_SQL}, want AS (SELECT trim(m.guideline_id, {_WS}) AS query_id, list(DISTINCT p.label) AS w FROM guideline_fls_source_mappings m JOIN par p ON p.id = trim(m.raw_fls_id, {_WS}) WHERE p.label IS NOT NULL GROUP BY 1),
+  pr AS (SELECT d.query_id, CASE WHEN reason = 'NONE' THEN good[1:3] ELSE [] END AS s, coalesce(w, []) AS w FROM d LEFT JOIN want ON want.query_id = d.query_id),
+  prf AS (SELECT query_id, CASE WHEN len(s) = 0 AND len(w) = 0 THEN 1.0 WHEN len(s) = 0 THEN 0.0 ELSE len(list_intersect(s, w)) / len(s) END::DOUBLE AS p, CASE WHEN len(s) = 0 AND len(w) = 0 THEN 1.0 WHEN len(s) = 0 OR len(w) = 0 THEN 0.0 ELSE len(list_intersect(s, w)) / len(w) END::DOUBLE AS r, CASE WHEN len(w) = 0 OR len(list_intersect(s, w)) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS row_hit FROM pr),
+  fs AS (SELECT query_id, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1, row_hit FROM prf)"""
+
+
+@query("projection_case_metrics", f"{_PRF_SQL} SELECT * FROM fs")
+def projection_cases(spark, sf_dir):
+    """labels of every query against the chapter of its source's paragraph."""
+    return projection_metrics(abstain_decision(spark, sf_dir), _expected_labels(spark, sf_dir))
+
+
+@query("projection_summary", f"{_PRF_SQL} SELECT count(*) AS cases, round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall, round(avg(f1), 6) AS macro_f1, round(avg(row_hit), 6) AS row_hit_rate FROM fs")
+def projection_summary(spark, sf_dir):
+    """A10: macro means over all queries."""
+    return projection_cases(spark, sf_dir).agg(F.count("*").alias("cases"), F.round(F.avg("precision"), 6).alias("macro_precision"), F.round(F.avg("recall"), 6).alias("macro_recall"), F.round(F.avg("f1"), 6).alias("macro_f1"), F.round(F.avg("row_hit"), 6).alias("row_hit_rate"))

@@ -129,3 +129,10 @@ def test_vectors_in_blocks(spark):
     two = sorted((x.query_id, x.id, round(x.cosine, 9)) for x in r.nearest_vectors(rows, q, k=5, block_bytes=48).collect())
     assert one == two and len(one) == 25
     assert r.nearest_vectors(rows, q.limit(0), k=5).count() == 0
+
+
+def test_projection_metrics(spark):
+    said = frame(spark, [("both", "a,b"), ("none", ""), ("silent", ""), ("extra", "a"), ("wrong", "z")], "query_id string, labels string")
+    want = frame(spark, [("both", "a"), ("both", "c"), ("silent", "a"), ("wrong", "a")], "query_id string, label string")
+    got = {x.query_id: (x.precision, x.recall, x.f1, x.row_hit) for x in r.projection_metrics(said, want).collect()}
+    assert got == {"both": (0.5, 0.5, 0.5, 1.0), "none": (1.0, 1.0, 1.0, 1.0), "silent": (0.0, 0.0, 0.0, 0.0), "extra": (0.0, 0.0, 0.0, 1.0), "wrong": (0.0, 0.0, 0.0, 0.0)}
