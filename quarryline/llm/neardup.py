@@ -12,6 +12,7 @@ chance of at most MISS. Candidates are probed by signature, thinned by a bit ske
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -163,15 +164,16 @@ def allocate(sample: np.ndarray, total: int, similar: float = SIMILAR[0] / SIMIL
 
 
 
-def signature_rows(codes: np.ndarray, plan: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, np.ndarray]:
-    """(row of codes, signature) by the plan: one for a threshold of 0, one for each value left out for 1."""
+def signature_rows(codes: np.ndarray, plan: list[tuple[tuple[int, ...], int]], field: str = "") -> tuple[np.ndarray, np.ndarray]:
+    """(row of codes, signature) by the plan: one for a threshold of 0, one for each value left out for 1. The field is part of the signature."""
+    salt = np.uint64(zlib.crc32(field.encode())) << np.uint64(32)
     rows, signatures = [], []
     with np.errstate(over="ignore"):
         for g, (columns, threshold) in enumerate(plan):
             if threshold < 0:
                 continue
             for skip in [-1] if threshold == 0 else range(len(columns)):
-                h = np.full(len(codes), np.uint64(g * 16 + skip + 1) * _MIX, np.uint64)
+                h = np.full(len(codes), (np.uint64(g * 16 + skip + 1) | salt) * _MIX, np.uint64)
                 for k, c in enumerate(columns):
                     if k != skip:
                         h = _mix(h * np.uint64(31) + codes[:, c].astype(np.uint64) + _MIX)
@@ -192,7 +194,7 @@ def _coded(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def candidate_signatures(firsts: DataFrame, plans: dict[str, list]) -> DataFrame:
-    """(field_name, sig, id, n, s0..): the signatures of the first text of each set."""
+    """(sig, id, n, s0..): the signatures of the first text of each set; all of it numbers of a fixed width, as this is what is exchanged."""
     words = [f"s{i}" for i in range(SKETCH_WORDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,11 +205,11 @@ def candidate_signatures(firsts: DataFrame, plans: dict[str, list]) -> DataFrame
                 for name in sorted(set(fields)):
                     part = batch.filter(pa.array(fields == name))
                     codes = _coded(part)
-                    rows, signatures = signature_rows(codes, plans[name])
+                    rows, signatures = signature_rows(codes, plans[name], name)
                     sketch = sketches(codes)[rows]
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.string()), pa.array(signatures), part.column("id").take(pa.array(rows)), part.column("n").take(pa.array(rows)), *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS)]], names=["field_name", "sig", "id", "n", *words])
+                    yield pa.RecordBatch.from_arrays([pa.array(signatures), part.column("id").take(pa.array(rows)), part.column("n").take(pa.array(rows)), *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS)]], names=["sig", "id", "n", *words])
 
-    return firsts.select("field_name", "id", "n", "items").mapInArrow(run, "field_name string, sig long, id long, n int, " + ", ".join(f"{w} long" for w in words))
+    return firsts.select("field_name", "id", "n", "items").mapInArrow(run, "sig long, id long, n int, " + ", ".join(f"{w} long" for w in words))
 
 
 def similar_sets(firsts: DataFrame) -> DataFrame:
@@ -223,15 +225,15 @@ def similar_sets(firsts: DataFrame) -> DataFrame:
         plans[name] = allocate(codes_of(flat, sample.column("n").to_numpy()), row["total"])
     sigs = candidate_signatures(firsts, plans)
     words = [f"s{i}" for i in range(SKETCH_WORDS)]
-    right = sigs.select("field_name", "sig", *[F.col(c).alias(f"{c}_") for c in ("id", "n", *words)])
+    right = sigs.select("sig", *[F.col(c).alias(f"{c}_") for c in ("id", "n", *words)])
     apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_"))) for w in words[1:]), F.bit_count(F.col("s0").bitwiseXOR(F.col("s0_"))))
     p, q = SIMILAR
     sized = (F.col("n") * q >= F.col("n_") * p) & (F.col("n_") * q >= F.col("n") * p)
-    near = sigs.join(right, ["field_name", "sig"]).where((F.col("id") < F.col("id_")) & sized & (apart <= SKETCH_MOST))
-    pairs = near.select("field_name", F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
-    sets = firsts.select("id", "n", "items")
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib")), "b")
+    near = sigs.join(right, "sig").where((F.col("id") < F.col("id_")) & sized & (apart <= SKETCH_MOST))
+    pairs = near.select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
+    sets = firsts.select("field_name", "id", "n", "items")
+    left = pairs.join(sets.select("field_name", F.col("id").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia")), "a")
+    both = left.join(sets.select(F.col("field_name").alias("other"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib")), "b").where(F.col("other") == F.col("field_name"))
     both = both.select("field_name", "a", "b", "na", "nb", F.size(F.array_intersect("ia", "ib")).alias("both"))
     either = F.col("na") + F.col("nb") - F.col("both")
     return both.where(F.col("both") * q >= either * p).select("field_name", "a", "b", "both", either.alias("either"))
