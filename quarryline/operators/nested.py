@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,6 +32,8 @@ _OBJECT, _ARRAY, _STRING, _SCALAR = 0, 1, 2, 3
 _CLASS = np.zeros(256, np.int8)
 for _i, _b in enumerate(b"{}[],:"):
     _CLASS[_b] = _i
+#: The kind of the node that stands for a whole text.
+RECORD = "record"
 _T_OPEN_O, _T_CLOSE_O, _T_OPEN_A, _T_CLOSE_A, _T_COMMA, _T_COLON, _T_STRING, _T_SCALAR = range(8)
 
 
@@ -257,20 +259,62 @@ class _Nodes:
     body: list = field(default_factory=list)
 
 
-def find_objects(texts: Sequence[bytes], listed: bool, array_names: frozenset[str]) -> _Nodes:
+@dataclass
+class _Members:
+    """The values without objects in them found so far, as columns."""
+
+    row: list = field(default_factory=list)
+    path: list = field(default_factory=list)
+    name: list = field(default_factory=list)
+    value: list = field(default_factory=list)
+    type: list = field(default_factory=list)
+
+
+def _put(into: _Nodes | _Members, *values) -> None:
+    for column, v in zip(vars(into).values(), values, strict=True):
+        column.append(v)
+
+
+def _within(path: str, owner: str) -> str:
+    """A value's path as seen from the object that holds it."""
+    rest = path[len(owner) :]
+    return rest[1:] if owner and rest[:1] == "." else rest
+
+
+def _literal(raw: bytes) -> str:
+    """A JSON string's text; half a surrogate pair becomes a question mark."""
+    return json.loads(raw).encode("utf-8", "replace").decode() if b"\\" in raw else raw[1:-1].decode("utf-8", "replace")
+
+
+def _scalar(raw: bytes) -> tuple[str | None, str]:
+    """A number, boolean or null as text, and which it is."""
+    return (None, "null") if raw == b"null" else (raw.decode(), "boolean" if raw in (b"true", b"false") else "number")
+
+
+def find_objects(texts: Sequence[bytes], listed: bool, array_names: frozenset[str], members: _Members | None = None) -> _Nodes:
     """Every object that is an element of an array, with its path, its parent object's path, its array's name and its own text.
 
     Texts of JSON inside strings are indexed in turn, as a further batch, with the paths of the strings that held them.
-    Of members with the same name the last counts.
+    Of members with the same name the last counts. With ``members``, every object is given, and first a node of kind RECORD and path '' for each
+    valid text, whatever its value; the kind of a plain member is its name, its position None; strings, numbers, booleans, nulls and empty arrays
+    are added to members with the path of the object (or record) that holds them and their path from there.
     """
-    out = _Nodes()
+    out, whole = _Nodes(), members is not None
+    top = [True] * len(texts)
     rows, prefixes, arrays, owners = list(range(len(texts))), [""] * len(texts), [listed] * len(texts), [""] * len(texts)
-    labels, placed = [""] * len(texts), [-1] * len(texts)
+    labels, placed, deeper = [""] * len(texts), [-1] * len(texts), False
     while texts:
         ix = index_texts(texts)
         n = len(ix.doc)
+        if whole and deeper:
+            for d in np.flatnonzero(~ix.valid).tolist():  # a string that only begins like JSON is a string
+                if top[d]:
+                    _put(out, rows[d], "", None, RECORD, None, json.dumps(texts[d].decode("utf-8", "replace")).encode())
+                _put(members, rows[d], owners[d], _within(prefixes[d], owners[d]), texts[d].decode("utf-8", "replace"), "string")
+        deeper = True
         path, owner, label, list_like = [""] * n, [""] * n, [""] * n, [False] * n
-        again: dict[str, list] = {k: [] for k in ("texts", "rows", "prefixes", "arrays", "owners", "labels", "placed")}
+        again: dict[str, list] = {k: [] for k in ("texts", "rows", "prefixes", "arrays", "owners", "labels", "placed", "top")}
+        held = np.bincount(ix.parent[ix.parent >= 0], minlength=n) if whole else None
         dropped = np.zeros(n, bool)
         named = np.flatnonzero(ix.name_start >= 0)
         names = {i: json.loads(ix.buffer[ix.name_start[i] : ix.name_stop[i]].tobytes()) for i in named.tolist()}
@@ -298,26 +342,26 @@ def find_objects(texts: Sequence[bytes], listed: bool, array_names: frozenset[st
                 name = names[i]
                 path[i] = f"{path[p]}.{name}" if path[p] else name
                 owner[i], label[i], list_like[i], at = path[p], name, name in array_names, -1
-            kind = kinds[i]
-            if kind == _OBJECT:
-                if list_like[i]:
-                    path[i], at = f"{path[i]}[0]", 0
-                if at >= 0:
-                    out.row.append(rows[d])
-                    out.path.append(path[i])
-                    out.parent_path.append(owner[i])
-                    out.kind.append(label[i])
-                    out.position.append(at)
-                    out.body.append(ix.text(i))
-            elif kind == _STRING:
+            kind, root, inner = kinds[i], whole and p < 0 and top[d], None
+            if kind == _STRING:
                 raw = ix.text(i)
-                inner = raw[1:].lstrip(b" \t\r\n")
-                if inner[:1] in (b"{", b"[", b"\\"):
+                if raw[1:].lstrip(b" \t\r\n")[:1] in (b"{", b"[", b"\\"):
                     text = json.loads(raw).encode("utf-8", "surrogatepass")
                     if text.strip(b" \t\r\n")[:1] in (b"{", b"["):
-                        for k, v in zip(again, (text, rows[d], path[i], list_like[i], owner[i], label[i], at), strict=True):
+                        inner = text
+                        for k, v in zip(again, (text, rows[d], path[i], list_like[i], owner[i], label[i], at, root), strict=True):
                             again[k].append(v)
-        texts, rows, prefixes, arrays, owners, labels, placed = again.values()
+            if root and inner is None:
+                _put(out, rows[d], "", None, RECORD, None, ix.text(i))
+            if kind == _OBJECT:
+                if list_like[i]:
+                    path[i], at = f"{path[i]}[0]", 0
+                if at >= 0 or (whole and not root):
+                    _put(out, rows[d], path[i], owner[i], label[i], at if at >= 0 else None, ix.text(i))
+            elif whole and inner is None and not (kind == _ARRAY and held[i]):
+                value, type_ = (_literal(raw), "string") if kind == _STRING else ("[]", "array") if kind == _ARRAY else _scalar(ix.text(i))
+                _put(members, rows[d], owner[i], _within(path[i], owner[i]), value, type_)
+        texts, rows, prefixes, arrays, owners, labels, placed, top = again.values()
     return out
 
 
@@ -328,6 +372,43 @@ def nested_objects(df: DataFrame, source: str, row_key: Column, text: Column, li
     the whole value), body the object's JSON as it stands. Null, blank and broken texts give no rows; repeated rows give repeated objects.
     """
 
+    found = _mapped(df, row_key, text, NODE_COLUMNS, lambda texts: find_objects(texts, listed, array_names))
+    return found.select(F.lit(source).alias("source_table"), "*")
+
+
+def record_objects(df: DataFrame, source: str, row_key: Column, text: Column, listed: bool, array_names: frozenset[str]) -> DataFrame:
+    """The same columns for every object: the record itself (path '', kind RECORD, no parent), plain members (no position) and elements.
+
+    Every parent_path is the node_path of a row with the same row_key. Valid texts that are no object have a record as well.
+    """
+    found = _mapped(df, row_key, text, NODE_COLUMNS, lambda texts: find_objects(texts, listed, array_names, _Members()))
+    return found.select(F.lit(source).alias("source_table"), "*")
+
+
+def record_members(df: DataFrame, source: str, row_key: Column, text: Column, listed: bool, array_names: frozenset[str]) -> DataFrame:
+    """(source_table, row_key, node_path, name, value, value_type): one row a string, number, boolean, null or empty array.
+
+    node_path is that of the object (or record) that holds the value; name is the path from there, with places for elements ('reasons[0]').
+    """
+
+    def members(texts: Sequence[bytes]) -> _Members:
+        found = _Members()
+        find_objects(texts, listed, array_names, found)
+        return found
+
+    found = _mapped(df, row_key, text, MEMBER_COLUMNS, members)
+    return found.select(F.lit(source).alias("source_table"), "*")
+
+
+NODE_COLUMNS = "row_key string, node_path string, parent_path string, kind string, position int, body string"
+MEMBER_COLUMNS = "row_key string, node_path string, name string, value string, value_type string"
+
+
+def _mapped(df: DataFrame, row_key: Column, text: Column, columns: str, find: Callable) -> DataFrame:
+    """What ``find`` gives for batches of texts, with the rows' keys."""
+    names, types = zip(*[c.split() for c in columns.split(", ")], strict=True)
+    types = [{"string": pa.string(), "int": pa.int32()}[t] for t in types]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist()
@@ -337,13 +418,13 @@ def nested_objects(df: DataFrame, source: str, row_key: Column, text: Column, li
                 while end < len(texts) and (end == begin or size + len(texts[end]) <= BATCH_BYTES):
                     size += len(texts[end])
                     end += 1
-                found = find_objects(texts[begin:end], listed, array_names)
-                yield pa.RecordBatch.from_arrays([pa.array([keys[begin + r] for r in found.row], pa.string()), pa.array(found.path, pa.string()), pa.array(found.parent_path, pa.string()), pa.array(found.kind, pa.string()), pa.array(found.position, pa.int32()), pa.array([x.decode("utf-8", "replace") for x in found.body], pa.string())], names=["row_key", "node_path", "parent_path", "kind", "position", "body"])
+                row, *found = vars(find(texts[begin:end])).values()
+                found = [[x.decode("utf-8", "replace") if isinstance(x, bytes) else x for x in c] if n == "body" else c for n, c in zip(names[1:], found, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([[keys[begin + r] for r in row], *found], types, strict=True)], names=list(names))
                 begin = end
 
     rows = df.select(row_key.alias("row_key"), text.alias("text")).where("text IS NOT NULL AND row_key IS NOT NULL")
-    found = rows.mapInArrow(run, "row_key string, node_path string, parent_path string, kind string, position int, body string")
-    return found.select(F.lit(source).alias("source_table"), "*")
+    return rows.mapInArrow(run, columns)
 
 
 #: Names that stand for arrays even where one object stands in their place.
@@ -359,13 +440,19 @@ KINDS = {
     "components": ("name", "value"), "matches": ("text", "target"), "role_rows": ("text", "target"), "tags": ("name", "weight"), "": ("paragraph_id", "document_link", "overlap_count"),
 }
 
+#: The kinds that are no elements of arrays: the record itself and plain members.
+MEMBER_KINDS = {
+    RECORD: ("paragraph_id", "document_link", "section_link", "overlap_count", "text_excerpt", "status", "category", "release", "fls", "lineno", "docname", "decidability", "scope"),
+    "fls_resolution": ("mode",), "publishability": ("ok",),
+}
+
 
 def _key(names: Sequence[str]) -> Column:
     return F.concat_ws("|", *[strip(F.col(c).cast("string")) for c in names])
 
 
-def all_objects(spark, sf_dir: str) -> DataFrame:
-    parts = [nested_objects(table(spark, sf_dir, f.source, *f.keys, f.column), f.source, _key(f.keys), F.col(f.column), f.listed, ARRAY_NAMES) for f in FIELDS]
+def all_objects(spark, sf_dir: str, find: Callable = nested_objects) -> DataFrame:
+    parts = [find(table(spark, sf_dir, f.source, *f.keys, f.column), f.source, _key(f.keys), F.col(f.column), f.listed, ARRAY_NAMES) for f in FIELDS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -373,6 +460,16 @@ def p1_found(spark, sf_dir: str) -> DataFrame:
     return all_objects(spark, sf_dir).select("source_table", "row_key", "node_path").distinct()
 
 
+def p1_objects(spark, sf_dir: str) -> DataFrame:
+    """Every object and record with the way to its parent."""
+    return all_objects(spark, sf_dir, record_objects).drop("body").distinct()
+
+
+def p1_members(spark, sf_dir: str) -> DataFrame:
+    """Every value that is no object, beside the objects of p1_objects and the tables of kinds."""
+    return all_objects(spark, sf_dir, record_members).distinct()
+
+
 def flat_table(objects: DataFrame, kind: str, columns: Sequence[str]) -> DataFrame:
     """One kind of object as a flat table: keys, its parent's path, its place, and its scalars as text, null where absent."""
     one = objects.where(F.col("kind") == kind).dropDuplicates(["source_table", "row_key", "node_path"])
@@ -380,7 +477,9 @@ def flat_table(objects: DataFrame, kind: str, columns: Sequence[str]) -> DataFra
 
 
 def queries() -> dict:
-    out = {"p1_found": p1_found}
+    out = {"p1_found": p1_found, "p1_objects": p1_objects, "p1_members": p1_members}
     for kind, columns in KINDS.items():
         out[f"p1_table_{kind or 'nearest'}"] = lambda s, d, k=kind, c=columns: flat_table(all_objects(s, d), k, c)
+    for kind, columns in MEMBER_KINDS.items():
+        out[f"p1_table_{kind}"] = lambda s, d, k=kind, c=columns: flat_table(all_objects(s, d, record_objects), k, c)
     return out

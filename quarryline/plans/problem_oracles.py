@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarryline.operators.nested import KINDS
+from quarryline.operators.nested import KINDS, MEMBER_KINDS, RECORD
 
 WS = r"E' \t\r\n'"
 
@@ -138,9 +138,26 @@ def p1_table(kind: str, columns: tuple[str, ...]) -> str:
     return f"{_P1_NODES} SELECT DISTINCT source_table, row_key, path AS node_path, owner AS parent_path, position, {scalars} FROM node WHERE position >= 0 AND json_type(v) = 'OBJECT' AND label = '{kind}'"
 
 
+P1_OBJECTS = f"""{_P1_NODES} SELECT DISTINCT source_table, row_key, path AS node_path, CASE WHEN path <> '' THEN owner END AS parent_path, CASE WHEN path = '' THEN 'record' ELSE label END AS kind, nullif(position, -1) AS position
+FROM node WHERE path = '' OR json_type(v) = 'OBJECT' AND NOT listed"""
+P1_MEMBERS = f"""{_P1_NODES} SELECT DISTINCT source_table, row_key, owner AS node_path, CASE WHEN owner = '' THEN path ELSE regexp_replace(substr(path, len(owner) + 1), '^[.]', '') END AS name,
+  CASE WHEN json_type(v) = 'NULL' THEN NULL ELSE v ->> '$' END AS value, CASE json_type(v) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'ARRAY' THEN 'array' ELSE 'number' END AS value_type
+FROM node WHERE json_type(v) NOT IN ('OBJECT', 'ARRAY') OR json_type(v) = 'ARRAY' AND json_array_length(v) = 0"""
+
+
+def p1_member_table(kind: str, columns: tuple[str, ...]) -> str:
+    """The records, or the plain members of one name, as a flat table."""
+    scalars = ", ".join(f"v ->> '$.{c}' AS \"{c}\"" for c in columns)
+    which = "path = ''" if kind == RECORD else f"json_type(v) = 'OBJECT' AND NOT listed AND path <> '' AND label = '{kind}'"
+    return f"{_P1_NODES} SELECT DISTINCT source_table, row_key, path AS node_path, CASE WHEN path <> '' THEN owner END AS parent_path, nullif(position, -1) AS position, {scalars} FROM node WHERE {which}"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": P1_FOUND,
+        "p1_objects": P1_OBJECTS,
+        "p1_members": P1_MEMBERS,
+        **{f"p1_table_{kind}": p1_member_table(kind, columns) for kind, columns in MEMBER_KINDS.items()},
         **{f"p1_table_{kind or 'nearest'}": p1_table(kind, columns) for kind, columns in KINDS.items()},
         "p3_found": f"{_VERSIONS} FROM starts",
         "p3_versions": f"{_VERSIONS}, effective_fls_id, resolution_status FROM starts",

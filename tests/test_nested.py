@@ -95,3 +95,46 @@ def test_flat_table(spark):
     df = spark.createDataFrame([("k", '{"hits":[{"chunk_uid":"c","score":0.5},{"score":null}]}')], "key string, text string")
     objects = nested.nested_objects(df, "t", F.col("key"), F.col("text"), False, NAMES)
     assert [(r.chunk_uid, r.score) for r in nested.flat_table(objects, "hits", ("chunk_uid", "score")).orderBy("position").collect()] == [("c", "0.5"), (None, None)]
+
+
+def leaves_of(v, path, listed, out):
+    """Brute force: the paths and types of all values that are no object and no array with elements."""
+    if isinstance(v, str) and v.strip(" \t\r\n")[:1] in ("{", "["):
+        try:
+            v = json.loads(v, parse_constant=lambda c: 1 / 0)
+        except (ValueError, ZeroDivisionError):
+            pass
+    if isinstance(v, dict):
+        path = path + "[0]" if listed else path
+        for k, x in v.items():
+            leaves_of(x, f"{path}.{k}" if path else k, k in NAMES, out)
+    elif isinstance(v, list) and v:
+        for i, x in enumerate(v):
+            leaves_of(x, f"{path}[{i}]", False, out)
+    else:
+        out.append((path, "array" if v == [] else "null" if v is None else "boolean" if isinstance(v, bool) else "string" if isinstance(v, str) else "number"))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(values, max_size=5), st.booleans())
+def test_no_value_is_lost_and_every_parent_is_there(cases, listed):
+    members = nested._Members()
+    found = nested.find_objects([json.dumps(v).encode() for v in cases], listed, NAMES, members)
+    for i, v in enumerate(cases):
+        nodes = [(p, o) for r, p, o in zip(found.row, found.path, found.parent_path, strict=True) if r == i]
+        assert nodes.count(("", None)) == 1 and {o for _, o in nodes} - {None} <= {p for p, _ in nodes}
+        mine = [(o, n, t) for r, o, n, t in zip(members.row, members.path, members.name, members.type, strict=True) if r == i]
+        assert {o for o, _, _ in mine} <= {p for p, _ in nodes}
+        want = []
+        leaves_of(v, "", listed, want)
+        assert sorted((o + n if not o or n[:1] == "[" else f"{o}.{n}", t) for o, n, t in mine) == sorted(want), v
+
+
+def test_roots_and_plain_members(spark):
+    text = '{"status":"ok","fls_resolution":{"mode":"staged","stages":[{"stage":"a"}]},"publishability":{"ok":false,"reasons":["x",null]},"n":"\\u00e9\\\\","e":[]}'
+    df = spark.createDataFrame([("k", text), ("bad", "{")], "key string, text string")
+    nodes = nested.record_objects(df, "t", F.col("key"), F.col("text"), False, NAMES)
+    assert sorted((r.node_path, "-" if r.parent_path is None else r.parent_path, r.kind, r.position) for r in nodes.collect()) == [("", "-", "record", None), ("fls_resolution", "", "fls_resolution", None), ("fls_resolution.stages[0]", "fls_resolution", "stages", 0), ("publishability", "", "publishability", None)]
+    rows = nested.record_members(df, "t", F.col("key"), F.col("text"), False, NAMES).collect()
+    assert sorted((r.node_path, r.name, str(r.value), r.value_type) for r in rows) == sorted([("", "status", "ok", "string"), ("fls_resolution", "mode", "staged", "string"), ("fls_resolution.stages[0]", "stage", "a", "string"), ("publishability", "ok", "false", "boolean"), ("publishability", "reasons[0]", "x", "string"), ("publishability", "reasons[1]", "None", "null"), ("", "n", "é\\", "string"), ("", "e", "[]", "array")])
+    assert [r.mode for r in nested.flat_table(nodes, "fls_resolution", ("mode",)).collect()] == ["staged"]
