@@ -6,6 +6,7 @@ Postings are joined on terms, so that work follows the matches; rankings are win
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -182,12 +183,16 @@ def semantic_rows(pairs: DataFrame, keep: DataFrame | None = None) -> DataFrame:
     return rows.unionByName(rest.withColumn("rank", F.col("rank") + WINDOW))
 
 
-def _lists(spark, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The lexical and the semantic list of every query; the latter whole, or with what a ranking's top can need."""
+def _lists_of_pairs(spark, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The scored pairs, and the lexical and the semantic list of every query; the latter whole, or with what a ranking's top can need."""
     queries, units = title_queries(spark, sf_dir), chunk_units(spark, sf_dir)
     pairs = scored_pairs(queries, units)
     lexical = materialize(lexical_rows(pairs, queries, units))
-    return lexical, materialize(semantic_rows(pairs, None if whole else lexical))
+    return pairs, lexical, materialize(semantic_rows(pairs, None if whole else lexical))
+
+
+def _lists(spark, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    return _lists_of_pairs(spark, sf_dir, whole)[1:]
 
 
 @query("text_tokens", f"SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(lower(text), '[a-z0-9_]+')), lambda x: x NOT IN {_STOP})), ' ') AS tokens FROM documents")
@@ -366,6 +371,79 @@ def pool_lexical_floor(spark, sf_dir):
     return lexical_floor_pool(lex, sem, 12, 3)
 
 
+def rerank_members(merged: DataFrame, pool: DataFrame, raw: DataFrame) -> DataFrame:
+    """The rows of both lists with the reranker's score written anew for the members of the pool only.
+
+    raw: (query_id, id, c), the reranker's scores; they are scaled within the pool, and a member without one counts as 0.
+    """
+    held = pool.select("query_id", "id").join(raw.select("query_id", "id", "c"), ["query_id", "id"], "left").na.fill(0.0, ["c"])
+    scaled = min_max(held, ["query_id"], "c", "again").select("query_id", "id", F.round("again", 6).alias("again"))
+    return merged.join(scaled, ["query_id", "id"], "left").withColumn("reranker", F.coalesce("again", "reranker")).drop("again")
+
+
+def _coverage(pairs: DataFrame) -> DataFrame:
+    """What stands in for the reranker of a pool: the share of the query's tokens that a unit holds."""
+    return pairs.select("query_id", "id", (F.col("overlap") / F.greatest("asked", F.lit(1))).alias("c"))
+
+
+#: Rows that each list has in a pool of WINDOW at least, and lexical rows beside a semantic window: the larger of a count and a share of the window.
+POOL_LEAST = (24, 24)
+FLOOR = max(24, math.ceil(WINDOW * 0.25))
+_WINDOW_V2_SQL = f"""{_MERGED_SQL}, one AS (SELECT *, lex_rank BETWEEN 1 AND {POOL_LEAST[0]} AS picked FROM merged), two AS (SELECT *, CASE WHEN NOT picked AND sem_rank > 0 THEN row_number() OVER (PARTITION BY query_id, picked OR sem_rank = 0 ORDER BY sem_rank) END AS n FROM one),
+  ph AS (SELECT query_id, id, CASE WHEN picked THEN 1 WHEN n <= {POOL_LEAST[1]} THEN 2 WHEN lex_rank > 0 AND sem_rank > 0 THEN 3 WHEN sem_rank > 0 THEN 4 ELSE 5 END AS p, CASE WHEN picked OR sem_rank = 0 THEN lex_rank ELSE sem_rank END AS r FROM two),
+  chosen AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY p, r, id) AS place FROM ph QUALIFY place <= {WINDOW})"""
+_WINDOW_FLOOR_SQL = f"""{_MERGED_SQL}, b AS (SELECT query_id, id, 0 AS p, rank FROM sem WHERE rank <= {WINDOW}),
+  x AS (SELECT l.query_id, l.id, 1 AS p, row_number() OVER (PARTITION BY l.query_id ORDER BY l.rank) AS rank FROM lex l ANTI JOIN b ON b.query_id = l.query_id AND b.id = l.id QUALIFY row_number() OVER (PARTITION BY l.query_id ORDER BY l.rank) <= {FLOOR}),
+  chosen AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY p, rank) AS place FROM (SELECT * FROM b UNION ALL SELECT * FROM x))"""
+
+
+def _reranked_sql(chosen: str) -> str:
+    a, b, c = WEIGHTS["v2"]
+    return f"""WITH {chosen},
+  anew AS (SELECT query_id, id, round(CASE WHEN max(c) OVER w - min(c) OVER w < 1e-12 THEN 1.0 ELSE (c - min(c) OVER w) / (max(c) OVER w - min(c) OVER w) END, 6) AS score FROM chosen JOIN (SELECT query_id, id, overlap / greatest(asked, 1) AS c FROM pairs) USING (query_id, id) WINDOW w AS (PARTITION BY query_id)),
+  f AS (SELECT m.query_id, m.id, coalesce(n.score, m.reranker) AS reranker, round({a} * m.lexical + {b} * m.semantic + {c} * coalesce(n.score, m.reranker), 6) AS final FROM merged m LEFT JOIN anew n ON n.query_id = m.query_id AND n.id = m.id)
+SELECT query_id, id, reranker, final, row_number() OVER (PARTITION BY query_id ORDER BY final DESC, reranker DESC, id) AS rank FROM f QUALIFY rank <= {TOP_K}"""
+
+
+def _pool_reranked(spark, sf_dir: str, pool_of) -> DataFrame:
+    pairs, lex, sem = _lists_of_pairs(spark, sf_dir)
+    rows = rerank_members(hybrid(lex, sem), pool_of(lex, sem), _coverage(pairs))
+    top = fuse_weighted(rows, "v2").where(F.col("rank") <= TOP_K)
+    return top.join(rows.select("query_id", "id", "reranker"), ["query_id", "id"]).select("query_id", "id", "reranker", "final", "rank")
+
+
+def _whole_v2(lex: DataFrame, sem: DataFrame) -> DataFrame:
+    return rerank_pool(lex, sem, WINDOW, *POOL_LEAST)
+
+
+def _whole_floor(lex: DataFrame, sem: DataFrame) -> DataFrame:
+    return lexical_floor_pool(lex, sem, WINDOW, FLOOR)
+
+
+@query("pool_v2_window", f"WITH {_WINDOW_V2_SQL} SELECT * FROM chosen")
+def pool_v2_window(spark, sf_dir):
+    """Pools of the whole window."""
+    return _whole_v2(*_lists(spark, sf_dir))
+
+
+@query("pool_v2_reranked", _reranked_sql(_WINDOW_V2_SQL))
+def pool_v2_reranked(spark, sf_dir):
+    """Pools of the whole window reranked, their members' scores overwritten, and the ten best by the second set of weights."""
+    return _pool_reranked(spark, sf_dir, _whole_v2)
+
+
+@query("pool_lexical_floor_window", f"WITH {_WINDOW_FLOOR_SQL} SELECT * FROM chosen")
+def pool_lexical_floor_window(spark, sf_dir):
+    """The whole semantic window and the lexical floor besides."""
+    return _whole_floor(*_lists(spark, sf_dir))
+
+
+@query("pool_lexical_floor_reranked", _reranked_sql(_WINDOW_FLOOR_SQL))
+def pool_lexical_floor_reranked(spark, sf_dir):
+    """The same pools reranked, and the ten best by the second set of weights."""
+    return _pool_reranked(spark, sf_dir, _whole_floor)
+
+
 # --- labels, projection, abstention ---
 
 

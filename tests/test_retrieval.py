@@ -100,6 +100,19 @@ def test_pools(spark, size, a, b):
     assert floor == ["s1", "y", "l1", "x"] and r.lexical_floor_pool(lex, sem, 2, 0).count() == 0
 
 
+def test_pools_of_the_whole_window_overwrite_their_members_only(spark):
+    lex = frame(spark, [("q", f"l{n:03}", 1.0 - n / 1000, -1.0, n) for n in range(1, 31)], LEX)
+    sem = frame(spark, [("q", f"s{n:03}", 1.0 - n / 1000, 0.25, 0.5, n) for n in range(1, 121)], SEM)
+    pool = r._whole_v2(lex, sem)
+    assert pool.count() == r.WINDOW == 80 and r._whole_floor(lex, sem).count() == 80 + r.FLOOR
+    members = {x.id for x in pool.collect()}
+    raw = frame(spark, [("q", i, float(n)) for n, i in enumerate(sorted(members)[:-1], 1)], "query_id string, id string, c double")
+    got = {x.id: x.reranker for x in r.rerank_members(r.hybrid(lex, sem), pool, raw).collect()}
+    assert len(got) == 150 and all(got[i] == (0.25 if i[0] == "s" else 0.0) for i in got.keys() - members)
+    order = sorted(members)
+    assert [got[i] for i in order] == [round(n / 79, 6) for n in range(1, 80)] + [0.0]
+
+
 def test_anchor_cap(spark):
     rows = frame(spark, [("q", f"s{i}", 1.0 - i / 10, i) for i in range(1, 5)], "query_id string, id string, score double, rank int")
     anchors = frame(spark, [("s1", "a"), ("s2", "a"), ("s3", "a"), ("s4", "")], "id string, anchor string")
