@@ -33,7 +33,7 @@ FIT_ROWS = 4096
 SKETCH_WORDS, SKETCH_MOST = 4, 82
 #: What probing one signature and one candidate cost, in the same unit.
 SIGNATURE_COST, CANDIDATE_COST = 1.0, 0.2
-#: Members up to which a group of texts with one set is spelled out pair by pair; in a larger one each is linked to the group's first.
+#: Copies of one text, letter by letter, up to which they are spelled out pair by pair; of more, each is linked to the first copy.
 SPELL_OUT = 64
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -80,7 +80,7 @@ SHINGLES = {"content": word_shingles, "title": character_shingles}
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
-    """(field_name, key, same, n, items): the set of shingles of each text that is long enough; same is a digest of the set.
+    """(field_name, key, same, raw, n, items): the set of shingles of each text that is long enough; same is a digest of the set, raw one of the text.
 
     texts: (field_name, key, text). Null texts and texts too short for a comparison give no rows.
     """
@@ -89,16 +89,16 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            fields, keys, same, n, items = [], [], [], [], []
+            fields, keys, same, raw, n, items = [], [], [], [], [], []
             for f, k, t in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 s = SHINGLES[f](t)
                 if s is not None:
-                    fields.append(f), keys.append(k), same.append(xxhash.xxh3_128_digest(s.tobytes())), n.append(len(s)), items.append(s)
+                    fields.append(f), keys.append(k), same.append(xxhash.xxh3_128_digest(s.tobytes())), raw.append(xxhash.xxh3_128_digest(t.encode())), n.append(len(s)), items.append(s)
             offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
             flat = pa.array(np.concatenate(items) if items else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(fields, pa.string()), pa.array(keys, pa.string()), pa.array(same, pa.binary()), pa.array(n, pa.int32()), pa.ListArray.from_arrays(offsets, flat)], names=["field_name", "key", "same", "n", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array(fields, pa.string()), pa.array(keys, pa.string()), pa.array(same, pa.binary()), pa.array(raw, pa.binary()), pa.array(n, pa.int32()), pa.ListArray.from_arrays(offsets, flat)], names=["field_name", "key", "same", "raw", "n", "items"])
 
-    return texts.select("field_name", "key", "text").where("text IS NOT NULL AND key IS NOT NULL").mapInArrow(run, "field_name string, key string, same binary, n int, items array<long>")
+    return texts.select("field_name", "key", "text").where("text IS NOT NULL AND key IS NOT NULL").mapInArrow(run, "field_name string, key string, same binary, raw binary, n int, items array<long>")
 
 
 def codes_of(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -240,15 +240,17 @@ def similar_sets(firsts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (field_name, id, key, size, first) and links (field_name, a, b, both, either) between the ids of different sets.
+    """Members (field_name, id, key, raw, size, first, copies, head) and links (field_name, a, b, both, either) between the ids of different sets.
 
     texts: (field_name, key, text); a key's repeated rows count once if their sets agree. All texts with one set of shingles are one
-    member class, found by its digest, so that copies are never paired with one another; its set is kept once.
+    member class, found by its digest, so that copies are never paired with one another; its set is kept once. size and first are the class's
+    number of keys and least key, copies and head those of the keys in it with the very same text (raw).
     """
     sets = materialize(shingle_sets(texts).withColumn("id", F.xxhash64("field_name", "same")))
-    members = sets.select("field_name", "id", "key").distinct()
-    classes = members.groupBy("field_name", "id").agg(F.min("key").alias("first"), F.count("*").alias("size"))
-    members = materialize(members.join(classes, ["field_name", "id"]))
+    members = sets.groupBy("field_name", "id", "key").agg(F.min("raw").alias("raw"))
+    texts = members.groupBy("field_name", "id", "raw").agg(F.min("key").alias("head"), F.count("*").alias("copies"))
+    classes = texts.groupBy("field_name", "id").agg(F.min("head").alias("first"), F.sum("copies").alias("size"))
+    members = materialize(members.join(texts, ["field_name", "id", "raw"]).join(classes, ["field_name", "id"]))
     firsts = sets.join(members.where("key = first").select("field_name", "id", "key"), ["field_name", "id", "key"], "left_semi").dropDuplicates(["field_name", "id"])
     firsts = materialize(firsts.select("field_name", "id", "n", "items"))
     return members, materialize(similar_sets(firsts))
@@ -257,14 +259,14 @@ def near_duplicates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def spelled_out(members: DataFrame, links: DataFrame) -> DataFrame:
     """(field_name, left_key, right_key): every similar pair of keys, the smaller first.
 
-    Groups of more than SPELL_OUT copies are given as links of each member to the first, and other sets are linked to the first only: nothing
-    is lost, as copies have the same partners.
+    Of more than SPELL_OUT copies of the very same text only the first is paired with other texts, of its own class and of others, and each
+    other copy is linked to it: the pairs left out follow, as such copies have the same partners. Different texts are always paired.
     """
-    shown = members.where((F.col("size") <= SPELL_OUT) | (F.col("key") == F.col("first")))
-    few = members.where("size > 1")
-    small = few.where(F.col("size") <= SPELL_OUT)
-    inner = small.select("field_name", "id", F.col("key").alias("x")).join(small.select("field_name", "id", F.col("key").alias("y")), ["field_name", "id"]).where("x < y")
-    star = few.where((F.col("size") > SPELL_OUT) & (F.col("key") != F.col("first"))).select("field_name", "id", F.col("first").alias("x"), F.col("key").alias("y"))
+    many = F.col("copies") > SPELL_OUT
+    shown = members.where(~many | (F.col("key") == F.col("head")))
+    few = shown.where("size > 1")
+    inner = few.select("field_name", "id", F.col("key").alias("x")).join(few.select("field_name", "id", F.col("key").alias("y")), ["field_name", "id"]).where("x < y")
+    star = members.where(many & (F.col("key") != F.col("head"))).select("field_name", F.col("head").alias("x"), F.col("key").alias("y"))
     cross = links.join(shown.select("field_name", F.col("id").alias("a"), F.col("key").alias("x")), ["field_name", "a"]).join(shown.select("field_name", F.col("id").alias("b"), F.col("key").alias("y")), ["field_name", "b"])
     pairs = inner.select("field_name", "x", "y").unionByName(star.select("field_name", "x", "y")).unionByName(cross.select("field_name", "x", "y"))
     return pairs.where("x <> y").select("field_name", F.least("x", "y").alias("left_key"), F.greatest("x", "y").alias("right_key")).distinct()

@@ -66,6 +66,17 @@ def test_hot_copies_are_linked_to_the_first(spark):
     assert ("title", "k000", "near") in got and len(got) == 100
 
 
+def test_only_copies_to_the_letter_are_linked_to_the_first(spark):
+    same = [("title", f"k{i:03d}", "exactly the same title") for i in range(70)]
+    other = [("title", f"u{i:02d}", f"Exactly{'!' * (i + 1)} the same title") for i in range(3)]
+    near = [("title", "near", "exactly the same titles")]
+    pairs = {(a, b) for _, a, b in brute(same + other + near)}
+    got = {(a, b) for _, a, b in found(spark, same + other + near)}
+    copies = {k for _, k, _ in same} - {"k000"}
+    assert got == {(a, b) for a, b in pairs if not {a, b} & copies} | {("k000", k) for k in copies}
+    assert {("near", "u01"), ("u00", "u02"), ("k000", "u01")} <= got
+
+
 def test_groups(spark):
     base = [f"w{i}" for i in range(100)]
     step = lambda k: " ".join(base[k:] + [f"x{j}" for j in range(k)])
