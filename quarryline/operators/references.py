@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,7 +74,7 @@ def _later(keys: Sequence[ForeignKey], tables: set[str]) -> list[ForeignKey]:
     return [fk for fk in keys if fk.parent in tables]
 
 
-def orphan_cascade(tables: Mapping[str, DataFrame], direct: Sequence[ForeignKey], inherited: Sequence[ForeignKey] = (), max_depth: int = 50) -> DataFrame:
+def orphan_cascade(tables: Mapping[str, DataFrame], direct: Sequence[ForeignKey], inherited: Sequence[ForeignKey] = ()) -> DataFrame:
     """(source_table, row_key, orphan_kind, orphan_month, depth, inherited_from): direct orphans at depth 0, then their children.
 
     direct: keys whose own target is looked up. inherited: keys along which being an orphan passes on: records that refer
@@ -87,7 +88,7 @@ def orphan_cascade(tables: Mapping[str, DataFrame], direct: Sequence[ForeignKey]
         level = found if level is None else level.unionByName(found)
     level = level.withColumns({"depth": F.lit(0), "inherited_from": F.lit(None).cast("string")})
     total, reached, seen = level, {fk.child for fk in direct}, {fk.child for fk in direct}
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
         ahead = _later(inherited, reached)
         if not ahead:
             break

@@ -47,6 +47,14 @@ def test_circle_ends(spark):
     assert got == [("child", "a", "missing", "2024-01", 0), ("child", "b", "inherited", "2024-01", 1), ("child", "c", "inherited", "2024-01", 2)]
 
 
+def test_chain_deeper_than_fifty(spark):
+    loop = ForeignKey("child", id_or_null("k"), id_or_null("ref"), "child", id_or_null("k"))
+    names = [f"n{i:02d}" for i in range(54)]
+    rows = [(k, "nope" if i == 0 else names[i - 1], T1) for i, k in enumerate(names)]
+    got = run(spark, rows, [(k, T1, None) for k in names], [loop])
+    assert [(x[1], x[4]) for x in got] == [(k, i) for i, k in enumerate(names)]
+
+
 def test_hot_parent(spark):
     children = [(f"k{i}", "hot" if i % 3 else "nope", T1) for i in range(600)]
     assert len(run(spark, children, [("hot", T1, None)])) == 200
