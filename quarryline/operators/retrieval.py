@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.functions.cleaning import id_or_null
-from quarryline.functions.text import STOPWORDS, query_tokens, tokens
+from quarryline.functions.text import STOPWORDS, query_tokens, raw_tokens, tokens
 from quarryline.operators.relational import min_max
 from quarryline.plans.catalog import query
 from quarryline.plans.stages import materialize, table
@@ -81,18 +81,34 @@ def term_weights(asked: DataFrame, index: DataFrame, units: DataFrame) -> DataFr
     return asked.join(df, "term").crossJoin(F.broadcast(stats)).select("query_id", "term", F.when(raw > 0, raw).otherwise(1e-6).alias("idf"), "mean_dl")
 
 
+def retried(queries: DataFrame, weighed: DataFrame, index: DataFrame, units: DataFrame, scoped: DataFrame | None = None) -> DataFrame:
+    """weighed, with the queries whose terms met no term of the index (or of its part in a scope) weighed anew by all their tokens.
+
+    queries: (query_id, terms, raw); one whose raw tokens are its terms isn't tried again.
+    """
+    met = weighed if scoped is None else weighed.join(scoped.select("term").distinct(), "term", "left_semi")
+    wider = queries.where(F.size(F.array_except("raw", "terms")) > 0).select("query_id", "raw")
+    rest = materialize(wider.join(met.select("query_id").distinct(), "query_id", "left_anti").select("query_id", F.explode("raw").alias("term")).distinct())
+    if rest.isEmpty():
+        return weighed
+    return weighed.join(rest.select("query_id").distinct(), "query_id", "left_anti").unionByName(term_weights(rest, index, units))
+
+
 _PART = f"idf * tf * {K1 + 1}D / (tf + {K1}D * ({1 - B}D + {B}D * dl / mean_dl))"  # doubles, not decimals
 
 
 def bm25(queries: DataFrame, index: DataFrame, units: DataFrame, scope: DataFrame | None = None) -> DataFrame:
     """(query_id, id, bm25): the smaller, the better; all units that share a term with the query.
 
-    queries: (query_id, terms). Weights of terms always come from the whole index; a scope, a frame of ids, only restricts which units are
+    queries: (query_id, terms) and, to search those without a hit once more by all their tokens, raw. Weights of terms always come from the whole index; a scope, a frame of ids, only restricts which units are
     scored, and an empty one gives no rows. The statistics are one row. Queries go to the postings, which stay parted by id.
     """
-    weighed = _sized(term_weights(queries.select("query_id", F.explode("terms").alias("term")).distinct(), index, units))
-    if scope is not None:
-        index = index.join(scope.select("id").distinct(), "id", "left_semi")
+    weighed = term_weights(queries.select("query_id", F.explode("terms").alias("term")).distinct(), index, units)
+    scoped = None if scope is None else index.join(scope.select("id").distinct(), "id", "left_semi")
+    if "raw" in queries.columns:
+        weighed = retried(queries, materialize(weighed), index, units, scoped)
+    weighed = _sized(weighed)
+    index = index if scoped is None else scoped
     return index.join(weighed, "term").groupBy("id", "query_id").agg((-F.sum(F.expr(_PART))).alias("bm25")).select("query_id", "id", "bm25")
 
 
@@ -127,11 +143,13 @@ def scored_pairs(queries: DataFrame, units: DataFrame) -> DataFrame:
     """(query_id, id, bm25, overlap, asked, held): every unit that BM25 finds, with its shared tokens and both token counts; written out, as all rankings read it.
 
     Terms and tokens are met in one join and counted in one aggregation, which needs no exchange as the units are parted by id. A query of stopwords
-    only is searched by all its tokens and has no shared ones.
+    only, or whose other tokens meet no unit, is searched by all its tokens.
     """
-    q = queries.select("query_id", query_tokens("query").alias("terms"), tokens("query").alias("content"))
+    q = queries.select("query_id", query_tokens("query").alias("terms"), F.array_distinct(raw_tokens("query")).alias("raw"), tokens("query").alias("content"))
     both = _entries(units, True)
-    weighed = term_weights(q.select("query_id", F.explode("terms").alias("term")).distinct(), both.where("kind = 0"), units)
+    index = both.where("kind = 0")
+    weighed = materialize(term_weights(q.select("query_id", F.explode("terms").alias("term")).distinct(), index, units))
+    weighed = retried(q, weighed, index, units)
     asked = q.select("query_id", F.explode("content").alias("term"))
     sides = weighed.select("query_id", F.lit(0).alias("kind"), "term", "idf", "mean_dl").unionByName(asked.select("query_id", F.lit(1).alias("kind"), "term", F.lit(0.0).alias("idf"), F.lit(1.0).alias("mean_dl")))
     hits = both.join(_sized(sides), ["kind", "term"]).groupBy("id", "query_id")
@@ -203,9 +221,9 @@ def text_tokens(spark, sf_dir):
 
 @query("lex_bm25", f"WITH {_UNITS_SQL} SELECT query_id, id, round(bm25, 6) AS bm25 FROM scored")
 def lex_bm25(spark, sf_dir):
-    """BM25 of every unit for every query, stopword-only queries by all their words."""
+    """BM25 of every unit for every query, those without content words or without a hit by all their words."""
     units = chunk_units(spark, sf_dir)
-    q = title_queries(spark, sf_dir).select("query_id", query_tokens("query").alias("terms"))
+    q = title_queries(spark, sf_dir).select("query_id", query_tokens("query").alias("terms"), F.array_distinct(raw_tokens("query")).alias("raw"))
     return bm25(q, postings(units), units).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
 
 
@@ -214,7 +232,7 @@ def lex_bm25_scoped(spark, sf_dir):
     """The same within a scope, weights still from all units."""
     units = chunk_units(spark, sf_dir)
     scope = table(spark, sf_dir, "core_docs_chunk_metadata", "chunk_uid", "item_kind").where("item_kind = 'struct'").select(id_or_null("chunk_uid").alias("id"))
-    q = title_queries(spark, sf_dir).select("query_id", query_tokens("query").alias("terms"))
+    q = title_queries(spark, sf_dir).select("query_id", query_tokens("query").alias("terms"), F.array_distinct(raw_tokens("query")).alias("raw"))
     return bm25(q, postings(units), units, scope).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
 
 

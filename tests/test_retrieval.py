@@ -5,7 +5,7 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
-from quarryline.functions.text import query_tokens, tokens
+from quarryline.functions.text import query_tokens, raw_tokens, tokens
 from quarryline.operators import retrieval as r
 from quarryline.operators.relational import min_max
 
@@ -100,6 +100,17 @@ def test_pools(spark, size, a, b):
     assert floor == ["s1", "y", "l1", "x"] and r.lexical_floor_pool(lex, sem, 2, 0).count() == 0
 
 
+def test_queries_without_a_hit_are_searched_by_all_their_tokens(spark):
+    units = frame(spark, TEXTS, "id string, heading string, text string")
+    q = frame(spark, [("q1", "zzz the and"), ("q2", "frame the"), ("q3", "zzz yyy"), ("q4", "pool")], "query_id string, query string")
+    pairs = r.scored_pairs(q, units)
+    assert sorted((x.query_id, x.id) for x in pairs.collect()) == [("q1", "a"), ("q2", "b"), ("q4", "a"), ("q4", "c")]
+    terms = q.select("query_id", query_tokens("query").alias("terms"), F.array_distinct(raw_tokens("query")).alias("raw"))
+    scope = frame(spark, [("a",), ("e",)], "id string")
+    got = r.bm25(terms, r.postings(units), units, scope).collect()
+    assert sorted((x.query_id, x.id) for x in got) == [("q1", "a"), ("q2", "a"), ("q4", "a")]
+
+
 def test_pools_of_the_whole_window_overwrite_their_members_only(spark):
     lex = frame(spark, [("q", f"l{n:03}", 1.0 - n / 1000, -1.0, n) for n in range(1, 31)], LEX)
     sem = frame(spark, [("q", f"s{n:03}", 1.0 - n / 1000, 0.25, 0.5, n) for n in range(1, 121)], SEM)
