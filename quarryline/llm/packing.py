@@ -38,8 +38,8 @@ class Pattern:
 def plan_containers(counts: Mapping[int, int], capacity: int = CAPACITY, tiers: tuple[int, ...] = TIERS) -> list[Pattern]:
     """Patterns that together hold every item of a table of lengths (1 to capacity) and their numbers.
 
-    Longest tier first: a container begins with the longest item left of its tier, takes what fits of the same tier, then fills its gap
-    from the shorter tiers, always with the longest item that fits. A pattern is repeated as often as the numbers allow, so that
+    One pass, longest first: a container begins with the longest item left and is filled always with the longest item that fits, so that items of
+    its own tier come before those of shorter ones. Tiers label the patterns and do not change them. A pattern is repeated as often as the numbers allow, so that
     the work and the plan depend on the lengths there are, at most ``capacity``, and not on the number of items.
     """
     left = {length: n for length, n in counts.items() if n > 0}

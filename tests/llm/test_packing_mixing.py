@@ -12,6 +12,13 @@ from quarryline.llm import packing as p
 from quarryline.llm.tokens import encoder, token_counts
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 30), max_size=20))
+def test_tiers_are_labels_only(counts):
+    tiered, plain = p.plan_containers(counts, 64, (8, 16, 32, 64)), p.plan_containers(counts, 64, (64,))
+    assert [(c.lengths, c.times) for c in tiered] == [(c.lengths, c.times) for c in plain]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 30), max_size=20))
 def test_plan(counts):
