@@ -272,7 +272,7 @@ def _levels(spark, sf_dir: str) -> DataFrame:
 
 
 def p9_found(spark, sf_dir: str) -> DataFrame:
-    """Demanding English documents: those whose score can be that of one, by the graded scale, checked by the exact index."""
+    """Demanding English documents, by the exact index; the bound on a score bin's highest index before it never changes the rows."""
     graded = _levels(spark, sf_dir).where(F.col("level_top") >= DEMANDING)
     english = table(spark, sf_dir, "documents", "doc_id", "lang").where(F.lower("lang").startswith("en")).select("doc_id")
     exact = graded.where((F.col("words") >= LEAST_WORDS) & (F.col("ari") >= DEMANDING)).select("doc_id")
