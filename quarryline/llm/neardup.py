@@ -2,18 +2,20 @@
 
 A text's code is SYMBOLS min-hash values of its shingles; two texts of similarity s agree in each with chance s. The bits of one value agree or
 differ together, and values that collide often do so on the same common shingles: such correlated bits are grouped into
-partitions of WIDTH values, the commonest together. A partition may then be left out (threshold -1), have to agree wholly (0), or all but one
+partitions of WIDTH values, the commonest together. A partition may be left out (threshold -1), have to agree wholly (0), or in all but one
 value (1). With fixed radii the integer pigeonhole bound would need sum(threshold + 1) to exceed about half the values, which at
 0.6 selects nearly all pairs; so the budget that the thresholds must fill is the chance to miss a pair: dynamic programming
 allocates them at the least estimated number of signatures and candidates such that a pair exactly at the threshold is missed with a
-chance of at most MISS. Candidates are probed by signature, thinned by a bit sketch and verified exactly on their sets.
+chance of at most ``miss``. Candidates are probed by signature, thinned by a bit sketch and verified exactly on their sets.
+
+Nothing is broadcast here: signatures are many times the texts, which the planner's estimates don't know, so every join is hinted to be a merge.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +28,17 @@ from quarryline.plans.stages import materialize, table
 #: The least similarity of a pair, as a fraction; its values are compared in whole numbers.
 SIMILAR = (6, 10)
 #: Min-hash values of a code, values of a partition, and the chance of missing a pair that is just similar enough.
-SYMBOLS, WIDTH, MISS = 256, 4, 1e-5
+SYMBOLS, WIDTH, MISS = 192, 3, 1e-5
 #: Rows on which thresholds are fitted: a bound on what the driver sees, not on what is indexed.
 FIT_ROWS = 4096
-#: Bits of the sketch and the most of them in which a similar pair may differ: 4.75 standard deviations beyond its mean.
-SKETCH_WORDS, SKETCH_MOST = 4, 82
+#: Words of 64 bits of the sketch and the most bits in which a similar pair may differ: 4.75 standard deviations beyond its mean.
+SKETCH_WORDS, SKETCH_MOST = 2, 47
 #: What probing one signature and one candidate cost, in the same unit.
 SIGNATURE_COST, CANDIDATE_COST = 1.0, 0.2
 #: Copies of one text, letter by letter, up to which they are spelled out pair by pair; of more, each is linked to the first copy.
 SPELL_OUT = 64
+#: Bytes of shingles that one partition of the verifying joins is meant to hold.
+PART_BYTES = 64_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20240229)
@@ -80,7 +84,7 @@ SHINGLES = {"content": word_shingles, "title": character_shingles}
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
-    """(field_name, key, same, raw, n, items): the set of shingles of each text that is long enough; same is a digest of the set, raw one of the text.
+    """(field_name, key, id, raw, n, items): the set of shingles of each text that is long enough; id is a digest of the field and the set, raw one of the text.
 
     texts: (field_name, key, text). Null texts and texts too short for a comparison give no rows.
     """
@@ -89,28 +93,30 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            fields, keys, same, raw, n, items = [], [], [], [], [], []
+            fields, keys, ids, raw, n, items = [], [], [], [], [], []
             for f, k, t in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 s = SHINGLES[f](t)
                 if s is not None:
-                    fields.append(f), keys.append(k), same.append(xxhash.xxh3_128_digest(s.tobytes())), raw.append(xxhash.xxh3_128_digest(t.encode())), n.append(len(s)), items.append(s)
+                    fields.append(f), keys.append(k), ids.append(xxhash.xxh3_128_digest(s.tobytes(), zlib.crc32(f.encode()))), raw.append(xxhash.xxh3_128_digest(t.encode())), n.append(len(s)), items.append(s)
             offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
             flat = pa.array(np.concatenate(items) if items else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(fields, pa.string()), pa.array(keys, pa.string()), pa.array(same, pa.binary()), pa.array(raw, pa.binary()), pa.array(n, pa.int32()), pa.ListArray.from_arrays(offsets, flat)], names=["field_name", "key", "same", "raw", "n", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array(fields, pa.string()), pa.array(keys, pa.string()), pa.array(ids, pa.binary()), pa.array(raw, pa.binary()), pa.array(n, pa.int32()), pa.ListArray.from_arrays(offsets, flat)], names=["field_name", "key", "id", "raw", "n", "items"])
 
-    return texts.select("field_name", "key", "text").where("text IS NOT NULL AND key IS NOT NULL").mapInArrow(run, "field_name string, key string, same binary, raw binary, n int, items array<long>")
+    return texts.select("field_name", "key", "text").where("text IS NOT NULL AND key IS NOT NULL").mapInArrow(run, "field_name string, key string, id binary, raw binary, n int, items array<long>")
 
 
-def codes_of(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Min-hash values of each set, a row each; flat has the sets' items one after another."""
+def codes_of(flat: np.ndarray, sizes: np.ndarray, columns: Sequence[int] | None = None) -> np.ndarray:
+    """Min-hash values of each set, a row each; flat has the sets' items one after another. With ``columns`` only those values are worked out."""
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
     base = _mix(flat.view(np.uint64))
-    out = np.empty((len(sizes), SYMBOLS), np.uint32)
+    x = np.empty_like(base)
+    out = np.zeros((len(sizes), SYMBOLS), np.uint64)
     with np.errstate(over="ignore"):
-        for j in range(SYMBOLS):
-            x = base * _A[j] + _B[j]
-            out[:, j] = np.minimum.reduceat(((x ^ (x >> np.uint64(29))) * _MIX >> np.uint64(32)).astype(np.uint32), starts)
-    return out
+        for j in range(SYMBOLS) if columns is None else columns:
+            np.multiply(base, _A[j], out=x)
+            np.add(x, _B[j], out=x)
+            out[:, j] = np.minimum.reduceat(x, starts)
+    return (_mix(out) >> np.uint64(32)).astype(np.uint32)
 
 
 def allocate(sample: np.ndarray, total: int, similar: float = SIMILAR[0] / SIMILAR[1], miss: float = MISS) -> list[tuple[tuple[int, ...], int]]:
@@ -183,19 +189,20 @@ def signature_rows(codes: np.ndarray, plan: list[tuple[tuple[int, ...], int]], f
 
 
 def sketches(codes: np.ndarray) -> np.ndarray:
-    """One bit a value, in words of 64."""
-    bits = np.packbits((codes & 1).astype(np.uint8), axis=1)
-    return np.ascontiguousarray(bits).view(np.int64)[:, :SKETCH_WORDS]
+    """One bit of each of the first values, in words of 64."""
+    bits = np.packbits((codes[:, : SKETCH_WORDS * 64] & 1).astype(np.uint8), axis=1)
+    return np.ascontiguousarray(bits).view(np.int64)
+
 
+_SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
-def _coded(batch: pa.RecordBatch) -> np.ndarray:
-    items = batch.column("items")
-    return codes_of(items.flatten().to_numpy(), items.value_lengths().to_numpy())
 
+def candidate_signatures(firsts: DataFrame, plans: dict[str, list], *extra: str) -> DataFrame:
+    """(sig, short, n, s0.., extra): the signatures of each set; all of it numbers of a fixed width, as this is what is exchanged.
 
-def candidate_signatures(firsts: DataFrame, plans: dict[str, list]) -> DataFrame:
-    """(sig, id, n, s0..): the signatures of the first text of each set; all of it numbers of a fixed width, as this is what is exchanged."""
-    words = [f"s{i}" for i in range(SKETCH_WORDS)]
+    extra: further columns of firsts, of type long, that go along.
+    """
+    used = {f: sorted({*range(SKETCH_WORDS * 64), *(c for columns, t in plan if t >= 0 for c in columns)}) for f, plan in plans.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -204,88 +211,147 @@ def candidate_signatures(firsts: DataFrame, plans: dict[str, list]) -> DataFrame
                 fields = np.array(batch.column("field_name").to_pylist(), object)
                 for name in sorted(set(fields)):
                     part = batch.filter(pa.array(fields == name))
-                    codes = _coded(part)
+                    items = part.column("items")
+                    codes = codes_of(items.flatten().to_numpy(), items.value_lengths().to_numpy(), used[name])
                     rows, signatures = signature_rows(codes, plans[name], name)
                     sketch = sketches(codes)[rows]
-                    yield pa.RecordBatch.from_arrays([pa.array(signatures), part.column("id").take(pa.array(rows)), part.column("n").take(pa.array(rows)), *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS)]], names=["sig", "id", "n", *words])
-
-    return firsts.select("field_name", "id", "n", "items").mapInArrow(run, "sig long, id long, n int, " + ", ".join(f"{w} long" for w in words))
+                    along = [part.column(c).take(pa.array(rows)) for c in ("short", "n", *extra)]
+                    yield pa.RecordBatch.from_arrays([pa.array(signatures), *along[:2], *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS)], *along[2:]], names=["sig", "short", "n", *_SKETCH, *extra])
 
+    return firsts.select("field_name", "short", "n", "items", *extra).mapInArrow(run, "sig long, short long, n int, " + ", ".join(f"{w} long" for w in (*_SKETCH, *extra)))
 
-def similar_sets(firsts: DataFrame) -> DataFrame:
-    """(field_name, a, b, both, either): pairs of ids whose sets are similar; firsts: (field_name, id, n, items), id unique.
 
-    Signatures that many sets share make large partitions of the join, which adaptive execution cuts on either side.
-    """
+def fit_plans(firsts: DataFrame, miss: float = MISS) -> dict[str, list]:
+    """For each field, its partitions and thresholds, from the number of its sets and the codes of at most FIT_ROWS of them."""
     plans = {}
     for row in firsts.groupBy("field_name").agg(F.count("*").alias("total")).collect():  # a row a field
         name = row["field_name"]
         sample = firsts.where(F.col("field_name") == name).select("n", "items", F.xxhash64("id").alias("h")).orderBy("h").limit(FIT_ROWS).select("n", "items").toArrow()
         flat = np.concatenate([np.asarray(x.values.to_numpy()) for x in sample.column("items")])
-        plans[name] = allocate(codes_of(flat, sample.column("n").to_numpy()), row["total"])
-    sigs = candidate_signatures(firsts, plans)
-    words = [f"s{i}" for i in range(SKETCH_WORDS)]
-    right = sigs.select("sig", *[F.col(c).alias(f"{c}_") for c in ("id", "n", *words)])
-    apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_"))) for w in words[1:]), F.bit_count(F.col("s0").bitwiseXOR(F.col("s0_"))))
+        plans[name] = allocate(codes_of(flat, sample.column("n").to_numpy()), row["total"], miss=miss)
+    return plans
+
+
+def _near(x: str, y: str):
+    """Whether two sets of these aliases may be similar, by their sizes and sketches."""
+    p, q = SIMILAR
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    apart = sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in _SKETCH), F.lit(0))
+    return (n * q >= m * p) & (m * q >= n * p) & (apart <= SKETCH_MOST)
+
+
+def _merged(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    return left.join(right.hint("merge"), on, how)
+
+
+def verified(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(field_name, a, b, both, either): those of the candidates (x, y: hashes of ids) whose sets are similar, each once.
+
+    firsts is parted by ``short``, so that only the pairs and the sets of those on the left are exchanged. Should two ids have one hash, both are looked at.
+    """
     p, q = SIMILAR
-    sized = (F.col("n") * q >= F.col("n_") * p) & (F.col("n_") * q >= F.col("n") * p)
-    near = sigs.join(right, "sig").where((F.col("id") < F.col("id_")) & sized & (apart <= SKETCH_MOST))
-    pairs = near.select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
-    sets = firsts.select("field_name", "id", "n", "items")
-    left = pairs.join(sets.select("field_name", F.col("id").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia")), "a")
-    both = left.join(sets.select(F.col("field_name").alias("other"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib")), "b").where(F.col("other") == F.col("field_name"))
-    both = both.select("field_name", "a", "b", "na", "nb", F.size(F.array_intersect("ia", "ib")).alias("both"))
+    left = firsts.select(F.col("short").alias("x"), "field_name", F.col("id").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia"))
+    right = firsts.select(F.col("short").alias("y"), F.col("field_name").alias("other"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
+    met = _merged(_merged(pairs.select("x", "y").distinct(), left, "x"), right, "y").where(F.col("other") == F.col("field_name"))
+    met = met.select("field_name", "a", "b", "na", "nb", F.size(F.array_intersect("ia", "ib")).alias("both"))
     either = F.col("na") + F.col("nb") - F.col("both")
-    return both.where(F.col("both") * q >= either * p).select("field_name", "a", "b", "both", either.alias("either"))
+    return met.where(F.col("both") * q >= either * p).select("field_name", "a", "b", "both", either.alias("either"))
 
 
-def near_duplicates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (field_name, id, key, raw, size, first, copies, head) and links (field_name, a, b, both, either) between the ids of different sets.
+def similar_sets(firsts: DataFrame, miss: float = MISS) -> DataFrame:
+    """(field_name, a, b, both, either): pairs of ids whose sets are similar; firsts: as from classes_of.
+
+    Both sides of the self-join are one exchange, read twice. Signatures that many sets share make large partitions of the join, which adaptive
+    execution cuts on either side. All pairs are given, so a template of n reworked texts has up to n * n / 2 rows here; groups_of has one row a text.
+    """
+    sigs = candidate_signatures(firsts, fit_plans(firsts, miss))
+    x, y = sigs.alias("x"), sigs.alias("y")
+    near = _merged(x, y, F.col("x.sig") == F.col("y.sig")).where((F.col("x.short") < F.col("y.short")) & _near("x", "y"))
+    return verified(near.select(F.col("x.short").alias("x"), F.col("y.short").alias("y")), firsts)
+
+
+def classes_of(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (field_name, id, key, raw, size, first, copies, head) and sets (field_name, id, short, n, items), one row an id, parted by short.
 
     texts: (field_name, key, text); a key's repeated rows count once if their sets agree. All texts with one set of shingles are one
     member class, found by its digest, so that copies are never paired with one another; its set is kept once. size and first are the class's
     number of keys and least key, copies and head those of the keys in it with the very same text (raw).
     """
-    sets = materialize(shingle_sets(texts).withColumn("id", F.xxhash64("field_name", "same")))
+    sets = materialize(shingle_sets(texts))
     members = sets.groupBy("field_name", "id", "key").agg(F.min("raw").alias("raw"))
-    texts = members.groupBy("field_name", "id", "raw").agg(F.min("key").alias("head"), F.count("*").alias("copies"))
-    classes = texts.groupBy("field_name", "id").agg(F.min("head").alias("first"), F.sum("copies").alias("size"))
-    members = materialize(members.join(texts, ["field_name", "id", "raw"]).join(classes, ["field_name", "id"]))
-    firsts = sets.join(members.where("key = first").select("field_name", "id", "key"), ["field_name", "id", "key"], "left_semi").dropDuplicates(["field_name", "id"])
-    firsts = materialize(firsts.select("field_name", "id", "n", "items"))
-    return members, materialize(similar_sets(firsts))
+    same = members.groupBy("field_name", "id", "raw").agg(F.min("key").alias("head"), F.count("*").alias("copies"))
+    classes = same.groupBy("field_name", "id").agg(F.min("head").alias("first"), F.sum("copies").alias("size"))
+    members = materialize(_merged(_merged(members, same, ["field_name", "id", "raw"]), classes, ["field_name", "id"]))
+    size = sets.agg(F.sum("n")).first()[0] or 0
+    parts = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size * 8 // PART_BYTES))
+    once = sets.groupBy("field_name", "id").agg(F.first("n").alias("n"), F.first("items").alias("items"))
+    firsts = once.select("field_name", "id", F.xxhash64("id").alias("short"), "n", "items").repartition(parts, "short")
+    return members, materialize(firsts)
+
 
+def near_duplicates(texts: DataFrame, miss: float = MISS) -> tuple[DataFrame, DataFrame]:
+    """Members, as from classes_of, and links (field_name, a, b, both, either) between the ids of different sets."""
+    members, firsts = classes_of(texts)
+    return members, materialize(similar_sets(firsts, miss))
 
-def spelled_out(members: DataFrame, links: DataFrame) -> DataFrame:
+
+def spelled_out(members: DataFrame, links: DataFrame, spell_out: int | None = SPELL_OUT) -> DataFrame:
     """(field_name, left_key, right_key): every similar pair of keys, the smaller first.
 
-    Of more than SPELL_OUT copies of the very same text only the first is paired with other texts, of its own class and of others, and each
-    other copy is linked to it: the pairs left out follow, as such copies have the same partners. Different texts are always paired.
+    Of more than spell_out copies of the very same text only the first is paired with other texts, of its own class and of others, and each
+    other copy is linked to it: the pairs left out follow, as such copies have the same partners. Different texts are always paired. With None
+    all copies are spelled out, however many.
     """
-    many = F.col("copies") > SPELL_OUT
+    many = F.lit(False) if spell_out is None else F.col("copies") > spell_out
     shown = members.where(~many | (F.col("key") == F.col("head")))
     few = shown.where("size > 1")
-    inner = few.select("field_name", "id", F.col("key").alias("x")).join(few.select("field_name", "id", F.col("key").alias("y")), ["field_name", "id"]).where("x < y")
+    inner = _merged(few.select("field_name", "id", F.col("key").alias("x")), few.select("field_name", "id", F.col("key").alias("y")), ["field_name", "id"]).where("x < y")
     star = members.where(many & (F.col("key") != F.col("head"))).select("field_name", F.col("head").alias("x"), F.col("key").alias("y"))
-    cross = links.join(shown.select("field_name", F.col("id").alias("a"), F.col("key").alias("x")), ["field_name", "a"]).join(shown.select("field_name", F.col("id").alias("b"), F.col("key").alias("y")), ["field_name", "b"])
+    cross = _merged(links, shown.select("field_name", F.col("id").alias("a"), F.col("key").alias("x")), ["field_name", "a"])
+    cross = _merged(cross, shown.select("field_name", F.col("id").alias("b"), F.col("key").alias("y")), ["field_name", "b"])
     pairs = inner.select("field_name", "x", "y").unionByName(star.select("field_name", "x", "y")).unionByName(cross.select("field_name", "x", "y"))
     return pairs.where("x <> y").select("field_name", F.least("x", "y").alias("left_key"), F.greatest("x", "y").alias("right_key")).distinct()
 
 
-def connected(members: DataFrame, links: DataFrame) -> DataFrame:
+def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(field_name, id, group): the least id that can be reached over links, by passing on least labels and jumping over them."""
-    edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = materialize(edges.select(F.col("a").alias("id")).distinct().withColumn("group", F.col("id")))
     while True:
-        heard = edges.join(labels.select(F.col("id").alias("b"), "group"), "b").groupBy(F.col("a").alias("id")).agg(F.min("group").alias("near"))
-        step = labels.join(heard, "id").select("id", F.col("group").alias("old"), F.least("group", "near").alias("group"))
-        jump = step.join(labels.select(F.col("id").alias("group"), F.col("group").alias("far")), "group").select("id", "old", F.least("group", "far").alias("group"))
+        heard = _merged(edges, labels.select(F.col("id").alias("b"), "group"), "b").groupBy(F.col("a").alias("id")).agg(F.min("group").alias("near"))
+        step = _merged(labels, heard, "id").select("id", F.col("group").alias("old"), F.least("group", "near").alias("group"))
+        jump = _merged(step, labels.select(F.col("id").alias("group"), F.col("group").alias("far")), "group").select("id", "old", F.least("group", "far").alias("group"))
         jump = materialize(jump)
         labels = jump.select("id", "group")
         if jump.where("old <> group").isEmpty():
             break
-    nodes = members.select("field_name", "id").distinct()
-    return nodes.join(labels, "id", "left").select("field_name", "id", F.coalesce("group", "id").alias("group"))
+    nodes = nodes.select("field_name", "id").distinct()
+    return _merged(nodes, labels, "id", "left").select("field_name", "id", F.coalesce("group", "id").alias("group"))
+
+
+def groups_of(firsts: DataFrame, miss: float = MISS) -> DataFrame:
+    """(field_name, id, group): the connected group of every set, without ever pairing all sets of a template with one another.
+
+    First each set is compared with the least set of each of its signatures only: at most one candidate a signature. What these links connect is
+    one group already, and its sets need no further comparison. Then every two sets that share a signature but not a group are compared, which
+    gives the same groups as all pairs do: a pair left out lies inside a group.
+    """
+    plans = fit_plans(firsts, miss)
+    columns = ["short", "n", *_SKETCH]
+    sigs = candidate_signatures(firsts, plans)
+    heads = sigs.groupBy("sig").agg(F.min(F.struct(*columns)).alias("h"), F.count("*").alias("held")).where("held > 1").select("sig", "h.*")
+    near = _merged(sigs.alias("y"), heads.alias("x"), F.col("x.sig") == F.col("y.sig")).where((F.col("x.short") < F.col("y.short")) & _near("x", "y"))
+    links = materialize(verified(near.select(F.col("x.short").alias("x"), F.col("y.short").alias("y")), firsts))
+    grouped = connected(firsts, links).select(F.xxhash64("id").alias("short"), "id", F.xxhash64("group").alias("label"))
+    sigs = materialize(candidate_signatures(_merged(firsts, grouped, ["short", "id"]), plans, "label"))
+    mixed = sigs.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
+    rows = _merged(sigs, mixed, "sig", "left_semi")
+    cells = rows.select("sig", "label").distinct()
+    two = _merged(cells.alias("x"), cells.alias("y"), F.col("x.sig") == F.col("y.sig")).where("x.label < y.label").select("x.sig", F.col("x.label").alias("one"), F.col("y.label").alias("two"))
+    met = _merged(two.alias("t"), rows.alias("x"), (F.col("t.sig") == F.col("x.sig")) & (F.col("t.one") == F.col("x.label"))).select(F.struct("t.*").alias("t"), F.struct("x.*").alias("x"))
+    met = _merged(met, rows.select(F.struct("*").alias("y")), (F.col("t.sig") == F.col("y.sig")) & (F.col("t.two") == F.col("y.label"))).where(_near("x", "y"))
+    far = materialize(verified(met.select(F.col("x.short").alias("x"), F.col("y.short").alias("y")), firsts))
+    return connected(firsts, links if far.isEmpty() else links.unionByName(far))
 
 
 def _texts(spark, sf_dir: str) -> DataFrame:
@@ -300,10 +366,10 @@ def p6_found(spark, sf_dir: str) -> DataFrame:
 
 def p6_groups(spark, sf_dir: str) -> DataFrame:
     """(field_name, key, group_key, group_size): every text that was compared, with the least key of its group."""
-    members, links = near_duplicates(_texts(spark, sf_dir))
-    rows = members.join(connected(members, links), ["field_name", "id"])
+    members, firsts = classes_of(_texts(spark, sf_dir))
+    rows = materialize(_merged(members, groups_of(firsts), ["field_name", "id"]).select("field_name", "key", "group"))
     heads = rows.groupBy("field_name", "group").agg(F.min("key").alias("group_key"), F.count("*").alias("group_size"))
-    return rows.join(heads, ["field_name", "group"]).select("field_name", "key", "group_key", "group_size")
+    return _merged(rows, heads, ["field_name", "group"]).select("field_name", "key", "group_key", "group_size")
 
 
 def _pairs_sql(field: str, source: str) -> str:
