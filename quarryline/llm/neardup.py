@@ -13,6 +13,7 @@ Nothing is broadcast here: signatures are many times the texts, which the planne
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator, Sequence
@@ -31,15 +32,13 @@ SIMILAR = (6, 10)
 SYMBOLS, WIDTH, MISS = 192, 3, 1e-5
 #: Rows on which thresholds are fitted: a bound on what the driver sees, not on what is indexed.
 FIT_ROWS = 4096
-#: Words of 64 bits of the sketch and the most bits in which a similar pair may differ: 4.75 standard deviations beyond its mean.
-SKETCH_WORDS, SKETCH_MOST = 2, 47
+#: Bits of each of the first SKETCH_OF values of a code that make its sketch, and the most values in which these may differ in a similar pair:
+#: 4.75 standard deviations beyond the mean of three in ten.
+SKETCH_BITS, SKETCH_OF, SKETCH_MOST = 2, 128, 63
 #: What probing one signature and one candidate cost, in the same unit.
 SIGNATURE_COST, CANDIDATE_COST = 1.0, 0.2
 #: Copies of one text, letter by letter, up to which they are spelled out pair by pair; of more, each is linked to the first copy.
 SPELL_OUT = 64
-#: Bytes of shingles that one partition of the verifying joins is meant to hold.
-PART_BYTES = 64_000_000
-
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20240229)
 _A = (_random.integers(0, 2**63, SYMBOLS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -119,8 +118,33 @@ def codes_of(flat: np.ndarray, sizes: np.ndarray, columns: Sequence[int] | None
     return (_mix(out) >> np.uint64(32)).astype(np.uint32)
 
 
+def _unlike(codes: np.ndarray, values: int = 64) -> np.ndarray:
+    """The rows of codes without those that agree with an earlier kept one in a third of some values.
+
+    Candidates that are similar indeed are wanted, so they must not count as a cost: a template that many texts follow would else lead
+    to the very values in which its texts differ.
+    """
+    left, kept = codes[:, np.linspace(0, codes.shape[1] - 1, values).astype(int)], []
+    rows = np.arange(len(codes))
+    while len(rows):
+        block = rows[:256]
+        same = np.zeros((len(block), len(rows)), np.uint8)
+        for j in range(values):
+            same += left[block, j][:, None] == left[rows, j][None, :]
+        like = same >= values // 3
+        gone = np.zeros(len(rows), bool)
+        for i in range(len(block)):
+            if not gone[i]:
+                kept.append(block[i])
+                gone |= like[i]
+                gone[i] = True
+        rows = rows[~gone]
+    return codes[kept]
+
+
 def allocate(sample: np.ndarray, total: int, similar: float = SIMILAR[0] / SIMILAR[1], miss: float = MISS) -> list[tuple[tuple[int, ...], int]]:
     """Partitions of the code's values and their thresholds (-1 left out), from the codes of a sample of ``total`` texts."""
+    sample = _unlike(sample)
     n = max(len(sample), 2)
     pairs = n * (n - 1) / 2
 
@@ -129,7 +153,8 @@ def allocate(sample: np.ndarray, total: int, similar: float = SIMILAR[0] / SIMIL
         for c in columns.T:
             h = _mix(h * np.uint64(31) + c.astype(np.uint64) + _MIX)
         _, counts = np.unique(h, return_counts=True)
-        return (float((counts * (counts - 1) // 2).sum()) + 0.5) / pairs
+        # in powers of four: finer differences are those of the texts at hand, and picking by them would pick the values in which these differ
+        return 4.0 ** round(math.log(float((counts * (counts - 1) // 2).sum() + 0.5) / pairs, 4))
 
     with np.errstate(over="ignore"):
         order = np.argsort([-collisions(sample[:, [j]]) for j in range(sample.shape[1])], kind="stable")
@@ -189,20 +214,21 @@ def signature_rows(codes: np.ndarray, plan: list[tuple[tuple[int, ...], int]], f
 
 
 def sketches(codes: np.ndarray) -> np.ndarray:
-    """One bit of each of the first values, in words of 64."""
-    bits = np.packbits((codes[:, : SKETCH_WORDS * 64] & 1).astype(np.uint8), axis=1)
-    return np.ascontiguousarray(bits).view(np.int64)
+    """SKETCH_BITS planes of one bit of each of the first values, in words of 64."""
+    planes = [np.packbits((codes[:, :SKETCH_OF] >> k & 1).astype(np.uint8), axis=1) for k in range(SKETCH_BITS)]
+    return np.ascontiguousarray(np.concatenate(planes, axis=1)).view(np.int64)
 
 
-_SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
+_WORDS = SKETCH_OF // 64
+_SKETCH = [f"s{i}" for i in range(SKETCH_BITS * _WORDS)]
 
 
 def candidate_signatures(firsts: DataFrame, plans: dict[str, list], *extra: str) -> DataFrame:
-    """(sig, short, n, s0.., extra): the signatures of each set; all of it numbers of a fixed width, as this is what is exchanged.
+    """(sig, id, n, s0.., extra): the signatures of each set.
 
-    extra: further columns of firsts, of type long, that go along.
+    firsts: one row an id; extra: further columns of it, of type long, that go along.
     """
-    used = {f: sorted({*range(SKETCH_WORDS * 64), *(c for columns, t in plan if t >= 0 for c in columns)}) for f, plan in plans.items()}
+    used = {f: sorted({*range(SKETCH_OF), *(c for columns, t in plan if t >= 0 for c in columns)}) for f, plan in plans.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -215,19 +241,21 @@ def candidate_signatures(firsts: DataFrame, plans: dict[str, list], *extra: str)
                     codes = codes_of(items.flatten().to_numpy(), items.value_lengths().to_numpy(), used[name])
                     rows, signatures = signature_rows(codes, plans[name], name)
                     sketch = sketches(codes)[rows]
-                    along = [part.column(c).take(pa.array(rows)) for c in ("short", "n", *extra)]
-                    yield pa.RecordBatch.from_arrays([pa.array(signatures), *along[:2], *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS)], *along[2:]], names=["sig", "short", "n", *_SKETCH, *extra])
+                    along = [part.column(c).take(pa.array(rows)) for c in ("id", "n", *extra)]
+                    yield pa.RecordBatch.from_arrays([pa.array(signatures), *along[:2], *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(_SKETCH))], *along[2:]], names=["sig", "id", "n", *_SKETCH, *extra])
 
-    return firsts.select("field_name", "short", "n", "items", *extra).mapInArrow(run, "sig long, short long, n int, " + ", ".join(f"{w} long" for w in (*_SKETCH, *extra)))
+    return firsts.select("field_name", "id", "n", "items", *extra).mapInArrow(run, "sig long, id binary, n int, " + ", ".join(f"{w} long" for w in (*_SKETCH, *extra)))
 
 
-def fit_plans(firsts: DataFrame, miss: float = MISS) -> dict[str, list]:
-    """For each field, its partitions and thresholds, from the number of its sets and the codes of at most FIT_ROWS of them."""
+def fit_plans(members: DataFrame, sets: DataFrame, miss: float = MISS) -> dict[str, list]:
+    """For each field, its partitions and thresholds, from the number of its classes and the codes of FIT_ROWS of them, those of the least hashes."""
+    classes = members.where("key = first").select("field_name", "id", F.xxhash64("id").alias("h"))
     plans = {}
-    for row in firsts.groupBy("field_name").agg(F.count("*").alias("total")).collect():  # a row a field
+    for row in classes.groupBy("field_name").agg(F.count("*").alias("total")).collect():  # a row a field
         name = row["field_name"]
-        sample = firsts.where(F.col("field_name") == name).select("n", "items", F.xxhash64("id").alias("h")).orderBy("h").limit(FIT_ROWS).select("n", "items").toArrow()
-        flat = np.concatenate([np.asarray(x.values.to_numpy()) for x in sample.column("items")])
+        least = classes.where(F.col("field_name") == name).select("h").orderBy("h").limit(FIT_ROWS).agg(F.max("h")).first()[0]
+        sample = first_sets(sets.where((F.col("field_name") == name) & (F.xxhash64("id") <= least))).select("n", "items").toArrow()
+        flat = np.concatenate([np.asarray(x.values.to_numpy()) for x in sample.column("items").chunks if len(x)])
         plans[name] = allocate(codes_of(flat, sample.column("n").to_numpy()), row["total"], miss=miss)
     return plans
 
@@ -236,7 +264,13 @@ def _near(x: str, y: str):
     """Whether two sets of these aliases may be similar, by their sizes and sketches."""
     p, q = SIMILAR
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    apart = sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in _SKETCH), F.lit(0))
+    different = lambda w: F.col(f"{x}.s{w}").bitwiseXOR(F.col(f"{y}.s{w}"))
+    apart = F.lit(0)
+    for w in range(_WORDS):
+        any_plane = different(w)
+        for k in range(1, SKETCH_BITS):
+            any_plane = any_plane.bitwiseOR(different(w + k * _WORDS))
+        apart = apart + F.bit_count(any_plane)
     return (n * q >= m * p) & (m * q >= n * p) & (apart <= SKETCH_MOST)
 
 
@@ -244,55 +278,55 @@ def _merged(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFr
     return left.join(right.hint("merge"), on, how)
 
 
+def first_sets(sets: DataFrame) -> DataFrame:
+    """(id, field_name, n, items): one row an id, parted by it. Not written out: within a query all its readers share one exchange."""
+    return sets.groupBy("id").agg(F.first("field_name").alias("field_name"), F.first("n").alias("n"), F.first("items").alias("items"))
+
+
 def verified(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(field_name, a, b, both, either): those of the candidates (x, y: hashes of ids) whose sets are similar, each once.
+    """(field_name, a, b, both, either): those of the candidates (a, b: ids) whose sets are similar, each once.
 
-    firsts is parted by ``short``, so that only the pairs and the sets of those on the left are exchanged. Should two ids have one hash, both are looked at.
+    firsts is parted by id already, so that only the pairs and the sets of those on the left are exchanged.
     """
     p, q = SIMILAR
-    left = firsts.select(F.col("short").alias("x"), "field_name", F.col("id").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia"))
-    right = firsts.select(F.col("short").alias("y"), F.col("field_name").alias("other"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
-    met = _merged(_merged(pairs.select("x", "y").distinct(), left, "x"), right, "y").where(F.col("other") == F.col("field_name"))
+    left = firsts.select(F.col("id").alias("a"), "field_name", F.col("n").alias("na"), F.col("items").alias("ia"))
+    right = firsts.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
+    met = _merged(_merged(pairs.select("a", "b").distinct(), left, "a"), right, "b")
     met = met.select("field_name", "a", "b", "na", "nb", F.size(F.array_intersect("ia", "ib")).alias("both"))
     either = F.col("na") + F.col("nb") - F.col("both")
     return met.where(F.col("both") * q >= either * p).select("field_name", "a", "b", "both", either.alias("either"))
 
 
-def similar_sets(firsts: DataFrame, miss: float = MISS) -> DataFrame:
-    """(field_name, a, b, both, either): pairs of ids whose sets are similar; firsts: as from classes_of.
+def similar_sets(members: DataFrame, sets: DataFrame, miss: float = MISS) -> DataFrame:
+    """(field_name, a, b, both, either): pairs of ids whose sets are similar; members and sets: as from classes_of.
 
     Both sides of the self-join are one exchange, read twice. Signatures that many sets share make large partitions of the join, which adaptive
     execution cuts on either side. All pairs are given, so a template of n reworked texts has up to n * n / 2 rows here; groups_of has one row a text.
     """
-    sigs = candidate_signatures(firsts, fit_plans(firsts, miss))
-    x, y = sigs.alias("x"), sigs.alias("y")
-    near = _merged(x, y, F.col("x.sig") == F.col("y.sig")).where((F.col("x.short") < F.col("y.short")) & _near("x", "y"))
-    return verified(near.select(F.col("x.short").alias("x"), F.col("y.short").alias("y")), firsts)
+    firsts = first_sets(sets)
+    sigs = candidate_signatures(firsts, fit_plans(members, sets, miss))
+    near = _merged(sigs.alias("x"), sigs.alias("y"), F.col("x.sig") == F.col("y.sig")).where((F.col("x.id") < F.col("y.id")) & _near("x", "y"))
+    return verified(near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), firsts)
 
 
 def classes_of(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (field_name, id, key, raw, size, first, copies, head) and sets (field_name, id, short, n, items), one row an id, parted by short.
+    """Members (field_name, id, key, raw, size, first, copies, head) and sets (field_name, key, id, raw, n, items).
 
     texts: (field_name, key, text); a key's repeated rows count once if their sets agree. All texts with one set of shingles are one
-    member class, found by its digest, so that copies are never paired with one another; its set is kept once. size and first are the class's
+    member class, found by its digest, so that copies are never paired with one another. size and first are the class's
     number of keys and least key, copies and head those of the keys in it with the very same text (raw).
     """
     sets = materialize(shingle_sets(texts))
     members = sets.groupBy("field_name", "id", "key").agg(F.min("raw").alias("raw"))
     same = members.groupBy("field_name", "id", "raw").agg(F.min("key").alias("head"), F.count("*").alias("copies"))
     classes = same.groupBy("field_name", "id").agg(F.min("head").alias("first"), F.sum("copies").alias("size"))
-    members = materialize(_merged(_merged(members, same, ["field_name", "id", "raw"]), classes, ["field_name", "id"]))
-    size = sets.agg(F.sum("n")).first()[0] or 0
-    parts = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size * 8 // PART_BYTES))
-    once = sets.groupBy("field_name", "id").agg(F.first("n").alias("n"), F.first("items").alias("items"))
-    firsts = once.select("field_name", "id", F.xxhash64("id").alias("short"), "n", "items").repartition(parts, "short")
-    return members, materialize(firsts)
+    return materialize(_merged(_merged(members, same, ["field_name", "id", "raw"]), classes, ["field_name", "id"])), sets
 
 
 def near_duplicates(texts: DataFrame, miss: float = MISS) -> tuple[DataFrame, DataFrame]:
     """Members, as from classes_of, and links (field_name, a, b, both, either) between the ids of different sets."""
-    members, firsts = classes_of(texts)
-    return members, materialize(similar_sets(firsts, miss))
+    members, sets = classes_of(texts)
+    return members, materialize(similar_sets(members, sets, miss))
 
 
 def spelled_out(members: DataFrame, links: DataFrame, spell_out: int | None = SPELL_OUT) -> DataFrame:
@@ -329,29 +363,28 @@ def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return _merged(nodes, labels, "id", "left").select("field_name", "id", F.coalesce("group", "id").alias("group"))
 
 
-def groups_of(firsts: DataFrame, miss: float = MISS) -> DataFrame:
+def groups_of(members: DataFrame, sets: DataFrame, miss: float = MISS) -> DataFrame:
     """(field_name, id, group): the connected group of every set, without ever pairing all sets of a template with one another.
 
     First each set is compared with the least set of each of its signatures only: at most one candidate a signature. What these links connect is
     one group already, and its sets need no further comparison. Then every two sets that share a signature but not a group are compared, which
     gives the same groups as all pairs do: a pair left out lies inside a group.
     """
-    plans = fit_plans(firsts, miss)
-    columns = ["short", "n", *_SKETCH]
+    plans, firsts = fit_plans(members, sets, miss), first_sets(sets)
     sigs = candidate_signatures(firsts, plans)
-    heads = sigs.groupBy("sig").agg(F.min(F.struct(*columns)).alias("h"), F.count("*").alias("held")).where("held > 1").select("sig", "h.*")
-    near = _merged(sigs.alias("y"), heads.alias("x"), F.col("x.sig") == F.col("y.sig")).where((F.col("x.short") < F.col("y.short")) & _near("x", "y"))
-    links = materialize(verified(near.select(F.col("x.short").alias("x"), F.col("y.short").alias("y")), firsts))
-    grouped = connected(firsts, links).select(F.xxhash64("id").alias("short"), "id", F.xxhash64("group").alias("label"))
-    sigs = materialize(candidate_signatures(_merged(firsts, grouped, ["short", "id"]), plans, "label"))
+    heads = sigs.groupBy("sig").agg(F.min(F.struct("id", "n", *_SKETCH)).alias("h"), F.count("*").alias("held")).where("held > 1").select("sig", "h.*")
+    near = _merged(sigs.alias("y"), heads.alias("x"), F.col("x.sig") == F.col("y.sig")).where((F.col("x.id") < F.col("y.id")) & _near("x", "y"))
+    links = materialize(verified(near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), firsts))
+    grouped = connected(members, links).select("id", F.xxhash64("group").alias("label"))
+    sigs = materialize(candidate_signatures(_merged(firsts, grouped, "id"), plans, "label"))
     mixed = sigs.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
     rows = _merged(sigs, mixed, "sig", "left_semi")
     cells = rows.select("sig", "label").distinct()
     two = _merged(cells.alias("x"), cells.alias("y"), F.col("x.sig") == F.col("y.sig")).where("x.label < y.label").select("x.sig", F.col("x.label").alias("one"), F.col("y.label").alias("two"))
     met = _merged(two.alias("t"), rows.alias("x"), (F.col("t.sig") == F.col("x.sig")) & (F.col("t.one") == F.col("x.label"))).select(F.struct("t.*").alias("t"), F.struct("x.*").alias("x"))
     met = _merged(met, rows.select(F.struct("*").alias("y")), (F.col("t.sig") == F.col("y.sig")) & (F.col("t.two") == F.col("y.label"))).where(_near("x", "y"))
-    far = materialize(verified(met.select(F.col("x.short").alias("x"), F.col("y.short").alias("y")), firsts))
-    return connected(firsts, links if far.isEmpty() else links.unionByName(far))
+    far = materialize(verified(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), firsts))
+    return connected(members, links if far.isEmpty() else links.unionByName(far))
 
 
 def _texts(spark, sf_dir: str) -> DataFrame:
@@ -366,8 +399,8 @@ def p6_found(spark, sf_dir: str) -> DataFrame:
 
 def p6_groups(spark, sf_dir: str) -> DataFrame:
     """(field_name, key, group_key, group_size): every text that was compared, with the least key of its group."""
-    members, firsts = classes_of(_texts(spark, sf_dir))
-    rows = materialize(_merged(members, groups_of(firsts), ["field_name", "id"]).select("field_name", "key", "group"))
+    members, sets = classes_of(_texts(spark, sf_dir))
+    rows = materialize(_merged(members, groups_of(members, sets), ["field_name", "id"]).select("field_name", "key", "group"))
     heads = rows.groupBy("field_name", "group").agg(F.min("key").alias("group_key"), F.count("*").alias("group_size"))
     return _merged(rows, heads, ["field_name", "group"]).select("field_name", "key", "group_key", "group_size")
 
