@@ -1,4 +1,10 @@
-"""Reading level of documents (problem 9): n-gram surprisal, graded by isotonic regression."""
+"""Reading level of documents (problem 9): n-gram surprisal, graded by isotonic regression.
+
+Interpolated n-gram models, one a language, give every symbol of a document its surprisal. What the whole document's surprisals look like (per
+symbol, per word with spread and percentiles, per sentence) is weighed into one score, and isotonic regression maps the score to a grade. Weights
+and map are fitted to the readability index of one half of the documents, chosen by a hash of the key; the grades of the
+other half are predictions, so that what they miss can be measured.
+"""
 
 from __future__ import annotations
 
@@ -18,8 +24,10 @@ ORDER = 4
 LANGUAGES = ("en", "de", "fr", "es", "other")
 #: Bytes of text that are worked on at once.
 SLICE = 1 << 20
-#: Scores are told apart in steps of 1 / BINS, between LOWEST and HIGHEST.
-BINS, LOWEST, HIGHEST = 50, -100.0, 900.0
+#: Scores, logarithms of grades, are summed in steps of 1 / BINS.
+BINS = 500
+#: Grades below the lowest of the demanding documents of the fitted half down to which a document is still a candidate; more where these are few.
+MARGIN = 2.0
 #: The lowest automated readability index, and the fewest words, of a text that counts as demanding.
 DEMANDING, LEAST_WORDS = 15.0, 50
 
@@ -108,8 +116,8 @@ class Prose:
         return code
 
 
-def interpolated_bits(counts: np.ndarray) -> tuple[np.ndarray, float, float]:
-    """Bits of surprise of every n-gram, by Witten-Bell interpolation down to equal chances; mean bits of a word's symbol and of a word.
+def interpolated_bits(counts: np.ndarray) -> np.ndarray:
+    """Bits of surprise of every n-gram, by Witten-Bell interpolation down to equal chances.
 
     counts: how often each of SYMBOLS ** ORDER n-grams was seen.
     """
@@ -122,12 +130,7 @@ def interpolated_bits(counts: np.ndarray) -> tuple[np.ndarray, float, float]:
         kinds = (table_ > 0).sum(1, keepdims=True)
         lower = np.tile(p.reshape(-1, SYMBOLS), (table_.shape[0] // p.reshape(-1, SYMBOLS).shape[0], 1))
         p = np.where(seen > 0, (table_ + kinds * lower) / np.maximum(seen + kinds, 1), lower)
-    bits = -np.log2(p)
-    weighed = (levels[0] * bits).sum(0)
-    inner = [i for i in range(SYMBOLS) if i not in (GAP, END)]
-    ends = levels[0][:, [GAP, END]].sum()
-    per_symbol = weighed[inner].sum() / max(levels[0][:, inner].sum(), 1)
-    return bits.reshape(-1).astype(np.float32), float(per_symbol) or 1.0, float(weighed.sum() / max(ends, 1)) or 1.0
+    return -np.log2(p).reshape(-1).astype(np.float32)
 
 
 def language(col: str) -> Column:
@@ -148,7 +151,7 @@ def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.R
             at = end
 
 
-def train(df: DataFrame) -> dict[str, tuple[np.ndarray, float, float]]:
+def train(df: DataFrame) -> dict[str, np.ndarray]:
     """A model for each language from all texts; df: (lang, text as bytes), lang one of LANGUAGES.
 
     Each task counts n-grams in arrays of a fixed size and sends on what it has seen; the driver gets at most SYMBOLS ** ORDER sums a language.
@@ -179,14 +182,24 @@ def train(df: DataFrame) -> dict[str, tuple[np.ndarray, float, float]]:
 
 
 #: Numbers of each document: words, their characters, sentences, the automated readability index, bits a symbol, the mean and spread of bits
-#: a word, its 10th, 50th and 90th percentile (in whole bits), bits a sentence and the raw score.
-MEASURES = ("words", "chars", "sentences", "ari", "bits_symbol", "bits_word", "bits_word_sd", "bits_word_p10", "bits_word_p50", "bits_word_p90", "bits_sentence", "score")
-_TOP_BITS = 128
+#: a word, its 10th, 50th and 90th percentile (to a 1024th of a bit), and bits a sentence.
+MEASURES = ("words", "chars", "sentences", "ari", "bits_symbol", "bits_word", "bits_word_sd", "bits_word_p10", "bits_word_p50", "bits_word_p90", "bits_sentence")
+#: The measures that are weighed into the score: those of surprisal alone.
+WEIGHED = MEASURES[4:]
+
 
+def percentiles(bits: np.ndarray, of: np.ndarray, counts: np.ndarray, shares: Sequence[float]) -> list[np.ndarray]:
+    """For each share, the least of a text's values that so large a part of them doesn't exceed; of: each value's text, in order."""
+    order = np.sort(of.astype(np.int64) << 40 | np.round(bits * 1024).astype(np.int64))
+    begin = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    at = [begin + np.maximum(np.ceil(counts * q).astype(np.int64), 1) - 1 for q in shares]
+    last = max(len(order) - 1, 0)
+    return [(order[np.minimum(i, last)] & (1 << 40) - 1) / 1024 if len(order) else np.zeros(len(counts)) for i in at]
 
-def measure(texts: Sequence[bytes], model: tuple[np.ndarray, float, float]) -> dict[str, np.ndarray]:
+
+def measure(texts: Sequence[bytes], model: np.ndarray) -> dict[str, np.ndarray]:
     """MEASURES of each text, not a number where there are no words."""
-    bits, per_symbol, per_word = model
+    bits = model
     prose = Prose(texts)
     n = len(texts)
     surprise = bits[prose.codes()].astype(np.float64)
@@ -204,10 +217,8 @@ def measure(texts: Sequence[bytes], model: tuple[np.ndarray, float, float]) -> d
         spread = np.sqrt(np.maximum(np.bincount(of, word_bits**2, n) / words - mean**2, 0))
         ari = 4.71 * prose.chars / words + 0.5 * words / prose.sentences - 21.43
         sentence = whole / prose.sentences
-        score = 4.71 * mean / per_symbol + 0.5 * sentence / per_word - 21.43
-    grid = np.bincount(of * _TOP_BITS + np.minimum(word_bits, _TOP_BITS - 1).astype(np.int64), minlength=n * _TOP_BITS).reshape(n, _TOP_BITS).cumsum(1)
-    pct = lambda q: np.where(words > 0, (grid < np.ceil(words * q)[:, None]).sum(1), np.nan)
-    values = (words, prose.chars.astype(float), prose.sentences.astype(float), ari, whole / length, mean, spread, pct(0.1), pct(0.5), pct(0.9), sentence, score)
+    low, middle, high = percentiles(word_bits, of, prose.words, (0.1, 0.5, 0.9))
+    values = (words, prose.chars.astype(float), prose.sentences.astype(float), ari, whole / length, mean, spread, low, middle, high, sentence)
     return dict(zip(MEASURES, (np.where(words > 0, v, np.nan if i > 2 else v) for i, v in enumerate(values)), strict=True))
 
 
@@ -244,27 +255,105 @@ def isotonic(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.repeat([s / m for s, m in zip(sums, mass, strict=True)], size)
 
 
-def grade(scored: DataFrame) -> DataFrame:
-    """Adds level, the grade that isotonic regression gives the score, and level_top, the highest index seen at that score.
+def features(values: np.ndarray) -> np.ndarray:
+    """What is weighed, from WEIGHED in columns: a constant and the logarithms of one plus each."""
+    return np.concatenate([np.ones((len(values), 1)), np.log1p(values)], axis=1)
+
+
+def fitted_half(key: str) -> Column:
+    """Whether a document is one of those that weights and grades are fitted to."""
+    return F.xxhash64(F.col(key).cast("string")) % 2 == 0
+
+
+def _numbers(part: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
+    return np.stack([part.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1).astype(np.float64)
+
+
+def fit_weights(scored: DataFrame, key: str) -> dict[str, np.ndarray]:
+    """For each language, the weights of the features that come nearest, in squares, to the logarithm of one plus the index.
+
+    Tasks send on sums of products only; the driver gets (features + 1) ** 2 numbers a language. Indices below 0 count as 0. A language of which
+    nothing is in the fitted half has the weights, and the grades, of all languages together.
+    """
+    names, size = (*WEIGHED, "ari"), len(WEIGHED) + 2
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for part in batches:
+            x, langs = _numbers(part, names), np.array(part.column("lang").to_pylist(), object)
+            x = np.concatenate([features(x[:, :-1]), np.log1p(np.maximum(x[:, -1:], 0))], axis=1)
+            for lang in set(langs):
+                mine = x[langs == lang]
+                sums[lang] = sums.get(lang, 0) + mine.T @ mine
+        for lang, m in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * m.size, pa.string()), pa.array(np.arange(m.size, dtype=np.int32)), pa.array(m.reshape(-1))], names=["lang", "at", "v"])
+
+    rows = scored.where(fitted_half(key) & F.col("ari").isNotNull()).select("lang", *names)
+    total = rows.mapInArrow(products, "lang string, at int, v double").groupBy("lang", "at").agg(F.sum("v").alias("v")).toPandas()
+    sums = {lang: part.sort_values("at")["v"].to_numpy().reshape(size, size) for lang, part in total.groupby("lang")}
+    pooled = sum(sums.values(), np.zeros((size, size)))
+    solve = lambda m: np.linalg.solve(m[:-1, :-1] + 1e-3 * np.eye(size - 1), m[:-1, -1])
+    return {lang: solve(sums.get(lang, pooled)) for lang in LANGUAGES}
+
+
+def with_scores(scored: DataFrame, weights: dict[str, np.ndarray], curves: dict[str, tuple[np.ndarray, np.ndarray]] | None = None) -> DataFrame:
+    """Adds score and, with curves (knots and grades of each language), level, between knots in proportion; null where a document has no words."""
+    names = [*scored.columns, "score", *(["level"] if curves is not None else [])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            x, langs = features(_numbers(part, WEIGHED)), np.array(part.column("lang").to_pylist(), object)
+            score, level = np.full(len(x), np.nan), np.full(len(x), np.nan)
+            for lang in set(langs):
+                mine = langs == lang
+                score[mine] = x[mine] @ weights[lang]
+                if curves is not None and lang in curves:
+                    level[mine] = np.where(np.isnan(score[mine]), np.nan, np.interp(score[mine], *curves[lang]))
+            added = [score, level][: 1 if curves is None else 2]
+            yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(v, from_pandas=True) for v in added]], names=names)
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in scored.schema.fields), *(f"{n} double" for n in names[len(scored.columns) :])])
+    return scored.mapInArrow(run, schema)
+
+
+def fit_curves(scored: DataFrame, key: str) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For each language, isotonic regression of the index on the score over the fitted half, summed in steps of 1 / BINS of the score.
 
-    All documents take part: they are summed by language and score, in steps of 1 / BINS, so that the driver sees at most
-    BINS * (HIGHEST - LOWEST) rows a language; the table that comes back is no larger. Documents without words have no level.
+    Scores are logarithms, so the driver sees some thousands of rows a language; each step stands at its mean score.
     """
-    bin_ = F.floor(F.least(F.greatest(F.col("score"), F.lit(LOWEST)), F.lit(HIGHEST)) * BINS).cast("int")
-    binned = scored.withColumn("_bin", bin_)
-    sums = binned.where("score IS NOT NULL").groupBy("lang", "_bin").agg(F.count("*").alias("n"), F.avg("ari").alias("mean"), F.max("ari").alias("top")).toPandas()
-    rows = []
-    for lang, part in sums.groupby("lang"):
-        part = part.sort_values("_bin")
-        rows += zip([lang] * len(part), part["_bin"].tolist(), isotonic(part["mean"].to_numpy(), part["n"].to_numpy()).tolist(), part["top"].tolist(), strict=True)
-    levels = scored.sparkSession.createDataFrame(rows, "lang string, _bin int, level double, level_top double")
-    return binned.join(F.broadcast(levels), ["lang", "_bin"], "left").drop("_bin")
+    bins = scored.where(fitted_half(key) & F.col("score").isNotNull()).groupBy("lang", F.floor(F.col("score") * BINS).alias("bin"))
+    sums = bins.agg(F.count("*").alias("n"), F.avg("score").alias("at"), F.avg("ari").alias("mean")).toPandas().sort_values("at")
+    curve = lambda part: (part["at"].to_numpy(), isotonic(part["mean"].to_numpy(), part["n"].to_numpy()))
+    if sums.empty:
+        return {}
+    return {lang: curve(sums) for lang in LANGUAGES} | {lang: curve(part) for lang, part in sums.groupby("lang")}
 
 
 def reading_levels(documents: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """(key, lang, MEASURES, level, level_top) of every document; other columns are ignored, whatever their names."""
+    """(key, lang, MEASURES, score, level) of every document; other columns are ignored, whatever their names.
+
+    Documents without words have null measures and no level. If the fitted half has no words at all, no document has a level.
+    """
     rows = documents.select(language(lang).alias("lang"), F.col(text).cast("binary").alias("text"), F.col(key))
-    return grade(materialize(score_documents(rows, train(rows.select("lang", "text")), key)))
+    measured = materialize(score_documents(rows, train(rows.select("lang", "text")), key))
+    weights = fit_weights(measured, key)
+    return with_scores(measured, weights, fit_curves(with_scores(measured, weights), key))
+
+
+def least_level(graded: DataFrame, key: str) -> DataFrame:
+    """(lang, least): a row a language: the grade from which on documents are candidates, MARGIN below the lowest demanding one of the fitted half, twice that if there are ten of them."""
+    demanding = (F.col("words") >= LEAST_WORDS) & (F.col("ari") >= DEMANDING)
+    return graded.where(fitted_half(key) & demanding).groupBy("lang").agg((F.min("level") - MARGIN * (1 + 10 / F.count("*"))).alias("least"))
+
+
+def demanding_documents(graded: DataFrame, key: str) -> DataFrame:
+    """The rows of graded, with ``candidate`` (the grade is high enough) and ``exact`` (long enough, and the index itself reaches the bound).
+
+    A language without a demanding document in the fitted half has all its graded documents as candidates.
+    """
+    graded = materialize(graded)
+    rows = graded.join(F.broadcast(least_level(graded, key)), "lang", "left")  # a row a language
+    return rows.withColumn("candidate", F.col("level").isNotNull() & (F.col("least").isNull() | (F.col("level") >= F.col("least")))).withColumn("exact", F.coalesce((F.col("words") >= LEAST_WORDS) & (F.col("ari") >= DEMANDING), F.lit(False))).drop("least")
 
 
 def _levels(spark, sf_dir: str) -> DataFrame:
@@ -272,16 +361,22 @@ def _levels(spark, sf_dir: str) -> DataFrame:
 
 
 def p9_found(spark, sf_dir: str) -> DataFrame:
-    """Demanding English documents, by the exact index; the bound on a score bin's highest index before it never changes the rows."""
-    graded = _levels(spark, sf_dir).where(F.col("level_top") >= DEMANDING)
+    """Demanding English documents: those whose grade, MARGIN allowed, is that of a demanding text, verified by the exact index."""
+    rows = demanding_documents(_levels(spark, sf_dir), "doc_id").where("candidate AND exact").select("doc_id")
     english = table(spark, sf_dir, "documents", "doc_id", "lang").where(F.lower("lang").startswith("en")).select("doc_id")
-    exact = graded.where((F.col("words") >= LEAST_WORDS) & (F.col("ari") >= DEMANDING)).select("doc_id")
-    return english.join(exact, "doc_id", "left_semi")
+    return english.join(rows, "doc_id", "left_semi")
+
+
+def p9_steps(spark, sf_dir: str) -> DataFrame:
+    """Per language and half (fitted or held out): documents, how many the grade leaves as candidates and drops, how many of these the
+    exact index confirms, and how many demanding documents the grade missed."""
+    rows = demanding_documents(_levels(spark, sf_dir), "doc_id")
+    return rows.groupBy("lang", fitted_half("doc_id").alias("fitted")).agg(F.count("*").alias("documents"), F.count_if("candidate").alias("candidates"), F.count_if(~F.col("candidate")).alias("dropped"), F.count_if(F.col("candidate") & F.col("exact")).alias("confirmed"), F.count_if(~F.col("candidate") & F.col("exact")).alias("missed"))
 
 
 def p9_levels(spark, sf_dir: str) -> DataFrame:
     """Each document's reading level with the surprisal distribution behind it."""
-    return _levels(spark, sf_dir).drop("level_top")
+    return _levels(spark, sf_dir)
 
 
 def p9_profile(spark, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ def queries() -> dict[str, Callable]:
         "p6_found": neardup.p6_found, "p6_groups": neardup.p6_groups,
         "p7_packing": packing.p7_packing, "p7_report": packing.p7_report,
         "p8_selection": mixing.p8_selection, "p8_report": mixing.p8_report,
-        "p9_found": reading.p9_found, "p9_levels": reading.p9_levels, "p9_profile": reading.p9_profile,
+        "p9_found": reading.p9_found, "p9_steps": reading.p9_steps, "p9_levels": reading.p9_levels, "p9_profile": reading.p9_profile,
     }
 
 

@@ -41,9 +41,9 @@ def test_texts_do_not_touch_each_other():
 
 def test_model_is_a_distribution():
     counts = np.bincount(r.Prose([b"the cat sat on the mat. the dog sat."]).codes(), minlength=r.SYMBOLS**r.ORDER)
-    bits, per_symbol, per_word = r.interpolated_bits(counts)
-    assert np.allclose((2.0 ** -bits.reshape(-1, r.SYMBOLS).astype(float)).sum(1), 1, atol=1e-4) and 0 < per_symbol < per_word
-    empty, *_ = r.interpolated_bits(np.zeros(r.SYMBOLS**r.ORDER, np.int64))
+    bits = r.interpolated_bits(counts)
+    assert np.allclose((2.0 ** -bits.reshape(-1, r.SYMBOLS).astype(float)).sum(1), 1, atol=1e-4)
+    empty = r.interpolated_bits(np.zeros(r.SYMBOLS**r.ORDER, np.int64))
     assert np.allclose(empty, np.log2(r.SYMBOLS))
 
 
@@ -72,12 +72,41 @@ def test_levels(spark):
     assert r.reading_levels(frame(spark, rows).limit(0), "doc_id", "text", "lang").count() == 0
 
 
-def test_surprise_tells_more_than_the_index(spark, small):
-    """Rank correlation of the score, whose lengths are weighed by surprise, with the index on documents at hand."""
-    d = r.p9_levels(spark, small).where("words >= 50 AND lang = 'en'").select("score", "ari").toPandas().rank()
+def test_percentiles():
+    rng = np.random.default_rng(4)
+    counts = np.array([3, 0, 1, 40, 0])
+    of, bits = np.repeat(np.arange(5), counts), rng.integers(0, 10**6, 44) / 1024
+    for q, got in zip((0.1, 0.5, 0.9), r.percentiles(bits, of, counts, (0.1, 0.5, 0.9)), strict=True):
+        for i in (0, 2, 3):
+            assert got[i] == np.sort(bits[of == i])[int(np.ceil(counts[i] * q)) - 1]
+    assert len(r.percentiles(np.zeros(0), np.zeros(0, int), np.zeros(2, int), (0.5,))[0]) == 2
+
+
+def test_grades_of_documents_held_out(spark, small):
+    """Rank correlation of the grade with the index on documents that neither weights nor grades were fitted to."""
+    d = r.p9_levels(spark, small).where("words >= 50 AND lang = 'en'").where(~r.fitted_half("doc_id")).select("level", "ari").toPandas().rank()
     assert d.corr().iloc[0, 1] > 0.9
 
 
+def test_the_grade_decides(spark):
+    """Most documents are dropped by their grade before the exact index is looked at, and none of the demanding ones is."""
+    rng = np.random.default_rng(6)
+    short, long = [f"w{c}" for c in "abcdefgh"], ["internationalization", "counterintuitive", "representation", "incontrovertible", "misinterpretation"]
+    rows = []
+    for i in range(400):
+        hard = i % 5 == 0
+        words = [str(rng.choice(long if hard or rng.random() < 0.1 else short)) for _ in range(int(rng.integers(60, 120)))]
+        rows.append((i, "en", " ".join(w + ("." if k % (25 if hard else 6) == 5 else "") for k, w in enumerate(words))))
+    x = r.demanding_documents(r.reading_levels(frame(spark, rows), "doc_id", "text", "lang"), "doc_id").toPandas()
+    assert 80 <= x.exact.sum() <= 100 and not (x.exact & ~x.candidate).any() and (~x.candidate).sum() > 200
+    assert set(x.doc_id[x.candidate & x.exact]) == {i for i, _, t in rows if 4.71 * brute(t)[1] / brute(t)[0] + 0.5 * brute(t)[0] / brute(t)[2] - 21.43 >= 15}
+
+
+def test_steps_on_documents_at_hand(spark, small):
+    x = r.p9_steps(spark, small).where("lang = 'en'").groupBy().sum("documents", "candidates", "dropped", "confirmed", "missed").first()
+    assert x[0] == x[1] + x[2] and x[4] == 0 and x[2] > x[0] / 3 and x[3] > 0
+
+
 def test_sql(same_as_sql):
     same_as_sql(r.p9_found, r.ORACLES["p9_found"])
 
