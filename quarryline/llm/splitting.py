@@ -100,12 +100,22 @@ def split_items(df: DataFrame, key: list[str], text: str, limit: int = LIMIT, ov
     return rows.mapInArrow(run, f"{schema}, piece_no int, start int, fresh int, end int, cut string, piece string")
 
 
+def last_long(items: DataFrame, key: list[str], text: str, delivered: str, limit: int = LIMIT) -> DataFrame:
+    """(key..., text) of the items whose last delivery is longer than ``limit``; of deliveries at one time the greatest text counts, if it is that long.
+
+    Only long texts are exchanged: whether a later delivery is shorter is told by times alone.
+    """
+    known = items.where(" AND ".join(f"`{k}` IS NOT NULL" for k in key))
+    last = known.groupBy(*key).agg(F.max(delivered).alias("_last"))
+    long = known.where(F.length(strip(text)) > limit).groupBy(*key).agg(F.max(F.struct(F.col(delivered).alias("d"), F.col(text).alias("t"))).alias("_x"))
+    return long.join(last, key).where(F.col("_x.d").eqNullSafe(F.col("_last"))).select(*key, F.col("_x.t").alias(text))
+
+
 def _items(spark, sf_dir: str) -> DataFrame:
-    """(source_table, item_key, text): every paragraph and block with an id; of repeated deliveries the last."""
+    """(source_table, item_key, text): every paragraph and block with an id whose last delivery is too long."""
     paragraphs = table(spark, sf_dir, "paragraphs").select(F.lit("paragraphs").alias("source_table"), id_or_null("paragraph_id").alias("item_key"), F.col("clean_text").alias("text"), "delivered_at")
     blocks = table(spark, sf_dir, "guideline_blocks").select(F.lit("guideline_blocks").alias("source_table"), id_or_null("block_id").alias("item_key"), F.col("content").alias("text"), "delivered_at")
-    long = paragraphs.unionByName(blocks).where(F.col("item_key").isNotNull() & (F.length("text") > LIMIT))
-    return long.groupBy("source_table", "item_key").agg(F.max(F.struct("delivered_at", "text")).alias("x")).select("source_table", "item_key", "x.text")
+    return last_long(paragraphs.unionByName(blocks), ["source_table", "item_key"], "text", "delivered_at")
 
 
 def p2_pieces(spark, sf_dir: str) -> DataFrame:

@@ -61,3 +61,14 @@ def test_sql(same_as_sql):
 def test_very_long_text():
     text = "lorem ipsum dolor. " * 50_000
     assert len(s.split_text(text.strip())) > 700
+
+
+def test_the_last_delivery_counts(spark):
+    from datetime import datetime
+
+    t1, t2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
+    rows = [("corrected", "a" * 2000, t1), ("corrected", "short", t2), ("grown", "short", t1), ("grown", "b " * 900, t2), ("padded", "c" + " " * 3000, t1), ("twice", "d" * 1500, t1), ("twice", "e" * 1500, t1), (None, "f" * 2000, t1), ("null", None, t2), ("undated", "g" * 1300, None)]
+    df = spark.createDataFrame(rows, "k string, text string, delivered_at timestamp_ntz")
+    got = {r.k: r.text[:1] for r in s.last_long(df, ["k"], "text", "delivered_at").collect()}
+    assert got == {"grown": "b", "twice": "e", "undated": "g"}
+    assert s.last_long(df.limit(0), ["k"], "text", "delivered_at").count() == 0
