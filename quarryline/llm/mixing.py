@@ -125,3 +125,28 @@ def p8_report(spark, sf_dir: str) -> DataFrame:
     report = goal.join(got, "source", "left").na.fill(0, ["documents", "uses", "tokens", "most_uses"])
     whole = got.agg(F.sum("tokens").alias("whole"))
     return report.join(F.broadcast(whole)).select("source", "target_share", F.coalesce(F.col("tokens") / F.col("whole"), F.lit(0.0)).alias("actual_share"), "documents", "uses", "tokens", "budget", "max_repeats", "most_uses")
+
+
+#: How far a share may lie from its target for p8_checks.
+NEAR = 1e-3
+
+
+def p8_checks(spark, sf_dir: str) -> DataFrame:
+    """Per source of the targets: whether its share is reached within NEAR or one document of it, and how many of its documents are used too often, twice listed, or none of its own."""
+    targets, documents = table(spark, sf_dir, "mix_targets"), _documents(spark, sf_dir)
+    selected, _, wanted = mix(documents, targets)
+    selected = materialize(selected)
+    bound = spark.createDataFrame([(s, share, uses) for s, (share, uses) in wanted.items()], "source string, target_share double, max_repeats int")  # the targets
+    own = selected.join(documents.select("doc_id", F.col("source").alias("its"), F.col("n_tokens").alias("size")), "doc_id", "left")
+    rows = own.join(F.broadcast(bound), "source").groupBy("source").agg(
+        F.count_if(F.col("uses") > F.col("max_repeats")).alias("over_repeats"), (F.count("*") - F.countDistinct("doc_id")).alias("repeated_rows"),
+        F.count_if(~F.col("its").eqNullSafe(F.col("source")) | ~F.col("size").eqNullSafe(F.col("n_tokens"))).alias("not_its_own"), F.sum(F.col("uses") * F.col("n_tokens")).alias("tokens"))
+    whole = rows.agg(F.sum("tokens").alias("whole"))
+    rows = F.broadcast(bound).join(rows, "source", "left").join(F.broadcast(whole))
+    longest = documents.groupBy("source").agg(F.max("n_tokens").alias("longest"))
+    rows = rows.join(longest, "source", "left")
+    near = F.abs(F.coalesce("tokens", F.lit(0)) - F.col("target_share") * F.col("whole")) <= F.greatest(F.lit(NEAR) * F.col("whole"), F.coalesce("longest", F.lit(0)))
+    return rows.select("source", "max_repeats", near.alias("within"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("over_repeats", "repeated_rows", "not_its_own")])
+
+
+ORACLES = {"p8_checks": "SELECT lower(trim(source)) AS source, max_repeats, true AS within, 0 AS over_repeats, 0 AS repeated_rows, 0 AS not_its_own FROM mix_targets"}

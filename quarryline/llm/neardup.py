@@ -412,10 +412,16 @@ def _pairs_sql(field: str, source: str) -> str:
 
 
 _WS = r"E' \t\r\n'"
-ORACLES = {
-    "p6_found": f"""WITH c AS (SELECT DISTINCT trim(block_id, {_WS}) AS k, regexp_extract_all(lower(content), '[a-z0-9_]+') AS w FROM guideline_blocks WHERE trim(block_id, {_WS}) <> ''),
+_FOUND = f"""c AS (SELECT DISTINCT trim(block_id, {_WS}) AS k, regexp_extract_all(lower(content), '[a-z0-9_]+') AS w FROM guideline_blocks WHERE trim(block_id, {_WS}) <> ''),
   c_x AS (SELECT DISTINCT k, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM c WHERE len(w) >= 25), c_n AS (SELECT k, count(*) AS n FROM c_x GROUP BY 1),
   t AS (SELECT DISTINCT trim(guideline_id, {_WS}) AS k, trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) AS w FROM guideline_records WHERE trim(guideline_id, {_WS}) <> ''),
-  t_x AS (SELECT DISTINCT k, unnest(list_transform(range(1, length(w) - 1), lambda i: substr(w, i, 3))) AS s FROM t WHERE length(w) >= 10), t_n AS (SELECT k, count(*) AS n FROM t_x GROUP BY 1)
-{_pairs_sql('content', 'c')} UNION ALL {_pairs_sql('title', 't')}"""
+  t_x AS (SELECT DISTINCT k, unnest(list_transform(range(1, length(w) - 1), lambda i: substr(w, i, 3))) AS s FROM t WHERE length(w) >= 10), t_n AS (SELECT k, count(*) AS n FROM t_x GROUP BY 1)"""
+_PAIRS = f"{_pairs_sql('content', 'c')} UNION ALL {_pairs_sql('title', 't')}"
+ORACLES = {
+    "p6_found": f"WITH {_FOUND} {_PAIRS}",
+    "p6_groups": f"""WITH RECURSIVE {_FOUND}, pairs AS ({_PAIRS}),
+  edges AS (SELECT field_name, left_key AS a, right_key AS b FROM pairs UNION ALL SELECT field_name, right_key, left_key FROM pairs),
+  reach AS (SELECT 'content' AS field_name, k, k AS g FROM c_n UNION SELECT 'title', k, k FROM t_n UNION SELECT r.field_name, e.b, r.g FROM reach r JOIN edges e ON e.field_name = r.field_name AND e.a = r.k),
+  least AS (SELECT field_name, k AS key, min(g) AS group_key FROM reach GROUP BY 1, 2)
+SELECT *, count(*) OVER (PARTITION BY field_name, group_key) AS group_size FROM least""",
 }

@@ -136,3 +136,24 @@ def p7_report(spark, sf_dir: str) -> DataFrame:
     placed = p7_packing(spark, sf_dir).where("container_id IS NOT NULL")
     boxes = placed.groupBy("container_id").agg(F.max("tier").alias("tier"), F.count("*").alias("pieces"), F.sum("n_tokens").alias("tokens"))
     return boxes.groupBy("tier").agg(F.count("*").alias("containers"), F.sum("pieces").alias("pieces"), F.sum("tokens").alias("tokens"), (F.sum("tokens") / (F.count("*") * CAPACITY)).alias("fill"))
+
+
+def p7_checks(spark, sf_dir: str) -> DataFrame:
+    """One row: the documents and how many break a rule of packing: lost or repeated, their pieces not following on one another, cut although
+    they fit, or without a place although they have tokens; the containers that are too full or have gaps, and the steps of more than STEP containers."""
+    sized = token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), "text").select("doc_id", F.col("n_tokens").alias("whole"))
+    placed = materialize(pack(sized.withColumnRenamed("whole", "n_tokens")))
+    follows = F.col("token_start") == F.col("piece_no") * CAPACITY
+    docs = placed.groupBy("doc_id").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("pieces"), F.count_if(~follows).alias("apart"), F.count_if((F.col("n_tokens") > 0) & F.col("container_id").isNull()).alias("unplaced"))
+    docs = sized.join(docs, "doc_id", "full_outer")
+    lost = F.count_if(~F.col("whole").eqNullSafe(F.col("tokens")))
+    cut = F.count_if(F.col("pieces") > F.greatest(F.ceil(F.col("whole") / CAPACITY), F.lit(1)))
+    first = docs.agg(F.count("*").alias("documents"), lost.alias("lost"), F.count_if(F.col("apart") > 0).alias("apart"), cut.alias("needless_cuts"), F.count_if(F.col("unplaced") > 0).alias("unplaced"))
+    ends = F.max(F.col("container_offset") + F.col("n_tokens"))
+    boxes = placed.where("container_id IS NOT NULL").groupBy("container_id", "step_group").agg(F.sum("n_tokens").alias("tokens"), ends.alias("ends"), F.min("container_offset").alias("begins"))
+    second = boxes.agg(F.count_if(F.col("tokens") > CAPACITY).alias("too_full"), F.count_if((F.col("ends") != F.col("tokens")) | (F.col("begins") != 0)).alias("with_gaps"))
+    third = boxes.groupBy("step_group").agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > STEP).alias("large_steps"))
+    return first.join(F.broadcast(second)).join(F.broadcast(third))  # a row each
+
+
+ORACLES = {"p7_checks": "SELECT count(*) AS documents, 0 AS lost, 0 AS apart, 0 AS needless_cuts, 0 AS unplaced, 0 AS too_full, 0 AS with_gaps, 0 AS large_steps FROM documents"}

@@ -371,7 +371,7 @@ def p9_steps(spark, sf_dir: str) -> DataFrame:
     """Per language and half (fitted or held out): documents, how many the grade leaves as candidates and drops, how many of these the
     exact index confirms, and how many demanding documents the grade missed."""
     rows = demanding_documents(_levels(spark, sf_dir), "doc_id")
-    return rows.groupBy("lang", fitted_half("doc_id").alias("fitted")).agg(F.count("*").alias("documents"), F.count_if("candidate").alias("candidates"), F.count_if(~F.col("candidate")).alias("dropped"), F.count_if(F.col("candidate") & F.col("exact")).alias("confirmed"), F.count_if(~F.col("candidate") & F.col("exact")).alias("missed"))
+    return rows.groupBy("lang", fitted_half("doc_id").alias("fitted")).agg(F.count("*").alias("documents"), F.count_if(F.col("candidate")).alias("candidates"), F.count_if(~F.col("candidate")).alias("dropped"), F.count_if(F.col("candidate") & F.col("exact")).alias("confirmed"), F.count_if(~F.col("candidate") & F.col("exact")).alias("missed"))
 
 
 def p9_levels(spark, sf_dir: str) -> DataFrame:

@@ -162,3 +162,7 @@ def test_codes_estimate_similarity():
 
 def test_sql(same_as_sql):
     same_as_sql(n.p6_found, n.ORACLES["p6_found"])
+
+
+def test_groups_sql(same_as_sql):
+    same_as_sql(n.p6_groups, n.ORACLES["p6_groups"])

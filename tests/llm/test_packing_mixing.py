@@ -112,3 +112,10 @@ def test_token_counts(spark):
     rows = token_counts(spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("n_tokens", F.lit(7)), "t").orderBy("i").collect()
     assert [r.n_tokens for r in rows] == [len(encoder().encode_ordinary(t or "")) for t in texts] and rows[1].n_tokens == rows[2].n_tokens == 0
     assert encoder().decode(encoder().encode_ordinary(texts[3])) == texts[3]
+
+
+def test_checks(same_as_sql):
+    from quarryline.llm import mixing, packing
+
+    same_as_sql(packing.p7_checks, packing.ORACLES["p7_checks"])
+    same_as_sql(mixing.p8_checks, mixing.ORACLES["p8_checks"])
