@@ -70,43 +70,40 @@ def direct_orphans(children: DataFrame, parents: DataFrame, fk: ForeignKey) -> D
     return found.where(F.col("orphan_kind").isNotNull())
 
 
-def _later(keys: Sequence[ForeignKey], tables: set[str]) -> list[ForeignKey]:
-    return [fk for fk in keys if fk.parent in tables]
-
-
 def orphan_cascade(tables: Mapping[str, DataFrame], direct: Sequence[ForeignKey], inherited: Sequence[ForeignKey] = ()) -> DataFrame:
-    """(source_table, row_key, orphan_kind, orphan_month, depth, inherited_from): direct orphans at depth 0, then their children.
+    """(source_table, row_key, orphan_kind, orphan_month, depth, inherited_from, inherited_key): direct orphans at depth 0, then their children.
 
     direct: keys whose own target is looked up. inherited: keys along which being an orphan passes on: records that refer
-    to an orphaned record are orphans themselves, level by level until no new record is found. A record is reported
-    at its first depth only. The loop needs no job while the graph of tables ahead has no circle; in a circle each level is written
-    out and the loop ends when a level is empty. Empty tables give no rows.
+    to an orphaned record are orphans themselves, level by level until a level is empty, however deep. A record is reported
+    at its first depth only, with the table and the least key of the orphans that it refers to. Every level is written out, since the next one and the result both read it. Empty tables give no rows.
     """
     level = None
     for fk in direct:
         found = direct_orphans(tables[fk.child], tables[fk.parent], fk)
         level = found if level is None else level.unionByName(found)
-    level = level.withColumns({"depth": F.lit(0), "inherited_from": F.lit(None).cast("string")})
-    total, reached, seen = level, {fk.child for fk in direct}, {fk.child for fk in direct}
+    level = level.withColumns({"depth": F.lit(0), "inherited_from": F.lit(None).cast("string"), "inherited_key": F.lit(None).cast("string")})
+    total, hit_tables, known = level, {fk.child for fk in direct}, {fk.child for fk in direct}
     for depth in count(1):
-        ahead = _later(inherited, reached)
+        ahead = [fk for fk in inherited if fk.parent in hit_tables]
         if not ahead:
-            break
+            return total
+        if depth == 1:
+            total = level = materialize(level)
         found = None
         for fk in ahead:
             orphans = level.where(F.col("source_table") == fk.parent).select(F.col("row_key").alias("ref")).distinct()
-            hit = child_references(tables[fk.child], fk).join(orphans, "ref", "left_semi").groupBy("row_key").agg(F.min("first").alias("first"))
-            hit = hit.select(F.lit(fk.child).alias("source_table"), "row_key", F.lit("inherited").alias("orphan_kind"), month_of("first").alias("orphan_month"), F.lit(depth).alias("depth"), F.lit(fk.parent).alias("inherited_from"))
+            hit = child_references(tables[fk.child], fk).join(orphans, "ref", "left_semi").select(F.lit(fk.child).alias("source_table"), "row_key", "first", F.lit(fk.parent).alias("parent"), "ref")
             found = hit if found is None else found.unionByName(hit)
-        reached = {fk.child for fk in ahead}
-        found = found.dropDuplicates(["source_table", "row_key"]) if len(ahead) > len(reached) else found
-        if reached & seen:
-            found = materialize(found.join(total.select("source_table", "row_key"), ["source_table", "row_key"], "left_anti"))
-            if found.isEmpty():
-                break
-        seen |= reached
-        level, total = found, total.unionByName(found)
-    return total
+        found = found.groupBy("source_table", "row_key").agg(F.min("first").alias("first"), F.min(F.struct("parent", "ref")).alias("by"))
+        found = found.select("source_table", "row_key", F.lit("inherited").alias("orphan_kind"), month_of("first").alias("orphan_month"), F.lit(depth).alias("depth"), F.col("by.parent").alias("inherited_from"), F.col("by.ref").alias("inherited_key"))
+        hit_tables = {fk.child for fk in ahead}
+        if hit_tables & known:
+            found = found.join(total.select("source_table", "row_key"), ["source_table", "row_key"], "left_anti")
+        known |= hit_tables
+        level = materialize(found)
+        if level.isEmpty():
+            return total
+        total = total.unionByName(level)
 
 
 def _keys() -> tuple[list[ForeignKey], list[ForeignKey]]:
@@ -124,18 +121,26 @@ def _keys() -> tuple[list[ForeignKey], list[ForeignKey]]:
     return direct, inherited
 
 
-def _cascade(spark, sf_dir: str, with_children: bool) -> DataFrame:
-    direct, inherited = _keys()
-    inherited = inherited if with_children else []
+def _cascade(spark, sf_dir: str, direct: list[ForeignKey], inherited: list[ForeignKey]) -> DataFrame:
     names = {n for fk in [*direct, *inherited] for n in (fk.child, fk.parent)}
     return orphan_cascade({n: table(spark, sf_dir, n) for n in names}, direct, inherited)
 
 
 def p4_found(spark, sf_dir: str) -> DataFrame:
-    return _cascade(spark, sf_dir, False).select("source_table", "row_key", "orphan_kind", "orphan_month")
+    """The direct part of the whole cascade."""
+    return _cascade(spark, sf_dir, *_keys()).where("depth = 0").select("source_table", "row_key", "orphan_kind", "orphan_month")
 
 
 def p4_report(spark, sf_dir: str) -> DataFrame:
     """Orphans per table, month, kind and depth; null months are shown blank."""
-    rows = _cascade(spark, sf_dir, True)
+    rows = _cascade(spark, sf_dir, *_keys())
     return rows.groupBy("source_table", F.coalesce("orphan_month", F.lit("")).alias("orphan_month"), "orphan_kind", "depth").agg(F.count("*").alias("orphans"))
+
+
+def p4_cascade(spark, sf_dir: str) -> DataFrame:
+    """Every inherited orphan with the orphan it hangs on: history rows on their guideline's mapping, and on these the candidates of the same guideline and audit run."""
+    direct, (history, candidates) = _keys()
+    run = F.concat_ws("|", id_or_null("guideline_id"), id_or_null("audit_run_id"))
+    rows = ForeignKey(history.child, run, history.reference, history.parent, history.parent_key)
+    below = ForeignKey(candidates.child, candidates.row_key, run, history.child, run, delivered=None)
+    return _cascade(spark, sf_dir, direct[:1], [rows, below]).where("depth > 0").select("source_table", "row_key", F.coalesce("orphan_month", F.lit("")).alias("orphan_month"), "depth", "inherited_from", "inherited_key")

@@ -82,6 +82,13 @@ SELECT source_table, coalesce(orphan_month, '') AS orphan_month, orphan_kind, 0
 UNION ALL SELECT source_table, coalesce(m, ''), 'inherited', 1, count(*) FROM inherited GROUP BY 1, 2"""
 
 
+P4_CASCADE = f"""WITH bad AS (SELECT DISTINCT row_key FROM ({_ORPHANS}) WHERE source_table = 'guideline_fls_source_mappings'),
+  one AS (SELECT concat_ws('|', {ident('guideline_id')}, {ident('audit_run_id')}) AS k, min({ident('guideline_id')}) FILTER (WHERE {ident('guideline_id')} IN (SELECT row_key FROM bad)) AS p, substr(cast(min(delivered_at) AS VARCHAR), 1, 7) AS m FROM guideline_fls_resolution_history GROUP BY 1),
+  two AS (SELECT DISTINCT concat_ws('|', {ident('audit_run_id')}, {ident('guideline_id')}, candidate_rank) AS k, concat_ws('|', {ident('guideline_id')}, {ident('audit_run_id')}) AS p FROM guideline_fls_resolution_candidates)
+SELECT 'guideline_fls_resolution_history' AS source_table, k AS row_key, coalesce(m, '') AS orphan_month, 1 AS depth, 'guideline_fls_source_mappings' AS inherited_from, p AS inherited_key FROM one WHERE p IS NOT NULL
+UNION ALL SELECT 'guideline_fls_resolution_candidates', k, '', 2, 'guideline_fls_resolution_history', min(p) FROM two WHERE p IN (SELECT k FROM one WHERE p IS NOT NULL) GROUP BY k"""
+
+
 def _digest(col: str) -> str:
     return f"nullif({trim(f'''regexp_replace(lower({trim(col)}), '^sha256:', '')''')}, '')"
 
@@ -164,6 +171,7 @@ def oracle_sql() -> dict[str, str]:
         "p3_attribute_log": P3_LOG,
         "p4_found": _ORPHANS,
         "p4_report": P4_REPORT,
+        "p4_cascade": P4_CASCADE,
         "p5_found": _CHANGES,
         "p5_report": f"SELECT source_table, corpus, snapshot_id, change_kind, count(*) AS records FROM ({_CHANGES}) GROUP BY 1, 2, 3, 4",
     }

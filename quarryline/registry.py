@@ -14,7 +14,7 @@ def queries() -> dict[str, Callable]:
     return {
         **nested.queries(),
         "p3_found": history.p3_found, "p3_versions": history.p3_versions, "p3_attribute_log": history.p3_attribute_log,
-        "p4_found": references.p4_found, "p4_report": references.p4_report,
+        "p4_found": references.p4_found, "p4_report": references.p4_report, "p4_cascade": references.p4_cascade,
         "p5_found": snapshots.p5_found, "p5_report": snapshots.p5_report,
         **catalog.QUERIES,
     }

@@ -55,6 +55,22 @@ def test_chain_deeper_than_fifty(spark):
     assert [(x[1], x[4]) for x in got] == [(k, i) for i, k in enumerate(names)]
 
 
+def test_wide_chain(spark):
+    """Thirty levels of a table that refers to itself, seven chains side by side."""
+    loop = ForeignKey("child", id_or_null("k"), id_or_null("ref"), "child", id_or_null("k"))
+    rows = [(f"n{i:03d}x{w}", "nope" if i == 0 else f"n{i - 1:03d}x{w}", T1) for i in range(30) for w in range(7)]
+    got = run(spark, rows, [(k, T1, None) for k, _, _ in rows], [loop])
+    assert len(got) == 210 and {x[4] for x in got} == set(range(30))
+
+
+def test_the_parent_of_an_inherited_orphan_is_named(spark):
+    two = spark.createDataFrame([("g", "b", T1), ("g", "a", T2)], CHILD)
+    keys = [ForeignKey("grand", id_or_null("k"), id_or_null("ref"), "child", id_or_null("k"))]
+    c = spark.createDataFrame([("a", "nope", T1), ("b", "nope", T1)], CHILD)
+    rows = orphan_cascade({"child": c, "parent": spark.createDataFrame([], PARENT), "grand": two}, [direct()], keys).where("depth = 1").collect()
+    assert [(r.row_key, r.inherited_from, r.inherited_key, r.orphan_month) for r in rows] == [("g", "child", "a", "2024-01")]
+
+
 def test_hot_parent(spark):
     children = [(f"k{i}", "hot" if i % 3 else "nope", T1) for i in range(600)]
     assert len(run(spark, children, [("hot", T1, None)])) == 200
