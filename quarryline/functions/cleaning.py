@@ -28,9 +28,24 @@ def epoch_micros(col: Column | str) -> Column:
     """Microseconds since 1970 of an ISO 8601 date and time, basic or extended; null for anything else.
 
     No offset means UTC. Impossible dates (30 February) and times (25:00) give null. More than six digits of a
-    second are cut off. The session's time zone plays no part.
+    second are cut off. The session's time zone plays no part. The commonest spellings are told by a few characters and cast; of the others, one
+    match tells whether it is a time at all, and only what can't be cast is taken apart (inside a lambda, so that it stays out of the generated method,
+    which would else be too long to be compiled).
     """
     text = strip(col)
+    at = lambda i: F.substring(text, i, 1)
+    n = F.length(text)
+    ends = (n == 19) | ((n == 20) & (at(20) == "Z")) | ((n == 25) & at(20).isin("+", "-") & (at(23) == ":"))
+    common = ends & (at(5) == "-") & (at(8) == "-") & at(11).isin("T", " ") & (at(14) == ":") & (at(17) == ":")
+    cast = lambda t: F.unix_micros(t.try_cast("timestamp"))
+    tail = F.substring(text, 11, 40)
+    zoned = F.contains(tail, F.lit("Z")) | F.contains(tail, F.lit("+")) | F.contains(tail, F.lit("-"))
+    utc = F.concat(text, F.lit("Z"))
+    return F.coalesce(F.when(common, cast(F.when(n == 19, utc).otherwise(text))), F.when(text.rlike(_ISO), F.coalesce(cast(F.when(zoned, text).otherwise(utc)), F.transform(F.array(text), _by_parts)[0])))
+
+
+def _by_parts(text: Column) -> Column:
+    """The same for any spelling, from the groups of _ISO."""
     part = lambda i, j: F.concat(F.regexp_extract(text, _ISO, i), F.regexp_extract(text, _ISO, j))
     num = lambda i, j: F.nullif(part(i, j), F.lit("")).cast("int")
     zone = F.regexp_replace(part(8, 15), ":", "")
@@ -38,7 +53,7 @@ def epoch_micros(col: Column | str) -> Column:
     second = F.coalesce(num(6, 13), F.lit(0)).cast("decimal(16,6)")
     whole = F.try_make_timestamp(F.regexp_extract(text, _ISO, 1).try_cast("int"), num(2, 9), num(3, 10), num(4, 11), num(5, 12), second, F.lit("UTC"))
     micros = F.rpad(F.substring(part(7, 14), 1, 6), 6, "0").try_cast("long")
-    return F.when(text.rlike(_ISO), F.unix_micros(whole) + F.coalesce(micros, F.lit(0)) - offset.cast("long") * 60_000_000)
+    return F.unix_micros(whole) + F.coalesce(micros, F.lit(0)) - offset.cast("long") * 60_000_000
 
 
 def utc_text(micros: Column | str) -> Column:
