@@ -34,8 +34,9 @@ def brute(rows):
 
 
 def versions(df, hot):
-    log = history.attribute_log(materialize(history.observed_states(df, "entity", "at", "d", {"a": strip("a"), "b": F.lower(strip("b"))})), ["a", "b"], hot)
-    v = history.combine_logs(materialize(log), ["a", "b"], hot)
+    states = materialize(history.observed_states(df, "entity", "at", "d", {"a": strip("a"), "b": F.lower(strip("b"))}))
+    v, straight = history.combine_logs(materialize(history.attribute_log(states, ["a", "b"], hot)), ["a", "b"], hot), history.versions(states, ["a", "b"], hot)
+    assert sorted(map(str, v.collect())) == sorted(map(str, straight.collect()))
     return sorted(tuple(r) for r in v.select("entity", utc_text("valid_from"), F.coalesce(utc_text("valid_to"), F.lit("")), "a", "b").collect())
 
 
@@ -69,3 +70,11 @@ def test_times(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == cases
+
+
+def test_one_exchange_from_states_to_versions(spark):
+    start = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(f"e{i % 9}", f"2024-01-{i % 28 + 1:02d}T00:00:00Z", start, str(i % 4), str(i % 3)) for i in range(300)], SCHEMA)
+    states = materialize(history.observed_states(df, "entity", "at", "d", {"a": strip("a"), "b": strip("b")}))
+    plan = history.versions(states, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
