@@ -67,6 +67,31 @@ def statement_type(text: Column | str) -> tuple[Column, Column]:
     return kind, sure
 
 
+#: A fenced block: from a line that begins with three backticks to the next such line, or to the end.
+FENCE = r"(?ms)^[ \t]*```.*?(?:\n[ \t]*```[^\n]*|\z)"
+
+
+def fenced_blocks(text: Column | str) -> Column:
+    """The blocks of a text (F6): what blank lines part, but each fenced block whole and by itself, with its own blank lines."""
+    col = F.col(text) if isinstance(text, str) else text
+    fences, between = F.regexp_extract_all(col, F.lit(FENCE), F.lit(0)), F.split(col, FENCE)
+    parts = F.transform(F.sequence(F.lit(0), F.size(fences)), lambda i: F.concat(F.split(F.coalesce(F.get(between, i), F.lit("")), r"\n[ \t\r]*\n"), F.array_compact(F.array(F.get(fences, i)))))
+    return F.filter(F.transform(F.flatten(parts), lambda b: F.btrim(b, F.lit(" \t\r\n"))), lambda b: b != "")
+
+
+def topic(docname: Column | str, category: Column | str) -> Column:
+    """A document's name as a topic (F12): its path in lower case without the common root and a closing index, each step cut down to letters, digits, _ and -.
+
+    A document without a name has its category's, cut down in the same way, or else general.
+    """
+    low = lambda c: F.lower(F.trim(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))))
+    name = F.btrim(F.regexp_replace(F.btrim(F.regexp_replace(F.translate(low(docname), "\\", "/"), "^coding-guidelines/", ""), F.lit("/")), "/index$", ""), F.lit("/"))
+    steps = F.transform(F.split(name, "/"), lambda s: F.coalesce(F.nullif(F.btrim(F.regexp_replace(s, "[^a-z0-9_-]+", "-"), F.lit("-")), F.lit("")), F.lit("misc")))
+    other = F.coalesce(F.nullif(low(category), F.lit("")), F.lit("general"))
+    other = F.coalesce(F.nullif(F.btrim(F.regexp_replace(other, "[^a-z0-9/_-]+", "-"), F.lit("-/")), F.lit("")), F.lit("general"))
+    return F.when(name == "", other).otherwise(F.array_join(steps, "/"))
+
+
 def slug(text: Column | str) -> Column:
     """Lower case, runs of anything but letters and digits as one hyphen; ``section`` where nothing is left."""
     s = F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "-"), F.lit("-"))

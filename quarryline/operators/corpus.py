@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.functions.cleaning import strip
-from quarryline.functions.text import MARKUP, SENTENCE_GAP, STATEMENT_TYPES, clean_markup, jaccard, raw_tokens, sentences, slug, statement_type
+from quarryline.functions.text import MARKUP, STATEMENT_TYPES, clean_markup, jaccard, raw_tokens, sentences, slug, statement_type
 from quarryline.operators.relational import full_outer_delta
 from quarryline.plans.catalog import query
 from quarryline.plans.provenance import identities
@@ -117,103 +115,83 @@ def word_counts(spark, sf_dir):
 
 # --- packing into chunks ---
 
-_SENTENCES, _TOKEN = re.compile(SENTENCE_GAP), re.compile(r"[a-z0-9_]+")
-_MARKUP = [re.compile(p) for p in MARKUP]
 
 
-def _clean(text: str) -> str:
-    for p in _MARKUP:
-        text = p.sub(" ", text)
-    return " ".join(text.split())
+def _distinct_tokens(text) -> Column:
+    return F.size(F.array_distinct(raw_tokens(text)))
 
 
-def _size(text: str) -> int:
-    return len(set(_TOKEN.findall(text.lower())))
+def cut_spans(sizes: Column, most: int, least: int | None = None, full: int | None = None, again: int = 0) -> Column:
+    """The spans (from, to; half open) that a row of sizes is cut into, by running sums in one pass.
 
+    With S the running sums, S[0] = 0, a span from b ends before item i if it has items and either i would make it larger than ``most`` or it has ``full``
+    already, and it ends after item i once it has ``least``. The next one begins at the last place from which ``again`` is reached, so that much is repeated, but never before b. What
+    is left at the end is a span too, unless it is the last one again.
+    """
+    none = F.array().cast("array<struct<a:int,b:int>>")
+    sums = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+    span = lambda a, b: F.array(F.struct(a.alias("a"), b.alias("b")))
+
+    def spans_of(s: Column) -> Column:
+        at = lambda i: F.get(s, i)
+        restart = lambda b, e: F.greatest(b, F.size(F.filter(s, lambda x: x <= at(e) - again)) - 1)
+
+        def step(acc: Column, i: Column) -> Column:
+            b, held = acc["b"], at(i - 1) - at(acc["b"])
+            closed = (i - 1 > b) & ((at(i) - at(b) > most) | (F.lit(False) if full is None else held >= full))
+            before = F.struct(F.when(closed, restart(b, i - 1)).otherwise(b).alias("b"), F.when(closed, F.concat(acc["spans"], span(b, i - 1))).otherwise(acc["spans"]).alias("spans"))
+            if least is None:
+                return before
+            return F.get(F.transform(F.array(before), lambda x: F.when(at(i) - at(x["b"]) >= least, F.struct(restart(x["b"], i).alias("b"), F.concat(x["spans"], span(x["b"], i)).alias("spans"))).otherwise(x)), 0)
+
+        n = F.size(s) - 1
+        ends = F.aggregate(F.filter(F.sequence(F.lit(0), n), lambda i: i > 0), F.struct(F.lit(0).alias("b"), none.alias("spans")), step)
+        last = F.get(F.transform(F.array(ends), lambda x: F.concat(x["spans"], F.filter(span(x["b"], n), lambda y: (y["a"] < n) & ((F.size(x["spans"]) == 0) | (F.try_element_at(x["spans"], F.lit(-1)) != y))))), 0)
+        return last
 
-def pack_blocks(text: str, least: int, most: int, overlap: float = 0.0) -> list[tuple[str, int]]:
-    """(clean text, tokens) of the chunks of a section: blocks gathered until ``least`` distinct tokens, never beyond ``most`` but by one block.
+    return F.get(F.transform(F.array(sums), spans_of), 0)
 
-    A share of ``most`` is repeated from the end of the chunk before. A chunk that is too large by itself is parted between sentences. A
-    last chunk that only repeats the one before is left out. Bounds: least is 40 or more, overlap at most 0.45.
+
+def _joined(items: Column, spans: Callable[[Column], Column], glue: str) -> Column:
+    """The texts that items make, put together by the spans of their token counts."""
+    both = F.transform(items, lambda p: F.struct(p.alias("t"), _distinct_tokens(p).alias("n")))
+    return F.get(F.transform(F.array(both), lambda x: F.transform(spans(x["n"]), lambda y: F.array_join(F.slice(x["t"], y["a"] + 1, y["b"] - y["a"]), glue))), 0)
+
+
+def chunk_sections(parts: DataFrame, least: int = 80, most: int = 180, overlap: float = 0.1) -> DataFrame:
+    """(chunk_uid, doc_id, section, order_index, clean_text, token_len) of sections (doc_id, order_index, body).
+
+    A section's blocks are gathered until a chunk has ``least`` distinct tokens, never beyond ``most`` but by one block; a share of ``most`` is repeated from the end of
+    the chunk before. A chunk that is too large by itself is parted between sentences. Bounds: least is 40 or more, overlap at most 0.45. Each section stands for itself
+    and nothing leaves the JVM, so there is no exchange. Null bodies and blocks without tokens give nothing.
     """
     least = max(40, least)
     most = max(least, most)
     again = round(most * max(0.0, min(0.45, overlap)))
-    blocks = [(c, n) for c, n in ((c, _size(c)) for c in map(_clean, text.split("\n\n"))) if n]
-    ready: list[list[int]] = []
-    held: list[int] = []
-
-    def size(ids: list[int]) -> int:
-        return sum(blocks[i][1] for i in ids)
-
-    def tail(ids: list[int]) -> list[int]:
-        if not again:
-            return []
-        start = len(ids)
-        while start and size(ids[start:]) < again:
-            start -= 1
-        return ids[start:]
-
-    for i, (_, n) in enumerate(blocks):
-        if held and size(held) + n > most:
-            ready.append(held)
-            held = tail(held)
-        held = [*held, i]
-        if size(held) >= least:
-            ready.append(held)
-            held = tail(held)
-    if held and (not ready or ready[-1] != held):
-        ready.append(held)
-    out: list[tuple[str, int]] = []
-    for ids in ready:
-        whole = " ".join(blocks[i][0] for i in ids)
-        if size(ids) <= most:
-            out.append((whole, _size(whole)))
-            continue
-        lot, count = [], 0
-        for s in filter(None, map(str.strip, _SENTENCES.split(whole))):
-            n = _size(s)
-            if lot and count + n > most:
-                out.append((" ".join(lot), _size(" ".join(lot))))
-                lot, count = [], 0
-            lot.append(s)
-            count += n
-        if lot:
-            out.append((" ".join(lot), _size(" ".join(lot))))
-    return out
-
-
-def pack_paragraphs(text: str, least: int, target: int, most: int) -> list[str]:
-    """Paragraphs gathered up to a target, never beyond ``most`` but by one; a last chunk under ``least`` joins the one before."""
-    out: list[list[str]] = [[]]
-    count = 0
-    for p in filter(None, map(str.strip, text.split("\n\n"))):
-        n = _size(p)
-        if out[-1] and (count >= target or count + n > most):
-            out.append([])
-            count = 0
-        out[-1].append(p)
-        count += n
-    chunks = ["\n\n".join(c) for c in out if c]
-    if len(chunks) > 1 and _size(chunks[-1]) < least:
-        chunks[-2:] = ["\n\n".join(chunks[-2:])]
-    return chunks or [text.strip()]
+    blocks = F.filter(F.transform(F.split("body", "\n\n"), lambda b: F.struct(F.trim(F.regexp_replace(clean_markup(b), r"(?U)\s+", " ")).alias("t"))), lambda b: b["t"] != "")
+    sized = F.filter(F.transform(blocks, lambda b: F.struct(b["t"].alias("t"), _distinct_tokens(b["t"]).alias("n"))), lambda b: b["n"] > 0)
+    staged = parts.select("doc_id", F.col("order_index").alias("section"), sized.alias("blocks"))
+    staged = staged.select("doc_id", "section", "blocks", cut_spans(F.col("blocks.n"), most, least=least, again=again).alias("spans"))
+
+    def texts(span: Column) -> Column:
+        held = F.slice("blocks", span["a"] + 1, span["b"] - span["a"])
+        whole, size = F.array_join(held["t"], " "), F.aggregate(held["n"], F.lit(0), lambda a, x: a + x)
+        return F.when(size <= most, F.array(whole)).otherwise(_joined(sentences(whole), lambda x: cut_spans(x, most), " "))
+
+    rows = staged.select("doc_id", "section", F.posexplode(F.flatten(F.transform("spans", texts))).alias("nth", "clean_text"))
+    rows = rows.select("doc_id", "section", (F.col("nth") + 1).alias("order_index"), "clean_text", _distinct_tokens("clean_text").alias("token_len"))
+    return rows.select(F.concat(F.lit("chunk::"), F.sha2(F.concat_ws("::", "doc_id", "section", "order_index", F.lower("clean_text")), 256)).alias("chunk_uid"), "*")
 
 
-def chunk_sections(parts: DataFrame, least: int = 80, most: int = 180, overlap: float = 0.1) -> DataFrame:
-    """(chunk_uid, doc_id, section, order_index, clean_text, token_len) of sections (doc_id, order_index, body): each section stands for itself, so there is no exchange."""
+def pack_paragraphs(text: Column | str, least: int, target: int, most: int) -> Column:
+    """Paragraphs gathered up to a target, never beyond ``most`` but by one; a last chunk under ``least`` joins the one before. A blank text is one empty chunk."""
+    col = F.col(text) if isinstance(text, str) else text
+    paragraphs = F.filter(F.transform(F.split(col, "\n\n"), lambda p: F.btrim(p, F.lit(" \t\r\n"))), lambda p: p != "")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, where, order, texts, sizes = [], [], [], [], []
-            for d, o, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for k, (t, n) in enumerate(pack_blocks(body or "", least, most, overlap), 1):
-                    ids.append(d), where.append(o), order.append(k), texts.append(t), sizes.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(where, pa.int32()), pa.array(order, pa.int32()), pa.array(texts, pa.string()), pa.array(sizes, pa.int32())], names=["doc_id", "section", "order_index", "clean_text", "token_len"])
-
-    rows = parts.select("doc_id", "order_index", "body").mapInArrow(run, "doc_id long, section int, order_index int, clean_text string, token_len int")
-    return rows.select(F.concat(F.lit("chunk::"), F.sha2(F.concat_ws("::", "doc_id", "section", "order_index", F.lower("clean_text")), 256)).alias("chunk_uid"), "*")
+    chunks = _joined(paragraphs, lambda n: cut_spans(n, most, full=target), "\n\n")
+    last_two = lambda c: F.concat_ws("\n\n", F.get(c, F.size(c) - 2), F.get(c, F.size(c) - 1))
+    short = lambda c: (F.size(c) > 1) & (_distinct_tokens(F.get(c, F.size(c) - 1)) < least)
+    return F.get(F.transform(F.array(chunks), lambda c: F.when(short(c), F.concat(F.slice(c, F.lit(1), F.size(c) - 2), F.array(last_two(c)))).when(F.size(c) == 0, F.array(F.lit(""))).otherwise(c)), 0)
 
 
 @query("chunk_packing")
@@ -227,13 +205,8 @@ def chunk_packing_api(spark, sf_dir):
     """API texts as chunks with a header and the target's name."""
     m = table(spark, sf_dir, "core_docs_chunk_metadata", "chunk_uid", "item_path", "item_kind", "signature", "example_snippets", "target_triple").dropDuplicates(["chunk_uid", "target_triple"])
     whole = m.select(F.concat_ws("\n\n", F.concat_ws(" ", "item_kind", "item_path"), "signature", "example_snippets").alias("body"), "item_path", "target_triple")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(p, t, k, f"{c}\n[target: {t or ''}]") for b, p, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True) for k, c in enumerate(pack_paragraphs(b or "", 20, 260, 400), 1)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.string()))], names=["item_path", "target_triple", "order_index", "chunk_text"])
-
-    return whole.mapInArrow(run, "item_path string, target_triple string, order_index int, chunk_text string")
+    rows = whole.select("item_path", "target_triple", F.posexplode(pack_paragraphs("body", 20, 260, 400)).alias("nth", "chunk"))
+    return rows.select("item_path", "target_triple", (F.col("nth") + 1).alias("order_index"), F.concat("chunk", F.lit("\n[target: "), F.coalesce("target_triple", F.lit("")), F.lit("]")).alias("chunk_text"))
 
 
 # --- mechanisms and their evidence ---

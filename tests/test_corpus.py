@@ -1,5 +1,7 @@
 """Sections, statements, chunks, refresh and resolution on small texts."""
 
+import random
+
 import pandas as pd
 import pytest
 
@@ -33,22 +35,63 @@ def words(n, start=0):
     return " ".join(f"w{i}" for i in range(start, start + n))
 
 
-def test_chunk_packing():
+def chunks(spark, text, least, most, overlap=0.0):
+    df = spark.createDataFrame([(1, 1, text)], "doc_id long, order_index int, body string")
+    rows = sorted(c.chunk_sections(df, least, most, overlap).collect(), key=lambda r: r.order_index)
+    assert [r.order_index for r in rows] == list(range(1, len(rows) + 1))
+    return [(r.clean_text, r.token_len) for r in rows]
+
+
+def test_chunk_packing(spark):
     blocks = "\n\n".join(words(30, 100 * i) for i in range(4))
-    plain = c.pack_blocks(blocks, 50, 100)
-    assert [n for _, n in plain] == [60, 60]
-    lapped = c.pack_blocks(blocks, 50, 100, 0.2)
+    assert [n for _, n in chunks(spark, blocks, 50, 100)] == [60, 60]
+    lapped = chunks(spark, blocks, 50, 100, 0.2)
     assert [n for _, n in lapped] == [60, 60, 60, 30] or lapped[1][0].startswith(words(30, 100))
-    big = c.pack_blocks(" ".join(f"{words(40, 100 * i)}. Z" for i in range(4)), 40, 60)
+    big = chunks(spark, " ".join(f"{words(40, 100 * i)}. Z" for i in range(4)), 40, 60)
     assert len(big) > 1 and all(n <= 62 for _, n in big)
-    assert c.pack_blocks("", 50, 100) == [] and c.pack_blocks("``` x ```", 50, 100) == []
+    assert chunks(spark, "", 50, 100) == [] and chunks(spark, "``` x ```", 50, 100) == [] and chunks(spark, None, 50, 100) == []
+    assert chunks(spark, "one\u00a0two", 40, 60) == [("one two", 2)]
+
+
+def walked(sizes, most, least=None, full=None, again=0):
+    """The same spans item by item."""
+    out, begin = [], 0
+
+    def restart(b, e):
+        while b < e and (not again or sum(sizes[b + 1 : e]) >= again):
+            b += 1
+        return b
 
+    for i in range(len(sizes)):
+        if begin < i and (sum(sizes[begin : i + 1]) > most or full is not None and sum(sizes[begin:i]) >= full):
+            out.append((begin, i))
+            begin = restart(begin, i)
+        if least is not None and sum(sizes[begin : i + 1]) >= least:
+            out.append((begin, i + 1))
+            begin = restart(begin, i + 1)
+    return out + ([(begin, len(sizes))] if begin < len(sizes) and out[-1:] != [(begin, len(sizes))] else [])
 
-def test_paragraph_packing():
+
+@pytest.mark.parametrize("bounds", [{"most": 100, "least": 50}, {"most": 100, "least": 50, "again": 20}, {"most": 60}, {"most": 90, "full": 40}, {"most": 50, "least": 40, "again": 22}])
+def test_spans_by_running_sums(spark, bounds):
+    rng = random.Random(11)
+    rows = [(i, [rng.randrange(1, 60) for _ in range(rng.randrange(0, 14))]) for i in range(200)]
+    got = {r.i: [tuple(x) for x in r.x] for r in spark.createDataFrame(rows, "i int, s array<int>").select("i", c.cut_spans(F.col("s"), **bounds).alias("x")).collect()}
+    assert got == {i: walked(s, **bounds) for i, s in rows}
+
+
+def test_paragraph_packing(spark):
     text = "\n\n".join(words(20, 100 * i) for i in range(4))
-    assert [len(x.split("\n\n")) for x in c.pack_paragraphs(text, 5, 40, 60)] == [2, 2]
-    assert [len(x.split("\n\n")) for x in c.pack_paragraphs(text + "\n\nend", 5, 40, 60)] == [2, 3]
-    assert c.pack_paragraphs("  ", 5, 40, 60) == [""]
+    of = lambda t: spark.createDataFrame([(t,)], "t string").select(c.pack_paragraphs("t", 5, 40, 60).alias("x")).first().x
+    assert [len(x.split("\n\n")) for x in of(text)] == [2, 2]
+    assert [len(x.split("\n\n")) for x in of(text + "\n\nend")] == [2, 3]
+    assert of("  ") == [""]
+
+
+def test_fences_are_whole(spark):
+    text = "one\n\ntwo\n```rust\na\n\nb\n```\nthree\n \n  ```\nopen\n\nend"
+    got = spark.createDataFrame([(text,), ("",), (None,)], "t string").select(t.fenced_blocks("t").alias("b")).collect()
+    assert [r.b for r in got] == [["one", "two", "```rust\na\n\nb\n```", "three", "```\nopen\n\nend"], [], None]
 
 
 @pytest.mark.parametrize("key", ["added", "updated", "deleted", "unchanged"])

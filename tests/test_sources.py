@@ -117,11 +117,16 @@ def test_contract_guard(spark, tmp_path):
     assert [r.id for r in k.run_contract(spark, spec, {"least": 5}, limit=3).collect()] == [5, 6, 7]
     bad = [
         (k.QuerySpec("d", "DROP TABLE numbers"), {}, None), (k.QuerySpec("r", "SELECT replace('a', 'a', 'b') AS x"), {}, None), (k.QuerySpec("o", "SELECT id FROM numbers", requires_order=True), {}, None),
+        (k.QuerySpec("i", "SELECT id FROM (SELECT id FROM numbers ORDER BY id LIMIT 3)", requires_order=True), {}, None), (k.QuerySpec("u", "SELECT id FROM numbers WHERE id > :hidden"), {}, None), (k.QuerySpec("n", "SELECT id FROM numbers", ("unused",)), {"unused": 1}, None),
         (spec, {}, None), (spec, {"least": 1, "more": 2}, None), (spec, {"least": 1}, 0), (spec, {"least": 1}, 5001), (k.QuerySpec("c", "CACHE TABLE numbers"), {}, None), (k.QuerySpec("s", "SELEC 1"), {}, None),
     ]
     for s_, params, limit in bad:
         with pytest.raises(k.GuardError):
             k.run_contract(spark, s_, params, limit)
+    few = k.QuerySpec("f", "SELECT id FROM numbers WHERE id <> length(':no') ORDER BY id", (), 4, True)
+    assert [r.id for r in k.run_contract(spark, few).collect()] == [0, 1, 2, 4] and k.run_contract(spark, few, limit=2).count() == 2
+    assert k.run_contract(spark, k.QuerySpec("l", "WITH n AS (SELECT id FROM numbers) SELECT id FROM n ORDER BY id LIMIT 6", (), 4, True)).count() == 6
+    assert k.run_contract(spark, k.QuerySpec("s", "SELECT id FROM numbers WHERE id IN (SELECT id FROM numbers LIMIT 9) ORDER BY id", (), 4, True)).count() == 4
     path = tmp_path / "c.yaml"
     path.write_text("defaults: {row_limit: 7}\nqueries:\n  a: {sql: 'SELECT 1 AS x', params: []}\n")
     assert k.load_specs(path)["a"].row_limit == 7
@@ -129,11 +134,16 @@ def test_contract_guard(spark, tmp_path):
     assert line["params"] == ["least"] and "secret" not in json.dumps(line)
 
 
-def test_rewrite_and_settings():
+def test_rewrite(spark):
     rules = {"strategy": "v2", "token_expansions": {"ptr": ["pointer", "raw"]}, "suppress_tokens_when_present": {"safe": ["unsafe"]}, "row_marker_terms": {"1a": ["subset"]}, "mode_terms": {"lexical": ["lex"]}, "mode_specific_rules": {"semantic": {"semantic_intent_prefix": "Find", "token_expansions": {"ptr": ["address"]}}}}
-    got = rewrite("Unsafe  safe ptr", rules, "1A", "semantic")
-    assert got.text == "find unsafe ptr pointer raw subset address" and got.tags == ("v2", "token-suppression", "token-expansion", "row-marker-terms", "mode-specific-token-expansion", "semantic-intent-prefix")
-    assert rewrite("a  b", rules, enabled=False).text == "a b"
+    q = spark.createDataFrame([("q", "Unsafe  safe ptr", "1A", "semantic"), ("q", "Unsafe  safe ptr", "1A", "lexical"), ("n", None, None, "lexical"), ("d", "ptr ptr raw", "x", "lexical"), ("p", " ?! ", "x", "other")], "query_id string, query string, marker string, mode string")
+    got = {(r.query_id, r.mode): r for r in rewrite(q, rules).collect()}
+    assert got["q", "semantic"].rewritten == "find unsafe ptr pointer raw subset address" and got["q", "semantic"].tags == ["v2", "token-suppression", "token-expansion", "row-marker-terms", "mode-specific-token-expansion", "semantic-intent-prefix"]
+    assert got["q", "lexical"].added == ["pointer", "raw", "subset", "lex"] and got["n", "lexical"].rewritten == "lex" and got["d", "lexical"].rewritten == "ptr ptr raw pointer lex" and got["p", "other"].rewritten == "?!"
+    assert {r.rewritten for r in rewrite(q.limit(1), rules, enabled=False).collect()} == {"Unsafe safe ptr"} and rewrite(q.limit(0), rules).count() == 0
+
+
+def test_settings():
     c = resolve_config({"top_k": None}, {"top_k": 3, "lexical_floor_share": 7}, {"top_k": 9, "candidate_limit": 99999})
     assert (c.top_k, c.candidate_limit, c.lexical_floor_share, c.window) == (3, 5000, 1.0, 64)
     with pytest.raises(ValueError):
