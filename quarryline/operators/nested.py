@@ -7,12 +7,12 @@ for depth, and one sort by depth give every value's span, its parent and its pos
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\r\n")] = True
 _STRUCT = np.zeros(256, bool)
 _STRUCT[list(b"{}[],:")] = True
-_NUMBER = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?", re.ASCII)
+_SCALAR_TEXT = r"^(?:true|false|null|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)$"
 _OBJECT, _ARRAY, _STRING, _SCALAR = 0, 1, 2, 3
 #: Classes of tokens: what opens, closes or parts values, and values.
 _CLASS = np.zeros(256, np.int8)
@@ -43,7 +43,7 @@ class Index:
 
     doc: the text's number; kind: object, array, string or scalar; start, stop: the span in buffer; parent: the number of the value that
     holds this one, or -1; name: for a member, its name's span in name_start, name_stop, else -1; position: zero-based, for an
-    element. valid: for each text, whether it is JSON.
+    element. level: how many values hold this one. valid: for each text, whether it is JSON.
     """
 
     buffer: np.ndarray
@@ -55,17 +55,23 @@ class Index:
     name_start: np.ndarray
     name_stop: np.ndarray
     position: np.ndarray
+    level: np.ndarray
     valid: np.ndarray
 
-    def text(self, i: int) -> bytes:
-        return self.buffer[self.start[i] : self.stop[i]].tobytes()
-
 
 def _per_doc(total: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """A running total made to begin at 0 in each text; total is inclusive."""
     return total - np.repeat(np.concatenate([[0], total])[starts], lengths)
 
 
+def spans(buffer: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.BinaryArray:
+    """The bytes of every span, by one gather."""
+    sizes = stop - start
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    at = np.arange(ends[-1]) + np.repeat(start - ends[:-1], sizes)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(buffer[at]))])
+
+
 def index_texts(texts: Sequence[bytes]) -> Index:
     """The structural index of UTF-8 texts; texts that are no JSON (RFC 8259) have valid False and no values."""
     lengths = np.array([len(t) for t in texts], np.int64)
@@ -109,14 +115,8 @@ def index_texts(texts: Sequence[bytes]) -> Index:
     if is_scalar.any():
         ends = np.flatnonzero(plain & ~np.concatenate([plain[1:] & (docs[1:] == docs[:-1]), [False]])) + 1
         stop[is_scalar] = ends
-        good: dict[bytes, bool] = {}
-        for i in np.flatnonzero(is_scalar):
-            s = b[token[i] : stop[i]].tobytes()
-            ok = good.get(s)
-            if ok is None:
-                ok = good[s] = s in (b"true", b"false", b"null") or bool(_NUMBER.fullmatch(s.decode("utf-8", "replace")))
-            if not ok:
-                bad[tdoc[i]] = True
+        fine = pc.match_substring_regex(spans(b, token[is_scalar], ends), _SCALAR_TEXT).to_numpy(zero_copy_only=False)
+        np.logical_or.at(bad, tdoc[is_scalar][~fine], True)
     # depth by prefix sums; brackets of one depth and text come in turns
     step = np.isin(tclass, (_T_OPEN_O, _T_OPEN_A)).astype(np.int64) - np.isin(tclass, (_T_CLOSE_O, _T_CLOSE_A)).astype(np.int64)
     tcount = np.bincount(tdoc, minlength=len(texts)) if len(tdoc) else np.zeros(len(texts), np.int64)
@@ -191,7 +191,7 @@ def index_texts(texts: Sequence[bytes]) -> Index:
     start = token[pick]
     blank = np.full(len(pick), -1, np.int64)
     has_name = member
-    return Index(b, tdoc[pick], kind, start, stop[pick], up, np.where(has_name, token[name_token] if m else blank, -1), np.where(has_name, stop[name_token] if m else blank, -1), position, valid)
+    return Index(b, tdoc[pick], kind, start, stop[pick], up, np.where(has_name, token[name_token] if m else blank, -1), np.where(has_name, stop[name_token] if m else blank, -1), position, level[pick], valid)
 
 
 def _bad_escapes(b: np.ndarray, escaped: np.ndarray, docs: np.ndarray, bad: np.ndarray) -> None:
@@ -239,150 +239,294 @@ def _grammar(tclass: np.ndarray, tdoc: np.ndarray, parent: np.ndarray, bad: np.n
 
 @dataclass(frozen=True)
 class Field:
-    """A JSON column: its table, the columns of its rows' keys, and whether its whole value stands for an array."""
+    """A JSON column: its table, the columns of its rows' keys, whether its whole value stands for an array, and what tells the last delivery."""
 
     source: str
     keys: tuple[str, ...]
     column: str
     listed: bool = False
+    delivered: str | None = None
 
 
-@dataclass
-class _Nodes:
-    """The objects found so far, as columns."""
+def _decoded(raw: pa.Array) -> pa.Array:
+    """What strings in quotes say; half a surrogate pair becomes a question mark. Only those with a backslash are looked at one by one."""
+    inner = pc.binary_slice(raw, 1, -1)
+    escaped = np.flatnonzero(pc.find_substring(inner, b"\\").to_numpy(zero_copy_only=False) >= 0)
+    plain = pc.cast(inner, pa.large_string(), safe=False)
+    if not len(escaped):
+        return plain
+    said = [json.loads(x).encode("utf-8", "replace").decode() for x in raw.take(pa.array(escaped)).to_pylist()]
+    mask = np.zeros(len(raw), bool)
+    mask[escaped] = True
+    return pc.replace_with_mask(plain, pa.array(mask), pa.array(said, pa.large_string()))
 
-    row: list = field(default_factory=list)
-    path: list = field(default_factory=list)
-    parent_path: list = field(default_factory=list)
-    kind: list = field(default_factory=list)
-    position: list = field(default_factory=list)
-    body: list = field(default_factory=list)
 
+def _glue(*parts) -> pa.Array:
+    return pc.binary_join_element_wise(*[pc.cast(x, pa.large_string()) if isinstance(x, pa.Array) else pa.scalar(x, pa.large_string()) for x in (*parts, "")])
 
-@dataclass
-class _Members:
-    """The values without objects in them found so far, as columns."""
 
-    row: list = field(default_factory=list)
-    path: list = field(default_factory=list)
-    name: list = field(default_factory=list)
-    value: list = field(default_factory=list)
-    type: list = field(default_factory=list)
+def _no(size: int) -> pa.Array:
+    return pa.array([""] * size, pa.large_string())
+
 
+def _some(texts: pa.Array, at: np.ndarray) -> pa.Array:
+    return texts.take(pa.array(at))
 
-def _put(into: _Nodes | _Members, *values) -> None:
-    for column, v in zip(vars(into).values(), values, strict=True):
-        column.append(v)
 
+@dataclass
+class _Texts:
+    """What a round of texts stands for: rows of the batch, and the places of the strings that held them (for the first round, of whole records)."""
 
-def _within(path: str, owner: str) -> str:
-    """A value's path as seen from the object that holds it."""
-    rest = path[len(owner) :]
-    return rest[1:] if owner and rest[:1] == "." else rest
+    texts: list[bytes]
+    row: np.ndarray
+    path: pa.Array
+    pointer: pa.Array
+    owner: pa.Array
+    owner_pointer: pa.Array
+    rel: pa.Array
+    label: pa.Array
+    listed: np.ndarray
+    place: np.ndarray
+    top: np.ndarray
 
 
-def _literal(raw: bytes) -> str:
-    """A JSON string's text; half a surrogate pair becomes a question mark."""
-    return json.loads(raw).encode("utf-8", "replace").decode() if b"\\" in raw else raw[1:-1].decode("utf-8", "replace")
+#: Columns of the objects and of the values without objects in them.
+NODE_PARTS = ("row", "path", "pointer", "parent_path", "parent_pointer", "kind", "position")
+MEMBER_PARTS = ("row", "path", "name", "value", "type")
 
 
-def _scalar(raw: bytes) -> tuple[str | None, str]:
-    """A number, boolean or null as text, and which it is."""
-    return (None, "null") if raw == b"null" else (raw.decode(), "boolean" if raw in (b"true", b"false") else "number")
+class _Found:
+    """Columns of what a round gives, gathered over the rounds."""
 
+    def __init__(self, names: Sequence[str]) -> None:
+        self.names, self.lots = names, []
 
-def find_objects(texts: Sequence[bytes], listed: bool, array_names: frozenset[str], members: _Members | None = None) -> _Nodes:
-    """Every object that is an element of an array, with its path, its parent object's path, its array's name and its own text.
+    def add(self, *columns) -> None:
+        self.lots.append([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns])
 
-    Texts of JSON inside strings are indexed in turn, as a further batch, with the paths of the strings that held them.
-    Of members with the same name the last counts. With ``members``, every object is given, and first a node of kind RECORD and path '' for each
-    valid text, whatever its value; the kind of a plain member is its name, its position None; strings, numbers, booleans, nulls and empty arrays
-    are added to members with the path of the object (or record) that holds them and their path from there.
-    """
-    out, whole = _Nodes(), members is not None
-    top = [True] * len(texts)
-    rows, prefixes, arrays, owners = list(range(len(texts))), [""] * len(texts), [listed] * len(texts), [""] * len(texts)
-    labels, placed, deeper = [""] * len(texts), [-1] * len(texts), False
-    while texts:
-        ix = index_texts(texts)
+    def table(self) -> dict[str, pa.Array]:
+        types = {"row": pa.int64(), "position": pa.int64()}
+        out = {}
+        for i, n in enumerate(self.names):
+            parts = [pc.cast(lot[i], types.get(n, pa.large_string())) for lot in self.lots]
+            out[n] = pa.concat_arrays(parts) if parts else pa.array([], types.get(n, pa.large_string()))
+        return out
+
+
+class _Round:
+    """One round of texts: their index, and by levels, from the outside in, each value's owner, label and place."""
+
+    def __init__(self, t: _Texts, array_names: frozenset[str], whole: bool) -> None:
+        self.t, self.whole = t, whole
+        self.ix = ix = index_texts(t.texts)
         n = len(ix.doc)
-        if whole and deeper:
-            for d in np.flatnonzero(~ix.valid).tolist():  # a string that only begins like JSON is a string
-                if top[d]:
-                    _put(out, rows[d], "", None, RECORD, None, json.dumps(texts[d].decode("utf-8", "replace")).encode())
-                _put(members, rows[d], owners[d], _within(prefixes[d], owners[d]), texts[d].decode("utf-8", "replace"), "string")
-        deeper = True
-        path, owner, label, list_like = [""] * n, [""] * n, [""] * n, [False] * n
-        again: dict[str, list] = {k: [] for k in ("texts", "rows", "prefixes", "arrays", "owners", "labels", "placed", "top")}
-        held = np.bincount(ix.parent[ix.parent >= 0], minlength=n) if whole else None
-        dropped = np.zeros(n, bool)
+        root = ix.parent < 0
+        up = np.maximum(ix.parent, 0)
         named = np.flatnonzero(ix.name_start >= 0)
-        names = {i: json.loads(ix.buffer[ix.name_start[i] : ix.name_stop[i]].tobytes()) for i in named.tolist()}
-        last: dict[tuple[int, str], int] = {}
-        parents = ix.parent.tolist()
-        for i in named.tolist():
-            old = last.get((parents[i], names[i]))
-            if old is not None:
-                dropped[old] = True
-            last[parents[i], names[i]] = i
-        kinds, docs, positions = ix.kind.tolist(), ix.doc.tolist(), ix.position.tolist()
-        for i in range(n):  # over values, whose parents come first: only paths are put together here
-            p, d = parents[i], docs[i]
-            if p < 0:
-                path[i], owner[i], label[i], list_like[i], at = prefixes[d], owners[d], labels[d], arrays[d], placed[d]
-            elif dropped[p]:
-                dropped[i] = True
-                continue
-            elif dropped[i]:
+        coded = spans(ix.buffer, ix.name_start[named], ix.name_stop[named]).dictionary_encode()
+        self.names = _decoded(coded.dictionary)
+        again = self.names.dictionary_encode()  # names that are spelled apart may say the same
+        self.names = again.dictionary
+        self.name = np.full(n, -1)
+        self.name[named] = again.indices.to_numpy()[coded.indices.to_numpy()] if len(named) else 0
+        # of members with one name the last counts; what the others hold is dropped with them
+        self.dropped = np.zeros(n, bool)
+        order = named[np.lexsort((named, self.name[named], ix.parent[named]))]
+        same = (ix.parent[order[1:]] == ix.parent[order[:-1]]) & (self.name[order[1:]] == self.name[order[:-1]])
+        self.dropped[order[:-1][same]] = True
+        self.levels = np.split(np.argsort(ix.level, kind="stable"), np.cumsum(np.bincount(ix.level))[:-1]) if n else []
+        like = np.isin(np.arange(len(self.names)), [i for i, x in enumerate(self.names.to_pylist()) if x in array_names])
+        self.listed = np.where(root, t.listed[ix.doc] if n else False, (self.name >= 0) & like[np.maximum(self.name, 0)] if len(like) else False).astype(bool)
+        self.wrapped = (ix.kind == _OBJECT) & self.listed
+        self.place = np.where(root, t.place[ix.doc] if n else -1, ix.position)
+        self.place[self.wrapped] = 0
+        # owners are values, or, as -1 - text, what held the text; labels are names, or -1 - text
+        self.owner, self.label = np.full(n, 0), np.full(n, 0)
+        for at in self.levels:
+            self.dropped[at] |= self.dropped[up[at]] & ~root[at]
+            outer = -1 - ix.doc[at]
+            self.owner[at] = np.where(root[at], outer, np.where(ix.kind[up[at]] == _OBJECT, up[at], self.owner[up[at]]))
+            self.label[at] = np.where(root[at], outer, np.where(self.name[at] >= 0, self.name[at], self.label[up[at]]))
+        self.kept = ~self.dropped
+        self._strings()
+        self._paths(root, up)
+
+    def _strings(self) -> None:
+        """Which strings may hold JSON of an object or array; these are read and make the next round."""
+        ix = self.ix
+        strings = np.flatnonzero((ix.kind == _STRING) & self.kept)
+        raw = spans(ix.buffer, ix.start[strings], ix.stop[strings])
+        maybe = pc.match_substring_regex(raw, r'^"[ \t\r\n]*[{\[\\]').to_numpy(zero_copy_only=False)
+        said = [json.loads(x).encode("utf-8", "surrogatepass") for x in raw.filter(pa.array(maybe)).to_pylist()]
+        opens = np.array([x.lstrip(b" \t\r\n")[:1] in (b"{", b"[") for x in said], bool)
+        self.inner = strings[maybe][opens]
+        self.inner_texts = [x for x, o in zip(said, opens, strict=True) if o]
+
+    def _paths(self, root: np.ndarray, up: np.ndarray) -> None:
+        """Paths and pointers (RFC 6901) of what needs one, and ways from the owner, level by level: a value's are those of what holds it and a step more."""
+        ix, t = self.ix, self.t
+        n = len(ix.doc)
+        need = (ix.kind <= _ARRAY) & self.kept
+        need[self.inner] = True
+        if self.whole:
+            need = self.kept
+        nth = np.full(n, -1)  # where a value stands among those of its level
+        self.rows, texts = nth.copy(), {"path": [], "pointer": [], "rel": []}
+        escaped = pc.replace_substring(pc.replace_substring(self.names, "~", "~0"), "/", "~1")
+        count = 0
+        before: dict[str, pa.Array] = {}
+        for at in self.levels:
+            at = at[need[at]]
+            if not len(at):
                 continue
-            elif positions[i] >= 0:
-                at = positions[i]
-                path[i], owner[i], label[i], list_like[i] = f"{path[p]}[{at}]", owner[p], label[p], False
+            nth[at] = np.arange(len(at))
+            self.rows[at] = count + nth[at]
+            count += len(at)
+            if root[at[0]]:
+                now = {c: _some(getattr(t, c), ix.doc[at]) for c in texts}
             else:
-                name = names[i]
-                path[i] = f"{path[p]}.{name}" if path[p] else name
-                owner[i], label[i], list_like[i], at = path[p], name, name in array_names, -1
-            kind, root, inner = kinds[i], whole and p < 0 and top[d], None
-            if kind == _STRING:
-                raw = ix.text(i)
-                if raw[1:].lstrip(b" \t\r\n")[:1] in (b"{", b"[", b"\\"):
-                    text = json.loads(raw).encode("utf-8", "surrogatepass")
-                    if text.strip(b" \t\r\n")[:1] in (b"{", b"["):
-                        inner = text
-                        for k, v in zip(again, (text, rows[d], path[i], list_like[i], owner[i], label[i], at, root), strict=True):
-                            again[k].append(v)
-            if root and inner is None:
-                _put(out, rows[d], "", None, RECORD, None, ix.text(i))
-            if kind == _OBJECT:
-                if list_like[i]:
-                    path[i], at = f"{path[i]}[0]", 0
-                if at >= 0 or (whole and not root):
-                    _put(out, rows[d], path[i], owner[i], label[i], at if at >= 0 else None, ix.text(i))
-            elif whole and inner is None and not (kind == _ARRAY and held[i]):
-                value, type_ = (_literal(raw), "string") if kind == _STRING else ("[]", "array") if kind == _ARRAY else _scalar(ix.text(i))
-                _put(members, rows[d], owner[i], _within(path[i], owner[i]), value, type_)
-        texts, rows, prefixes, arrays, owners, labels, placed, top = again.values()
+                above = {c: _some(v, nth[up[at]]) for c, v in before.items()}
+                member = pa.array(self.name[at] >= 0)
+                place = pc.cast(pa.array(ix.position[at]), pa.large_string())
+                name = _some(self.names, np.maximum(self.name[at], 0)) if len(self.names) else _no(len(at))
+                step = _some(escaped, np.maximum(self.name[at], 0)) if len(self.names) else name
+                path = pc.if_else(member, pc.if_else(pc.equal(above["path"], ""), name, _glue(above["path"], ".", name)), _glue(above["path"], "[", place, "]"))
+                pointer = _glue(above["pointer"], "/", pc.if_else(member, step, place))
+                now = {"path": path, "pointer": pointer, "rel": pc.if_else(member, name, _glue(above["rel"], "[", place, "]"))}
+            wrapped = pa.array(self.wrapped[at])
+            now["path"] = pc.if_else(wrapped, _glue(now["path"], "[0]"), now["path"])
+            now["pointer"] = pc.if_else(wrapped, _glue(now["pointer"], "/0"), now["pointer"])
+            for c, v in now.items():
+                texts[c].append(v)
+            before = now
+        self.texts = {c: pa.concat_arrays(v) if v else _no(0) for c, v in texts.items()}
+
+    def of(self, column: str, at: np.ndarray) -> pa.Array:
+        return _some(self.texts[column], self.rows[at])
+
+    def owners(self, column: str, at: np.ndarray) -> pa.Array:
+        """The path or pointer of the objects that hold these values."""
+        o = self.owner[at]
+        both = pa.concat_arrays([self.texts[column], pc.cast(getattr(self.t, {"path": "owner", "pointer": "owner_pointer"}[column]), pa.large_string())])
+        return _some(both, np.where(o >= 0, self.rows[np.maximum(o, 0)] if len(self.rows) else 0, len(self.texts[column]) - 1 - o))
+
+    def labels(self, at: np.ndarray) -> pa.Array:
+        both = pa.concat_arrays([pc.cast(self.names, pa.large_string()), self.t.label])
+        return _some(both, np.where(self.label[at] >= 0, self.label[at], len(self.names) - 1 - self.label[at]))
+
+    def further(self) -> _Texts:
+        """The texts in strings, as the next round."""
+        at, ix = self.inner, self.ix
+        top = self.t.top[ix.doc[at]] & (ix.parent[at] < 0)
+        return _Texts(self.inner_texts, self.t.row[ix.doc[at]], self.of("path", at), self.of("pointer", at), self.owners("path", at), self.owners("pointer", at), self.of("rel", at), self.labels(at), self.listed[at], self.place[at], top)
+
+
+def extract(texts: Sequence[bytes], listed: bool, array_names: frozenset[str], whole: bool = False, kind: str | None = None, wanted: Sequence[str] = ()) -> tuple[dict[str, pa.Array], dict[str, pa.Array]]:
+    """Objects (NODE_PARTS, and of each wanted name its member's JSON as it stands) and values without objects in them (MEMBER_PARTS), as columns.
+
+    Without ``whole``: every object that is an element of an array; with it: every object, and first a node of kind RECORD and path '' for each
+    valid text, whatever its value (the kind of a plain member is its name, its position null), and every string, number, boolean, null and empty array
+    with the path of the object or record that holds it and its way from there. Texts of JSON inside strings are indexed in turn, as a further batch, with the paths of the
+    strings that held them. Of members with the same name the last counts. With ``kind`` only objects of that kind are given. A pointer (RFC 6901) names one object only,
+    also where two paths look alike.
+    """
+    nodes, members = _Found((*NODE_PARTS, *wanted)), _Found(MEMBER_PARTS)
+    n = len(texts)
+    t = _Texts(list(texts), np.arange(n), _no(n), _no(n), _no(n), _no(n), _no(n), _no(n), np.full(n, listed), np.full(n, -1), np.ones(n, bool))
+    first = True
+    while t.texts:
+        r = _Round(t, array_names, whole)
+        ix = r.ix
+        if whole and not first:
+            _broken(r, nodes, members, kind, wanted)
+        first = False
+        root = (ix.parent < 0) & (t.top[ix.doc] if len(ix.doc) else False)
+        if whole and kind in (None, RECORD):
+            records = np.flatnonzero(root & r.kept)
+            records = records[~np.isin(records, r.inner)]
+            if len(records):
+                gone = pa.nulls(len(records), pa.large_string())
+                nodes.add(t.row[ix.doc[records]], _no(len(records)), _no(len(records)), gone, gone, pa.array([RECORD] * len(records), pa.large_string()), pa.nulls(len(records), pa.int64()), *_wanted(r, records, wanted))
+        objects = np.flatnonzero((ix.kind == _OBJECT) & r.kept & ((r.place >= 0) | (whole & ~root)))
+        if kind is not None and len(objects):
+            objects = objects[pc.equal(r.labels(objects), kind).to_numpy(zero_copy_only=False)]
+        if len(objects):
+            place = r.place[objects]
+            nodes.add(t.row[ix.doc[objects]], r.of("path", objects), r.of("pointer", objects), r.owners("path", objects), r.owners("pointer", objects), r.labels(objects), pa.array(place, mask=place < 0), *_wanted(r, objects, wanted))
+        if whole and kind is None:
+            _values(r, members)
+        t = r.further()
+    return nodes.table(), members.table()
+
+
+def _wanted(r: _Round, owners: np.ndarray, wanted: Sequence[str]) -> list[pa.Array]:
+    """For each name, the JSON of these objects' members of that name, null where there is none. What is inside an inner text belongs to its round."""
+    out = []
+    known = r.names.to_pylist()
+    for name in wanted:
+        column = pa.nulls(len(owners), pa.large_string())
+        if name in known and len(owners):
+            mine = np.flatnonzero((r.name == known.index(name)) & r.kept)
+            held_by = np.full(len(r.ix.doc), -1)
+            held_by[r.ix.parent[mine]] = mine
+            at = held_by[owners]
+            has = at >= 0
+            column = pc.replace_with_mask(column, pa.array(has), pc.cast(spans(r.ix.buffer, r.ix.start[at[has]], r.ix.stop[at[has]]), pa.large_string(), safe=False))
+        out.append(column)
     return out
 
 
-def nested_objects(df: DataFrame, source: str, row_key: Column, text: Column, listed: bool, array_names: frozenset[str]) -> DataFrame:
-    """(source_table, row_key, node_path, parent_path, kind, position, body): one row an object in an array.
+def _values(r: _Round, members: _Found) -> None:
+    ix = r.ix
+    held = np.bincount(ix.parent[ix.parent >= 0], minlength=len(ix.doc)) if len(ix.doc) else np.zeros(0, int)
+    leaf = r.kept & ((ix.kind >= _STRING) | ((ix.kind == _ARRAY) & (held == 0)))
+    leaf[r.inner] = False
+    at = np.flatnonzero(leaf)
+    if not len(at):
+        return
+    raw = spans(ix.buffer, ix.start[at], ix.stop[at])
+    is_string, is_array = ix.kind[at] == _STRING, ix.kind[at] == _ARRAY
+    head = ix.buffer[ix.start[at]]
+    is_null, is_bool = (head == 110) & ~is_string, ((head == 116) | (head == 102)) & ~is_string
+    value = pc.cast(pc.if_else(pa.array(is_array), pa.scalar(b"[]", pa.large_binary()), raw), pa.large_string(), safe=False)
+    value = pc.replace_with_mask(value, pa.array(is_string), _decoded(raw.filter(pa.array(is_string))))
+    value = pc.if_else(pa.array(is_null), pa.scalar(None, pa.large_string()), value)
+    kinds = pa.array(np.array(["number", "string", "array", "null", "boolean"])[np.select([is_string, is_array, is_null, is_bool], [1, 2, 3, 4], 0)].tolist(), pa.large_string())
+    members.add(r.t.row[ix.doc[at]], r.owners("path", at), r.of("rel", at), value, kinds)
+
+
+def _broken(r: _Round, nodes: _Found, members: _Found, kind: str | None, wanted: Sequence[str]) -> None:
+    """A string that only begins like JSON is a string: a value, and a record if it is all there is."""
+    t, d = r.t, np.flatnonzero(~r.ix.valid)
+    if not len(d):
+        return
+    value = pa.array([t.texts[i].decode("utf-8", "replace") for i in d.tolist()], pa.large_string())
+    if kind is None:
+        members.add(t.row[d], _some(t.owner, d), _some(t.rel, d), value, pa.array(["string"] * len(d), pa.large_string()))
+    d = d[t.top[d]]
+    if kind in (None, RECORD) and len(d):
+        gone = pa.nulls(len(d), pa.large_string())
+        nodes.add(t.row[d], _no(len(d)), _no(len(d)), gone, gone, pa.array([RECORD] * len(d), pa.large_string()), pa.nulls(len(d), pa.int64()), *[gone] * len(wanted))
 
-    parent_path is the path of the object that holds the array ('' for the record itself), kind the array's name ('' for
-    the whole value), body the object's JSON as it stands. Null, blank and broken texts give no rows; repeated rows give repeated objects.
-    """
 
-    found = _mapped(df, row_key, text, NODE_COLUMNS, lambda texts: find_objects(texts, listed, array_names))
-    return found.select(F.lit(source).alias("source_table"), "*")
+NODE_COLUMNS = {"row_key": "string", "node_path": "string", "node_id": "string", "parent_path": "string", "parent_id": "string", "kind": "string", "position": "int"}
+MEMBER_COLUMNS = {"row_key": "string", "node_path": "string", "name": "string", "value": "string", "value_type": "string"}
 
 
-def record_objects(df: DataFrame, source: str, row_key: Column, text: Column, listed: bool, array_names: frozenset[str]) -> DataFrame:
-    """The same columns for every object: the record itself (path '', kind RECORD, no parent), plain members (no position) and elements.
+def nested_objects(df: DataFrame, source: str, row_key: Column, text: Column, listed: bool, array_names: frozenset[str], whole: bool = False, kind: str | None = None, wanted: Sequence[str] = (), order: Column | None = None) -> DataFrame:
+    """(source_table, row_key, node_path, node_id, parent_path, parent_id, kind, position, wanted...): one row an object in an array or, with ``whole``, every object and record.
 
-    Every parent_path is the node_path of a row with the same row_key. Valid texts that are no object have a record as well.
+    parent_path and parent_id are those of the object that holds the array ('' for the record itself), kind the array's name ('' for
+    the whole value). With ``whole`` every parent is a row with the same row_key: the record has path '', kind RECORD and no parent, a plain member no position. Ids are pointers and unique
+    within a text; paths may look alike where names hold dots or brackets. Null, blank and broken texts give no rows; repeated rows give repeated objects. order: a column that goes along as ``delivered``.
     """
-    found = _mapped(df, row_key, text, NODE_COLUMNS, lambda texts: find_objects(texts, listed, array_names, _Members()))
-    return found.select(F.lit(source).alias("source_table"), "*")
+    columns = NODE_COLUMNS | dict.fromkeys((f"json_{c}" for c in wanted), "string")
+    return _mapped(df, source, row_key, text, columns, lambda texts: extract(texts, listed, array_names, whole, kind, wanted)[0], order)
+
+
+def record_objects(df: DataFrame, source: str, row_key: Column, text: Column, listed: bool, array_names: frozenset[str], **more) -> DataFrame:
+    """nested_objects of every object and record."""
+    return nested_objects(df, source, row_key, text, listed, array_names, True, **more)
 
 
 def record_members(df: DataFrame, source: str, row_key: Column, text: Column, listed: bool, array_names: frozenset[str]) -> DataFrame:
@@ -390,48 +534,38 @@ def record_members(df: DataFrame, source: str, row_key: Column, text: Column, li
 
     node_path is that of the object (or record) that holds the value; name is the path from there, with places for elements ('reasons[0]').
     """
+    return _mapped(df, source, row_key, text, MEMBER_COLUMNS, lambda texts: extract(texts, listed, array_names, True)[1])
 
-    def members(texts: Sequence[bytes]) -> _Members:
-        found = _Members()
-        find_objects(texts, listed, array_names, found)
-        return found
-
-    found = _mapped(df, row_key, text, MEMBER_COLUMNS, members)
-    return found.select(F.lit(source).alias("source_table"), "*")
-
-
-NODE_COLUMNS = "row_key string, node_path string, parent_path string, kind string, position int, body string"
-MEMBER_COLUMNS = "row_key string, node_path string, name string, value string, value_type string"
 
-
-def _mapped(df: DataFrame, row_key: Column, text: Column, columns: str, find: Callable) -> DataFrame:
-    """What ``find`` gives for batches of texts, with the rows' keys."""
-    names, types = zip(*[c.split() for c in columns.split(", ")], strict=True)
-    types = [{"string": pa.string(), "int": pa.int32()}[t] for t in types]
+def _mapped(df: DataFrame, source: str, row_key: Column, text: Column, columns: dict[str, str], find: Callable, order: Column | None = None) -> DataFrame:
+    """What ``find`` gives for batches of texts, with the rows' keys and, if there is an order, what they are ordered by."""
+    names, types = list(columns), [{"string": pa.string(), "int": pa.int32()}[t] for t in columns.values()]
+    along = [] if order is None else [order.alias("delivered")]
+    more = ["delivered"] * len(along)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist()
+            texts = batch.column(1).cast(pa.large_binary())
+            sizes = np.cumsum(pc.binary_length(texts).to_numpy())
             begin = 0
             while begin < len(texts):
-                end, size = begin, 0
-                while end < len(texts) and (end == begin or size + len(texts[end]) <= BATCH_BYTES):
-                    size += len(texts[end])
-                    end += 1
-                row, *found = vars(find(texts[begin:end])).values()
-                found = [[x.decode("utf-8", "replace") if isinstance(x, bytes) else x for x in c] if n == "body" else c for n, c in zip(names[1:], found, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([[keys[begin + r] for r in row], *found], types, strict=True)], names=list(names))
+                end = max(begin + 1, int(np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + BATCH_BYTES, side="right")))
+                row, *found = find(texts.slice(begin, end - begin).to_pylist()).values()
+                row = pc.add(row, begin)
+                out = [c.cast(t) for c, t in zip([batch.column(0).take(row), *found], types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*out, *[batch.column(2).take(row) for _ in more]], names=[*names, *more])
                 begin = end
 
-    rows = df.select(row_key.alias("row_key"), text.alias("text")).where("text IS NOT NULL AND row_key IS NOT NULL")
-    return rows.mapInArrow(run, columns)
+    rows = df.select(row_key.alias("row_key"), text.alias("text"), *along).where("text IS NOT NULL AND row_key IS NOT NULL")
+    schema = [f"{n} {t}" for n, t in columns.items()] + [f"delivered {rows.schema['delivered'].dataType.simpleString()}" for _ in along]
+    return rows.mapInArrow(run, ", ".join(schema)).select(F.lit(source).alias("source_table"), "*")
 
 
 #: Names that stand for arrays even where one object stands in their place.
 ARRAY_NAMES = frozenset({"modes", "hits", "spans", "stages", "candidates", "components", "matches", "role_rows"})
 FIELDS = (
     Field("guideline_fls_resolution_candidates", ("audit_run_id", "guideline_id", "candidate_rank", "paragraph_id"), "evidence_json"),
-    Field("guideline_records", ("guideline_id",), "metadata_json"),
+    Field("guideline_records", ("guideline_id",), "metadata_json", delivered="delivered_at"),
     Field("ws7_mapping_cleanup_tasks", ("run_id", "source_id"), "nearest_candidate_paragraphs_json", listed=True),
 )
 #: The kinds of nested objects of these fields and the scalars that each one's table shows.
@@ -451,8 +585,8 @@ def _key(names: Sequence[str]) -> Column:
     return F.concat_ws("|", *[strip(F.col(c).cast("string")) for c in names])
 
 
-def all_objects(spark, sf_dir: str, find: Callable = nested_objects) -> DataFrame:
-    parts = [find(table(spark, sf_dir, f.source, *f.keys, f.column), f.source, _key(f.keys), F.col(f.column), f.listed, ARRAY_NAMES) for f in FIELDS]
+def all_objects(spark, sf_dir: str, find: Callable = nested_objects, **more) -> DataFrame:
+    parts = [find(table(spark, sf_dir, f.source, *f.keys, f.column), f.source, _key(f.keys), F.col(f.column), f.listed, ARRAY_NAMES, **more) for f in FIELDS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -462,7 +596,12 @@ def p1_found(spark, sf_dir: str) -> DataFrame:
 
 def p1_objects(spark, sf_dir: str) -> DataFrame:
     """Every object and record with the way to its parent."""
-    return all_objects(spark, sf_dir, record_objects).drop("body").distinct()
+    return all_objects(spark, sf_dir, record_objects).select("source_table", "row_key", "node_path", "parent_path", "kind", "position").distinct()
+
+
+def p1_nodes(spark, sf_dir: str) -> DataFrame:
+    """The same linked by ids, which are pointers, so that no two objects of a text share one."""
+    return all_objects(spark, sf_dir, record_objects).select("source_table", "row_key", "node_id", "parent_id", "node_path", "kind", "position").distinct()
 
 
 def p1_members(spark, sf_dir: str) -> DataFrame:
@@ -470,16 +609,30 @@ def p1_members(spark, sf_dir: str) -> DataFrame:
     return all_objects(spark, sf_dir, record_members).distinct()
 
 
-def flat_table(objects: DataFrame, kind: str, columns: Sequence[str]) -> DataFrame:
-    """One kind of object as a flat table: keys, its parent's path, its place, and its scalars as text, null where absent."""
-    one = objects.where(F.col("kind") == kind).dropDuplicates(["source_table", "row_key", "node_path"])
-    return one.select("source_table", "row_key", "node_path", "parent_path", "position", *[F.get_json_object("body", f"$.{c}").alias(c) for c in columns])
+def flat_table(objects: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Objects of one kind, with the JSON of the wanted members and maybe ``delivered``, as a flat table: keys, the parent's path, the place, and the members as text, null where absent.
+
+    Of several deliveries of one object the last counts, of those at one time, or without a time, the one with the greatest values.
+    """
+    last = (["delivered"] if "delivered" in objects.columns else []) + ["node_id", "parent_path", "position", *[f"json_{c}" for c in columns]]
+    one = objects.groupBy("source_table", "row_key", "node_path").agg(F.max(F.struct(*last)).alias("x"))
+    plain = lambda c: F.get_json_object(F.concat(F.lit('{"v":'), F.col(f"x.json_{c}"), F.lit("}")), "$.v")
+    return one.select("source_table", "row_key", "node_path", "x.parent_path", "x.position", *[plain(c).alias(c) for c in columns])
+
+
+def kind_table(spark, sf_dir: str, kind: str, columns: Sequence[str], whole: bool) -> DataFrame:
+    parts = []
+    for f in FIELDS:
+        order = F.col(f.delivered) if f.delivered else F.lit(None).cast("timestamp_ntz")
+        df = table(spark, sf_dir, f.source, *f.keys, f.column, *([f.delivered] if f.delivered else []))
+        parts.append(nested_objects(df, f.source, _key(f.keys), F.col(f.column), f.listed, ARRAY_NAMES, whole, kind, columns, order))
+    return flat_table(parts[0].unionByName(parts[1]).unionByName(parts[2]), columns)
 
 
 def queries() -> dict:
-    out = {"p1_found": p1_found, "p1_objects": p1_objects, "p1_members": p1_members}
+    out = {"p1_found": p1_found, "p1_objects": p1_objects, "p1_nodes": p1_nodes, "p1_members": p1_members}
     for kind, columns in KINDS.items():
-        out[f"p1_table_{kind or 'nearest'}"] = lambda s, d, k=kind, c=columns: flat_table(all_objects(s, d), k, c)
+        out[f"p1_table_{kind or 'nearest'}"] = lambda s, d, k=kind, c=columns: kind_table(s, d, k, c, False)
     for kind, columns in MEMBER_KINDS.items():
-        out[f"p1_table_{kind}"] = lambda s, d, k=kind, c=columns: flat_table(all_objects(s, d, record_objects), k, c)
+        out[f"p1_table_{kind}"] = lambda s, d, k=kind, c=columns: kind_table(s, d, k, c, True)
     return out

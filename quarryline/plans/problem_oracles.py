@@ -127,14 +127,15 @@ _P1_NODES = f"""WITH RECURSIVE raw AS (
     UNION ALL SELECT 'ws7_mapping_cleanup_tasks', concat_ws('|', {trim('run_id')}, {trim('source_id')}), nearest_candidate_paragraphs_json, true FROM ws7_mapping_cleanup_tasks),
   roots AS (SELECT source_table, row_key, listed, cast(j AS JSON) AS j FROM raw WHERE json_valid(j)),
   node AS (
-    SELECT source_table, row_key, '' AS path, listed, {_plain('j')} AS v, -1 AS position, '' AS owner, '' AS label FROM roots
+    SELECT source_table, row_key, '' AS path, listed, {_plain('j')} AS v, -1 AS position, '' AS owner, '' AS label, '' AS id, '' AS owner_id FROM roots
     UNION ALL
-    SELECT source_table, row_key, path || step, listed, v, position, owner, label FROM (
+    SELECT source_table, row_key, path || step, listed, v, position, owner, label, id || '/' || mark, owner_id FROM (
       SELECT n.source_table, n.row_key, n.path,
         CASE WHEN n.wrapped THEN '[0]' WHEN json_type(n.v) = 'ARRAY' THEN '[' || e.key || ']' WHEN n.path = '' THEN e.key ELSE '.' || e.key END AS step,
         CASE WHEN n.wrapped OR json_type(n.v) = 'ARRAY' THEN false ELSE e.key IN {_ARRAY_NAMES} END AS listed,
         CASE WHEN n.wrapped THEN n.v ELSE {_plain('e.value')} END AS v, CASE WHEN n.wrapped THEN 0 WHEN json_type(n.v) = 'ARRAY' THEN cast(e.key AS INT) ELSE -1 END AS position,
-        CASE WHEN n.wrapped OR json_type(n.v) = 'ARRAY' THEN n.owner ELSE n.path END AS owner, CASE WHEN n.wrapped OR json_type(n.v) = 'ARRAY' THEN n.label ELSE e.key END AS label
+        CASE WHEN n.wrapped OR json_type(n.v) = 'ARRAY' THEN n.owner ELSE n.path END AS owner, CASE WHEN n.wrapped OR json_type(n.v) = 'ARRAY' THEN n.label ELSE e.key END AS label,
+        n.id, CASE WHEN n.wrapped THEN '0' ELSE replace(replace(e.key, '~', '~0'), '/', '~1') END AS mark, CASE WHEN n.wrapped OR json_type(n.v) = 'ARRAY' THEN n.owner_id ELSE n.id END AS owner_id
       FROM (SELECT *, listed AND json_type(v) = 'OBJECT' AS wrapped FROM node) n, json_each(CASE WHEN n.wrapped THEN '[0]' WHEN json_type(n.v) IN ('OBJECT', 'ARRAY') THEN n.v ELSE '[]' END) e))"""
 P1_FOUND = f"{_P1_NODES} SELECT DISTINCT source_table, row_key, path AS node_path FROM node WHERE position >= 0 AND json_type(v) = 'OBJECT'"
 
@@ -147,6 +148,8 @@ def p1_table(kind: str, columns: tuple[str, ...]) -> str:
 
 P1_OBJECTS = f"""{_P1_NODES} SELECT DISTINCT source_table, row_key, path AS node_path, CASE WHEN path <> '' THEN owner END AS parent_path, CASE WHEN path = '' THEN 'record' ELSE label END AS kind, nullif(position, -1) AS position
 FROM node WHERE path = '' OR json_type(v) = 'OBJECT' AND NOT listed"""
+P1_NODES = f"""{_P1_NODES} SELECT DISTINCT source_table, row_key, id AS node_id, CASE WHEN path <> '' THEN owner_id END AS parent_id, path AS node_path, CASE WHEN path = '' THEN 'record' ELSE label END AS kind, nullif(position, -1) AS position
+FROM node WHERE path = '' OR json_type(v) = 'OBJECT' AND NOT listed"""
 P1_MEMBERS = f"""{_P1_NODES} SELECT DISTINCT source_table, row_key, owner AS node_path, CASE WHEN owner = '' THEN path ELSE regexp_replace(substr(path, len(owner) + 1), '^[.]', '') END AS name,
   CASE WHEN json_type(v) = 'NULL' THEN NULL ELSE v ->> '$' END AS value, CASE json_type(v) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'ARRAY' THEN 'array' ELSE 'number' END AS value_type
 FROM node WHERE json_type(v) NOT IN ('OBJECT', 'ARRAY') OR json_type(v) = 'ARRAY' AND json_array_length(v) = 0"""
@@ -164,6 +167,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": P1_FOUND,
         "p1_objects": P1_OBJECTS,
         "p1_members": P1_MEMBERS,
+        "p1_nodes": P1_NODES,
         **{f"p1_table_{kind}": p1_member_table(kind, columns) for kind, columns in MEMBER_KINDS.items()},
         **{f"p1_table_{kind or 'nearest'}": p1_table(kind, columns) for kind, columns in KINDS.items()},
         "p3_found": f"{_VERSIONS} FROM starts",
