@@ -7,7 +7,8 @@ Postings are joined on terms, so that work follows the matches; rankings are win
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +45,41 @@ def title_queries(spark, sf_dir: str) -> DataFrame:
     return r.groupBy("query_id").agg(F.coalesce(F.max("title"), F.lit("")).alias("query"))
 
 
+#: The most units by BM25 that go on as candidates of one query; None for all of them.
+CANDIDATE_LIMIT = 5000
+#: Bytes of text that one partition of the index is meant to hold.
+INDEX_BYTES = 32_000_000
+
+
+def numbered(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """df with numbers in place of its unique key, in the key's order, and (number, name): so that ties by number are ties by name, and what is joined, grouped and sorted is narrow."""
+    rows = materialize(df.orderBy(key).withColumn("_number", F.monotonically_increasing_id()))
+    names = rows.select(F.col("_number").alias(key), F.col(key).alias("_name"))
+    return rows.select(F.col("_number").alias(key), *[c for c in df.columns if c != key]), names
+
+
+def _inputs(spark, sf_dir: str) -> tuple[DataFrame, DataFrame, Callable[..., DataFrame]]:
+    """Queries and units with numbers for ids, and what puts the names back: into query_id and id, and the columns named further, which hold units."""
+    queries, query_names = numbered(title_queries(spark, sf_dir), "query_id")
+    units, unit_names = numbered(chunk_units(spark, sf_dir), "id")
+
+    def named(df: DataFrame, *more: str) -> DataFrame:
+        columns = df.columns
+        for c, names, key in [("query_id", query_names, "query_id"), ("id", unit_names, "id"), *[(m, unit_names, "id") for m in more]]:
+            if c in columns:
+                df = df.join(names.select(F.col(key).alias(c), F.col("_name").alias(f"_{c}")), c, "left").drop(c).withColumnRenamed(f"_{c}", c)
+        return df.select(*columns)
+
+    return queries, units, named
+
+
 def _entries(units: DataFrame, with_tokens: bool) -> DataFrame:
     """(id, kind, term, tf, dl, held): what a unit is found by: index terms (kind 0) of heading and text and, if wanted, the distinct tokens (1) of its text.
 
     Units are parted by id once; everything that is grouped by id later, alone or with the query, needs no further exchange.
     """
-    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = units.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // INDEX_BYTES))
     words = F.regexp_extract_all(F.lower(F.concat_ws(" ", "heading", "text")), F.lit("[a-z0-9]+"), F.lit(0))
     own = tokens("text") if with_tokens else F.array().cast("array<string>")
     base = units.repartition(parts, "id").select("id", words.alias("w"), own.alias("own"))
@@ -139,9 +169,10 @@ def _ranked(df: DataFrame, *order: Column, out: str = "rank") -> DataFrame:
     return df.withColumn(out, F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
 
 
-def scored_pairs(queries: DataFrame, units: DataFrame) -> DataFrame:
-    """(query_id, id, bm25, overlap, asked, held): every unit that BM25 finds, with its shared tokens and both token counts; written out, as all rankings read it.
+def scored_pairs(queries: DataFrame, units: DataFrame, limit: int | None = CANDIDATE_LIMIT) -> DataFrame:
+    """(query_id, id, bm25, overlap, asked, held): the ``limit`` best units of each query by BM25, ties by id, with their shared tokens and both token counts; written out, as all rankings read it.
 
+    The limit is applied in every task before rows are exchanged, so that no more than limit rows a query are written; with None, or not more units than that, every unit that BM25 finds is given.
     Terms and tokens are met in one join and counted in one aggregation, which needs no exchange as the units are parted by id. A query of stopwords
     only, or whose other tokens meet no unit, is searched by all its tokens.
     """
@@ -156,6 +187,8 @@ def scored_pairs(queries: DataFrame, units: DataFrame) -> DataFrame:
     part = F.when(F.col("kind") == 0, F.expr(_PART))
     found = hits.agg((-F.sum(part)).alias("bm25"), F.count_if(F.col("kind") == 1).alias("overlap"), F.max("held").alias("held")).where("bm25 IS NOT NULL")
     sizes = _sized(q.select("query_id", F.size("content").alias("asked")))
+    if limit is not None and units.count() > limit:
+        found = _ranked(found, F.asc("bm25"), F.asc("id"), out="_r").where(F.col("_r") <= limit).drop("_r")
     return materialize(found.join(sizes, "query_id").select("query_id", "id", "bm25", "overlap", "asked", "held"))
 
 
@@ -201,16 +234,26 @@ def semantic_rows(pairs: DataFrame, keep: DataFrame | None = None) -> DataFrame:
     return rows.unionByName(rest.withColumn("rank", F.col("rank") + WINDOW))
 
 
-def _lists_of_pairs(spark, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The scored pairs, and the lexical and the semantic list of every query; the latter whole, or with what a ranking's top can need."""
-    queries, units = title_queries(spark, sf_dir), chunk_units(spark, sf_dir)
-    pairs = scored_pairs(queries, units)
-    lexical = materialize(lexical_rows(pairs, queries, units))
-    return pairs, lexical, materialize(semantic_rows(pairs, None if whole else lexical))
+class Lists(NamedTuple):
+    """The scored pairs, the lexical and the semantic list of every query, keyed by numbers, and what puts names in their place."""
 
+    pairs: DataFrame
+    lexical: DataFrame
+    semantic: DataFrame
+    units: DataFrame
+    named: Callable[..., DataFrame]
 
-def _lists(spark, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
-    return _lists_of_pairs(spark, sf_dir, whole)[1:]
+    @property
+    def hybrid(self) -> DataFrame:
+        return hybrid(self.lexical, self.semantic)
+
+
+def _lists(spark, sf_dir: str, whole: bool = False) -> Lists:
+    """The lists, the semantic one whole or with what a ranking's top can need."""
+    queries, units, named = _inputs(spark, sf_dir)
+    pairs = scored_pairs(queries, units)
+    lexical = materialize(lexical_rows(pairs, queries, units))
+    return Lists(pairs, lexical, materialize(semantic_rows(pairs, None if whole else lexical)), units, named)
 
 
 @query("text_tokens", f"SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(lower(text), '[a-z0-9_]+')), lambda x: x NOT IN {_STOP})), ' ') AS tokens FROM documents")
@@ -222,33 +265,52 @@ def text_tokens(spark, sf_dir):
 @query("lex_bm25", f"WITH {_UNITS_SQL} SELECT query_id, id, round(bm25, 6) AS bm25 FROM scored")
 def lex_bm25(spark, sf_dir):
     """BM25 of every unit for every query, those without content words or without a hit by all their words."""
-    units = chunk_units(spark, sf_dir)
-    q = title_queries(spark, sf_dir).select("query_id", query_tokens("query").alias("terms"), F.array_distinct(raw_tokens("query")).alias("raw"))
-    return bm25(q, postings(units), units).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
+    queries, units, named = _inputs(spark, sf_dir)
+    q = queries.select("query_id", query_tokens("query").alias("terms"), F.array_distinct(raw_tokens("query")).alias("raw"))
+    return named(bm25(q, postings(units), units).select("query_id", "id", F.round("bm25", 6).alias("bm25")))
 
 
 @query("lex_bm25_scoped", f"WITH {_UNITS_SQL} SELECT query_id, id, round(bm25, 6) AS bm25 FROM scored WHERE id IN (SELECT trim(chunk_uid, {_WS}) FROM core_docs_chunk_metadata WHERE item_kind = 'struct')")
 def lex_bm25_scoped(spark, sf_dir):
     """The same within a scope, weights still from all units."""
-    units = chunk_units(spark, sf_dir)
+    return _scoped(spark, sf_dir, False)
+
+
+def _scoped(spark, sf_dir: str, retry: bool) -> DataFrame:
+    queries, units, named = _inputs(spark, sf_dir)
+    names = named(units.select("id", F.col("id").alias("number")))
     scope = table(spark, sf_dir, "core_docs_chunk_metadata", "chunk_uid", "item_kind").where("item_kind = 'struct'").select(id_or_null("chunk_uid").alias("id"))
-    q = title_queries(spark, sf_dir).select("query_id", query_tokens("query").alias("terms"), F.array_distinct(raw_tokens("query")).alias("raw"))
-    return bm25(q, postings(units), units, scope).select("query_id", "id", F.round("bm25", 6).alias("bm25"))
+    scope = names.join(scope, "id", "left_semi").select(F.col("number").alias("id"))
+    raw = [F.array_distinct(raw_tokens("query")).alias("raw")] if retry else []
+    q = queries.select("query_id", query_tokens("query").alias("terms"), *raw)
+    return named(bm25(q, postings(units), units, scope).select("query_id", "id", F.round("bm25", 6).alias("bm25")))
+
+
+_SCORE_SQL = "-sum(CASE WHEN ln((units - n + 0.5) / (n + 0.5)) > 0 THEN ln((units - n + 0.5) / (n + 0.5)) ELSE 1e-6 END * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean_dl)))"
+
+
+@query("lex_raw_fallback", f"""WITH {_UNITS_SQL}, scope AS (SELECT DISTINCT trim(chunk_uid, {_WS}) AS id FROM core_docs_chunk_metadata WHERE item_kind = 'struct'),
+  met AS (SELECT s.* FROM scored s JOIN scope USING (id)), rest AS (SELECT query_id, unnest(r) AS term FROM qraw WHERE query_id NOT IN (SELECT query_id FROM met)),
+  again AS (SELECT query_id, id, {_SCORE_SQL} AS bm25 FROM rest JOIN dfs USING (term) JOIN post USING (term) JOIN scope USING (id), stats GROUP BY 1, 2)
+SELECT query_id, id, round(bm25, 6) AS bm25 FROM met UNION ALL SELECT query_id, id, round(bm25, 6) FROM again""")
+def lex_raw_fallback(spark, sf_dir):
+    """The scoped search, in which queries without a hit are searched again by all their tokens."""
+    return _scoped(spark, sf_dir, True)
 
 
 @query("lex_scored_topk", f"WITH {_PAIRS_SQL} SELECT query_id, id, lexical, bm25, rank FROM lex WHERE rank <= {TOP_K}")
 def lex_scored_topk(spark, sf_dir):
     """The ten best units of each query, lexically."""
-    queries, units = title_queries(spark, sf_dir), chunk_units(spark, sf_dir)
-    return lexical_rows(scored_pairs(queries, units), queries, units).where(F.col("rank") <= TOP_K)
+    queries, units, named = _inputs(spark, sf_dir)
+    return named(lexical_rows(scored_pairs(queries, units), queries, units).where(F.col("rank") <= TOP_K))
 
 
 @query("sem_reranked", f"WITH {_PAIRS_SQL} SELECT * FROM sem WHERE rank <= {TOP_K}")
 def sem_reranked(spark, sf_dir):
     """The ten best units of each query by similarity and reranking."""
-    queries, units = title_queries(spark, sf_dir), chunk_units(spark, sf_dir)
+    queries, units, named = _inputs(spark, sf_dir)
     pairs = scored_pairs(queries, units)
-    return semantic_rows(pairs, pairs.limit(0)).where(F.col("rank") <= TOP_K)
+    return named(semantic_rows(pairs, pairs.limit(0)).where(F.col("rank") <= TOP_K))
 
 
 def hybrid(lexical: DataFrame, semantic: DataFrame) -> DataFrame:
@@ -294,25 +356,28 @@ def _fused_sql(version: str) -> str:
 @query("fuse_weighted_v1", _fused_sql("v1"))
 def weighted_v1(spark, sf_dir):
     """Fusion by the first set of weights."""
-    return fuse_weighted(hybrid(*_lists(spark, sf_dir)), "v1").where(F.col("rank") <= TOP_K)
+    lists = _lists(spark, sf_dir)
+    return lists.named(fuse_weighted(lists.hybrid, "v1").where(F.col("rank") <= TOP_K))
 
 
 @query("fuse_weighted_v2", _fused_sql("v2"))
 def weighted_v2(spark, sf_dir):
     """Fusion by the second set of weights."""
-    return fuse_weighted(hybrid(*_lists(spark, sf_dir)), "v2").where(F.col("rank") <= TOP_K)
+    lists = _lists(spark, sf_dir)
+    return lists.named(fuse_weighted(lists.hybrid, "v2").where(F.col("rank") <= TOP_K))
 
 
 @query("fuse_rrf", f"WITH {_RRF_SQL} SELECT * FROM rrf WHERE rank <= {TOP_K}")
 def rrf(spark, sf_dir):
     """Fusion by reciprocal ranks."""
-    return fuse_rrf(hybrid(*_lists(spark, sf_dir))).where(F.col("rank") <= TOP_K)
+    lists = _lists(spark, sf_dir)
+    return lists.named(fuse_rrf(lists.hybrid).where(F.col("rank") <= TOP_K))
 
 
 @query("fuse_rrf_histogram", f"WITH {_RRF_SQL} SELECT lists, count(*) AS n FROM rrf GROUP BY 1")
 def rrf_histogram(spark, sf_dir):
     """How many rows each number of lists contributed to."""
-    return fuse_rrf(hybrid(*_lists(spark, sf_dir, whole=True))).groupBy("lists").agg(F.count("*").alias("n"))
+    return fuse_rrf(_lists(spark, sf_dir, whole=True).hybrid).groupBy("lists").agg(F.count("*").alias("n"))
 
 
 def fuse_modes(modes: dict[str, DataFrame], anchors: DataFrame, k: int = RRF_K, window: int = WINDOW, top_n: int = TOP_K, cap: int = 2) -> DataFrame:
@@ -341,10 +406,10 @@ def fuse_modes(modes: dict[str, DataFrame], anchors: DataFrame, k: int = RRF_K,
 SELECT query_id, id, fused, coverage, row_number() OVER (PARTITION BY query_id ORDER BY fused DESC, coverage DESC, best_rank, id) AS rank FROM c QUALIFY rank <= {TOP_K}""")
 def writer_anchor_cap(spark, sf_dir):
     """Three modes fused for a writer, two rows a section at most."""
-    lex, sem = _lists(spark, sf_dir, whole=True)
-    both = fuse_rrf(hybrid(lex, sem))
+    lists = _lists(spark, sf_dir, whole=True)
+    lex, sem, both = lists.lexical, lists.semantic, fuse_rrf(lists.hybrid)
     modes = {"lexical": lex.withColumn("score", F.col("lexical")), "semantic": sem.withColumn("score", F.col("relevance")), "hybrid": both.withColumn("score", F.col("rrf"))}
-    return fuse_modes(modes, chunk_units(spark, sf_dir).select("id", F.col("heading").alias("anchor")))
+    return lists.named(fuse_modes(modes, lists.units.select("id", F.col("heading").alias("anchor"))))
 
 
 def rerank_pool(lexical: DataFrame, semantic: DataFrame, size: int, lexical_min: int, semantic_min: int) -> DataFrame:
@@ -368,8 +433,8 @@ def rerank_pool(lexical: DataFrame, semantic: DataFrame, size: int, lexical_min:
 SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY p, r, id) AS place FROM ph QUALIFY place <= 20""")
 def pool_v2(spark, sf_dir):
     """Pools of twenty with four lexical and six semantic rows at least."""
-    lex, sem = _lists(spark, sf_dir)
-    return rerank_pool(lex, sem, 20, 4, 6)
+    lists = _lists(spark, sf_dir)
+    return lists.named(rerank_pool(lists.lexical, lists.semantic, 20, 4, 6))
 
 
 def lexical_floor_pool(lexical: DataFrame, semantic: DataFrame, window: int, floor: int) -> DataFrame:
@@ -385,8 +450,8 @@ def lexical_floor_pool(lexical: DataFrame, semantic: DataFrame, window: int, flo
 SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY p, rank) AS place FROM (SELECT * FROM b UNION ALL SELECT * FROM x)""")
 def pool_lexical_floor(spark, sf_dir):
     """A semantic window of twelve and three lexical rows besides."""
-    lex, sem = _lists(spark, sf_dir)
-    return lexical_floor_pool(lex, sem, 12, 3)
+    lists = _lists(spark, sf_dir)
+    return lists.named(lexical_floor_pool(lists.lexical, lists.semantic, 12, 3))
 
 
 def rerank_members(merged: DataFrame, pool: DataFrame, raw: DataFrame) -> DataFrame:
@@ -424,10 +489,10 @@ SELECT query_id, id, reranker, final, row_number() OVER (PARTITION BY query_id O
 
 
 def _pool_reranked(spark, sf_dir: str, pool_of) -> DataFrame:
-    pairs, lex, sem = _lists_of_pairs(spark, sf_dir)
-    rows = rerank_members(hybrid(lex, sem), pool_of(lex, sem), _coverage(pairs))
+    lists = _lists(spark, sf_dir)
+    rows = rerank_members(lists.hybrid, pool_of(lists.lexical, lists.semantic), _coverage(lists.pairs))
     top = fuse_weighted(rows, "v2").where(F.col("rank") <= TOP_K)
-    return top.join(rows.select("query_id", "id", "reranker"), ["query_id", "id"]).select("query_id", "id", "reranker", "final", "rank")
+    return lists.named(top.join(rows.select("query_id", "id", "reranker"), ["query_id", "id"]).select("query_id", "id", "reranker", "final", "rank"))
 
 
 def _whole_v2(lex: DataFrame, sem: DataFrame) -> DataFrame:
@@ -441,7 +506,8 @@ def _whole_floor(lex: DataFrame, sem: DataFrame) -> DataFrame:
 @query("pool_v2_window", f"WITH {_WINDOW_V2_SQL} SELECT * FROM chosen")
 def pool_v2_window(spark, sf_dir):
     """Pools of the whole window."""
-    return _whole_v2(*_lists(spark, sf_dir))
+    lists = _lists(spark, sf_dir)
+    return lists.named(_whole_v2(lists.lexical, lists.semantic))
 
 
 @query("pool_v2_reranked", _reranked_sql(_WINDOW_V2_SQL))
@@ -453,7 +519,8 @@ def pool_v2_reranked(spark, sf_dir):
 @query("pool_lexical_floor_window", f"WITH {_WINDOW_FLOOR_SQL} SELECT * FROM chosen")
 def pool_lexical_floor_window(spark, sf_dir):
     """The whole semantic window and the lexical floor besides."""
-    return _whole_floor(*_lists(spark, sf_dir))
+    lists = _lists(spark, sf_dir)
+    return lists.named(_whole_floor(lists.lexical, lists.semantic))
 
 
 @query("pool_lexical_floor_reranked", _reranked_sql(_WINDOW_FLOOR_SQL))
@@ -512,7 +579,8 @@ _PROJ_SQL = f"""{_RRF_SQL}, {_LABELS_SQL}, contrib AS (SELECT r.query_id, r.id,
 
 
 def _projection(spark, sf_dir):
-    top = fuse_rrf(hybrid(*_lists(spark, sf_dir))).where(F.col("rank") <= TOP_K)
+    lists = _lists(spark, sf_dir)
+    top = lists.named(fuse_rrf(lists.hybrid).where(F.col("rank") <= TOP_K))
     return row_projection(top, label_scores(chunk_units(spark, sf_dir), label_profiles(_current_paragraphs(spark, sf_dir))), "rrf")
 
 
@@ -551,17 +619,17 @@ def abstain_decision(spark, sf_dir):
 @query("mining_hard_negatives", f"WITH {_RRF_SQL}, pos AS (SELECT query_id, id FROM lex WHERE rank = 1) SELECT p.query_id, p.id AS positive, r.id AS negative, row_number() OVER (PARTITION BY p.query_id ORDER BY r.rank) AS place FROM pos p JOIN rrf r ON r.query_id = p.query_id AND r.id <> p.id AND r.rank <= {TOP_K} QUALIFY place <= 4")
 def hard_negatives(spark, sf_dir):
     """Each query's lexical best with up to four other units of its hybrid top ten."""
-    lex, sem = _lists(spark, sf_dir)
-    positive = lex.where("rank = 1").select("query_id", F.col("id").alias("positive"))
-    others = fuse_rrf(hybrid(lex, sem)).where(F.col("rank") <= TOP_K).select("query_id", F.col("id").alias("negative"), "rank")
+    lists = _lists(spark, sf_dir)
+    positive = lists.lexical.where("rank = 1").select("query_id", F.col("id").alias("positive"))
+    others = fuse_rrf(lists.hybrid).where(F.col("rank") <= TOP_K).select("query_id", F.col("id").alias("negative"), "rank")
     rows = positive.join(others, "query_id").where("positive <> negative")
-    return _ranked(rows, F.asc("rank"), out="place").where("place <= 4").select("query_id", "positive", "negative", "place")
+    return lists.named(_ranked(rows, F.asc("rank"), out="place").where("place <= 4").select("query_id", "positive", "negative", "place"), "positive", "negative")
 
 
 # --- vectors ---
 
-#: Bytes of query vectors that are sent to the workers at once.
-BLOCK_BYTES = 64_000_000
+#: Bytes of query vectors that are sent to the workers at once, and cosines that a task holds at once: queries of a block times rows looked at together.
+BLOCK_BYTES, PRODUCT = 64_000_000, 8_000_000
 
 
 def nearest_vectors(rows: DataFrame, queries: DataFrame, k: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -572,7 +640,7 @@ def nearest_vectors(rows: DataFrame, queries: DataFrame, k: int = WINDOW, block_
     """
     spark = rows.sparkSession
     width = queries.select(F.max(F.size("vector"))).first()[0] or 1
-    step = max(1, block_bytes // (8 * width))
+    step = max(1, min(block_bytes // (8 * width), PRODUCT // (2 * k)))
     blocks = -(-queries.count() // step)
     lots = queries.where("vector IS NOT NULL").withColumn("_lot", F.pmod(F.xxhash64("query_id"), F.lit(max(1, blocks))))
     schema = "query_id long, id long, cosine double, low double, high double"
@@ -586,17 +654,20 @@ def nearest_vectors(rows: DataFrame, queries: DataFrame, k: int = WINDOW, block_
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ids, m = shared.value
+            most = max(1, PRODUCT // max(len(ids), 1) - k)
             low, high = np.full(len(ids), np.inf), np.full(len(ids), -np.inf)
             best_id, best = np.empty((len(ids), 0), np.int64), np.empty((len(ids), 0))
-            for batch in batches:
-                own = batch.column("id").to_numpy()
-                x = np.array(batch.column("vector").to_pylist(), np.float64)
-                n = np.linalg.norm(x, axis=1, keepdims=True)
-                cosine = m @ np.divide(x, n, out=np.zeros_like(x), where=n > 0).T
-                low, high = np.minimum(low, cosine.min(1)), np.maximum(high, cosine.max(1))
-                best, best_id = np.concatenate([best, cosine], 1), np.concatenate([best_id, np.broadcast_to(own, cosine.shape)], 1)
-                keep = np.lexsort((best_id, -best))[:, :k] if best.shape[1] > k else np.arange(best.shape[1])[None, :].repeat(len(ids), 0)
-                best, best_id = np.take_along_axis(best, keep, 1), np.take_along_axis(best_id, keep, 1)
+            for whole in batches:
+                for begin in range(0, whole.num_rows, most):
+                    batch = whole.slice(begin, most)
+                    own = batch.column("id").to_numpy()
+                    x = np.array(batch.column("vector").to_pylist(), np.float64)
+                    n = np.linalg.norm(x, axis=1, keepdims=True)
+                    cosine = m @ np.divide(x, n, out=np.zeros_like(x), where=n > 0).T
+                    low, high = np.minimum(low, cosine.min(1)), np.maximum(high, cosine.max(1))
+                    best, best_id = np.concatenate([best, cosine], 1), np.concatenate([best_id, np.broadcast_to(own, cosine.shape)], 1)
+                    keep = np.lexsort((best_id, -best))[:, :k] if best.shape[1] > k else np.arange(best.shape[1])[None, :].repeat(len(ids), 0)
+                    best, best_id = np.take_along_axis(best, keep, 1), np.take_along_axis(best_id, keep, 1)
             if best.shape[1]:
                 w = best.shape[1]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, w)), pa.array(best_id.ravel()), pa.array(best.ravel()), pa.array(np.repeat(low, w)), pa.array(np.repeat(high, w))], names=["query_id", "id", "cosine", "low", "high"])
@@ -717,8 +788,7 @@ def hinted_order(top: DataFrame, kinds: DataFrame, queries: DataFrame) -> DataFr
   FROM lex l JOIN queries q ON q.query_id = l.query_id LEFT JOIN k ON k.id = l.id WHERE l.rank <= {TOP_K}) SELECT query_id, id, boost, row_number() OVER (PARTITION BY query_id ORDER BY boost DESC, rank) AS place FROM t""")
 def hinted(spark, sf_dir):
     """The lexical top ten with the kinds that the query names first."""
-    queries, units = title_queries(spark, sf_dir), chunk_units(spark, sf_dir)
-    top = lexical_rows(scored_pairs(queries, units), queries, units).where(F.col("rank") <= TOP_K)
+    top, queries = lex_scored_topk(spark, sf_dir), title_queries(spark, sf_dir)
     kinds = table(spark, sf_dir, "core_docs_chunk_metadata", "chunk_uid", "item_kind").groupBy(id_or_null("chunk_uid").alias("id")).agg(F.max("item_kind").alias("kind"))
     return hinted_order(top, kinds, queries)
 
