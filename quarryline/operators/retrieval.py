@@ -19,7 +19,7 @@ from quarryline.functions.cleaning import id_or_null
 from quarryline.functions.text import STOPWORDS, query_tokens, raw_tokens, tokens
 from quarryline.operators.relational import min_max
 from quarryline.plans.catalog import query
-from quarryline.plans.stages import materialize, table
+from quarryline.plans.stages import bounded, materialize, table
 
 K1, B = 1.2, 0.75
 #: Shares of lexical score, fusion weights, shares of semantic relevance. Fixed values.
@@ -93,14 +93,9 @@ def postings(units: DataFrame) -> DataFrame:
     return _entries(units, False).drop("kind", "held")
 
 
-#: The most bytes of query terms that are sent to every task; more are joined by exchange.
-BROADCAST_BYTES = 64_000_000
-
-
 def _sized(df: DataFrame, row_bytes: int = 100) -> DataFrame:
     """df, written and counted: sent to every task if that is within bounds, else left to a join by exchange."""
-    df = materialize(df)
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    return bounded(materialize(df), row_bytes)
 
 
 def term_weights(asked: DataFrame, index: DataFrame, units: DataFrame) -> DataFrame:

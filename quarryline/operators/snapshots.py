@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.functions.cleaning import content_digest, epoch_micros, id_or_null, strip
-from quarryline.plans.stages import materialize, table
+from quarryline.plans.stages import bounded, materialize, table
 
 #: Rows, over all snapshots, that a hash bucket is meant to hold.
 BUCKET_ROWS = 16_384
@@ -98,7 +98,7 @@ def snapshot_differences(rows: DataFrame, chain: DataFrame, first_cells: int = F
     """
     starts = chain.where(F.col("next_ord").isNotNull())
     followers = starts.select(F.col("next_ord").alias("ord"), F.lit(True).alias("follows"))
-    linked = rows.join(F.broadcast(chain), "ord").join(F.broadcast(followers), "ord", "left")
+    linked = rows.join(bounded(chain), "ord").join(bounded(followers), "ord", "left")
     sides = F.array(F.when(F.col("follows"), F.struct(F.col("ord").cast("long").alias("pair"), F.lit(1).alias("sign"))), F.when(F.col("next_ord").isNotNull(), F.struct(F.col("next_ord").cast("long").alias("pair"), F.lit(-1).alias("sign"))))
     signed = linked.select("bucket", "kh", "vh", F.explode(F.filter(sides, lambda s: s.isNotNull())).alias("s")).select("bucket", "kh", "vh", "s.pair", "s.sign")
     done, todo, cells = None, None, first_cells
@@ -130,15 +130,15 @@ def classify(differences: DataFrame, rows: DataFrame) -> DataFrame:
     """
     plus, minus = differences.where("sign = 1"), differences.where("sign = -1")
     owner = rows.select("kh", "vh", "ord", "next_ord", "source_table", "corpus", "entity_id")
-    new = plus.select("kh", "vh", F.col("pair").cast("int").alias("ord")).join(owner.drop("next_ord"), ["kh", "vh", "ord"]).withColumn("side", F.lit(1))
-    old = minus.select("kh", "vh", F.col("pair").cast("int").alias("next_ord")).join(owner.drop("ord"), ["kh", "vh", "next_ord"]).withColumnRenamed("next_ord", "ord").withColumn("side", F.lit(-1))
+    new = plus.select("kh", "vh", F.col("pair").alias("ord")).join(owner.drop("next_ord"), ["kh", "vh", "ord"]).withColumn("side", F.lit(1))
+    old = minus.select("kh", "vh", F.col("pair").alias("next_ord")).join(owner.drop("ord"), ["kh", "vh", "next_ord"]).withColumnRenamed("next_ord", "ord").withColumn("side", F.lit(-1))
     known = F.when(F.col("vh") != UNKNOWN, F.col("vh"))
     events = new.unionByName(old).groupBy("kh", "ord", "source_table", "corpus", "entity_id").agg(
         F.max(F.when(F.col("side") == 1, known)).alias("new"), F.max(F.when(F.col("side") == -1, known)).alias("old"), F.max("side").alias("here"), F.min("side").alias("there")
     )
-    w = Window.partitionBy("kh").orderBy("ord")
+    w = Window.partitionBy("kh", "source_table", "corpus", "entity_id").orderBy("ord")
     events = events.withColumn("life", F.sum(F.when(F.col("there") == 1, 1).otherwise(0)).over(w))
-    life = Window.partitionBy("kh", "life").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    life = Window.partitionBy("kh", "source_table", "corpus", "entity_id", "life").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     last = F.coalesce("old", F.last(F.coalesce("new", "old"), ignorenulls=True).over(life))
     kind = F.when(F.col("there") == 1, "added").when(F.col("here") == -1, "removed").when(F.col("new") != last, "changed")
     return events.select("kh", "source_table", "corpus", "entity_id", "ord", kind.alias("change_kind")).where(F.col("change_kind").isNotNull())
@@ -165,20 +165,20 @@ def inventory_changes(inventory: DataFrame, snapshots: DataFrame, bucket_rows: i
     inventory: (source_table, corpus, entity_id, snapshot_id, digest, at). Rows without ids, or of a snapshot that ``snapshots`` doesn't
     date, take no part. Of repeated rows the latest ``at`` holds, unreadable times counting as earliest, then the larger digest.
     """
-    present = inventory.groupBy("source_table", "corpus", "snapshot_id").agg(F.count("*").alias("n")).join(F.broadcast(snapshot_order(snapshots)), ["corpus", "snapshot_id"])
-    chain = materialize(present.withColumn("ord", F.row_number().over(Window.orderBy("source_table", "corpus", "instant", "snapshot_id"))))
+    present = inventory.groupBy("source_table", "corpus", "snapshot_id").agg(F.count("*").alias("n")).join(bounded(materialize(snapshot_order(snapshots))), ["corpus", "snapshot_id"])
+    chain = materialize(present.orderBy("source_table", "corpus", "instant", "snapshot_id").withColumn("ord", F.monotonically_increasing_id()))
     line = Window.partitionBy("source_table", "corpus").orderBy("ord")
-    chain = chain.select("source_table", "corpus", "snapshot_id", "ord", "n", F.lead("ord").over(line).alias("next_ord"))
+    chain = materialize(chain.select("source_table", "corpus", "snapshot_id", "ord", "n", F.lead("ord").over(line).alias("next_ord")))
     total = chain.agg(F.sum("n")).first()[0] or 0
     buckets = max(12, -(-total // bucket_rows))
     kh = F.xxhash64("source_table", "corpus", "entity_id")
-    rows = inventory.join(F.broadcast(chain.select("source_table", "corpus", "snapshot_id", "ord", "next_ord")), ["source_table", "corpus", "snapshot_id"])
+    rows = inventory.join(bounded(chain.select("source_table", "corpus", "snapshot_id", "ord", "next_ord")), ["source_table", "corpus", "snapshot_id"])
     vh = F.when(F.col("digest").isNull(), F.lit(UNKNOWN).cast("long")).otherwise(F.xxhash64("digest"))
     rows = rows.select(kh.alias("kh"), F.pmod(kh, F.lit(buckets)).alias("bucket"), "ord", "next_ord", "source_table", "corpus", "entity_id", F.struct(F.coalesce(epoch_micros("at"), F.lit(-(2**63)).cast("long")).alias("at"), vh.alias("vh")).alias("x"))
     last = rows.repartition("bucket").groupBy("bucket", "kh", "ord", "next_ord", "source_table", "corpus", "entity_id").agg(F.max("x").alias("x")).select("bucket", "kh", "ord", "next_ord", "source_table", "corpus", "entity_id", "x.vh")
     last = materialize(last)
     changes = classify(snapshot_differences(last.select("bucket", "ord", "kh", "vh"), chain.select("ord", "next_ord"), first_cells), last)
-    return changes.join(F.broadcast(chain.select("ord", "snapshot_id")), "ord").select("source_table", "corpus", "entity_id", "snapshot_id", "change_kind")
+    return changes.join(bounded(chain.select("ord", "snapshot_id")), "ord").select("source_table", "corpus", "entity_id", "snapshot_id", "change_kind")
 
 
 def commit_changes(snapshots: DataFrame) -> DataFrame:

@@ -30,6 +30,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: The most bytes that are sent to every task; more are joined by exchange.
+BROADCAST_BYTES = 64_000_000
+
+
+def bounded(df: DataFrame, row_bytes: int = 200) -> DataFrame:
+    """df, which should be written out, to be sent to every task if its rows, counted, are within BROADCAST_BYTES; else to be joined by exchange."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df.hint("merge")
+
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """A Parquet table, or the named columns of it."""
     df = spark.read.parquet(f"{folder}/{name}.parquet")

@@ -6,10 +6,11 @@ import sqlite3
 from collections.abc import Iterator
 from pathlib import Path
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Kinds of API items that are kept. Fixed values.
 ITEM_KINDS = ("module", "struct", "enum", "trait", "impl", "function", "assoc_type", "assoc_const", "constant", "type_alias")
@@ -128,14 +129,19 @@ def read_prompt_suite(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, "prompt_id string, slice string, query_text string, modes array<string>, " + ", ".join(f"{k} array<string>" for k in lists))
 
 
-def read_sqlite(spark: SparkSession, path: str, sql: str, schema: str) -> DataFrame:
-    """The rows of a query on an SQLite file, opened read-only by one task and passed on in batches (S1). The file must be reachable from the executors."""
+def read_sqlite(spark: SparkSession, path: str, sql: str, schema: str, rows: int = 10_000) -> DataFrame:
+    """The rows of a query on an SQLite file, opened read-only by one task and passed on in batches of the declared types (S1). The file must be reachable from the executors.
+
+    Columns are taken by their place. Nulls stay null; a value that its type can't hold fails the read.
+    """
+    declared = to_arrow_schema(StructType.fromDDL(schema))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _ in batches:
             with sqlite3.connect(f"file:{path}?mode=ro", uri=True, timeout=1.5) as db:
                 db.execute("PRAGMA query_only = ON")
-                for part in pd.read_sql_query(sql, db, chunksize=10_000):
-                    yield pa.RecordBatch.from_pandas(part, preserve_index=False)
+                cursor = db.execute(sql)
+                while part := cursor.fetchmany(rows):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), declared, strict=True)], schema=declared)
 
     return spark.range(1, numPartitions=1).mapInArrow(scan, schema)

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
-import uuid
 from collections.abc import Callable
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.operators.relational import upsert
+from quarryline.sources.files import Folder
 
 
 class VersionedTable:
@@ -22,37 +20,27 @@ class VersionedTable:
     they opened, and the one before stays for going back.
     """
 
-    def __init__(self, root: str | Path) -> None:
-        self.root = Path(root)
-
-    @property
-    def _pointer(self) -> Path:
-        return self.root / "CURRENT"
+    def __init__(self, root: object) -> None:
+        self.folder = Folder(root)
 
     def versions(self) -> list[str]:
-        return sorted(p.name for p in self.root.glob("v*")) if self.root.exists() else []
+        return [n for n in self.folder.names() if n.startswith("v")]
 
     def current(self) -> str | None:
-        return self._pointer.read_text().strip() if self._pointer.exists() else None
+        return self.folder.read("CURRENT").strip() if self.folder.exists("CURRENT") else None
 
     def read(self, spark: SparkSession) -> DataFrame:
         if (version := self.current()) is None:
-            raise FileNotFoundError(f"{self.root} has no version")
-        return spark.read.parquet(str(self.root / version))
-
-    def _point(self, version: str) -> None:
-        staged = self.root / f".CURRENT-{uuid.uuid4().hex}"
-        staged.write_text(version)
-        os.replace(staged, self._pointer)
+            raise FileNotFoundError(f"{self.folder.root} has no version")
+        return spark.read.parquet(self.folder.path(version))
 
     def write(self, df: DataFrame, check: Callable[[DataFrame], bool] | None = None, partition_by: tuple[str, ...] = ()) -> str:
         """The new version's name; ValueError, and the pointer as it was, if the written rows don't pass the check."""
-        self.root.mkdir(parents=True, exist_ok=True)
         version = f"v{len(self.versions()) + 1:06d}"
-        df.write.partitionBy(*partition_by).parquet(str(self.root / version))
-        if check is not None and not check(df.sparkSession.read.parquet(str(self.root / version))):
+        df.write.partitionBy(*partition_by).parquet(self.folder.path(version))
+        if check is not None and not check(df.sparkSession.read.parquet(self.folder.path(version))):
             raise ValueError(f"{version} doesn't pass its check")
-        self._point(version)
+        self.folder.replace("CURRENT", version)
         return version
 
     def upsert(self, incoming: DataFrame, keys: list[str]) -> str:
@@ -64,7 +52,7 @@ class VersionedTable:
         older = [v for v in self.versions() if v < (self.current() or "")]
         if not older:
             raise ValueError("there is no older version")
-        self._point(older[-1])
+        self.folder.replace("CURRENT", older[-1])
         return older[-1]
 
 
@@ -72,19 +60,15 @@ def write_vectors(df: DataFrame, path: str) -> None:
     """Appends (id, model, version, text_sha256, vector) with the vector's norm, only the keys that aren't there yet (K9)."""
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     new = df.withColumn("norm", norm).dropDuplicates(["id", "model", "version", "text_sha256"])
-    if os.path.exists(path):
+    if Folder(path).exists():
         new = new.join(df.sparkSession.read.parquet(path).select("id", "model", "version", "text_sha256"), ["id", "model", "version", "text_sha256"], "left_anti")
     new.write.mode("append").parquet(path)
 
 
-def write_report(path: str | Path, payload: dict[str, Any]) -> Path:
-    """A report as sorted JSON, complete or not at all (K7)."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    staged = path.with_suffix(f".{uuid.uuid4().hex}")
-    staged.write_text(json.dumps(payload, indent=2, sort_keys=True) + "\n", encoding="utf-8")
-    os.replace(staged, path)
-    return path
+def write_report(folder: object, name: str, payload: dict[str, Any]) -> str:
+    """A report as sorted JSON, complete or not at all (K7); gives its path."""
+    Folder(folder).replace(name, json.dumps(payload, indent=2, sort_keys=True) + "\n")
+    return Folder(folder).path(name)
 
 
 def markdown_table(df: DataFrame, limit: int = 50) -> str:
@@ -93,11 +77,28 @@ def markdown_table(df: DataFrame, limit: int = 50) -> str:
     return "\n".join([head, *("| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in df.limit(limit).collect())])
 
 
-def export_texts(records: DataFrame, blocks: DataFrame, path: str) -> None:
-    """One text file a record and chapter folder: title, underline, and the record's blocks in order (K8).
+def exported_texts(records: DataFrame, blocks: DataFrame, citations: DataFrame | None = None) -> DataFrame:
+    """(chapter, guideline_id, value, sha256): each record as one text: title, underline, its blocks in order and, where it has any, its citations by key (K8).
 
-    records: (guideline_id, title, chapter); blocks: (guideline_id, order_index, content). Records without blocks are written with their title only.
+    records: (guideline_id, title, chapter); blocks: (guideline_id, order_index, content); citations: (guideline_id, key, text), of which repeated ones count once. Records without blocks have their title only;
+    blank chapters are named general.
     """
-    bodies = blocks.groupBy("guideline_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order_index", "content"))), lambda b: b["content"]), "\n\n").alias("body"))
-    text = F.concat_ws("\n", "title", F.repeat(F.lit("="), F.length("title")), F.lit(""), F.coalesce("body", F.lit("")))
-    records.join(bodies, "guideline_id", "left").select("chapter", text.alias("value")).write.mode("overwrite").partitionBy("chapter").text(path)
+    in_order = lambda order, text: F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda b: b[text])
+    bodies = blocks.groupBy("guideline_id").agg(F.array_join(in_order("order_index", "content"), "\n\n").alias("body"))
+    rows = records.join(bodies, "guideline_id", "left")
+    sources = F.lit(None).cast("string")
+    if citations is not None:
+        lines = citations.select("guideline_id", "key", F.concat(F.lit(".. ["), "key", F.lit("] "), "text").alias("line")).distinct()
+        rows = rows.join(lines.groupBy("guideline_id").agg(F.array_join(in_order("key", "line"), "\n").alias("cited")), "guideline_id", "left")
+        sources = F.col("cited")
+    title = F.coalesce("title", F.lit(""))
+    text = F.concat_ws("\n", title, F.repeat(F.lit("="), F.length(title)), F.lit(""), F.coalesce("body", F.lit("")), F.when(sources.isNotNull(), F.concat(F.lit("\nBibliography\n------------\n\n"), sources)))
+    rows = rows.select(F.coalesce(F.nullif(F.trim("chapter"), F.lit("")), F.lit("general")).alias("chapter"), "guideline_id", text.alias("value"))
+    return rows.withColumn("sha256", F.sha2("value", 256))
+
+
+def export_texts(records: DataFrame, blocks: DataFrame, path: str, citations: DataFrame | None = None) -> None:
+    """One text file a record, in a folder of its own within its chapter's, and beside them the table of digests, ``manifest`` (K8)."""
+    rows = exported_texts(records, blocks, citations)
+    rows.select("chapter", "guideline_id", "value").repartition("chapter", "guideline_id").write.mode("overwrite").partitionBy("chapter", "guideline_id").text(f"{path}/texts")
+    rows.select("chapter", "guideline_id", "sha256").write.mode("overwrite").json(f"{path}/manifest")

@@ -1,5 +1,6 @@
 """Readers, writers, streams, contracts, rewriting and settings on files of a few lines."""
 
+import hashlib
 import json
 import sqlite3
 import time
@@ -65,12 +66,14 @@ def test_prompts_and_sqlite(spark, tmp_path):
             s.read_prompt_suite(spark, str(p))
     with sqlite3.connect(tmp_path / "x.db") as db:
         db.execute("CREATE TABLE t (a INTEGER, b TEXT)")
-        db.executemany("INSERT INTO t VALUES (?, ?)", [(1, "x"), (2, None)])
-    assert sorted(map(tuple, s.read_sqlite(spark, str(tmp_path / "x.db"), "SELECT a, b FROM t", "a long, b string").collect())) == [(1, "x"), (2, None)]
+        db.executemany("INSERT INTO t VALUES (?, ?)", [(1, "x"), (2, None), (None, "z")])
+    read = lambda sql, **more: sorted(map(str, map(tuple, s.read_sqlite(spark, str(tmp_path / "x.db"), sql, "a long, b string", **more).collect())))
+    assert read("SELECT a, b FROM t") == read("SELECT a, b FROM t", rows=1) == ["(1, 'x')", "(2, None)", "(None, 'z')"] and read("SELECT a, b FROM t WHERE a > 9") == []
 
 
-def test_versions(spark, tmp_path):
-    t = sinks.VersionedTable(tmp_path / "t")
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_versions(spark, tmp_path, scheme):
+    t = sinks.VersionedTable(f"{scheme}{tmp_path}/t")
     one = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     with pytest.raises(FileNotFoundError):
         t.read(spark)
@@ -87,10 +90,15 @@ def test_other_sinks(spark, tmp_path):
     sinks.write_vectors(v, str(tmp_path / "v"))
     sinks.write_vectors(v, str(tmp_path / "v"))
     assert [r.norm for r in spark.read.parquet(str(tmp_path / "v")).collect()] == [5.0]
-    assert json.loads(sinks.write_report(tmp_path / "r" / "x.json", {"b": 1, "a": 2}).read_text()) == {"a": 2, "b": 1}
+    assert json.loads(open(sinks.write_report(tmp_path / "r", "x.json", {"b": 1, "a": 2})).read()) == {"a": 2, "b": 1}
     assert sinks.markdown_table(spark.createDataFrame([(1, "a|b"), (2, None)], "n int, s string").orderBy("n")).splitlines()[2:] == ["| 1 | a\\|b |", "| 2 |  |"]
-    sinks.export_texts(spark.createDataFrame([("g", "Title", "ch")], "guideline_id string, title string, chapter string"), spark.createDataFrame([("g", 2, "two"), ("g", 1, "one")], "guideline_id string, order_index int, content string"), str(tmp_path / "x"))
-    assert "Title\n=====\n\none\n\ntwo" in next((tmp_path / "x" / "chapter=ch").glob("*.txt")).read_text()
+    records = spark.createDataFrame([("g", "Title", "ch"), ("h", None, " "), ("i", "Third", "ch")], "guideline_id string, title string, chapter string")
+    blocks = spark.createDataFrame([("g", 2, "two"), ("g", 1, "one"), ("none", 1, "lost")], "guideline_id string, order_index int, content string")
+    cited = spark.createDataFrame([("g", "B", "second"), ("g", "A", "first"), ("g", "A", "first")], "guideline_id string, key string, text string")
+    sinks.export_texts(records, blocks, str(tmp_path / "x"), cited)
+    files = {p.parent.name: p.read_text() for p in (tmp_path / "x" / "texts").glob("*/*/*.txt")}
+    assert len(files) == 3 and files["guideline_id=g"] == "Title\n=====\n\none\n\ntwo\n\nBibliography\n------------\n\n.. [A] first\n.. [B] second\n" and (tmp_path / "x" / "texts" / "chapter=general" / "guideline_id=h").exists()
+    assert {r.guideline_id: r.sha256 for r in spark.read.json(str(tmp_path / "x" / "manifest")).collect()}["g"] == hashlib.sha256(files["guideline_id=g"].rstrip("\n").encode()).hexdigest()
 
 
 def test_streams(spark, tmp_path):
