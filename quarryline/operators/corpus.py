@@ -87,13 +87,26 @@ def statements(parts: DataFrame) -> DataFrame:
     return rows.select("doc_id", "order_index", index.alias("sentence_index"), "text", kind.alias("statement_type"), sure.alias("confidence"))
 
 
-@query("text_sections")
+_SECTIONS_SQL = rf"""cut AS (SELECT doc_id, string_split(regexp_replace(chr(10) || text, '\n(#{{1,6}}[ \t]+\S)', chr(1) || '\1', 'g'), chr(1)) AS parts FROM documents WHERE text IS NOT NULL),
+  part AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS o FROM cut), marked AS (SELECT *, regexp_matches(part, '^#{{1,6}}[ \t]+\S') AS headed FROM part),
+  held AS (SELECT doc_id, o, headed, CASE WHEN headed THEN regexp_replace(trim(regexp_extract(part, '^#{{1,6}}[ \t]+([^\n]*)', 1)), '\s*\{{#[A-Za-z0-9_-]+\}}\s*$', '') ELSE '' END AS heading,
+    trim(CASE WHEN headed THEN regexp_replace(part, '^#{{1,6}}[ \t]+[^\n]*\n?', '') ELSE part END, {_WS}) AS body FROM marked),
+  sections AS (SELECT doc_id, greatest(o, 1) AS order_index, heading, CASE WHEN body = '' THEN heading ELSE body END AS body FROM held WHERE headed OR (o = 0 AND body <> '') QUALIFY headed OR NOT bool_or(headed) OVER (PARTITION BY doc_id))"""
+#: Sentences in SQL, whose patterns can't look around: a mark is put in every gap first.
+_SENTENCES_SQL = r"list_filter(list_transform(string_split(regexp_replace({0}, '([.!?])\s+([A-Z0-9(`\[])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')"
+
+
+@query("text_sections", f"WITH {_SECTIONS_SQL} SELECT * FROM sections")
 def document_sections(spark, sf_dir):
     """The sections of every document."""
     return sections(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-@query("sentence_split")
+@query("sentence_split", rf"""WITH {_SECTIONS_SQL}, bl AS (SELECT doc_id, order_index, list_filter(string_split_regex(body, '\n[ \t\r]*\n'), lambda x: length(trim(x)) > 0) AS blocks FROM sections),
+  b AS (SELECT doc_id, order_index, unnest(blocks) AS block, generate_subscripts(blocks, 1) AS b FROM bl), c AS (SELECT doc_id, order_index, b, {_SENTENCES_SQL.format(_clean_sql('block'))} AS ss FROM b),
+  t AS (SELECT doc_id, order_index, b, unnest(ss) AS text, generate_subscripts(ss, 1) AS s FROM c)
+SELECT doc_id, order_index, row_number() OVER (PARTITION BY doc_id, order_index ORDER BY b, s) AS sentence_index, text, CASE WHEN regexp_matches(text, '{STATEMENT_TYPES[0][1]}') THEN 'constraint' WHEN regexp_matches(text, '{STATEMENT_TYPES[1][1]}') THEN 'definition' ELSE 'behavior' END AS statement_type,
+  CASE WHEN regexp_matches(text, '{STATEMENT_TYPES[0][1]}') THEN 0.88 WHEN regexp_matches(text, '{STATEMENT_TYPES[1][1]}') THEN 0.76 ELSE 0.68 END::DOUBLE AS confidence FROM t WHERE length(text) >= {LEAST_STATEMENT}""")
 def sentence_split(spark, sf_dir):
     """The statements of every document."""
     return statements(sections(table(spark, sf_dir, "documents", "doc_id", "text")))
@@ -194,7 +207,34 @@ def pack_paragraphs(text: Column | str, least: int, target: int, most: int) -> C
     return F.get(F.transform(F.array(chunks), lambda c: F.when(short(c), F.concat(F.slice(c, F.lit(1), F.size(c) - 2), F.array(last_two(c)))).when(F.size(c) == 0, F.array(F.lit(""))).otherwise(c)), 0)
 
 
-@query("chunk_packing")
+def _spans_sql(source: str, out: str, key: str, most: int, least: int = 10**9, again: int = 0) -> str:
+    """The spans of cut_spans by a recursion over items; source: (key, sums), the running sums from 0 on."""
+    return f"""{out}_w AS (SELECT {key}, sums, 0 AS i, 0 AS b, [{{'a': 0, 'b': 0}}] AS spans FROM {source}
+    UNION ALL SELECT {key}, sums, i, CASE WHEN full_ THEN greatest(b, CASE WHEN {again} = 0 THEN i ELSE len(list_filter(sums, lambda x: x <= sums[i + 1] - {again})) - 1 END) ELSE b END, CASE WHEN full_ THEN list_append(spans, {{'a': b, 'b': i}}) ELSE spans END
+      FROM (SELECT *, sums[i + 1] - sums[b + 1] >= {least} AS full_ FROM (
+        SELECT {key}, sums, i + 1 AS i, CASE WHEN shut THEN greatest(b, CASE WHEN {again} = 0 THEN i ELSE len(list_filter(sums, lambda x: x <= sums[i + 1] - {again})) - 1 END) ELSE b END AS b, CASE WHEN shut THEN list_append(spans, {{'a': b, 'b': i}}) ELSE spans END AS spans
+        FROM (SELECT *, i > b AND sums[i + 2] - sums[b + 1] > {most} AS shut FROM {out}_w WHERE i + 1 < len(sums))))),
+  {out} AS (SELECT {key}, CASE WHEN b < i AND spans[-1] <> {{'a': b, 'b': i}} THEN list_append(spans, {{'a': b, 'b': i}}) ELSE spans END[2:] AS spans FROM {out}_w WHERE i + 1 = len(sums))"""
+
+
+def _tokens_sql(text: str) -> str:
+    return f"len(list_distinct(regexp_extract_all(lower({text}), '[a-z0-9_]+')))"
+
+
+_SUMS_SQL = "list_transform(range(0, len({0}) + 1), lambda i: coalesce(list_sum(list_transform({0}[1:i], lambda x: x.n)), 0)::INT)"
+_CHUNKS_SQL = rf"""WITH RECURSIVE {_SECTIONS_SQL}, bl AS (SELECT doc_id, order_index AS section, list_filter(list_transform(string_split(body, E'\n\n'), lambda x: trim(regexp_replace({_clean_sql('x')}, '[\t\n\x0b\f\r \x{{85}}\p{{Z}}]+', ' ', 'g'))), lambda x: x <> '') AS ts FROM sections),
+  bs AS (SELECT doc_id, section, list_filter(list_transform(ts, lambda x: {{'t': x, 'n': {_tokens_sql('x')}}}), lambda x: x.n > 0) AS ts FROM bl), bk AS (SELECT *, {_SUMS_SQL.format('ts')} AS sums FROM bs WHERE len(ts) > 0),
+  {_spans_sql('bk', 'one', 'doc_id, section', 180, 80, 18)},
+  staged AS (SELECT doc_id, section, nth, array_to_string(list_transform(bk.ts[s.a + 1:s.b], lambda x: x.t), ' ') AS whole, bk.sums[s.b + 1] - bk.sums[s.a + 1] AS size FROM (SELECT doc_id, section, unnest(spans) AS s, generate_subscripts(spans, 1) AS nth FROM one) JOIN bk USING (doc_id, section)),
+  pieces AS (SELECT doc_id, section, nth, CASE WHEN size <= 180 THEN [whole] ELSE {_SENTENCES_SQL.format('whole')} END AS ps FROM staged),
+  sized AS (SELECT doc_id, section, nth, list_transform(ps, lambda x: {{'t': x, 'n': {_tokens_sql('x')}}}) AS ts, len(ps) AS pieces FROM pieces), sp AS (SELECT *, {_SUMS_SQL.format('ts')} AS sums FROM sized),
+  {_spans_sql('sp', 'two', 'doc_id, section, nth', 180)},
+  texts AS (SELECT doc_id, section, nth, part, array_to_string(list_transform(sp.ts[s.a + 1:s.b], lambda x: x.t), ' ') AS clean_text FROM (SELECT doc_id, section, nth, unnest(spans) AS s, generate_subscripts(spans, 1) AS part FROM two) JOIN sp USING (doc_id, section, nth)),
+  numbered AS (SELECT doc_id, section, row_number() OVER (PARTITION BY doc_id, section ORDER BY nth, part) AS order_index, clean_text FROM texts)
+SELECT 'chunk::' || sha256(doc_id || '::' || section || '::' || order_index || '::' || lower(clean_text)) AS chunk_uid, doc_id, section, order_index, clean_text, {_tokens_sql('clean_text')} AS token_len FROM numbered"""
+
+
+@query("chunk_packing", _CHUNKS_SQL)
 def chunk_packing(spark, sf_dir):
     """Chunks of every document's sections."""
     return chunk_sections(sections(table(spark, sf_dir, "documents", "doc_id", "text")))
