@@ -207,13 +207,13 @@ def pack_paragraphs(text: Column | str, least: int, target: int, most: int) -> C
     return F.get(F.transform(F.array(chunks), lambda c: F.when(short(c), F.concat(F.slice(c, F.lit(1), F.size(c) - 2), F.array(last_two(c)))).when(F.size(c) == 0, F.array(F.lit(""))).otherwise(c)), 0)
 
 
-def _spans_sql(source: str, out: str, key: str, most: int, least: int = 10**9, again: int = 0) -> str:
+def _spans_sql(source: str, out: str, key: str, most: int, least: int = 10**9, again: int = 0, full: int = 10**9) -> str:
     """The spans of cut_spans by a recursion over items; source: (key, sums), the running sums from 0 on."""
     return f"""{out}_w AS (SELECT {key}, sums, 0 AS i, 0 AS b, [{{'a': 0, 'b': 0}}] AS spans FROM {source}
     UNION ALL SELECT {key}, sums, i, CASE WHEN full_ THEN greatest(b, CASE WHEN {again} = 0 THEN i ELSE len(list_filter(sums, lambda x: x <= sums[i + 1] - {again})) - 1 END) ELSE b END, CASE WHEN full_ THEN list_append(spans, {{'a': b, 'b': i}}) ELSE spans END
       FROM (SELECT *, sums[i + 1] - sums[b + 1] >= {least} AS full_ FROM (
         SELECT {key}, sums, i + 1 AS i, CASE WHEN shut THEN greatest(b, CASE WHEN {again} = 0 THEN i ELSE len(list_filter(sums, lambda x: x <= sums[i + 1] - {again})) - 1 END) ELSE b END AS b, CASE WHEN shut THEN list_append(spans, {{'a': b, 'b': i}}) ELSE spans END AS spans
-        FROM (SELECT *, i > b AND sums[i + 2] - sums[b + 1] > {most} AS shut FROM {out}_w WHERE i + 1 < len(sums))))),
+        FROM (SELECT *, i > b AND (sums[i + 2] - sums[b + 1] > {most} OR sums[i + 1] - sums[b + 1] >= {full}) AS shut FROM {out}_w WHERE i + 1 < len(sums))))),
   {out} AS (SELECT {key}, CASE WHEN b < i AND spans[-1] <> {{'a': b, 'b': i}} THEN list_append(spans, {{'a': b, 'b': i}}) ELSE spans END[2:] AS spans FROM {out}_w WHERE i + 1 = len(sums))"""
 
 
@@ -240,10 +240,19 @@ def chunk_packing(spark, sf_dir):
     return chunk_sections(sections(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
-@query("chunk_packing_api")
+_API_SQL = rf"""WITH RECURSIVE m AS (SELECT chunk_uid, target_triple, max({{'p': item_path, 'k': item_kind, 's': signature, 'e': example_snippets}}) AS x FROM core_docs_chunk_metadata GROUP BY 1, 2),
+  whole AS (SELECT row_number() OVER () AS r, x.p AS item_path, target_triple, concat_ws(E'\n\n', concat_ws(' ', x.k, x.p), x.s, x.e) AS body FROM m),
+  ps AS (SELECT r, item_path, target_triple, list_transform(list_filter(list_transform(string_split(body, E'\n\n'), lambda p: trim(p, {_WS})), lambda p: p <> ''), lambda p: {{'t': p, 'n': {_tokens_sql('p')}}}) AS ts FROM whole), sp AS (SELECT *, {_SUMS_SQL.format('ts')} AS sums FROM ps WHERE len(ts) > 0),
+  {_spans_sql('sp', 'cut', 'r', 400, full=260)}, made AS (SELECT r, list_transform(spans, lambda s: array_to_string(list_transform(sp.ts[s.a + 1:s.b], lambda x: x.t), E'\n\n')) AS cs FROM cut JOIN sp USING (r)),
+  joined AS (SELECT r, CASE WHEN len(cs) > 1 AND {_tokens_sql('cs[-1]')} < 20 THEN list_append(cs[:-3], cs[-2] || E'\n\n' || cs[-1]) ELSE cs END AS cs FROM made), every AS (SELECT w.*, coalesce(j.cs, ['']) AS cs FROM whole w LEFT JOIN joined j USING (r))
+SELECT item_path, target_triple, unnest(range(1, len(cs) + 1)) AS order_index, unnest(cs) || E'\n[target: ' || coalesce(target_triple, '') || ']' AS chunk_text FROM every"""
+
+
+@query("chunk_packing_api", _API_SQL)
 def chunk_packing_api(spark, sf_dir):
     """API texts as chunks with a header and the target's name."""
-    m = table(spark, sf_dir, "core_docs_chunk_metadata", "chunk_uid", "item_path", "item_kind", "signature", "example_snippets", "target_triple").dropDuplicates(["chunk_uid", "target_triple"])
+    m = table(spark, sf_dir, "core_docs_chunk_metadata", "chunk_uid", "item_path", "item_kind", "signature", "example_snippets", "target_triple")
+    m = m.groupBy("chunk_uid", "target_triple").agg(F.max(F.struct("item_path", "item_kind", "signature", "example_snippets")).alias("x")).select("x.*", "target_triple")
     whole = m.select(F.concat_ws("\n\n", F.concat_ws(" ", "item_kind", "item_path"), "signature", "example_snippets").alias("body"), "item_path", "target_triple")
     rows = whole.select("item_path", "target_triple", F.posexplode(pack_paragraphs("body", 20, 260, 400)).alias("nth", "chunk"))
     return rows.select("item_path", "target_triple", (F.col("nth") + 1).alias("order_index"), F.concat("chunk", F.lit("\n[target: "), F.coalesce("target_triple", F.lit("")), F.lit("]")).alias("chunk_text"))

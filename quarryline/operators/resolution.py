@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.functions.cleaning import id_or_null, strip
-from quarryline.functions.text import jaccard, ngrams, ordered_coverage, raw_tokens, singular, tokens
+from quarryline.functions.text import STOPWORDS, jaccard, ngrams, ordered_coverage, raw_tokens, singular, tokens
 from quarryline.operators.references import link_target
 from quarryline.operators.relational import full_outer_delta
-from quarryline.operators.retrieval import _cases, title_queries
+from quarryline.operators.retrieval import _CASES_SQL, _cases, title_queries
 from quarryline.plans.catalog import query
 from quarryline.plans.stages import materialize, table
 
@@ -187,7 +186,32 @@ def component_scores(spark, sf_dir):
     return candidate_components(spark, sf_dir).select("guideline_id", "paragraph_id", "text_overlap", "document_prior", "section_prior")
 
 
-@query("explainable_score")
+_WORDS = "list_filter(list_transform(regexp_extract_all(lower({t}), '[a-z0-9_]+'), lambda x: CASE WHEN length(x) > 4 AND x LIKE '%s' AND x NOT LIKE '%ss' THEN x[:-2] ELSE x END), lambda x: x NOT IN (" + ", ".join(f"'{w}'" for w in PHRASE_STOPWORDS) + "))"
+_GRAMS = "list_distinct(list_transform(range(1, len({a}) - {n} + 2), lambda i: array_to_string({a}[i:i + {n} - 1], ' ')))"
+_WALKED = "list_reduce(list_prepend({{'h': 0, 'w': ''}}, list_transform({b}, lambda x: {{'h': 0, 'w': x}})), lambda acc_, nxt_: {{'h': CASE WHEN acc_.h < len({a}) AND {a}[acc_.h + 1] = nxt_.w THEN acc_.h + 1 ELSE acc_.h END, 'w': nxt_.w}}).h"
+
+
+def _phrase_sql(a: str, b: str, exact: str, ordered: float = 0.65, runs: float = 0.35, sizes: tuple[int, ...] = (2, 3)) -> str:
+    """phrase_score in SQL, of word lists a and b."""
+    shares = ", ".join(f"CASE WHEN len({a}) >= {n} THEN len(list_intersect({_GRAMS.format(a=a, n=n)}, {_GRAMS.format(a=b, n=n)})) / len({_GRAMS.format(a=a, n=n)}) ELSE 0.0 END" for n in sizes)
+    walked = f"CASE WHEN len({a}) > 0 THEN {_WALKED.format(a=a, b=b)} / len({a}) ELSE 0.0 END"
+    return f"greatest(CASE WHEN {exact} THEN 1.0::DOUBLE ELSE 0.0 END, {ordered}::DOUBLE * ({walked}) + {runs}::DOUBLE * greatest({shares}))"
+
+
+_CAND_SQL = f"""cand AS (SELECT DISTINCT trim(guideline_id, {_WS}) AS g, trim(paragraph_id, {_WS}) AS p FROM guideline_fls_resolution_candidates),
+  par AS (SELECT trim(paragraph_id, {_WS}) AS id, coalesce(max(clean_text), '') AS text, max(document_link) AS d, max(section_link) AS s FROM paragraphs GROUP BY 1 HAVING trim(paragraph_id, {_WS}) <> ''),
+  qs AS (SELECT trim(guideline_id, {_WS}) AS g, coalesce(max(title), '') AS query FROM guideline_records GROUP BY 1 HAVING trim(guideline_id, {_WS}) <> ''),
+  raw AS (SELECT trim(guideline_id, {_WS}) AS g, max(nullif(nullif(trim(regexp_replace(raw_fls_id, '^.*#', '', 's'), {_WS}), ''), 'fls_UNRESOLVED')) AS raw FROM guideline_fls_source_mappings GROUP BY 1),
+  met AS (SELECT c.g, c.p, q.query, par.text, par.d, par.s, {_LONG.format(t='q.query')} AS asked, {_WORDS.format(t='q.query')} AS a, {_WORDS.format(t='par.text')} AS b, list_distinct(list_transform(regexp_extract_all(q.query, '[A-Z][a-z]+[A-Z][A-Za-z]+'), lambda x: lower(x))) AS code,
+    coalesce(par.s = o.s, false) AS in_section, coalesce(par.d = o.d, false) AS in_document FROM cand c JOIN qs q USING (g) JOIN par ON par.id = c.p LEFT JOIN raw ON raw.g = c.g LEFT JOIN par o ON o.id = raw.raw),
+  comp AS (SELECT g AS guideline_id, p AS paragraph_id, in_section, in_document, round(CASE WHEN len(asked) > 0 THEN len(list_intersect(asked, {_LONG.format(t='text')})) / len(asked) ELSE 0 END, 6) AS text_overlap,
+    round({_phrase_sql('a', 'b', "length(query) > 0 AND contains(lower(text), lower(query))")}, 6) AS phrase_evidence, in_document::INT::DOUBLE AS document_prior, in_section::INT::DOUBLE AS section_prior,
+    CASE WHEN len(code) > 0 THEN round(least(1.0, len(list_intersect(code, regexp_extract_all(lower(text), '[a-z0-9_]+'))) / least(3, len(code))), 6) ELSE 0.0 END AS code_evidence FROM met),
+  total AS (SELECT *, round({' + '.join(f'{w}::DOUBLE * {c}' for c, w in COMPONENTS.items())}, 6) AS total FROM comp),
+  scored AS (SELECT *, greatest(text_overlap, code_evidence) >= {LEAST_EVIDENCE} AND total >= {LEAST_TOTAL} AS eligible FROM total)"""
+
+
+@query("explainable_score", f"WITH {_CAND_SQL} SELECT * EXCLUDE (in_section, in_document) FROM scored")
 def explainable_score(spark, sf_dir):
     """All components and their sum for every candidate."""
     return explain(candidate_components(spark, sf_dir)).drop("stages")
@@ -210,35 +234,109 @@ def resolve(scored: DataFrame) -> DataFrame:
     return best.select("guideline_id", "x.*")
 
 
-@query("staged_resolution")
+@query("staged_resolution", f"""WITH {_CAND_SQL}, st AS (SELECT *, unnest(list_filter([CASE WHEN in_section THEN 1 END, CASE WHEN in_document THEN 2 END, 3], lambda x: x IS NOT NULL)) AS stage FROM scored),
+  tops AS (SELECT *, round(coalesce(total - lead(total) OVER w, 1.0), 6) AS margin, row_number() OVER w AS rn FROM st WINDOW w AS (PARTITION BY guideline_id, stage ORDER BY eligible DESC, total DESC, text_overlap DESC, paragraph_id)),
+  dec AS (SELECT *, CASE WHEN NOT eligible THEN 'none' WHEN total >= {ACCEPT_TOTAL} AND margin >= {ACCEPT_MARGIN} THEN 'accepted' WHEN total >= {REVIEW_TOTAL} THEN 'review' ELSE 'none' END AS decision FROM tops WHERE rn = 1)
+SELECT guideline_id, ['section', 'document', 'global'][stage] AS stage, paragraph_id, total, margin, decision FROM dec QUALIFY row_number() OVER (PARTITION BY guideline_id ORDER BY CASE decision WHEN 'accepted' THEN 0 WHEN 'review' THEN 1 ELSE 2 END, stage) = 1""")
 def staged_resolution(spark, sf_dir):
     """The resolution of every guideline."""
     return resolve(explain(candidate_components(spark, sf_dir)))
 
 
-def diversified(rows: pd.DataFrame, take: int = 5, per_document: int = 2) -> pd.DataFrame:
-    """Greedy choice from the best on, no document more often than a cap, which is raised by one whenever nothing else fits."""
-    left = rows.sort_values(["total", "paragraph_id"], ascending=[False, True]).reset_index(drop=True)
-    chosen: list[int] = []
-    used: dict[str, int] = {}
-    cap = per_document
-    while len(chosen) < min(take, len(left)):
-        fits = [i for i in left.index if i not in chosen and used.get(left.at[i, "document_link"], 0) < cap]
-        if not fits:
-            cap += 1
-            continue
-        chosen.append(fits[0])
-        used[left.at[fits[0], "document_link"]] = used.get(left.at[fits[0], "document_link"], 0) + 1
-    out = left.loc[chosen, ["guideline_id", "paragraph_id", "document_link", "total"]].copy()
-    out["place"] = range(1, len(out) + 1)
-    return out
-
-
-@query("diversified_priors")
+def diversified(rows: DataFrame, score: str = "total", take: int = 5, per_document: int = 2) -> DataFrame:
+    """(guideline_id, paragraph_id, document_link, score, place): a choice from the best on, no document more often than a cap, which is raised by one whenever nothing else fits.
+
+    In closed form: a row that is the n-th of its document is taken while the cap is n, and within one cap rows are taken in their order; so the place follows from the larger of n and
+    the first cap, then the order. Nothing has to be walked through, however many candidates there are. Null documents count as one.
+    """
+    order = [F.desc(score), F.asc("paragraph_id")]
+    nth = F.row_number().over(Window.partitionBy("guideline_id", "document_link").orderBy(*order))
+    cap = rows.withColumn("_cap", F.greatest(nth, F.lit(per_document)))
+    place = F.row_number().over(Window.partitionBy("guideline_id").orderBy("_cap", *order))
+    return cap.withColumn("place", place).where(F.col("place") <= take).select("guideline_id", "paragraph_id", "document_link", score, "place")
+
+
+@query("diversified_priors", f"""WITH {_CAND_SQL}, n AS (SELECT t.guideline_id, t.paragraph_id, coalesce(par.d, '') AS document_link, t.total, row_number() OVER (PARTITION BY guideline_id, coalesce(par.d, '') ORDER BY total DESC, paragraph_id) AS n FROM total t JOIN par ON par.id = t.paragraph_id)
+SELECT guideline_id, paragraph_id, document_link, total, row_number() OVER (PARTITION BY guideline_id ORDER BY greatest(n, 2), total DESC, paragraph_id) AS place FROM n QUALIFY place <= 5""")
 def diversified_priors(spark, sf_dir):
-    """Up to five candidates a guideline from several documents; a group is one guideline's candidates, a few rows."""
+    """Up to five candidates a guideline from several documents."""
     scored = explain(candidate_components(spark, sf_dir)).select("guideline_id", "paragraph_id", "total").join(_paragraphs(spark, sf_dir).select("paragraph_id", F.coalesce("document_link", F.lit("")).alias("document_link")), "paragraph_id")
-    return scored.groupBy("guideline_id").applyInPandas(lambda rows: diversified(rows), "guideline_id string, paragraph_id string, document_link string, total double, place long")
+    return diversified(scored)
+
+
+#: Shares of a prior's parts, what a hub costs, and how much of the role part counts where neither phrase nor heading says much. Fixed values.
+PRIOR_SHARES = {"phrase": 0.30, "heading": 0.20, "code": 0.15, "role": 0.15, "normative": 0.20, "hub": -0.25}
+HEADING_SHARES, PHRASE_SHARES, WEAK_SUPPORT = (0.70, 0.15, 0.15), (0.70, 0.30), 0.2
+#: Roles of marked-up words, and kinds of content by what their link holds: the kind, its normative part, its cost as a hub and its share of the role part. Fixed values.
+ROLES = {"defined_term": ":dt:`", "term_ref": ":t:`", "syntax_ref": ":s:`", "std_ref": ":std:`"}
+CONTENT = (("glossary", 0.0, 1.0, 0.6), ("inventory", 0.0, 0.75, 0.5), ("index", 0.0, 0.75, 0.5), ("examples", 0.4, 0.0, 1.0))
+#: Words of titles that tell little apart. Fixed values.
+GENERIC = ("code", "data", "item", "items", "must", "shall", "should", "type", "types", "value", "values")
+
+
+def prior_parts(pairs: DataFrame) -> DataFrame:
+    """Adds phrase, heading, code, role, normative and hub, each 0 to 1, and prior_score, their weighed sum cut to 0..1 and 0 where nothing supports it.
+
+    pairs: (query, heading, raw_text, document_link). The heading is what a candidate is judged by; names in the query written in CamelCase are its code words and constructs. Nulls count as empty.
+    """
+    text = {c: F.coalesce(c, F.lit("")) for c in ("query", "heading", "raw_text", "document_link")}
+    held = raw_tokens(text["heading"])
+    told = F.array_except(tokens(text["query"]), F.array(*[F.lit(w) for w in GENERIC]))
+    ordered = F.filter(raw_tokens(text["query"]), lambda t: F.array_contains(told, t))
+    built = F.array_distinct(F.transform(F.regexp_extract_all(text["query"], F.lit("[A-Z][a-z]+[A-Z][A-Za-z]+"), F.lit(0)), F.lower))
+    generic = F.array_intersect(F.array_distinct(raw_tokens(text["query"])), F.array(*[F.lit(w) for w in GENERIC]))
+    share = lambda a: F.size(F.array_intersect(a, held)) / F.greatest(F.size(a), F.lit(1))
+    pairs_of = F.when(F.size(ngrams(ordered, 2)) > 0, F.size(F.array_intersect(ngrams(ordered, 2), ngrams(held, 2))) / F.size(ngrams(ordered, 2))).otherwise(0.0)
+    said = F.array_join(raw_tokens(text["query"]), " ")
+    exact = F.when((said != "") & F.contains(F.array_join(held, " "), said), 1.0).otherwise(0.0)
+    phrase = F.when(F.size(ordered) > 0, F.greatest(exact, PHRASE_SHARES[0] * ordered_coverage(ordered, held) + PHRASE_SHARES[1] * pairs_of)).otherwise(0.0)
+    two_generic = F.when(F.size(F.array_intersect(generic, held)) >= 2, share(generic)).otherwise(0.0)
+    heading = F.least(F.lit(1.0), HEADING_SHARES[0] * share(told) + HEADING_SHARES[1] * share(built) + HEADING_SHARES[2] * two_generic)
+    code = F.least(F.lit(1.0), F.size(F.array_intersect(built, held)) / F.greatest(F.least(F.size(built), F.lit(3)), F.lit(1)))
+    roles = sum((F.contains(text["raw_text"], F.lit(mark)).cast("int") for mark in ROLES.values()), F.lit(0)) / len(ROLES)
+    kind = lambda at, usual: F.coalesce(*[F.when(F.contains(F.lower(text["document_link"]), F.lit(c[0])), c[at]) for c in CONTENT], F.lit(usual))
+    rows = pairs.withColumns({"phrase": F.round(phrase, 6), "heading_part": F.round(heading, 6), "code": F.round(code, 6)})
+    weak = (F.col("phrase") < WEAK_SUPPORT) & (F.col("heading_part") < WEAK_SUPPORT)
+    rows = rows.withColumns({"role": F.round(roles * F.when(weak, 0.5).otherwise(1.0) * kind(3, 1.0), 6), "normative": kind(1, 1.0), "hub": kind(2, 0.0)})
+    of = lambda part: F.col("heading_part" if part == "heading" else part)
+    total = sum((w * of(part) for part, w in PRIOR_SHARES.items()), F.lit(0.0))
+    supported = F.greatest("phrase", "heading_part", "code", "role") > 0
+    return rows.withColumn("prior_score", F.when(supported, F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)), 6)).otherwise(0.0))
+
+
+_CONTENT_SQL = lambda at, usual: "CASE " + " ".join(f"WHEN contains(lower(coalesce(d, '')), '{c[0]}') THEN {c[at]}" for c in CONTENT) + f" ELSE {usual} END"
+_GENERIC = "(" + ", ".join(f"'{w}'" for w in GENERIC) + ")"
+_STOP = "(" + ", ".join(f"'{w}'" for w in STOPWORDS) + ")"
+_PRIOR_SQL = f"""head AS (SELECT trim(paragraph_id, {_WS}) AS p, coalesce(max(concat_ws(' ', chapter, section, subsection)), '') AS heading, coalesce(max(raw_text), '') AS raw_text FROM paragraphs GROUP BY 1), {_CAND_SQL},
+  w AS (SELECT g, m.p, query, heading, raw_text, d, code, regexp_extract_all(lower(heading), '[a-z0-9_]+') AS held, list_filter(regexp_extract_all(lower(query), '[a-z0-9_]+'), lambda x: x NOT IN {_STOP} AND x NOT IN {_GENERIC}) AS ordered, list_distinct(list_filter(regexp_extract_all(lower(query), '[a-z0-9_]+'), lambda x: x IN {_GENERIC})) AS gen,
+    array_to_string(regexp_extract_all(lower(query), '[a-z0-9_]+'), ' ') AS said FROM met m JOIN head h ON h.p = m.p),
+  one AS (SELECT *, CASE WHEN len(ordered) > 0 THEN round({_phrase_sql('ordered', 'held', "said <> '' AND contains(array_to_string(held, ' '), said)", *PHRASE_SHARES, (2,))}, 6) ELSE 0.0 END AS phrase,
+    round(least(1.0, 0.7::DOUBLE * len(list_intersect(list_distinct(ordered), held)) / greatest(len(list_distinct(ordered)), 1) + 0.15::DOUBLE * len(list_intersect(code, held)) / greatest(len(code), 1) + CASE WHEN len(list_intersect(gen, held)) >= 2 THEN 0.15::DOUBLE * len(list_intersect(gen, held)) / len(gen) ELSE 0 END), 6) AS heading_part,
+    round(least(1.0, len(list_intersect(code, held)) / greatest(least(len(code), 3), 1)), 6) AS code_part, ({' + '.join(f"contains(raw_text, '{m}')::INT" for m in ROLES.values())}) / 4 AS roles FROM w),
+  two AS (SELECT *, round(roles * CASE WHEN phrase < 0.2 AND heading_part < 0.2 THEN 0.5 ELSE 1.0 END * {_CONTENT_SQL(3, 1.0)}, 6) AS role, {_CONTENT_SQL(1, 1.0)}::DOUBLE AS normative, {_CONTENT_SQL(2, 0.0)}::DOUBLE AS hub FROM one),
+  priors AS (SELECT g AS guideline_id, p AS paragraph_id, coalesce(d, '') AS document_link, phrase, heading_part, code_part AS code, role, normative, hub,
+    CASE WHEN greatest(phrase, heading_part, code_part, role) > 0 THEN round(greatest(0.0, least(1.0, 0.3::DOUBLE * phrase + 0.2::DOUBLE * heading_part + 0.15::DOUBLE * code_part + 0.15::DOUBLE * role + 0.2::DOUBLE * normative - 0.25::DOUBLE * hub)), 6) ELSE 0.0 END AS prior_score FROM two)"""
+
+
+def _priors(spark, sf_dir) -> DataFrame:
+    c = table(spark, sf_dir, "guideline_fls_resolution_candidates", "guideline_id", "paragraph_id").select(strip("guideline_id").alias("guideline_id"), strip("paragraph_id").alias("paragraph_id")).distinct()
+    p = table(spark, sf_dir, "paragraphs", "paragraph_id", "chapter", "section", "subsection", "raw_text", "document_link").groupBy(id_or_null("paragraph_id").alias("paragraph_id")).agg(F.max(F.concat_ws(" ", "chapter", "section", "subsection")).alias("heading"), F.max("raw_text").alias("raw_text"), F.max("document_link").alias("document_link"))
+    q = title_queries(spark, sf_dir).select(F.col("query_id").alias("guideline_id"), "query")
+    rows = prior_parts(c.join(q, "guideline_id").join(p, "paragraph_id"))
+    return rows.select("guideline_id", "paragraph_id", F.coalesce("document_link", F.lit("")).alias("document_link"), "phrase", "heading_part", "code", "role", "normative", "hub", "prior_score")
+
+
+@query("prior_scores", f"WITH {_PRIOR_SQL} SELECT * FROM priors")
+def prior_scores(spark, sf_dir):
+    """The prior of every candidate and its parts."""
+    return _priors(spark, sf_dir)
+
+
+@query("prior_selection", f"""WITH {_PRIOR_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY guideline_id, document_link ORDER BY prior_score DESC, paragraph_id) AS n FROM priors)
+SELECT guideline_id, paragraph_id, document_link, prior_score, row_number() OVER (PARTITION BY guideline_id ORDER BY greatest(n, 2), prior_score DESC, paragraph_id) AS place FROM n QUALIFY place <= 5""")
+def prior_selection(spark, sf_dir):
+    """Up to five candidates a guideline by their priors, from several documents."""
+    return diversified(_priors(spark, sf_dir), "prior_score")
 
 
 #: Words that put a query into a family; the first family with one of its words holds. Fixed values.
@@ -259,7 +357,9 @@ def prompt_family(spark, sf_dir):
     return title_queries(spark, sf_dir).select("query_id", family.alias("family"), fusion.alias("fusion"))
 
 
-@query("weak_prompts")
+@query("weak_prompts", f"""WITH {_CASES_SQL}, ls AS (SELECT n.query_id, {', '.join(f'greatest(0.0, coalesce(t.{c}, n.{c}) - n.{c}) AS {x}' for x, c in (('p', 'precision'), ('n', 'ndcg'), ('m', 'mrr')))} FROM m n LEFT JOIN m t ON t.query_id = n.query_id AND t.mode = 'cosine' WHERE n.mode = 'reranked'),
+  sc AS (SELECT *, {', '.join(f'CASE WHEN max({x}) OVER () <= 1e-12 THEN 0.0 ELSE {x} / max({x}) OVER () END AS s{x}' for x in 'pnm')} FROM ls)
+SELECT query_id, p, n, m, round(0.45::DOUBLE * sp + 0.35::DOUBLE * sn + 0.2::DOUBLE * sm, 6) AS risk FROM sc ORDER BY risk DESC, p DESC, query_id LIMIT 10""")
 def weak_prompts(spark, sf_dir):
     """The ten queries that lost most between two runs, by a weighed sum of scaled losses."""
     cases = materialize(_cases(spark, sf_dir))

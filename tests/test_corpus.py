@@ -2,7 +2,6 @@
 
 import random
 
-import pandas as pd
 import pytest
 
 from quarryline.functions import text as t
@@ -126,9 +125,28 @@ def test_stages(spark):
     assert got == {"g": ("section", "p2", "accepted"), "h": ("global", "p3", "review"), "i": ("global", "p5", "none")}
 
 
-def test_diversified():
-    rows = pd.DataFrame({"guideline_id": "g", "paragraph_id": list("abcdef"), "document_link": ["d"] * 4 + ["e", "f"], "total": [6, 5, 4, 3, 2, 1]})
-    assert list(res.diversified(rows).paragraph_id) == ["a", "b", "e", "f", "c"]
+def greedy(rows, take=5, cap=2):
+    """From the best on, one by one, the cap raised whenever nothing fits."""
+    left, out, used = sorted(rows, key=lambda r: (-r[3], r[1])), [], {}
+    while left and len(out) < take:
+        fit = next((r for r in left if used.get(r[2], 0) < cap), None)
+        if fit is None:
+            cap += 1
+            continue
+        left.remove(fit)
+        out.append(fit[1])
+        used[fit[2]] = used.get(fit[2], 0) + 1
+    return out
+
+
+def test_diversified(spark):
+    rng = random.Random(2)
+    rows = [("g", k, d, float(t)) for k, d, t in zip("abcdef", ["d"] * 4 + ["e", "f"], range(6, 0, -1), strict=True)]
+    rows += [(f"r{i}", f"p{k}", rng.choice("xyz"), float(rng.randrange(4))) for i in range(30) for k in range(rng.randrange(1, 9))]
+    got = {}
+    for r in res.diversified(spark.createDataFrame(rows, "guideline_id string, paragraph_id string, document_link string, total double")).orderBy("place").collect():
+        got.setdefault(r.guideline_id, []).append(r.paragraph_id)
+    assert got["g"] == ["a", "b", "e", "f", "c"] and got == {g: greedy([r for r in rows if r[0] == g]) for g in {r[0] for r in rows}}
 
 
 def test_merge_modes(spark):
