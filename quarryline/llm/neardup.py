@@ -8,7 +8,7 @@ value (1). With fixed radii the integer pigeonhole bound would need sum(threshol
 allocates them at the least estimated number of signatures and candidates such that a pair exactly at the threshold is missed with a
 chance of at most ``miss``. Candidates are probed by signature, thinned by a bit sketch and verified exactly on their sets.
 
-Nothing is broadcast here: signatures are many times the texts, which the planner's estimates don't know, so every join is hinted to be a merge.
+No text, set or signature is broadcast here: signatures are many times the texts, which the planner's estimates don't know, so every join is hinted to be a merge.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.functions.cleaning import id_or_null
-from quarryline.plans.stages import materialize, table
+from quarryline.plans.stages import bounded, materialize, table
 
 #: The least similarity of a pair, as a fraction; its values are compared in whole numbers.
 SIMILAR = (6, 10)
@@ -37,6 +37,8 @@ FIT_ROWS = 4096
 SKETCH_BITS, SKETCH_OF, SKETCH_MOST = 2, 128, 63
 #: What probing one signature and one candidate cost, in the same unit.
 SIGNATURE_COST, CANDIDATE_COST = 1.0, 0.2
+#: Sets of one signature beyond which they are first compared with one of them only, where groups are wanted.
+HOT_SIGNATURE = 1000
 #: Copies of one text, letter by letter, up to which they are spelled out pair by pair; of more, each is linked to the first copy.
 SPELL_OUT = 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -304,9 +306,13 @@ def similar_sets(members: DataFrame, sets: DataFrame, miss: float = MISS) -> Dat
     execution cuts on either side. All pairs are given, so a template of n reworked texts has up to n * n / 2 rows here; groups_of has one row a text.
     """
     firsts = first_sets(sets)
-    sigs = candidate_signatures(firsts, fit_plans(members, sets, miss))
+    return verified(_paired(candidate_signatures(firsts, fit_plans(members, sets, miss))), firsts)
+
+
+def _paired(sigs: DataFrame) -> DataFrame:
+    """(a, b): all two ids that share a signature and may be similar, a before b."""
     near = _merged(sigs.alias("x"), sigs.alias("y"), F.col("x.sig") == F.col("y.sig")).where((F.col("x.id") < F.col("y.id")) & _near("x", "y"))
-    return verified(near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), firsts)
+    return near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
 def classes_of(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -363,22 +369,29 @@ def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return _merged(nodes, labels, "id", "left").select("field_name", "id", F.coalesce("group", "id").alias("group"))
 
 
-def groups_of(members: DataFrame, sets: DataFrame, miss: float = MISS) -> DataFrame:
+def groups_of(members: DataFrame, sets: DataFrame, miss: float = MISS, hot: int = HOT_SIGNATURE) -> DataFrame:
     """(field_name, id, group): the connected group of every set, without ever pairing all sets of a template with one another.
 
-    First each set is compared with the least set of each of its signatures only: at most one candidate a signature. What these links connect is
-    one group already, and its sets need no further comparison. Then every two sets that share a signature but not a group are compared, which
+    Signatures of at most ``hot`` sets give all their pairs. In those of more, each set is compared with the least one only, at first: at most one candidate a signature. What all these links connect is
+    one group already, and its sets need no further comparison. Then every two sets that share a hot signature but not a group are compared, which
     gives the same groups as all pairs do: a pair left out lies inside a group.
     """
-    plans, firsts = fit_plans(members, sets, miss), first_sets(sets)
+    firsts = first_sets(sets)
+    plans = fit_plans(members, sets, miss)
     sigs = candidate_signatures(firsts, plans)
-    heads = sigs.groupBy("sig").agg(F.min(F.struct("id", "n", *_SKETCH)).alias("h"), F.count("*").alias("held")).where("held > 1").select("sig", "h.*")
-    near = _merged(sigs.alias("y"), heads.alias("x"), F.col("x.sig") == F.col("y.sig")).where((F.col("x.id") < F.col("y.id")) & _near("x", "y"))
-    links = materialize(verified(near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), firsts))
+    many = materialize(sigs.groupBy("sig").agg(F.count("*").alias("held")).where(F.col("held") > hot).select("sig"))
+    if many.isEmpty():
+        return connected(members, materialize(verified(_paired(sigs), firsts)))
+    many = bounded(many, 50)  # one row for more than ``hot`` signatures
+    warm = materialize(sigs.join(many, "sig", "left_semi"))
+    heads = materialize(warm.groupBy("sig").agg(F.min(F.struct("id", "n", *_SKETCH)).alias("h")).select("sig", "h.*"))
+    near = _merged(warm.alias("y"), heads.alias("x"), F.col("x.sig") == F.col("y.sig")).where((F.col("x.id") < F.col("y.id")) & _near("x", "y"))
+    pairs = _paired(sigs.join(many, "sig", "left_anti")).unionByName(near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+    links = materialize(verified(pairs, firsts))
     grouped = connected(members, links).select("id", F.xxhash64("group").alias("label"))
-    sigs = materialize(candidate_signatures(_merged(firsts, grouped, "id"), plans, "label"))
-    mixed = sigs.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-    rows = _merged(sigs, mixed, "sig", "left_semi")
+    rows = materialize(_merged(warm, grouped, "id"))
+    mixed = rows.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
+    rows = materialize(_merged(rows, mixed, "sig", "left_semi"))
     cells = rows.select("sig", "label").distinct()
     two = _merged(cells.alias("x"), cells.alias("y"), F.col("x.sig") == F.col("y.sig")).where("x.label < y.label").select("x.sig", F.col("x.label").alias("one"), F.col("y.label").alias("two"))
     met = _merged(two.alias("t"), rows.alias("x"), (F.col("t.sig") == F.col("x.sig")) & (F.col("t.one") == F.col("x.label"))).select(F.struct("t.*").alias("t"), F.struct("x.*").alias("x"))

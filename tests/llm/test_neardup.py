@@ -82,7 +82,7 @@ def test_groups(spark):
     step = lambda k: " ".join(base[k:] + [f"x{j}" for j in range(k)])
     texts = [("content", f"c{k}", step(k * 10)) for k in range(6)] + [("content", "far", " ".join(f"q{i}" for i in range(50)))]
     members, sets = n.classes_of(spark.createDataFrame(texts, "field_name string, key string, text string"))
-    for grouped in (n.connected(members, n.similar_sets(members, sets)), n.groups_of(members, sets)):
+    for grouped in (n.connected(members, n.similar_sets(members, sets)), n.groups_of(members, sets), n.groups_of(members, sets, hot=1)):
         groups = {}
         for r in members.join(grouped, ["field_name", "id"]).collect():
             groups.setdefault(bytes(r.group), set()).add(r.key)
@@ -132,7 +132,7 @@ def test_a_template_has_one_group_and_few_candidates(spark):
     odd = texts[7][2].split()[:100] + [f"odd{i}" for i in range(12)]
     texts += [("content", "u0", " ".join(odd)), ("content", "far", " ".join(f"q{i}" for i in range(60)))]
     members, sets = n.classes_of(spark.createDataFrame(texts, "field_name string, key string, text string"))
-    rows = members.join(n.groups_of(members, sets), ["field_name", "id"]).collect()
+    rows = members.join(n.groups_of(members, sets, hot=500), ["field_name", "id"]).collect()
     groups = {}
     for r in rows:
         groups.setdefault(bytes(r.group), set()).add(r.key)
