@@ -56,6 +56,64 @@ class VersionedTable:
         return older[-1]
 
 
+class MergedTable:
+    """A table in buckets of its keys' hash, of which a merge writes only those that it touches (K1, K2, K3, K5).
+
+    A version is a list of the folders of all buckets; the pointer to it is replaced in one rename when its new folders are complete. Untouched buckets keep theirs,
+    so a merge costs what it touches and not what the table holds. Earlier versions can be gone back to.
+    """
+
+    def __init__(self, root: object, keys: list[str], buckets: int = 64) -> None:
+        self.folder, self.keys, self.buckets = Folder(root), keys, buckets
+
+    def current(self) -> str | None:
+        return self.folder.read("CURRENT").strip() if self.folder.exists("CURRENT") else None
+
+    def _held(self) -> dict[str, str]:
+        return json.loads(self.folder.read(self.current())) if self.current() else {}
+
+    def _rows(self, spark: SparkSession, schema: Any, names: list[str]) -> DataFrame:
+        """The rows of the folders, or none."""
+        return spark.read.schema(schema).parquet(*[self.folder.path(n) for n in names]) if names else spark.createDataFrame([], schema)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        held = self._held()
+        if not held:
+            raise FileNotFoundError(f"{self.folder.root} has no version")
+        return spark.read.parquet(*[self.folder.path(n) for n in sorted(set(held.values()))])
+
+    def merge(self, incoming: DataFrame, gone: DataFrame | None = None) -> str | None:
+        """Puts incoming rows, their keys unique, in the place of those with the same keys, takes away those whose keys are in ``gone``, and gives the new version's name, or None if nothing is touched.
+
+        A key in both is kept as it comes in. incoming has the table's columns, in any order.
+        """
+        spark, schema = incoming.sparkSession, incoming.schema
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("_bucket")
+        keys = incoming.select(*self.keys) if gone is None else incoming.select(*self.keys).unionByName(gone.select(*self.keys)).distinct()
+        touched = [str(r[0]) for r in keys.select(bucket).distinct().collect()]  # at most ``buckets``
+        if not touched:
+            return None
+        held = self._held()
+        old = self._rows(spark, schema, [held[b] for b in touched if b in held]).join(keys, self.keys, "left_anti")
+        number = len([n for n in self.folder.names() if n.startswith("manifest-")]) + 1
+        version = f"manifest-{number:06d}.json"
+        written = f"v{number:06d}"
+        incoming.unionByName(old).select("*", bucket).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(self.folder.path(written))
+        full = {n.removeprefix("_bucket=") for n in Folder(self.folder.path(written)).names() if n.startswith("_bucket=")}
+        held = {b: n for b, n in held.items() if b not in touched} | {b: f"{written}/_bucket={b}" for b in touched if b in full}
+        self.folder.replace(version, json.dumps(held, sort_keys=True))
+        self.folder.replace("CURRENT", version)
+        return version
+
+    def roll_back(self) -> str:
+        """Points to the version before the current one."""
+        older = [n for n in self.folder.names() if n.startswith("manifest-") and n < (self.current() or "")]
+        if not older:
+            raise ValueError("there is no older version")
+        self.folder.replace("CURRENT", older[-1])
+        return older[-1]
+
+
 def write_vectors(df: DataFrame, path: str) -> None:
     """Appends (id, model, version, text_sha256, vector) with the vector's norm, only the keys that aren't there yet (K9)."""
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))

@@ -9,26 +9,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarryline.operators.relational import full_outer_delta
-from quarryline.sources.sinks import VersionedTable
+from quarryline.sources.sinks import MergedTable
 
 
-def refresh_documents(stream: DataFrame, target: VersionedTable, key: str, digest: str, checkpoint: str, on_delta: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Keeps a versioned table current with a stream of whole documents (R31): of a batch's rows of one key the last by digest counts.
+def refresh_documents(stream: DataFrame, target: MergedTable, digest: str, checkpoint: str, on_delta: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """Keeps a table current with a stream of whole documents (R31): of a batch's rows of one key the last by digest counts.
 
-    A batch that changes nothing writes no version, so that a batch run again after a failure leaves the table as it is.
+    A batch writes only the buckets that it changes; one that changes nothing writes no version, so that a batch run again after a failure leaves the table as it is.
     """
+    keys = target.keys
 
     def apply(batch: DataFrame, number: int) -> None:
-        incoming = batch.groupBy(key).agg(F.max(F.struct(digest, *[c for c in batch.columns if c not in (key, digest)])).alias("_r")).select(key, "_r.*").select(*batch.columns)
-        if target.current() is None:
-            target.write(incoming)
-            return
-        delta = full_outer_delta(target.read(batch.sparkSession).join(incoming.select(key), key, "left_semi"), incoming, [key], [digest])
-        if on_delta is not None:
-            on_delta(delta, number)
-        changed = incoming.join(delta.where("delta IN ('added', 'updated')").select(key), key, "left_semi")
-        if not changed.isEmpty():
-            target.upsert(changed, [key])
+        rest = [c for c in batch.columns if c not in (*keys, digest)]
+        incoming = batch.groupBy(*keys).agg(F.max(F.struct(digest, *rest)).alias("_r")).select(*keys, "_r.*").select(*batch.columns)
+        changed = incoming
+        if target.current() is not None:
+            delta = full_outer_delta(target.read(batch.sparkSession).join(incoming.select(*keys), keys, "left_semi"), incoming, keys, [digest])
+            if on_delta is not None:
+                on_delta(delta, number)
+            changed = incoming.join(delta.where("delta IN ('added', 'updated')").select(*keys), keys, "left_semi")
+        target.merge(changed)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

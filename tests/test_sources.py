@@ -85,6 +85,24 @@ def test_versions(spark, tmp_path, scheme):
     assert t.current() == "v000002" and t.roll_back() == "v000001" and t.read(spark).count() == 2
 
 
+def test_merges_write_what_they_touch(spark, tmp_path):
+    t = sinks.MergedTable(f"file://{tmp_path}/m", ["k"], 8)
+    df = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    with pytest.raises(FileNotFoundError):
+        t.read(spark)
+    assert t.merge(df([])) is None and t.merge(df([(i, "old") for i in range(100)])) == "manifest-000001.json"
+    first = t._held()
+    assert len(first) == 8 and t.merge(df([(7, "new"), (200, "new")]), gone=df([(8, ""), (999, "")])) == "manifest-000002.json"
+    second = t._held()
+    changed = {b for b in second if second[b] != first.get(b)}
+    assert 1 <= len(changed) <= 4 and {b: second[b] for b in first if b not in changed} == {b: n for b, n in first.items() if b not in changed}
+    got = {r.k: r.v for r in t.read(spark).collect()}
+    assert len(got) == 100 and got[7] == got[200] == "new" and 8 not in got and got[9] == "old"
+    assert t.roll_back() == "manifest-000001.json" and {r.v for r in t.read(spark).collect()} == {"old"}
+    with pytest.raises(ValueError):
+        t.roll_back()
+
+
 def test_other_sinks(spark, tmp_path):
     v = spark.createDataFrame([("a", "m", "1", "h", [3.0, 4.0])] * 2, "id string, model string, version string, text_sha256 string, vector array<float>")
     sinks.write_vectors(v, str(tmp_path / "v"))
@@ -102,12 +120,12 @@ def test_other_sinks(spark, tmp_path):
 
 
 def test_streams(spark, tmp_path):
-    inbox, target = tmp_path / "in", sinks.VersionedTable(tmp_path / "t")
+    inbox, target = tmp_path / "in", sinks.MergedTable(tmp_path / "t", ["k"], 4)
     schema = "k int, h string, text string"
 
     def arrive(*rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(inbox))
-        refresh_documents(spark.readStream.schema(schema).json(str(inbox)), target, "k", "h", str(tmp_path / "c")).awaitTermination(120)
+        refresh_documents(spark.readStream.schema(schema).json(str(inbox)), target, "h", str(tmp_path / "c")).awaitTermination(120)
 
     arrive((1, "x", "one"), (2, "y", "two"))
     arrive((2, "z", "TWO"), (3, "w", "three"))
