@@ -216,7 +216,7 @@ def semantic_rows(pairs: DataFrame, keep: DataFrame | None = None) -> DataFrame:
     w = Window.partitionBy("query_id")
     inside = F.col("p") <= WINDOW
     if keep is not None:
-        pool = pool.where(inside)
+        pool = materialize(pool.where(inside))
     held = F.when(inside, F.col("c"))
     low, high = F.min(held).over(w), F.max(held).over(w)
     rows = pool.withColumn("reranker", F.when(inside, F.round(F.when(high - low < 1e-12, 1.0).otherwise((F.col("c") - low) / (high - low)), 6)).otherwise(0.0))
@@ -224,7 +224,7 @@ def semantic_rows(pairs: DataFrame, keep: DataFrame | None = None) -> DataFrame:
     rows = _ranked(rows.select("query_id", "id", "semantic", "reranker", relevance), F.desc("relevance"), F.desc("reranker"), F.asc("id"))
     if keep is None:
         return rows
-    rest = scaled.join(keep.select("query_id", "id"), ["query_id", "id"], "left_semi").join(pool.select("query_id", "id"), ["query_id", "id"], "left_anti").withColumn("reranker", F.lit(0.0))
+    rest = scaled.join(bounded(keep.select("query_id", "id"), 50), ["query_id", "id"], "left_semi").join(pool.select("query_id", "id"), ["query_id", "id"], "left_anti").withColumn("reranker", F.lit(0.0))
     rest = _ranked(rest.select("query_id", "id", "semantic", "reranker", relevance), F.desc("semantic"), F.asc("id"))
     return rows.unionByName(rest.withColumn("rank", F.col("rank") + WINDOW))
 
