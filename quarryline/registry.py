@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from quarryline.operators import corpus, evaluation, history, nested, references, relational, resolution, retrieval, rules, snapshots  # noqa: F401
+from quarryline.operators import corpus, evaluation, history, nested, pipeline, references, relational, resolution, retrieval, rules, snapshots  # noqa: F401
 from quarryline.plans import catalog, problem_oracles
 
 FLAGSHIP = "p4_found"
