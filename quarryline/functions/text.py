@@ -79,13 +79,17 @@ def fenced_blocks(text: Column | str) -> Column:
     return F.filter(F.transform(F.flatten(parts), lambda b: F.btrim(b, F.lit(" \t\r\n"))), lambda b: b != "")
 
 
+#: The root that topics leave out, and the page that stands for its folder. Fixed values.
+TOPIC_ROOT, TOPIC_INDEX = "^coding-guidelines/", "/index$"
+
+
 def topic(docname: Column | str, category: Column | str) -> Column:
     """A document's name as a topic (F12): its path in lower case without the common root and a closing index, each step cut down to letters, digits, _ and -.
 
     A document without a name has its category's, cut down in the same way, or else general.
     """
     low = lambda c: F.lower(F.trim(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))))
-    name = F.btrim(F.regexp_replace(F.btrim(F.regexp_replace(F.translate(low(docname), "\\", "/"), "^coding-guidelines/", ""), F.lit("/")), "/index$", ""), F.lit("/"))
+    name = F.btrim(F.regexp_replace(F.btrim(F.regexp_replace(F.translate(low(docname), "\\", "/"), TOPIC_ROOT, ""), F.lit("/")), TOPIC_INDEX, ""), F.lit("/"))
     steps = F.transform(F.split(name, "/"), lambda s: F.coalesce(F.nullif(F.btrim(F.regexp_replace(s, "[^a-z0-9_-]+", "-"), F.lit("-")), F.lit("")), F.lit("misc")))
     other = F.coalesce(F.nullif(low(category), F.lit("")), F.lit("general"))
     other = F.coalesce(F.nullif(F.btrim(F.regexp_replace(other, "[^a-z0-9/_-]+", "-"), F.lit("-/")), F.lit("")), F.lit("general"))
