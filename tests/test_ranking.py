@@ -1,4 +1,43 @@
-"""Rewriting in one pass."""
+"""Rankings over more units than the former limit of candidates, on odd units and titles, against their SQL; and that no pair is written."""
+
+import duckdb
+import pytest
+
+from quarryline.operators import ranking
+from quarryline.operators import retrieval as r
+from quarryline.plans.rewrite import rewrite
+from quarryline.registry import oracle_sql, queries
+from tests.conftest import plain, rows_of
+
+ROWS = 5_300
+TITLES = ["common words of item_3", "common", "what is the", "the", "zzz yyy", "heading", "only_joined", "Common w17 w3", "", None, "w1 w2 w3 w4 w5 w6 w7", "mmon wor"]
+RANKINGS = [
+    "fuse_rrf_histogram",
+]
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    at = tmp_path_factory.mktemp("ranking")
+    c = duckdb.connect()
+    c.execute(f"""CREATE TABLE chunks AS SELECT 'u' || i AS chunk_uid, CASE WHEN i % 3 = 0 THEN NULL WHEN i % 7 = 0 THEN 'heading' ELSE 's' || i % 40 END AS section_id,
+      CASE WHEN i % 11 = 0 THEN '' ELSE 'Common words of item_' || i % 5 || ' w' || i % 23 || ' w' || i % 7 || repeat(' x' || i % 13 || ' y' || i % 29, 1 + i % 4) || CASE WHEN i = 17 THEN ' only_joined' ELSE '' END END AS clean_text FROM range({ROWS}) t(i)""")
+    c.execute("CREATE TABLE guideline_records (guideline_id VARCHAR, title VARCHAR)")
+    c.executemany("INSERT INTO guideline_records VALUES (?, ?)", [(f"g{i}", t) for i, t in enumerate(TITLES)])
+    c.execute("CREATE TABLE paragraphs AS SELECT 'p' || i AS paragraph_id, 'chapter' || i % 3 AS chapter, 'common words w' || i % 23 || ' y' || i % 29 AS clean_text, 'd' AS document_link, 's' AS section_link FROM range(60) t(i)")
+    c.execute("CREATE TABLE guideline_fls_source_mappings AS SELECT 'g' || i AS guideline_id, 'p' || i AS raw_fls_id FROM range(9) t(i)")
+    for name in ("chunks", "guideline_records", "paragraphs", "guideline_fls_source_mappings"):
+        c.execute(f"COPY {name} TO '{at}/{name}.parquet'")
+    return str(at), c
+
+
+@pytest.mark.parametrize("name", RANKINGS)
+def test_no_unit_is_left_out(name, spark, folder):
+    df = queries()[name](spark, folder[0])
+    result = folder[1].execute(oracle_sql()[name])
+    names = [x[0] for x in result.description]
+    at = [names.index(n) for n in sorted(names)]
+    assert rows_of(df) == sorted(tuple(plain(x[i]) for i in at) for x in result.fetchall())
 
 
 def plan_of(df):
@@ -7,10 +46,20 @@ def plan_of(df):
 
 def test_queries_are_rewritten_where_they_are(spark):
     q = spark.createDataFrame([("q", "The must item", "a", "semantic")], "query_id string, query string, marker string, mode string")
-    from quarryline.plans.rewrite import rewrite
-
     df = rewrite(q, {"token_expansions": {"must": ["shall", "item"]}, "suppress_tokens_when_present": {"the": ["must"]}, "row_marker_terms": {"a": ["alpha"]}, "mode_specific_rules": {"semantic": {"t": {"item": ["entry"]}, "semantic_intent_prefix": "intent"}}})
     assert "Exchange" not in plan_of(df) and "Join" not in plan_of(df)
     row = df.first()
     assert (row.rewritten, row.added) == ("intent must item shall alpha entry", ["shall", "alpha", "entry"])
     assert row.tags == ["rewrite-v1", "token-suppression", "token-expansion", "row-marker-terms", "mode-specific-token-expansion", "semantic-intent-prefix"]
+
+
+def test_a_limit_keeps_the_best_by_bm25(spark):
+    units = spark.createDataFrame([("a", "", "pool pool"), ("b", "", "pool of threads in a longer text"), ("c", "", "pool")], "id string, heading string, text string")
+    q = spark.createDataFrame([("q", "pool")], "query_id string, query string")
+    best = {x.id for x in r.scored_pairs(q, units, 2).collect()}
+    got = r.ranked_by(q, units, "query_id string, id string, rank int", lambda ix, x: (x.unit, x.lex_rank), limit=2).collect()
+    assert {x.id for x in got} == best and len(best) == 2
+
+
+def test_rounding():
+    assert ranking.rounded(ranking.np.array([0.1234565, -2.5e-6, 0.0, 1e-7])).tolist() == [0.123457, -3e-06, 0.0, 0.0]
