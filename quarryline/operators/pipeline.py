@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.operators import ranking
 from quarryline.operators.models import model_scores
 from quarryline.operators.resolution import FAMILIES, prompt_family
-from quarryline.operators.retrieval import _RRF_SQL, _WS, RELEVANCE_SHARES, TOP_K, WEIGHTS, _ranked, chunk_units, fuse_rrf, fuse_weighted, hybrid, lexical_floor_pool, lexical_rows, numbered, rerank_members, rerank_pool, scored_pairs, semantic_rows, title_queries
+from quarryline.operators.retrieval import _RRF_SQL, _WS, RELEVANCE_SHARES, TOP_K, WEIGHTS, _ranked, chunk_units, fuse_rrf, fuse_weighted, hybrid, lexical_floor_pool, lexical_rows, numbered, ranked_by, rerank_members, rerank_pool, scored_pairs, semantic_rows, title_queries
 from quarryline.plans.catalog import query
 from quarryline.plans.rewrite import rewrite
 from quarryline.plans.stages import materialize
@@ -45,7 +48,10 @@ def retrieve(queries: DataFrame, units: DataFrame, config: RetrievalConfig | Non
         marked = queries if "marker" in queries.columns else queries.withColumn("marker", F.lit(""))
         rewritten = rewrite(marked.select("query_id", "query", "marker", F.lit(mode).alias("mode")), rules)
         queries = rewritten.select("query_id", F.col("rewritten").alias("query"))
-    queries, query_names = numbered(queries.select("query_id", F.coalesce("query", F.lit("")).alias("query")), "query_id")
+    queries = queries.select("query_id", F.coalesce("query", F.lit("")).alias("query"))
+    if scorer is None:
+        return _at_once(queries, units, config, mode, routing)
+    queries, query_names = numbered(queries, "query_id")
     units, unit_names = numbered(units.select("id", "heading", "text"), "id")
     pairs = scored_pairs(queries, units, config.candidate_limit)
     lexical = materialize(lexical_rows(pairs, queries, units))
@@ -56,15 +62,13 @@ def retrieve(queries: DataFrame, units: DataFrame, config: RetrievalConfig | Non
     else:
         semantic = materialize(semantic_rows(pairs, lexical))
         merged = hybrid(lexical, semantic)
-        if scorer is not None:
-            pool = materialize(_pool(lexical, semantic, config))
-            asked = pool.select("query_id", "id").join(queries, "query_id").join(units.select("id", "text"), "id")
-            scored = materialize(model_scores(asked, scorer))
-            degraded = scored.where("degraded").select("query_id").distinct()
-            merged = materialize(rerank_members(merged, pool, scored.select("query_id", "id", F.col("score").alias("c"))))
+        pool = materialize(_pool(lexical, semantic, config))
+        asked = pool.select("query_id", "id").join(queries, "query_id").join(units.select("id", "text"), "id")
+        scored = materialize(model_scores(asked, scorer))
+        degraded = scored.where("degraded").select("query_id").distinct()
+        merged = materialize(rerank_members(merged, pool, scored.select("query_id", "id", F.col("score").alias("c"))))
         if mode == "semantic":
-            found = merged.where(F.col("sem_rank") > 0)
-            found = found if scorer is None else _by_relevance(found)
+            found = _by_relevance(merged.where(F.col("sem_rank") > 0))
             rows = told(found.select("query_id", "id", F.col("sem_rank").alias("rank")), mode)
         elif routing is None:
             rows = _fused(merged, config.fusion, config)
@@ -80,6 +84,30 @@ def retrieve(queries: DataFrame, units: DataFrame, config: RetrievalConfig | Non
     return rows.join(unit_names, "id").select("query_id", F.col("_name").alias("id"), "rank", "fusion", "degraded")
 
 
+def _at_once(queries: DataFrame, units: DataFrame, config: RetrievalConfig, mode: str, routing: DataFrame | None) -> DataFrame:
+    """The same without a model: each query's lists are made and cut in one task."""
+    ways = {f"weighted-{v}": w for v, w in WEIGHTS.items()}
+
+    def answer(ix, x, way):
+        if mode != "hybrid":
+            rank = x.lex_rank if mode == "lexical" else x.sem_rank
+            found = np.flatnonzero((rank > 0) & (rank <= config.top_k))
+            top = found[np.argsort(rank[found])]
+        elif way == "rrf-v1":
+            top = ranking.reciprocal(x, config.rrf_k, config.window)[2][: config.top_k]
+        else:
+            top = ranking.weighted_top(x, ways[way], config.top_k)[0] if way in ways else np.empty(0, np.int64)
+        return x.unit[top], np.arange(1, len(top) + 1), np.full(len(top), way)
+
+    way = F.lit(mode if mode != "hybrid" else config.fusion)
+    if mode == "hybrid" and routing is not None:
+        queries = queries.join(routing.groupBy("query_id").agg(F.max("fusion").alias("way")), "query_id", "left")
+        way = F.coalesce("way", way)
+    name, unit = queries.schema["query_id"].dataType.simpleString(), units.schema["id"].dataType.simpleString()
+    rows = ranked_by(queries.withColumn("way", way), units.select("id", "heading", "text"), f"query_id {name}, id {unit}, rank int, fusion string", answer, ("way",), config.candidate_limit, max(config.window, config.top_k))
+    return rows.withColumn("degraded", F.lit(False))
+
+
 def _by_relevance(merged: DataFrame) -> DataFrame:
     """Semantic rows ranked anew by the reranker's scores."""
     relevance = F.round(RELEVANCE_SHARES[0] * F.col("semantic") + RELEVANCE_SHARES[1] * F.col("reranker"), 6)
@@ -94,4 +122,5 @@ _A, _B, _C = WEIGHTS["v2"]
 SELECT w.query_id, w.id, w.rank, fusion, false AS degraded FROM w JOIN way USING (query_id) WHERE fusion = 'weighted-v2' AND w.rank <= {TOP_K} UNION ALL SELECT r.query_id, r.id, r.rank, fusion, false FROM rrf r JOIN way USING (query_id) WHERE fusion = 'rrf-v1' AND r.rank <= {TOP_K}""")
 def retrieve_routed(spark, sf_dir):
     """The ten best units of every title, fused in the way of its family."""
-    return retrieve(title_queries(spark, sf_dir), chunk_units(spark, sf_dir), resolve_config({"fusion": "rrf-v1"}), routing=prompt_family(spark, sf_dir).select("query_id", "fusion"))
+    config = dataclasses.replace(resolve_config({"fusion": "rrf-v1"}), candidate_limit=None)
+    return retrieve(title_queries(spark, sf_dir), chunk_units(spark, sf_dir), config, routing=prompt_family(spark, sf_dir).select("query_id", "fusion"))

@@ -10,7 +10,7 @@ from typing import Any
 @dataclass(frozen=True)
 class RetrievalConfig:
     top_k: int = 10
-    candidate_limit: int = 5000
+    candidate_limit: int | None = 5000
     fusion: str = "weighted-v1"
     rrf_k: int = 60
     rrf_window: int = 0
