@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.cleaning import id_or_null, strip
 from quarryline.functions.text import STOPWORDS, jaccard, ngrams, ordered_coverage, raw_tokens, singular, tokens
+from quarryline.operators.ranking import most_shared
 from quarryline.operators.references import link_target
 from quarryline.operators.relational import full_outer_delta
 from quarryline.operators.retrieval import _CASES_SQL, _cases, title_queries
@@ -33,13 +34,11 @@ def _paragraphs(spark, sf_dir) -> DataFrame:
 
 
 def nearest_by_overlap(queries: DataFrame, units: DataFrame, k: int = 5) -> DataFrame:
-    """(query_id, id, overlap, place): the k units that share most tokens with each query, by a join on tokens.
+    """(query_id, id, overlap, place): the k units that share most tokens with each query.
 
-    queries: (query_id, tokens), units: (id, tokens), both without repeats. Nothing is paired that shares no token.
+    queries: (query_id, tokens), units: (id, tokens), both without repeats. Nothing is paired that shares no token; every task holds the units of each token that is asked for, and no pair is written.
     """
-    shared = queries.select("query_id", F.explode("tokens").alias("t")).join(units.select("id", F.explode("tokens").alias("t")), "t").groupBy("query_id", "id").agg(F.count("*").alias("overlap"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("overlap"), "id")
-    return shared.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+    return most_shared(queries, units, k)
 
 
 _LONG = "list_filter(list_distinct(regexp_extract_all(lower({t}), '[a-z0-9_]+')), lambda x: length(x) >= 4 AND x NOT IN ('available', 'does', 'feature', 'features', 'kinds', 'language', 'programming', 'rust', 'support', 'supports', 'techniques', 'that', 'what', 'when', 'where', 'which', 'with'))"
@@ -60,7 +59,7 @@ def mapping_audit(spark, sf_dir):
     """Mappings told apart by how their paragraph compares with the nearest ones."""
     q = title_queries(spark, sf_dir).select("query_id", long_tokens("query").alias("tokens"))
     p = _paragraphs(spark, sf_dir).select(F.col("paragraph_id").alias("id"), long_tokens("text").alias("own_tokens"))
-    best = nearest_by_overlap(q, p.withColumnRenamed("own_tokens", "tokens")).groupBy("query_id").agg(F.max("overlap").alias("best"))
+    best = nearest_by_overlap(q, p.withColumnRenamed("own_tokens", "tokens"), 1).select("query_id", F.col("overlap").alias("best"))
     m = table(spark, sf_dir, "guideline_fls_source_mappings", "guideline_id", "raw_fls_id").groupBy(strip("guideline_id").alias("query_id")).agg(F.max(link_target("raw_fls_id")).alias("id"))
     x = q.join(m, "query_id").join(p, "id", "left").join(best, "query_id", "left").select("query_id", F.col("own_tokens").isNotNull().alias("present"), F.coalesce(F.size(F.array_intersect("tokens", "own_tokens")), F.lit(0)).alias("own"), F.coalesce("best", F.lit(0)).alias("best"))
     own, top = F.col("own"), F.col("best")

@@ -44,6 +44,15 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["nearest_by_overlap"])
+def test_overlaps_are_counted_in_the_task(name, spark, folder):
+    df = queries()[name](spark, folder[0])
+    result = folder[1].execute(oracle_sql()[name])
+    names = [x[0] for x in result.description]
+    assert rows_of(df) == sorted(tuple(plain(x[names.index(n)]) for n in sorted(names)) for x in result.fetchall())
+    assert "MapInArrow" in plan_of(df) and "Generate" not in plan_of(df)
+
+
 def test_queries_are_rewritten_where_they_are(spark):
     q = spark.createDataFrame([("q", "The must item", "a", "semantic")], "query_id string, query string, marker string, mode string")
     df = rewrite(q, {"token_expansions": {"must": ["shall", "item"]}, "suppress_tokens_when_present": {"the": ["must"]}, "row_marker_terms": {"a": ["alpha"]}, "mode_specific_rules": {"semantic": {"t": {"item": ["entry"]}, "semantic_intent_prefix": "intent"}}})
