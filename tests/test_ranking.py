@@ -44,7 +44,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["nearest_by_overlap"])
+@pytest.mark.parametrize("name", ["nearest_by_overlap", "mapping_audit"])
 def test_overlaps_are_counted_in_the_task(name, spark, folder):
     df = queries()[name](spark, folder[0])
     result = folder[1].execute(oracle_sql()[name])
