@@ -12,7 +12,8 @@ from tests.conftest import plain, rows_of
 ROWS = 5_300
 TITLES = ["common words of item_3", "common", "what is the", "the", "zzz yyy", "heading", "only_joined", "Common w17 w3", "", None, "w1 w2 w3 w4 w5 w6 w7", "mmon wor"]
 RANKINGS = [
-    "abstain_decision", "fuse_rrf", "fuse_rrf_histogram", "fuse_weighted_v1", "fuse_weighted_v2", "fuse_writer_anchor_cap", "pool_lexical_floor", "pool_lexical_floor_reranked", "pool_lexical_floor_window", "pool_v2", "pool_v2_reranked", "pool_v2_window", "projection_case_metrics", "projection_summary", "retrieve_routed",
+    "abstain_decision", "fuse_rrf", "fuse_rrf_histogram", "fuse_weighted_v1", "fuse_weighted_v2", "fuse_writer_anchor_cap", "pool_lexical_floor", "pool_lexical_floor_reranked", "pool_lexical_floor_window",
+    "pool_v2", "pool_v2_reranked", "pool_v2_window", "projection_case_metrics", "projection_summary", "retrieve_routed", "row_projection",
 ]
 
 
