@@ -365,25 +365,58 @@ def _column(units: DataFrame, name: str) -> pa.Array:
     return got.column(name).combine_chunks()
 
 
-def answered(queries: DataFrame, units: DataFrame, entries, damping, rules: Rules, schema: str, answer: Callable, depth: int, extra: Sequence[str] = ()) -> DataFrame:
-    """What ``answer`` gives for each query's lists: the columns of the schema but query_id, the numbers of units as id; these are named by their ids.
+class Labels(NamedTuple):
+    """The labels of numbered units: those of unit i, by their places in names, and their scores lie from at[i] to at[i + 1]."""
 
-    queries: (query_id, query, extra...); units: (id, heading, text). answer: of the index, the lists and the extra columns' values.
+    names: np.ndarray
+    at: np.ndarray
+    label: np.ndarray
+    score: np.ndarray
+
+
+def labelled(rows: DataFrame, units: int) -> Labels:
+    """Labels from rows (id, label, score) of numbered units, brought to the driver; names are in ascending order."""
+    got = rows.select("id", "label", "score").toArrow().sort_by([("id", "ascending"), ("label", "ascending")])
+    names, label = np.unique(np.array(got.column("label").to_pylist(), object), return_inverse=True)
+    return Labels(names, np.searchsorted(got.column("id").to_numpy(), np.arange(units + 1)), label.astype(np.int32), got.column("score").to_numpy())
+
+
+def rolled_up(unit: np.ndarray, score: np.ndarray, labels: Labels) -> tuple[np.ndarray, ...]:
+    """Label, score, hits, best unit and place of every label of one query's ranked units, as in retrieval.row_projection."""
+    begin, end = labels.at[unit], labels.at[unit + 1]
+    many = end - begin
+    place = np.repeat(np.arange(1, len(unit) + 1), many)
+    rows = np.repeat(end - np.cumsum(many), many) + np.arange(many.sum())
+    own = np.repeat(unit, many)
+    part = np.repeat(score, many) / place * labels.score[rows]
+    held, group = np.unique(labels.label[rows], return_inverse=True)
+    total = rounded(np.bincount(group, part, len(held)))
+    order = np.lexsort((own, -rounded(part, 9), group))
+    best = own[order[np.searchsorted(group[order], np.arange(len(held)))]]
+    return labels.names[held], total, np.bincount(group, minlength=len(held)), best, ranks(-total, held)
+
+
+def answered(queries: DataFrame, units: DataFrame, entries, damping, rules: Rules, schema: str, answer: Callable, depth: int, extra: Sequence[str] = (), labels: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """What ``answer`` gives for each query's lists: the columns of the schema but query_id, the numbers of units as id or top_id; these are named by their ids.
+
+    queries: (query_id, query, extra...); units: (id, heading, text). answer: of the index, the lists, the Labels if there are any, and the extra columns' values. labels: gives rows (id, label, score) of numbered units.
     """
     parts = [F.lower("query").alias("low"), query_tokens("query").alias("terms"), F.array_distinct(raw_tokens("query")).alias("raw"), tokens("query").alias("content")]
     asked = materialize(queries.select("query_id", "query", *extra))
-    shared = indexed(asked.select("query_id", *parts), numbered(units), entries, damping)
+    rows = numbered(units)
+    shared = indexed(asked.select("query_id", *parts), rows, entries, damping)
+    beside = [] if labels is None else [units.sparkSession.sparkContext.broadcast(labelled(labels(rows), rows.count()))]
     form = [f.split(" ") for f in schema.split(", ")]
     kinds = {"string": pa.string(), "long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = Index(*(f.value for f in shared))
+        ix, more = Index(*(f.value for f in shared)), [b.value for b in beside]
         for batch in batches:
             at, got = [], []
             for i, row in enumerate(batch.to_pylist()):
                 x = lists_of(ix, row["low"], row["terms"], row["raw"], row["content"], rules, depth)
                 if x is not None:
-                    out = answer(ix, x, *[row[c] for c in extra])
+                    out = answer(ix, x, *more, *[row[c] for c in extra])
                     at.append(np.full(len(out[0]), i))
                     got.append(out)
             if got:
@@ -393,7 +426,7 @@ def answered(queries: DataFrame, units: DataFrame, entries, damping, rules: Rule
                     if name == "query_id":
                         column = batch.column(name).take(pa.array(np.concatenate(at)))
                     else:
-                        column = ix.names.take(pa.array(columns[name])) if name == "id" else pa.array(columns[name])
+                        column = ix.names.take(pa.array(columns[name])) if name in ("id", "top_id") else pa.array(columns[name])
                     whole[name] = column.cast(kinds[kind])
                 yield pa.RecordBatch.from_pydict(whole)
 

@@ -73,3 +73,20 @@ def test_a_limit_keeps_the_best_by_bm25(spark):
 
 def test_rounding():
     assert ranking.rounded(ranking.np.array([0.1234565, -2.5e-6, 0.0, 1e-7])).tolist() == [0.123457, -3e-06, 0.0, 0.0]
+
+
+def test_labels_are_rolled_up_in_the_task(spark, folder):
+    plan = plan_of(queries()["row_projection"](spark, folder[0]))
+    assert "MapInArrow" in plan and not any(x in plan for x in ("Join", "Window", "HashAggregate", "SortAggregate"))
+
+
+def test_rolled_up_labels_are_those_of_the_operator(spark):
+    rows = [(0, "b", 0.5), (0, "a", 0.5), (2, "a", 0.25), (3, "b", 1.0), (3, "c", 1.0)]
+    labels = ranking.labelled(spark.createDataFrame(rows, "id int, label string, score double"), 5)
+    unit, score = ranking.np.array([3, 1, 0, 2]), ranking.np.array([0.2, 0.1, 0.6, 0.4])
+    got = sorted(zip(*[x.tolist() for x in ranking.rolled_up(unit, score, labels)], strict=True))
+    ranked = spark.createDataFrame([("q", int(u), float(s), i + 1) for i, (u, s) in enumerate(zip(unit, score, strict=True))], "query_id string, id int, s double, rank int")
+    want = r.row_projection(ranked, spark.createDataFrame(rows, "id int, label string, score double"), "s")
+    assert got == sorted(tuple(x)[1:] for x in want.collect())
+    none = ranking.labelled(spark.createDataFrame([], "id int, label string, score double"), 5)
+    assert [len(x) for x in ranking.rolled_up(unit, score, none)] == [0] * 5
