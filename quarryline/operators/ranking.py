@@ -24,6 +24,8 @@ from quarryline.plans.stages import bounded, materialize
 TASK_QUERIES = 250
 #: How far below the last row of a pool semantic scores can be rounded to the same weighted sum.
 ROUNDING = 2e-5
+#: Bytes of bit masks of terms that a worker keeps.
+MASK_BYTES = 64_000_000
 _WORD = re.compile("[a-z0-9_]+")
 
 
@@ -46,11 +48,12 @@ def ranks(*keys: np.ndarray) -> np.ndarray:
 
 
 class Postings(NamedTuple):
-    """Units, by their numbers in ascending order, that hold each term; counts are those of the term in the unit, or None."""
+    """Units, by their numbers in ascending order, that hold each term; counts are those of the term in the unit, or None; masks keeps the bit masks of terms once they are made."""
 
     at: dict[str, tuple[int, int]]
     units: np.ndarray
     counts: np.ndarray | None
+    masks: dict[str, np.ndarray]
 
     def of(self, term: str) -> np.ndarray:
         begin, end = self.at[term]
@@ -85,6 +88,38 @@ def shared_tokens(index: Postings, words: Sequence[str], units: int) -> tuple[np
     return found, counts[found].astype(np.int64)
 
 
+def _mask(index: Postings, word: str, units: int) -> np.ndarray:
+    """A bit for every unit, set for those that hold the word."""
+    got = index.masks.get(word)
+    if got is None:
+        flags = np.zeros(-(-units // 64) * 64, np.bool_)
+        flags[index.of(word)] = True
+        got = np.packbits(flags, bitorder="little").view(np.uint64)
+        if (len(index.masks) + 1) * got.nbytes <= MASK_BYTES:
+            index.masks[word] = got
+    return got
+
+
+def shared_counts(index: Postings, words: Sequence[str], units: int) -> np.ndarray:
+    """How many of the words each unit holds. Common words are added as bits, 64 units at once, rare ones unit by unit."""
+    met = [w for w in words if w in index.at]
+    common = [w for w in met if len(index.of(w)) * 64 >= units]
+    digits: list[np.ndarray] = []  # binary digits of the numbers
+    for w in common:
+        carry = _mask(index, w, units)
+        for i, d in enumerate(digits):
+            digits[i], carry = d ^ carry, d & carry
+        if len(digits) < len(common).bit_length() and carry.any():
+            digits.append(carry)
+    counts = np.zeros(units, np.uint8 if len(met) < 256 else np.int32)
+    for i, d in enumerate(digits):
+        counts |= np.unpackbits(d.view(np.uint8), count=units, bitorder="little").astype(counts.dtype, copy=False) << counts.dtype.type(i)
+    for w in met:
+        if len(index.of(w)) * 64 < units:
+            counts[index.of(w)] += 1
+    return counts
+
+
 class Lists(NamedTuple):
     """One query's rows that can be in any top list, by unit; total is the size of both whole lists together, relevance_low the least relevance of the whole semantic one.
 
@@ -155,7 +190,7 @@ def lists_of(ix: Index, query: str, terms: Sequence[str], raw: Sequence[str], co
     if not met:
         return None
     n, asked = len(ix.names), len(content)
-    unit, overlap = shared_tokens(ix.tokens, content, n)
+    counts = shared_counts(ix.tokens, content, n)
     allowed = None
     if rules.limit is not None and n > rules.limit:
         every, _ = shared_tokens(ix.terms, met, n)
@@ -166,20 +201,22 @@ def lists_of(ix: Index, query: str, terms: Sequence[str], raw: Sequence[str], co
         for t in met:
             allowed[ix.terms.of(t)] = True
     if allowed is not None:
-        inside = allowed[unit]
-        unit, overlap = unit[inside], overlap[inside]
-    if not len(unit):  # no tokens are shared: all units that are met are in the lexical list
+        counts[~allowed] = 0
+    most = int(counts.max())
+    if not most:  # no tokens are shared: all units that are met are in the lexical list
         unit, _ = shared_tokens(ix.terms, met, n)
         if allowed is not None:
             unit = unit[allowed[unit]]
         overlap = np.zeros(len(unit), np.int64)
         need, semantic = 0, np.zeros(len(unit))
-        rows, total = np.arange(len(unit)), len(unit)
+        total = len(unit)
     else:
-        need = min(int(overlap.max()), max(1, -(-asked * 6 // 10)))
+        need = min(most, max(1, -(-asked * 6 // 10)))
         width = len(ix.held_values)
-        code = overlap * width + ix.held_at[unit]
+        kind = np.min_scalar_type((most + 1) * width)
+        code = counts.astype(kind) * kind.type(width) + ix.held_at.astype(kind, copy=False)
         many = np.bincount(code)
+        many[:width] = 0  # units that share nothing
         pairs = np.flatnonzero(many)
         o, h = pairs // width, ix.held_values[pairs % width]
         j = o / np.maximum(asked + h - o, 1)
@@ -189,10 +226,11 @@ def lists_of(ix: Index, query: str, terms: Sequence[str], raw: Sequence[str], co
         table, wanted = np.zeros(len(many)), np.zeros(len(many), bool)
         table[pairs] = value
         wanted[pairs] = (value >= value[order[last]] - ROUNDING) | (o >= need)
-        rows, total = np.flatnonzero(wanted[code]), len(unit)
-        semantic = table[code[rows]]
+        unit = np.flatnonzero(counts >= (pairs[wanted[pairs]] // width).min())
+        unit, total = unit[wanted[code[unit]]], int(many.sum())
+        overlap = counts[unit].astype(np.int64)
+        semantic = table[code[unit]]
         semantic_low = value.min()
-    unit, overlap = unit[rows], overlap[rows]
     share = overlap / max(asked, 1)
     zero = lambda: np.zeros(len(unit))
     # lexical
@@ -322,7 +360,7 @@ def _postings(rows: DataFrame, counted: bool) -> Postings:
     got = grouped.select("term", *(["e.id", "e.tf"] if counted else [F.col("e").alias("id")])).toArrow()
     words, ids = got.column("term").to_pylist(), got.column("id").combine_chunks()
     ends = ids.offsets.to_numpy().tolist() if words else [0]
-    return Postings(dict(zip(words, zip(ends, ends[1:]), strict=True)), ids.flatten().to_numpy(), got.column("tf").combine_chunks().flatten().to_numpy() if counted else None)
+    return Postings(dict(zip(words, zip(ends, ends[1:]), strict=True)), ids.flatten().to_numpy(), got.column("tf").combine_chunks().flatten().to_numpy() if counted else None, {})
 
 
 def _spread(queries: DataFrame) -> DataFrame:
@@ -354,7 +392,7 @@ def indexed(queries: DataFrame, units: DataFrame, entries: Callable[[DataFrame,
     held_values, held_at = np.unique(own.column("held").to_numpy(), return_inverse=True)
     headings = own.column("heading").combine_chunks()
     anchor = np.where(pc.equal(headings, "").to_numpy(zero_copy_only=False), -1, headings.dictionary_encode().indices.to_numpy())
-    return [send(own.column("name").combine_chunks()), texts, *map(send, (anchor.astype(np.int32), damping(own.column("dl").to_numpy()), held_values.astype(np.int64), held_at.astype(np.int64))), terms, held]
+    return [send(own.column("name").combine_chunks()), texts, *map(send, (anchor.astype(np.int32), damping(own.column("dl").to_numpy()), held_values.astype(np.int64), held_at.astype(np.min_scalar_type(len(held_values))))), terms, held]
 
 
 def _column(units: DataFrame, name: str) -> pa.Array:
@@ -448,15 +486,18 @@ def most_shared(queries: DataFrame, units: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             ids, found, counts, places = [], [], [], []
             for i, words in enumerate(batch.column("tokens").to_pylist()):
-                at, overlap = shared_tokens(index, words or [], len(names))
-                if len(at):
-                    below = np.cumsum(np.bincount(overlap)[::-1])[::-1]  # units that share so many or more
-                    least = int(np.flatnonzero(below >= min(k, len(at)))[-1])
+                overlap = shared_counts(index, words or [], len(names))
+                least = int(overlap.max(initial=0))
+                if least:
+                    while least > 1 and np.count_nonzero(overlap >= least) < k:
+                        least -= 1
                     rows = np.flatnonzero(overlap >= least)
-                    rows = rows[np.argsort(-overlap[rows], kind="stable")[:k]]
+                    shared = overlap[rows].astype(np.int64)
+                    top = np.argsort(-shared, kind="stable")[:k]
+                    rows, shared = rows[top], shared[top]
                     ids.append(np.full(len(rows), i))
-                    found.append(at[rows])
-                    counts.append(overlap[rows])
+                    found.append(rows)
+                    counts.append(shared)
                     places.append(np.arange(1, len(rows) + 1))
             if ids:
                 yield pa.RecordBatch.from_arrays([batch.column("query_id").take(pa.array(np.concatenate(ids))), names.take(pa.array(np.concatenate(found))), pa.array(np.concatenate(counts).astype(np.int64)), pa.array(np.concatenate(places).astype(np.int32))], names=["query_id", "id", "overlap", "place"])

@@ -90,3 +90,16 @@ def test_rolled_up_labels_are_those_of_the_operator(spark):
     assert got == sorted(tuple(x)[1:] for x in want.collect())
     none = ranking.labelled(spark.createDataFrame([], "id int, label string, score double"), 5)
     assert [len(x) for x in ranking.rolled_up(unit, score, none)] == [0] * 5
+
+
+@pytest.mark.parametrize("units", [1, 64, 130, 5_000])
+def test_shared_counts_by_bits(units):
+    np = ranking.np
+    words = [f"w{i}" for i in range(300)]
+    lists = [np.flatnonzero((np.arange(units) * (7 * i + 3) + i) % (1 + i % 5 if i % 3 else 90) == 0).astype(np.int32) for i in range(300)]
+    ends = np.cumsum([0, *map(len, lists)]).tolist()
+    index = ranking.Postings(dict(zip(words, zip(ends, ends[1:]), strict=False)), np.concatenate(lists), None, {})
+    for asked in (words[:9], words, ["absent"], [], ["absent", *words[90:100]]):
+        want = sum((np.bincount(lists[words.index(w)], minlength=units) for w in asked if w in words), np.zeros(units, np.int64))
+        assert ranking.shared_counts(index, asked, units).tolist() == want.tolist()
+    assert index.masks
