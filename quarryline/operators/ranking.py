@@ -7,6 +7,7 @@ say about a unit that shares tokens depends, but for BM25 and the phrase, on two
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
@@ -343,6 +344,25 @@ def capped_modes(x: Lists, anchor: np.ndarray, k: int, window: int, top_n: int,
 # --- in Spark ---
 
 
+class _Packed:
+    """A value that is pickled compressed, as every executor and the driver keep a file of what is sent to the tasks; there it is the value itself."""
+
+    def __init__(self, value: object):
+        self.value = value
+
+    def __reduce__(self):
+        whole = pickle.dumps(self.value, 5)
+        return _unpacked, (len(whole), pa.compress(whole, "zstd", asbytes=True))
+
+
+def _unpacked(size: int, packed: bytes) -> object:
+    return pickle.loads(pa.decompress(packed, size, "zstd"))
+
+
+def _sender(spark) -> Callable:
+    return lambda value: spark.sparkContext.broadcast(_Packed(value))
+
+
 def numbered(units: DataFrame) -> DataFrame:
     """units, written out, with their ids as name and, as id, their number from 0 on in the order of the ids."""
     rows = materialize(units.orderBy("id").withColumn("_row", F.monotonically_increasing_id()))
@@ -371,7 +391,7 @@ def _spread(queries: DataFrame) -> DataFrame:
 def indexed(queries: DataFrame, units: DataFrame, entries: Callable[[DataFrame, bool], DataFrame], damping: Callable[[np.ndarray], np.ndarray]) -> list:
     """The fields of an Index of numbered units by the terms of the queries (query_id, terms, raw), each sent to the tasks by itself, so that the driver never holds all of them; entries gives the units' terms and tokens."""
     spark = units.sparkSession
-    send = spark.sparkContext.broadcast
+    send = _sender(spark)
     words = F.size(F.regexp_extract_all(F.lower(F.concat_ws(" ", "heading", "text")), F.lit("[a-z0-9]+"), F.lit(0)))
     both = entries(units.select("id", "heading", "text"), True)
     kind = lambda k, asked: both.where(F.col("kind") == k).join(bounded(asked, 100), "term", "left_semi")
@@ -443,7 +463,7 @@ def answered(queries: DataFrame, units: DataFrame, entries, damping, rules: Rule
     asked = materialize(queries.select("query_id", "query", *extra))
     rows = numbered(units)
     shared = indexed(asked.select("query_id", *parts), rows, entries, damping)
-    beside = [] if labels is None else [units.sparkSession.sparkContext.broadcast(labelled(labels(rows), rows.count()))]
+    beside = [] if labels is None else [_sender(units.sparkSession)(labelled(labels(rows), rows.count()))]
     form = [f.split(" ") for f in schema.split(", ")]
     kinds = {"string": pa.string(), "long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
 
@@ -477,7 +497,7 @@ def most_shared(queries: DataFrame, units: DataFrame, k: int) -> DataFrame:
     rows = numbered(units.select("id", "tokens"))
     words = materialize(asked.select(F.explode("tokens").alias("term")).distinct())
     held = rows.select(F.explode("tokens").alias("term"), "id").join(bounded(words, 100), "term", "left_semi")
-    send = queries.sparkSession.sparkContext.broadcast
+    send = _sender(queries.sparkSession)
     index_of, names_of = send(_postings(held, False)), send(_column(rows.select("id", "name"), "name"))
     name, unit = queries.schema["query_id"].dataType.simpleString(), units.schema["id"].dataType.simpleString()
 

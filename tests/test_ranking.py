@@ -1,5 +1,7 @@
 """Rankings over more units than the former limit of candidates, on odd units and titles, against their SQL; and that no pair is written."""
 
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -103,3 +105,11 @@ def test_shared_counts_by_bits(units):
         want = sum((np.bincount(lists[words.index(w)], minlength=units) for w in asked if w in words), np.zeros(units, np.int64))
         assert ranking.shared_counts(index, asked, units).tolist() == want.tolist()
     assert index.masks
+
+
+def test_what_is_sent_to_the_tasks_is_compressed(spark):
+    value = ranking.Postings({"a": (0, 50_000)}, ranking.np.arange(50_000, dtype=ranking.np.int32) % 7, None, {})
+    sent = ranking._sender(spark)(value)
+    assert Path(sent._path).stat().st_size < value.units.nbytes / 10
+    got = spark.sparkContext.parallelize([0], 1).map(lambda _: (type(sent.value).__name__, sent.value.at, sent.value.units.tolist())).collect()
+    assert got == [("Postings", value.at, value.units.tolist())]
