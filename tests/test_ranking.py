@@ -113,3 +113,8 @@ def test_what_is_sent_to_the_tasks_is_compressed(spark):
     assert Path(sent._path).stat().st_size < value.units.nbytes / 10
     got = spark.sparkContext.parallelize([0], 1).map(lambda _: (type(sent.value).__name__, sent.value.at, sent.value.units.tolist())).collect()
     assert got == [("Postings", value.at, value.units.tolist())]
+
+
+@pytest.mark.parametrize("name", ["projection_case_metrics"])
+def test_no_ranked_row_is_exchanged_for_metrics(name, spark, folder):
+    assert "Window" not in plan_of(queries()[name](spark, folder[0]))
