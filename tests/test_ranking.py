@@ -115,6 +115,6 @@ def test_what_is_sent_to_the_tasks_is_compressed(spark):
     assert got == [("Postings", value.at, value.units.tolist())]
 
 
-@pytest.mark.parametrize("name", ["projection_case_metrics"])
+@pytest.mark.parametrize("name", ["projection_case_metrics", "projection_summary"])
 def test_no_ranked_row_is_exchanged_for_metrics(name, spark, folder):
     assert "Window" not in plan_of(queries()[name](spark, folder[0]))
