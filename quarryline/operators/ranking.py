@@ -27,6 +27,8 @@ TASK_QUERIES = 250
 ROUNDING = 2e-5
 #: Bytes of bit masks of terms that a worker keeps.
 MASK_BYTES = 64_000_000
+#: Hits of units and labels that a task looks at together, besides those of one unit.
+LABEL_HITS = 2_000_000
 _WORD = re.compile("[a-z0-9_]+")
 
 
@@ -439,6 +441,51 @@ def labelled(rows: DataFrame, units: int) -> Labels:
     return Labels(names, np.searchsorted(got.column("id").to_numpy(), np.arange(units + 1)), label.astype(np.int32), got.column("score").to_numpy())
 
 
+def best_labels(row: np.ndarray, label: np.ndarray, terms: np.ndarray, least: float, near: float, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, label and raw score of up to ``most`` labels of each row, from hits (row, label); see retrieval.label_scores."""
+    key, overlap = np.unique(row * len(terms) + label, return_counts=True)
+    row, label = np.divmod(key, max(len(terms), 1))
+    raw = overlap / np.sqrt(terms[label])
+    order = np.lexsort((label, -overlap, -raw, row))
+    row, label, raw = row[order], label[order], raw[order]
+    first_of = np.searchsorted(row, row)
+    keep = (raw >= np.maximum(least, raw[first_of] * near)) & (np.arange(len(row)) - first_of < most)
+    return row[keep], label[keep], raw[keep]
+
+
+def unit_labels(units: DataFrame, profiles: DataFrame, least: float, near: float, most: int) -> DataFrame:
+    """(id, label, raw): labels of units (id, text), one row an id, from the task that holds the unit, without an exchange; profiles: (label, k, terms), sent to every task; see retrieval.label_scores."""
+    got = profiles.where("k IS NOT NULL").select("k", "label", "terms").toArrow()
+    words, term = np.unique(np.array(got.column("k").to_pylist(), object), return_inverse=True)
+    names, one, own = np.unique(np.array(got.column("label").to_pylist(), object), return_index=True, return_inverse=True)
+    by = np.argsort(term, kind="stable")
+    held = pa.array(words.tolist(), pa.string()), np.searchsorted(term[by], np.arange(len(words) + 1)), own[by], pa.array(names.tolist(), pa.string()), got.column("terms").to_numpy()[one]
+    sent = _sender(units.sparkSession)(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, at, labels, names, terms = sent.value
+        for batch in batches:
+            lists = batch.column("tokens")
+            place = pc.index_in(lists.flatten(), value_set=words)
+            hit = place.is_valid().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(lists)), pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False))[hit]
+            term = place.drop_null().to_numpy().astype(np.int64)
+            many = at[term + 1] - at[term]
+            before = np.concatenate([[0], np.cumsum(many)])
+            begin = 0
+            while begin < len(row):
+                last = row[max(begin, np.searchsorted(before, before[begin] + LABEL_HITS, "right") - 2)]
+                end = np.searchsorted(row, last, "right")
+                n = many[begin:end]
+                rows = np.repeat(at[term[begin:end]] + n - np.cumsum(n), n) + np.arange(n.sum())
+                r, found, raw = best_labels(np.repeat(row[begin:end], n), labels[rows], terms, least, near, most)
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(r)), names.take(pa.array(found)), pa.array(raw)], names=["id", "label", "raw"])
+                begin = end
+
+    kind = units.schema["id"].dataType.simpleString()
+    return units.select("id", tokens("text").alias("tokens")).mapInArrow(run, f"id {kind}, label string, raw double")
+
+
 def rolled_up(unit: np.ndarray, score: np.ndarray, labels: Labels) -> tuple[np.ndarray, ...]:
     """Label, score, hits, best unit and place of every label of one query's ranked units, as in retrieval.row_projection."""
     begin, end = labels.at[unit], labels.at[unit + 1]

@@ -118,3 +118,26 @@ def test_what_is_sent_to_the_tasks_is_compressed(spark):
 @pytest.mark.parametrize("name", ["projection_case_metrics", "projection_summary"])
 def test_no_ranked_row_is_exchanged_for_metrics(name, spark, folder):
     assert "Window" not in plan_of(queries()[name](spark, folder[0]))
+
+
+@pytest.mark.parametrize("name", ["projection_case_metrics", "projection_summary"])
+def test_hits_of_labels_are_not_exchanged(name, spark, folder, monkeypatch):
+    plans, labelled = [], ranking.labelled
+    monkeypatch.setattr(ranking, "labelled", lambda rows, units: plans.append(plan_of(rows)) or labelled(rows, units))
+    queries()[name](spark, folder[0])
+    assert plans and not any("Exchange" in x for x in plans)
+
+
+@pytest.mark.parametrize("hits", [1, 5, 2_000_000])
+def test_labels_in_the_task_are_those_of_the_operator(spark, monkeypatch, hits):
+    texts = ["", None, "of the", "none known", "w1 w2 w3", "w3 w3 W2", "w1 w2 w3 w4 w5 w6", "w4", "w6 w7 w8 w9 w1", *[f"w{i % 11} w{i % 7} w{i % 5} x{i}" for i in range(40)]]
+    units = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    rows = [(f"l{n}", f"w{k}", len(range(n % 4, 11, 1 + n % 3))) for n in range(9) for k in range(n % 4, 11, 1 + n % 3)]
+    profiles = spark.createDataFrame([*rows, ("\U0001f600", "w6", 1), ("\uff5e", "w6", 1)], "label string, k string, terms long")
+    monkeypatch.setattr(ranking, "LABEL_HITS", hits)
+    for given in (profiles, profiles.limit(0)):
+        got = r.unit_labels(units, given)
+        assert "Exchange" not in plan_of(got)
+        assert sorted(got.collect()) == sorted(r.label_scores(units, given).select("id", "label", "score").collect())
+    monkeypatch.setattr(r, "BROADCAST_BYTES", 0)
+    assert sorted(r.unit_labels(units, profiles).collect()) == sorted(r.label_scores(units, profiles).select("id", "label", "score").collect())
