@@ -391,14 +391,14 @@ def _spread(queries: DataFrame) -> DataFrame:
 
 
 def indexed(queries: DataFrame, units: DataFrame, entries: Callable[[DataFrame, bool], DataFrame], damping: Callable[[np.ndarray], np.ndarray]) -> list:
-    """The fields of an Index of numbered units by the terms of the queries (query_id, terms, raw), each sent to the tasks by itself, so that the driver never holds all of them; entries gives the units' terms and tokens."""
+    """The fields of an Index of numbered units by the terms of the queries (query_id, terms, raw), each sent to the tasks by itself, so that the driver never holds all of them; entries gives the units' terms."""
     spark = units.sparkSession
     send = _sender(spark)
     words = F.size(F.regexp_extract_all(F.lower(F.concat_ws(" ", "heading", "text")), F.lit("[a-z0-9]+"), F.lit(0)))
-    both = entries(units.select("id", "heading", "text"), True)
-    kind = lambda k, asked: both.where(F.col("kind") == k).join(bounded(asked, 100), "term", "left_semi")
+    found = entries(units.select("id", "heading", "text"), False)
+    of = lambda rows, asked: rows.join(bounded(asked, 100), "term", "left_semi")
     asked = materialize(queries.select(F.explode("terms").alias("term")).distinct())
-    terms = _postings(kind(0, asked), True)
+    terms = _postings(of(found, asked), True)
     # queries whose terms are met nowhere are searched by all their tokens
     wider = queries.where(F.size(F.array_except("raw", "terms")) > 0).select("query_id", "terms", "raw")
     known = spark.createDataFrame(pa.table({"term": pa.array(list(terms.at), pa.string())}))
@@ -406,9 +406,10 @@ def indexed(queries: DataFrame, units: DataFrame, entries: Callable[[DataFrame,
     rest = materialize(wider.join(hit, "query_id", "left_anti").select(F.explode("raw").alias("term")).distinct())
     if not rest.isEmpty():
         asked = materialize(asked.unionByName(rest).distinct())
-        terms = _postings(kind(0, asked), True)
+        terms = _postings(of(found, asked), True)
     terms = send(terms)
-    held = send(_postings(kind(1, asked), False))
+    # a unit's tokens are distinct, so they need not be brought together
+    held = send(_postings(of(units.select("id", F.explode(tokens("text")).alias("term")), asked), False))
     texts = send(_column(units.select("id", F.lower("text").alias("text")), "text").cast(pa.large_string()))
     own = units.select("id", "name", "heading", words.alias("dl"), F.size(tokens("text")).alias("held")).toArrow().sort_by("id")
     held_values, held_at = np.unique(own.column("held").to_numpy(), return_inverse=True)

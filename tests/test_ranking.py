@@ -1,5 +1,6 @@
 """Rankings over more units than the former limit of candidates, on odd units and titles, against their SQL; and that no pair is written."""
 
+import re
 from pathlib import Path
 
 import duckdb
@@ -141,3 +142,11 @@ def test_labels_in_the_task_are_those_of_the_operator(spark, monkeypatch, hits):
         assert sorted(got.collect()) == sorted(r.label_scores(units, given).select("id", "label", "score").collect())
     monkeypatch.setattr(r, "BROADCAST_BYTES", 0)
     assert sorted(r.unit_labels(units, profiles).collect()) == sorted(r.label_scores(units, profiles).select("id", "label", "score").collect())
+
+
+@pytest.mark.parametrize("name", ["projection_case_metrics", "projection_summary"])
+def test_texts_are_not_exchanged_for_tokens(name, spark, folder, monkeypatch):
+    plans, postings = [], ranking._postings
+    monkeypatch.setattr(ranking, "_postings", lambda rows, counted: (counted or plans.append(plan_of(rows))) and None or postings(rows, counted))
+    queries()[name](spark, folder[0])
+    assert plans and not any(re.search("(?<!Broadcast)Exchange", x) for x in plans)
